@@ -1,0 +1,17 @@
+"""Join helpers: size-checked broadcast, pre-aggregated outer join."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
+
+    The check is a bounded job (``limit(max_rows + 1).count()``) on the small
+    side only. Beyond the bound the frame is returned unhinted, so Catalyst/AQE
+    pick a shuffle join from runtime statistics.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
