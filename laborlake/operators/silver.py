@@ -33,17 +33,22 @@ def _order_cols(df: DataFrame, order: Sequence[str] | None) -> list[str]:
     return [c for c in (INGEST_ORDER if order is None else order) if c in df.columns]
 
 
+def event_columns(df: DataFrame) -> DataFrame:
+    """The stateless part of X1 (shared by the batch and the streaming silver)."""
+    return (df
+            .withColumn("event_timestamp", parse_event_time("timestamp"))
+            .withColumn("category", upper_strip("category"))
+            .withColumn("region", upper_strip("region"))
+            .withColumn("department", strip_ws("department"))
+            .withColumn("title", strip_ws("title"))
+            .withColumn("labor_flag", labor_flag("labor_hours"))
+            .withColumn("pipeline_layer", F.lit(PIPELINE_LAYER))
+            .drop("timestamp"))
+
+
 def transform_content_events(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """X1 on a raw event frame (columns of CONTENT_SCHEMA, optionally ``ingest_seq``)."""
-    out = (df
-           .withColumn("event_timestamp", parse_event_time("timestamp"))
-           .withColumn("category", upper_strip("category"))
-           .withColumn("region", upper_strip("region"))
-           .withColumn("department", strip_ws("department"))
-           .withColumn("title", strip_ws("title"))
-           .withColumn("labor_flag", labor_flag("labor_hours"))
-           .withColumn("pipeline_layer", F.lit(PIPELINE_LAYER))
-           .drop("timestamp"))
+    out = event_columns(df)
     return keep_first(out, ["content_id"], _order_cols(out, order))
 
 

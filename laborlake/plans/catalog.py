@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from laborlake.operators import gold, quality, reports, silver
 from laborlake.schemas import REQUIRED_COLUMNS
-from laborlake.sources import tables
+from laborlake.session import fresh_path
+from laborlake.sinks.lake import Lake
+from laborlake.sinks.warehouse import with_log_id
+from laborlake.sources import files, pages, tables, topic
+from laborlake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +84,111 @@ def gold_category_summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.category_summary_table(_silver(spark, sf_dir)).drop("summary_date")
 
 
+# ---- sources ---------------------------------------------------------------------------------
+
+LEGACY_A = ["content_id", "title", "category", "department", "labor_hours", "region"]
+LEGACY_B = ["region", "labor_hours", "department", "category", "title", "content_id", "release_year"]
+
+
+def csv_folder_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content landed as two CSV file groups with different headers, read back by name."""
+    ce = _silver(spark, sf_dir)
+    folder = fresh_path(spark, "landing", "csv")
+    finished = F.col("event_type") == "F"
+    (ce.where(finished).select(*LEGACY_A)
+     .write.option("header", True).csv(folder + "/a"))
+    (ce.where(~finished).withColumn("release_year", F.year("event_timestamp")).select(*LEGACY_B)
+     .write.option("header", True).csv(folder + "/b"))
+    a = files.ingest_folder(spark, folder + "/a")
+    b = files.ingest_folder(spark, folder + "/b")
+    return a.unionByName(b, allowMissingColumns=True).drop("source_file")
+
+
+def _landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "landing", "pages")
+    pages.land_pages(tables.labor_records(spark, sf_dir)).write.json(path)
+    return pages.read_landed_pages(spark, path)
+
+
+def api_pages_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the landed pages before the stop page."""
+    return pages.flatten_pages(_landed_pages(spark, sf_dir))
+
+
+def labor_logs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + K8: records -> silver.labor_logs rows accepted by the table rules (key excluded)."""
+    recs = pages.records_to_frame(pages.flatten_pages(_landed_pages(spark, sf_dir)))
+    ok, _ = quality.split_by_rules(with_log_id(recs), quality.labor_log_rules())
+    return ok.drop("log_id")
+
+
+def silver_roundtrip_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + S7: silver written partitioned by region, read back."""
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    lake.write_silver(_silver(spark, sf_dir), "content_events_clean")
+    return lake.read_layer("silver", "content_events_clean")
+
+
+def lake_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4/K5 + S8: bronze, silver and gold written, then files and bytes per dataset."""
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    lake.write_bronze(tables.content_events_raw(spark, sf_dir), "content_events", source_system="topic")
+    s = _silver(spark, sf_dir)
+    lake.write_silver(s, "content_events_clean")
+    for name, frame in gold.gold_layer(s).items():
+        lake.write_gold(frame, name)
+    return lake.inventory().select("layer", "dataset", (F.col("file_count") > 0).alias("has_files"))
+
+
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = tables.content_events_raw(spark, sf_dir)
+    return topic.encode_events(raw)
+
+
+def topic_decode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON messages of the raw events decoded with the fixed schema."""
+    good, _ = topic.split_dead_letters(topic.decode_events(_messages(spark, sf_dir)))
+    return good
+
+
+def topic_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Foreign messages on the topic (the ``events`` JSON props) become dead letters."""
+    foreign = tables.table(spark, sf_dir, "events").select(F.col("props").alias("value"))
+    _, dead = topic.split_dead_letters(topic.decode_events(_messages(spark, sf_dir).unionByName(foreign)))
+    return dead.select("value")
+
+
+def _land_topic(spark: SparkSession, sf_dir: str) -> str:
+    """Land the topic twin: first deliveries, then (a later write) the re-deliveries."""
+    path = fresh_path(spark, "landing", "topic")
+    raw = tables.content_events_raw(spark, sf_dir)
+    topic.encode_events(raw.where(F.col("ingest_seq") == 0)).write.text(path)
+    topic.encode_events(raw.where(F.col("ingest_seq") > 0)).write.mode("append").text(path)
+    return path
+
+
+def stream_bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-S1: the topic streamed into bronze (availableNow), silver rebuilt from bronze."""
+    src = _land_topic(spark, sf_dir)
+    base = fresh_path(spark, "stream")
+    q = ingest.start_bronze_ingest(topic.read_topic(spark, src, streaming=True),
+                                   f"{base}/bronze", f"{base}/dead", f"{base}/_chk_bronze")
+    q.awaitTermination()
+    bronze = spark.read.parquet(f"{base}/bronze")
+    return silver.build_silver(bronze, processed_at=F.col("event_timestamp"),
+                               order=["arrived_at", "arrival_part", "arrival_pos"])
+
+
+def stream_silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-S2..T-S4: streaming X1 with de-duplication inside the arrival watermark."""
+    src = _land_topic(spark, sf_dir)
+    base = fresh_path(spark, "stream")
+    q = ingest.start_silver_stream(topic.read_topic(spark, src, streaming=True, max_files_per_trigger=1),
+                                   f"{base}/silver", f"{base}/_chk_silver")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/silver").drop("arrival_part", "arrival_pos", "arrived_at")
+
+
 QUERIES: dict[str, Query] = {
     "report_labor_by_department": _report(reports.labor_by_department),
     "report_category_region_volume": _report(reports.category_region_volume),
@@ -102,4 +211,13 @@ QUERIES: dict[str, Query] = {
     "constraint_accepted": constraint_accepted,
     "gold_department_labor_summary": gold_department_labor_summary,
     "gold_category_summary_table": gold_category_summary_table,
+    "csv_folder_ingest": csv_folder_ingest,
+    "api_pages_flatten": api_pages_flatten,
+    "labor_logs_table": labor_logs_table,
+    "silver_roundtrip_by_region": silver_roundtrip_by_region,
+    "lake_inventory": lake_inventory,
+    "topic_decode_events": topic_decode_events,
+    "topic_dead_letters": topic_dead_letters,
+    "stream_bronze_silver": stream_bronze_silver,
+    "stream_silver_dedup": stream_silver_dedup,
 }

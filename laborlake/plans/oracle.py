@@ -223,6 +223,26 @@ SELECT department, region, COUNT(content_id) AS total_projects,
        CAST(SUM(labor_hours) AS BIGINT) AS total_labor_hours, AVG(labor_hours) AS avg_labor_hours,
        CAST(SUM(CASE WHEN labor_flag = 'HIGH' THEN 1 ELSE 0 END) AS BIGINT) AS high_effort_count
 FROM content_events WHERE department IS NOT NULL GROUP BY department, region""",
+    "csv_folder_ingest": _C + """
+SELECT CAST(content_id AS BIGINT) AS content_id, title, category, department,
+       CAST(labor_hours AS BIGINT) AS labor_hours, region,
+       CASE WHEN event_type = 'F' THEN NULL ELSE CAST(year(event_timestamp) AS BIGINT) END AS release_year
+FROM content_events""",
+    "api_pages_flatten": _with(_LABOR) + """
+SELECT CAST(floor(CAST(project_id AS BIGINT) / 25) + 1 AS INTEGER) AS page,
+       employee_id, department, project_id, hours_logged, week, role
+FROM labor_logs""",
+    "labor_logs_table": _with(_LABOR) + """
+SELECT employee_id, department, project_id, hours_logged, week, role
+FROM labor_logs WHERE employee_id IS NOT NULL AND NOT (hours_logged < 0)""",
+    "silver_roundtrip_by_region": _C + "SELECT * FROM content_events",
+    "topic_decode_events": _R + """
+SELECT content_id, title, category, region, department, labor_hours,
+       strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, event_type
+FROM raw_events""",
+    "topic_dead_letters": "SELECT props AS value FROM events",
+    "stream_bronze_silver": _S + "SELECT * FROM silver_raw",
+    "stream_silver_dedup": _X + "SELECT * FROM x1",
     "gold_category_summary_table": _C + """
 SELECT category, COUNT(content_id) AS total_titles, CAST(SUM(labor_hours) AS BIGINT) AS total_labor_hours,
        AVG(labor_hours) AS avg_labor_hours
