@@ -26,7 +26,7 @@ from laborlake.operators.quality import ValidationError, failure_reason, validat
 from laborlake.schemas import CRITICAL_COLUMNS, PIPELINE_LAYER, REQUIRED_COLUMNS, SILVER_COLUMNS
 
 # Columns that carry arrival order, if the source has them (topic partition/offset, file/position).
-INGEST_ORDER = ["ingest_seq"]
+INGEST_ORDER = ["ingest_seq", "arrived_at", "arrival_part", "arrival_pos"]
 
 
 def _order_cols(df: DataFrame, order: Sequence[str] | None) -> list[str]:

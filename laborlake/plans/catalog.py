@@ -14,6 +14,7 @@ from laborlake.sinks.lake import Lake
 from laborlake.sinks.warehouse import with_log_id
 from laborlake.sources import files, pages, tables, topic
 from laborlake.streaming import ingest
+from laborlake.plans import monitor, pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,6 +190,34 @@ def stream_silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/silver").drop("arrival_part", "arrival_pos", "arrived_at")
 
 
+# ---- pipeline and run metrics ------------------------------------------------------------------
+
+def pipeline_department_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events through bronze, validation, silver and gold; the gold frame read back."""
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    pipeline.run_pipeline(spark, tables.content_events_raw(spark, sf_dir), lake, strict=False)
+    return lake.read_layer("gold", "department_summary")
+
+
+def pipeline_run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1/M2: the run-event summary of one non-strict pipeline run (one row)."""
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    out = pipeline.run_pipeline(spark, tables.content_events_raw(spark, sf_dir), lake, strict=False)
+    events = spark.read.parquet(f"{lake.root}/ops/run_events").where(F.col("run_id") == out["run_id"])
+    return monitor.run_summary(events).drop("run_id")
+
+
+def run_event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2/A6 over a run-event log derived from ``events``: a user's events form one run."""
+    ev = tables.table(spark, sf_dir, "events")
+    log = ev.select(F.col("ts").cast("timestamp").alias("timestamp"),
+                    F.format_string("RUN_%d", F.col("user_id")).alias("run_id"),
+                    F.lit("content_etl").alias("pipeline"),
+                    F.upper("event_type").alias("event_type"),
+                    F.col("props").alias("message"))
+    return monitor.run_summary(log)
+
+
 QUERIES: dict[str, Query] = {
     "report_labor_by_department": _report(reports.labor_by_department),
     "report_category_region_volume": _report(reports.category_region_volume),
@@ -220,4 +249,7 @@ QUERIES: dict[str, Query] = {
     "topic_dead_letters": topic_dead_letters,
     "stream_bronze_silver": stream_bronze_silver,
     "stream_silver_dedup": stream_silver_dedup,
+    "pipeline_department_summary": pipeline_department_summary,
+    "pipeline_run_events": pipeline_run_events,
+    "run_event_summary": run_event_summary,
 }

@@ -243,6 +243,15 @@ FROM raw_events""",
     "topic_dead_letters": "SELECT props AS value FROM events",
     "stream_bronze_silver": _S + "SELECT * FROM silver_raw",
     "stream_silver_dedup": _X + "SELECT * FROM x1",
+    "pipeline_department_summary": _S + _A3.format(
+        src="(SELECT * FROM silver_raw WHERE labor_hours > 0 OR labor_hours IS NULL) accepted"),
+    "pipeline_run_events": """
+SELECT 'content_etl' AS pipeline, CAST(9 AS BIGINT) AS total_events, CAST(1 AS BIGINT) AS errors,
+       CAST(2 AS BIGINT) AS warnings""",
+    "run_event_summary": """
+SELECT 'RUN_' || CAST(user_id AS VARCHAR) AS run_id, 'content_etl' AS pipeline, COUNT(*) AS total_events,
+       COUNT_IF(upper(event_type) = 'ERROR') AS errors, COUNT_IF(upper(event_type) = 'WARNING') AS warnings
+FROM events GROUP BY user_id""",
     "gold_category_summary_table": _C + """
 SELECT category, COUNT(content_id) AS total_titles, CAST(SUM(labor_hours) AS BIGINT) AS total_labor_hours,
        AVG(labor_hours) AS avg_labor_hours
