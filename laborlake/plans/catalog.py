@@ -97,12 +97,10 @@ def csv_folder_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "landing", "csv")
     finished = F.col("event_type") == "F"
     (ce.where(finished).select(*LEGACY_A)
-     .write.option("header", True).csv(folder + "/a"))
+     .write.option("header", True).csv(folder))
     (ce.where(~finished).withColumn("release_year", F.year("event_timestamp")).select(*LEGACY_B)
-     .write.option("header", True).csv(folder + "/b"))
-    a = files.ingest_folder(spark, folder + "/a")
-    b = files.ingest_folder(spark, folder + "/b")
-    return a.unionByName(b, allowMissingColumns=True).drop("source_file")
+     .write.mode("append").option("header", True).csv(folder))
+    return files.ingest_folder(spark, folder).drop("source_file")
 
 
 def _landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

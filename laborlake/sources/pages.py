@@ -60,9 +60,8 @@ def land_pages(records: DataFrame, project_col: str = "project_id", projects_per
     """
     page = (F.floor(F.col(project_col).cast("bigint") / projects_per_page) + 1).cast("int")
     rec = F.struct(*[F.col(f.name) for f in LABOR_RECORD_SCHEMA.fields])
-    grouped = records.groupBy(page.alias("page")).agg(
-        F.sort_array(F.collect_list(rec)).alias("results"))
-    last = grouped.agg(F.max("page")).scalar()
+    grouped = records.groupBy(page.alias("page")).agg(F.collect_list(rec).alias("results"))
+    last = records.agg(F.max(page)).scalar()  # one-column aggregate, not a second grouping
     return grouped.select("page", "results",
                           F.when(F.col("page") < last, F.format_string("?page=%d", F.col("page") + 1))
                           .alias("next"))

@@ -55,11 +55,13 @@ def decode_events(messages: DataFrame, failfast: bool = False) -> DataFrame:
     """
     opts = {"mode": "FAILFAST"} if failfast else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     schema = MESSAGE_SCHEMA if failfast else _DECODE_SCHEMA
-    parsed = messages.withColumn("_m", F.from_json(F.col("value"), schema, opts))
-    fields = [F.col(f"_m.{f.name}").alias(f.name) for f in MESSAGE_SCHEMA.fields]
-    corrupt = (F.coalesce(F.col(f"_m.{CORRUPT}"), F.when(F.col("value").isNull(), F.lit("<null message>")))
-               if not failfast else F.lit(None).cast("string"))
     rest = [c for c in messages.columns if c != "value"]
+    # The parse is a generator (inline of a one-element array), so it runs once per
+    # message: filters and projections on its fields cannot re-inline from_json.
+    parsed = messages.select(*rest, "value", F.inline_outer(F.array(F.from_json(F.col("value"), schema, opts))))
+    fields = [F.col(f.name) for f in MESSAGE_SCHEMA.fields]
+    corrupt = (F.coalesce(F.col(CORRUPT), F.when(F.col("value").isNull(), F.lit("<null message>")))
+               if not failfast else F.lit(None).cast("string"))
     return parsed.select(*fields, *rest, F.col("value"), corrupt.alias(CORRUPT))
 
 
