@@ -110,6 +110,16 @@ def _sql_check(expr: Column) -> Column:
     return expr.eqNullSafe(F.lit(False))
 
 
+# VARCHAR(n) lengths of the warehouse DDL; a longer value would fail the whole insert.
+CONTENT_LENGTHS = {"content_id": 50, "title": 255, "category": 50, "region": 20, "department": 100,
+                   "labor_flag": 10, "event_type": 50, "pipeline_layer": 10, "pipeline_version": 10}
+LABOR_LOG_LENGTHS = {"employee_id": 20, "project_id": 50, "department": 100, "role": 100, "week": 10}
+
+
+def _length_rules(limits: dict[str, int]) -> list[tuple[str, Column]]:
+    return [(f"{c}_length", _sql_check(F.char_length(F.col(c)) <= n)) for c, n in limits.items()]
+
+
 def content_rules() -> list[tuple[str, Column]]:
     """(rule name, violation predicate) of silver.content_events_clean."""
     return [
@@ -118,14 +128,14 @@ def content_rules() -> list[tuple[str, Column]]:
         ("department_not_null", F.col("department").isNull()),
         ("labor_hours_positive", _sql_check(F.col("labor_hours") > 0)),
         ("labor_flag_in_set", _sql_check(F.col("labor_flag").isin(*LABOR_FLAGS))),
-    ]
+    ] + _length_rules(CONTENT_LENGTHS)
 
 
 def labor_log_rules() -> list[tuple[str, Column]]:
     return [
         ("employee_id_not_null", F.col("employee_id").isNull()),
         ("hours_logged_non_negative", _sql_check(F.col("hours_logged") >= 0)),
-    ]
+    ] + _length_rules(LABOR_LOG_LENGTHS)
 
 
 def apply_rules(df: DataFrame, rules: list[tuple[str, Column]], key: str | None = None) -> DataFrame:

@@ -120,6 +120,27 @@ x1 AS (
 )"""
 
 
+# V7 rule names in alphabetical order (the Spark side sorts the violation list).
+_RULE_LIST = [
+    ("category_length", "length(category) > 50"),
+    ("content_id_length", "length(content_id) > 50"),
+    ("content_id_not_null", "content_id IS NULL"),
+    ("department_length", "length(department) > 100"),
+    ("department_not_null", "department IS NULL"),
+    ("event_type_length", "length(event_type) > 50"),
+    ("labor_flag_in_set", "labor_flag NOT IN ('HIGH', 'MEDIUM', 'LOW')"),
+    ("labor_flag_length", "length(labor_flag) > 10"),
+    ("labor_hours_positive", "labor_hours <= 0"),
+    ("pipeline_layer_length", "length(pipeline_layer) > 10"),
+    ("pipeline_version_length", "length(pipeline_version) > 10"),
+    ("primary_key_unique", "content_id IS NOT NULL AND COUNT(*) OVER (PARTITION BY content_id) > 1"),
+    ("region_length", "length(region) > 20"),
+    ("title_length", "length(title) > 255"),
+    ("title_not_null", "title IS NULL"),
+]
+_RULES = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in _RULE_LIST)
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
@@ -213,11 +234,13 @@ SELECT department, CAST(SUM(labor_hours) AS BIGINT) AS total_labor_hours
 FROM content_events WHERE department IS NOT NULL GROUP BY department""",
     "x1_labor_by_department": _X + _A1.format(src="x1"),
     "x1_department_summary": _X + _A3.format(src="x1"),
-    "constraint_quarantine": _S + """
-SELECT content_id, labor_hours, labor_flag,
-       concat_ws(',', CASE WHEN labor_hours <= 0 THEN 'labor_hours_positive' END) AS violation
-FROM silver_raw WHERE labor_hours <= 0""",
-    "constraint_accepted": _S + "SELECT * FROM silver_raw WHERE NOT (labor_hours <= 0) OR labor_hours IS NULL",
+    "constraint_quarantine": _S + f"""
+SELECT content_id, labor_hours, labor_flag, violation FROM (
+  SELECT content_id, labor_hours, labor_flag, concat_ws(',', {_RULES}) AS violation FROM silver_raw) t
+WHERE violation <> ''""",
+    "constraint_accepted": _S + f"""
+SELECT * EXCLUDE (violation) FROM (SELECT *, concat_ws(',', {_RULES}) AS violation FROM silver_raw) t
+WHERE violation = ''""",
     "gold_department_labor_summary": _C + """
 SELECT department, region, COUNT(content_id) AS total_projects,
        CAST(SUM(labor_hours) AS BIGINT) AS total_labor_hours, AVG(labor_hours) AS avg_labor_hours,
@@ -234,7 +257,10 @@ SELECT CAST(floor(CAST(project_id AS BIGINT) / 25) + 1 AS INTEGER) AS page,
 FROM labor_logs""",
     "labor_logs_table": _with(_LABOR) + """
 SELECT employee_id, department, project_id, hours_logged, week, role
-FROM labor_logs WHERE employee_id IS NOT NULL AND NOT (hours_logged < 0)""",
+FROM labor_logs WHERE employee_id IS NOT NULL AND NOT (hours_logged < 0)
+  AND coalesce(length(employee_id) <= 20, true) AND coalesce(length(project_id) <= 50, true)
+  AND coalesce(length(department) <= 100, true) AND coalesce(length(role) <= 100, true)
+  AND coalesce(length(week) <= 10, true)""",
     "silver_roundtrip_by_region": _C + "SELECT * FROM content_events",
     "topic_decode_events": _R + """
 SELECT content_id, title, category, region, department, labor_hours,

@@ -37,14 +37,8 @@ DDL = {
         summary_date DATE DEFAULT current_date()""",
 }
 
-# VARCHAR lengths of the DDL: a longer value fails the whole insert, so the rule
-# table checks them first and quarantines the row instead.
-VARCHAR_LIMITS = {
-    "silver.content_events_clean": {"content_id": 50, "title": 255, "category": 50, "region": 20,
-                                    "department": 100, "labor_flag": 10, "event_type": 50,
-                                    "pipeline_layer": 10, "pipeline_version": 10},
-    "silver.labor_logs": {"employee_id": 20, "project_id": 50, "department": 100, "role": 100, "week": 10},
-}
+# VARCHAR lengths are checked before insert by operators.quality (CONTENT_LENGTHS,
+# LABOR_LOG_LENGTHS): a longer value would fail the whole insert, a rule quarantines the row.
 
 
 def create_tables(spark: SparkSession, location: str | None = None) -> dict[str, str]:
