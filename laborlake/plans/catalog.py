@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlake.operators import gold, quality, reports, silver
+from laborlake.operators import gold, quality, reports, reports_sql, silver
 from laborlake.schemas import REQUIRED_COLUMNS
 from laborlake.session import fresh_path
 from laborlake.sinks.lake import Lake
@@ -85,6 +85,13 @@ def gold_category_summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.category_summary_table(_silver(spark, sf_dir)).drop("summary_date")
 
 
+def _sql_report(name: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        labor = tables.labor_records(spark, sf_dir) if name == "hours_variance" else None
+        return reports_sql.run_report(spark, name, _silver(spark, sf_dir), labor)
+    return q
+
+
 # ---- sources ---------------------------------------------------------------------------------
 
 LEGACY_A = ["content_id", "title", "category", "department", "labor_hours", "region"]
@@ -238,6 +245,7 @@ QUERIES: dict[str, Query] = {
     "constraint_accepted": constraint_accepted,
     "gold_department_labor_summary": gold_department_labor_summary,
     "gold_category_summary_table": gold_category_summary_table,
+    **{f"sql_report_{n}": _sql_report(n) for n in reports_sql.REPORT_SQL},
     "csv_folder_ingest": csv_folder_ingest,
     "api_pages_flatten": api_pages_flatten,
     "labor_logs_table": labor_logs_table,

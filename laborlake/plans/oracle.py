@@ -283,3 +283,13 @@ SELECT category, COUNT(content_id) AS total_titles, CAST(SUM(labor_hours) AS BIG
        AVG(labor_hours) AS avg_labor_hours
 FROM content_events WHERE category IS NOT NULL GROUP BY category""",
 }
+
+# The SQL-text reports answer the same questions as the DataFrame reports.
+for _n, _k in [("labor_by_department", "report_labor_by_department"),
+               ("category_region_volume", "report_category_region_volume"),
+               ("labor_flag_distribution", "report_labor_flag_distribution"),
+               ("monthly_throughput", "report_monthly_throughput"),
+               ("top_effort", "report_top_effort"),
+               ("above_avg_departments", "report_above_avg_departments"),
+               ("hours_variance", "report_hours_variance")]:
+    ORACLE_SQL[f"sql_report_{_n}"] = ORACLE_SQL[_k]

@@ -87,3 +87,26 @@ def test_gold_tables(silver):
     assert t.columns == ["department", "region", "total_projects", "total_labor_hours", "avg_labor_hours",
                          "high_effort_count", "summary_date"]
     assert gold.category_summary_table(silver).count() == 3
+
+
+@pytest.mark.parametrize("name,fn", [("labor_by_department", reports.labor_by_department),
+                                     ("category_region_volume", reports.category_region_volume),
+                                     ("labor_flag_distribution", reports.labor_flag_distribution),
+                                     ("top_effort", reports.top_effort),
+                                     ("above_avg_departments", reports.above_average_departments)])
+def test_sql_reports_equal_dataframe_reports(spark, silver, name, fn):
+    from laborlake.operators.reports_sql import run_report
+    assert [tuple(r) for r in run_report(spark, name, silver).collect()] == [tuple(r) for r in fn(silver).collect()]
+
+
+def test_sql_report_over_warehouse_table(spark, silver, sample_labor, tmp_path):
+    from laborlake.operators.reports_sql import run_report
+    from laborlake.sinks.warehouse import create_tables, insert
+    create_tables(spark, f"/tmp/{tmp_path.name}-wh")
+    insert(spark, "silver.content_events_clean", silver, overwrite=True)
+    insert(spark, "silver.labor_logs", sample_labor, overwrite=True)
+    got = {r.content_id[-3:]: r.variance for r in
+           run_report(spark, "hours_variance", "silver.content_events_clean", "silver.labor_logs").collect()}
+    assert got == {"003": 110.0, "001": 75.0, "002": 50.0, "004": 30.0, "005": None}
+    spark.sql("DROP TABLE silver.content_events_clean")
+    spark.sql("DROP TABLE silver.labor_logs")
