@@ -29,6 +29,15 @@ def _null_col(c: str) -> str:
     return f"null_{c}"
 
 
+def per_key_counters(required: Sequence[str] = REQUIRED_COLUMNS) -> list[Column]:
+    """Aggregate expressions of one key group: rows, nulls per required column, invalid hours."""
+    return [
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col(c).isNull()).alias(_null_col(c)) for c in required],
+        F.count_if(is_invalid_hours("labor_hours")).alias("bad"),
+    ]
+
+
 def validation_counts(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS,
                       key: str = "content_id") -> DataFrame:
     """One row of counters: total_rows, duplicate_count, invalid_labor, null_<col> for each required col.
@@ -36,11 +45,11 @@ def validation_counts(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS,
     Stage 1 groups by the key with map-side partial aggregation (a hot key
     costs one row per map task), stage 2 is a global sum over the key groups.
     """
-    per_key = df.groupBy(F.col(key)).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(c).isNull()).alias(_null_col(c)) for c in required],
-        F.count_if(is_invalid_hours("labor_hours")).alias("bad"),
-    )
+    return totals_from_per_key(df.groupBy(F.col(key)).agg(*per_key_counters(required)), required)
+
+
+def totals_from_per_key(per_key: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
+    """Global sums over per-key counters (``per_key_counters``)."""
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast(T.LongType()).alias("total_rows"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast(T.LongType()).alias("duplicate_count"),
@@ -69,6 +78,11 @@ def _report_from_counts(counts: DataFrame, required: Sequence[str]) -> DataFrame
     )
 
 
+def report_from_per_key(per_key: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
+    """The validation report from an already grouped frame (see ``silver.group_raw``)."""
+    return _report_from_counts(totals_from_per_key(per_key, required), required)
+
+
 def validation_report(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
     """The one-row validation report (V1-V6)."""
     missing = [c for c in required if c not in df.columns]
@@ -86,9 +100,10 @@ def validation_report(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS)
     return _report_from_counts(validation_counts(df, required), required)
 
 
-def validate(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> tuple[bool, dict]:
+def validate(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS,
+             report: DataFrame | None = None) -> tuple[bool, dict]:
     """``(passed, report)`` like the reference; the only driver collect is the one report row."""
-    row = validation_report(df, required).first()
+    row = (report if report is not None else validation_report(df, required)).first()
     report = row.asDict(recursive=True)
     report["null_counts"] = dict(report["null_counts"] or {})
     report["missing_columns"] = list(report["missing_columns"] or [])

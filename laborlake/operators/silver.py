@@ -21,8 +21,8 @@ from laborlake.functions.expressions import (
     labor_flag, normalize_columns, parse_event_time, silver_metadata, strip_string_columns, strip_ws,
     upper_strip,
 )
-from laborlake.operators.dedup import keep_first
-from laborlake.operators.quality import ValidationError, failure_reason, validate
+from laborlake.operators.dedup import first_row_agg, keep_first, unpack_first
+from laborlake.operators.quality import ValidationError, failure_reason, per_key_counters, validate
 from laborlake.schemas import CRITICAL_COLUMNS, PIPELINE_LAYER, REQUIRED_COLUMNS, SILVER_COLUMNS
 
 # Columns that carry arrival order, if the source has them (topic partition/offset, file/position).
@@ -60,10 +60,34 @@ def clean(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     return strip_string_columns(df)
 
 
+def group_raw(raw: DataFrame, order: Sequence[str] | None = None,
+              required: Sequence[str] = REQUIRED_COLUMNS) -> tuple[DataFrame, list[str], list[str]]:
+    """One aggregate per content_id giving both the validation counters and the first row.
+
+    Validation and de-duplication group by the same key, so a run shuffles the
+    raw rows once (partially aggregated) instead of twice. Returns the grouped
+    frame, the packed column order and the (normalized) raw column names.
+    """
+    df = normalize_columns(raw)
+    pick, packed = first_row_agg(df, ["content_id"], _order_cols(df, order))
+    grouped = df.groupBy("content_id").agg(*per_key_counters(required), pick)
+    return grouped, packed, df.columns
+
+
+def silver_from_grouped(grouped: DataFrame, packed: Sequence[str], columns: Sequence[str],
+                        processed_at: Column | None = None) -> DataFrame:
+    """X2's remaining steps (null drop, strip) and the silver projection, after ``group_raw``."""
+    first = unpack_first(grouped, ["content_id"], packed, columns)
+    return _project_silver(strip_string_columns(first.na.drop(subset=CRITICAL_COLUMNS)), processed_at)
+
+
 def build_silver(raw: DataFrame, processed_at: Column | None = None,
                  order: Sequence[str] | None = None) -> DataFrame:
     """Canonical silver from a raw event frame, without the validation gate."""
-    c = clean(raw, order)
+    return _project_silver(clean(raw, order), processed_at)
+
+
+def _project_silver(c: DataFrame, processed_at: Column | None) -> DataFrame:
     ts = parse_event_time("timestamp") if "timestamp" in c.columns else (
         F.col("event_timestamp") if "event_timestamp" in c.columns else F.lit(None).cast("timestamp"))
     out = c.select(
