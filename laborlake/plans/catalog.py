@@ -164,18 +164,23 @@ def topic_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dead.select("value")
 
 
-def _land_topic(spark: SparkSession, sf_dir: str) -> str:
-    """Land the topic twin: first deliveries, then (a later write) the re-deliveries."""
+def _land_topic(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """Land the topic twin: first deliveries, then (a later write) the re-deliveries.
+
+    Returns the folder and the number of first-delivery files, so a stream can take
+    them as one micro-batch ahead of the re-deliveries (arrival order of a topic).
+    """
     path = fresh_path(spark, "landing", "topic")
     raw = tables.content_events_raw(spark, sf_dir)
     topic.encode_events(raw.where(F.col("ingest_seq") == 0)).write.text(path)
+    first_files = len(spark.read.text(path).inputFiles())
     topic.encode_events(raw.where(F.col("ingest_seq") > 0)).write.mode("append").text(path)
-    return path
+    return path, first_files
 
 
 def stream_bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T-S1: the topic streamed into bronze (availableNow), silver rebuilt from bronze."""
-    src = _land_topic(spark, sf_dir)
+    src, _ = _land_topic(spark, sf_dir)
     base = fresh_path(spark, "stream")
     q = ingest.start_bronze_ingest(topic.read_topic(spark, src, streaming=True),
                                    f"{base}/bronze", f"{base}/dead", f"{base}/_chk_bronze")
@@ -187,9 +192,9 @@ def stream_bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T-S2..T-S4: streaming X1 with de-duplication inside the arrival watermark."""
-    src = _land_topic(spark, sf_dir)
+    src, first_files = _land_topic(spark, sf_dir)
     base = fresh_path(spark, "stream")
-    q = ingest.start_silver_stream(topic.read_topic(spark, src, streaming=True, max_files_per_trigger=1),
+    q = ingest.start_silver_stream(topic.read_topic(spark, src, streaming=True, max_files_per_trigger=first_files),
                                    f"{base}/silver", f"{base}/_chk_silver")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/silver").drop("arrival_part", "arrival_pos", "arrived_at")
