@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from laborlake.operators import gold, quality, silver
 from laborlake.operators.quality import ValidationError, failure_reason
 from laborlake.plans.monitor import RunLog, counted
-from laborlake.sinks.lake import Lake
+from laborlake.sinks.lake import Lake, write_csv
 from laborlake.sinks.warehouse import with_log_id
 from laborlake.sources import files, pages, topic
 
@@ -53,7 +53,7 @@ def extract(spark: SparkSession, source: str, cfg: SourceConfig) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, source: str | DataFrame, lake: Lake, cfg: SourceConfig | None = None,
-                 strict: bool = True, pipeline: str = "content_etl") -> dict:
+                 strict: bool = True, pipeline: str = "content_etl", csv_export: str | None = None) -> dict:
     """Run one batch; returns {run_id, report, paths}. ``strict`` aborts on a failed validation.
 
     With ``strict=False`` the rows a failed check points at are not loaded: X2's
@@ -104,6 +104,8 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, lake: Lake, cfg:
         paths["department_labor_summary"] = lake.write_gold(gold.department_labor_summary_table(s),
                                                            "department_labor_summary")
         paths["category_summary_table"] = lake.write_gold(gold.category_summary_table(s), "category_summary")
+        if csv_export:  # K3: the silver rows as CSV with a header (a folder of part files)
+            paths["csv"] = write_csv(s, csv_export)
         log.log_stage("Load", rows)
         log.end(rows)
         return {"run_id": log.run_id, "report": report, "paths": paths}
