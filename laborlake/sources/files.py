@@ -10,9 +10,9 @@ Rules (pandas ``read_csv(on_bad_lines='skip')`` semantics):
     DOUBLE, else STRING (values that do not parse never fail the read)
 
 How: every file group with the same header is read by Spark's CSV reader with the
-header's columns plus a sentinel column, which keeps each row's raw text; a row
-whose raw text has more fields than the header (counted outside quotes, so a blank
-extra field counts) is dropped. Groups are
+header's columns; a row with another field count keeps its raw text in the
+corrupt-record column, and it is dropped when that text has more fields than the
+header (counted outside quotes, so a blank extra field counts). Groups are
 unioned by name. Headers come from a distributed read of each file's first line; the
 driver sees only the distinct header lines and the file list (metadata).
 """
@@ -32,7 +32,6 @@ from pyspark.sql import types as T
 from laborlake.functions.tasks import ship_by_value
 
 
-_SENTINEL = "_extra"
 _CORRUPT = "_raw_line"
 
 
@@ -91,12 +90,12 @@ def _field_count(line):
 
 
 def _read_group(spark: SparkSession, paths: list[str], names: list[str], multiline: bool) -> DataFrame:
-    # Header columns + one sentinel column + the corrupt-record column. Under this
-    # schema a row with exactly the header's field count is "short", so the reader
-    # keeps its raw text in _corrupt_record; the raw text's field count then decides.
+    # Exactly the header's columns + the corrupt-record column. Rows with the
+    # header's field count parse normally; only short or long rows are
+    # "malformed" and keep their raw text, whose field count (outside quotes,
+    # so a blank extra field counts) tells short (keep, padded) from long (drop).
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names]
-                          + [T.StructField(_SENTINEL, T.StringType(), True),
-                             T.StructField(_CORRUPT, T.StringType(), True)])
+                          + [T.StructField(_CORRUPT, T.StringType(), True)])
     df = (spark.read.schema(schema)
           .option("header", True)
           .option("enforceSchema", True)
@@ -106,11 +105,12 @@ def _read_group(spark: SparkSession, paths: list[str], names: list[str], multili
           .option("columnPruning", False)
           .option("encoding", "UTF-8")
           .csv(paths))
-    # (_extra is null for every row with <= header fields; referencing it also keeps
-    # the scan from being a corrupt-column-only query, which Spark rejects.)
-    df = df.where(F.col(_CORRUPT).isNotNull() & F.col(_SENTINEL).isNull()
-                  & (_field_count(F.col(_CORRUPT)) <= len(names)))
-    return df.select(*[F.col(f"`{n}`") for n in names], F.col("_metadata.file_name").alias("source_file"))
+    keep = F.col(_CORRUPT).isNull() | (_field_count(F.col(_CORRUPT)) <= len(names))
+    # Spark rejects scans that read only the corrupt-record column (e.g. under count());
+    # the always-true test on the first column keeps a data column in the scan.
+    touch = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
+    return df.where(keep & touch).select(*[F.col(f"`{n}`") for n in names],
+                                          F.col("_metadata.file_name").alias("source_file"))
 
 
 def _null_tokens(df: DataFrame, cols: list[str], na_tokens: Iterable[str]) -> DataFrame:
@@ -125,24 +125,30 @@ def _null_tokens(df: DataFrame, cols: list[str], na_tokens: Iterable[str]) -> Da
     return df.select(*[fix(c) for c in cols], *[c for c in df.columns if c not in cols])
 
 
+# Text forms accepted as numbers by the type inference (checked with a regex, so a
+# non-numeric column never goes through a failing cast per value).
+_INT_RE = r"^\s*[+-]?[0-9]{1,18}\s*$"
+_NUM_RE = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))\s*$"
+
+
 def infer_types(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Cast string columns to BIGINT/DOUBLE when every non-null value parses (one aggregate job)."""
+    """Cast string columns to BIGINT/DOUBLE when every non-null value is such a number (one aggregate job)."""
     if not cols:
         return df
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`")
-        aggs.append(F.count_if(x.isNotNull() & x.try_cast("bigint").isNull()).alias(f"i{i}"))
-        aggs.append(F.count_if(x.isNotNull() & x.try_cast("double").isNull()).alias(f"d{i}"))
+        aggs.append(F.count_if(x.isNotNull() & ~x.rlike(_INT_RE)).alias(f"i{i}"))
+        aggs.append(F.count_if(x.isNotNull() & ~x.rlike(_NUM_RE)).alias(f"d{i}"))
         aggs.append(F.count(x).alias(f"n{i}"))
     stats = df.agg(*aggs).first()
     out = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`")
         if stats[f"n{i}"] and stats[f"i{i}"] == 0:
-            out.append(x.try_cast("bigint").alias(c))
+            out.append(F.trim(x).try_cast("bigint").alias(c))
         elif stats[f"n{i}"] and stats[f"d{i}"] == 0:
-            out.append(x.try_cast("double").alias(c))
+            out.append(F.trim(x).try_cast("double").alias(c))
         else:
             out.append(x)
     return df.select(*out, *[c for c in df.columns if c not in cols])
