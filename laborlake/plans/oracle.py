@@ -267,6 +267,11 @@ SELECT content_id, title, category, region, department, labor_hours,
        strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, event_type
 FROM raw_events""",
     "topic_dead_letters": "SELECT props AS value FROM events",
+    # the four datasets the inventory query writes, each with at least one file
+    "lake_inventory": """
+SELECT layer, dataset, has_files FROM (VALUES
+  ('bronze', 'content_events', true), ('silver', 'content_events_clean', true),
+  ('gold', 'department_summary', true), ('gold', 'category_summary', true)) t(layer, dataset, has_files)""",
     "stream_bronze_silver": _S + "SELECT * FROM silver_raw",
     "stream_silver_dedup": _X + "SELECT * FROM x1",
     "pipeline_department_summary": _S + _A3.format(
