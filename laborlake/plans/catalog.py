@@ -14,7 +14,7 @@ from laborlake.sinks.lake import Lake
 from laborlake.sinks.warehouse import with_log_id
 from laborlake.sources import files, pages, tables, topic
 from laborlake.streaming import ingest
-from laborlake.plans import monitor, pipeline
+from laborlake.plans import etl_run, monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -202,17 +202,17 @@ def stream_silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- pipeline and run metrics ------------------------------------------------------------------
 
-def pipeline_department_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_department_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events through bronze, validation, silver and gold; the gold frame read back."""
     lake = Lake(spark, fresh_path(spark, "lake"))
-    pipeline.run_pipeline(spark, tables.content_events_raw(spark, sf_dir), lake, strict=False)
+    etl_run.run_pipeline(spark, tables.content_events_raw(spark, sf_dir), lake, strict=False)
     return lake.read_layer("gold", "department_summary")
 
 
-def pipeline_run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1/M2: the run-event summary of one non-strict pipeline run (one row)."""
     lake = Lake(spark, fresh_path(spark, "lake"))
-    out = pipeline.run_pipeline(spark, tables.content_events_raw(spark, sf_dir), lake, strict=False)
+    out = etl_run.run_pipeline(spark, tables.content_events_raw(spark, sf_dir), lake, strict=False)
     events = spark.read.parquet(f"{lake.root}/ops/run_events").where(F.col("run_id") == out["run_id"])
     return monitor.run_summary(events).drop("run_id")
 
@@ -260,7 +260,7 @@ QUERIES: dict[str, Query] = {
     "topic_dead_letters": topic_dead_letters,
     "stream_bronze_silver": stream_bronze_silver,
     "stream_silver_dedup": stream_silver_dedup,
-    "pipeline_department_summary": pipeline_department_summary,
-    "pipeline_run_events": pipeline_run_events,
+    "run_department_summary": run_department_summary,
+    "run_event_counts": run_event_counts,
     "run_event_summary": run_event_summary,
 }

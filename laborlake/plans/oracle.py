@@ -274,9 +274,9 @@ SELECT layer, dataset, has_files FROM (VALUES
   ('gold', 'department_summary', true), ('gold', 'category_summary', true)) t(layer, dataset, has_files)""",
     "stream_bronze_silver": _S + "SELECT * FROM silver_raw",
     "stream_silver_dedup": _X + "SELECT * FROM x1",
-    "pipeline_department_summary": _S + _A3.format(
+    "run_department_summary": _S + _A3.format(
         src="(SELECT * FROM silver_raw WHERE labor_hours > 0 OR labor_hours IS NULL) accepted"),
-    "pipeline_run_events": """
+    "run_event_counts": """
 SELECT 'content_etl' AS pipeline, CAST(9 AS BIGINT) AS total_events, CAST(1 AS BIGINT) AS errors,
        CAST(2 AS BIGINT) AS warnings""",
     "run_event_summary": """

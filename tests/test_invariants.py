@@ -52,7 +52,7 @@ def test_preview_columns(spark):
 
 
 def test_pipeline_csv_export(spark, tmp_path):
-    from laborlake.plans.pipeline import run_pipeline
+    from laborlake.plans.etl_run import run_pipeline
     from laborlake.sinks.lake import Lake
     from laborlake.sources.files import ingest_folder
     root = f"/tmp/{tmp_path.name}-lake"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from laborlake.operators.silver import build_silver, transform_content_events
 from laborlake.plans.monitor import RunLog, run_summary
-from laborlake.plans.pipeline import SourceConfig, extract, run_pipeline
+from laborlake.plans.etl_run import SourceConfig, extract, run_pipeline
 from laborlake.operators.quality import ValidationError
 from laborlake.sinks.lake import Lake
 from laborlake.sinks.warehouse import create_tables, insert
