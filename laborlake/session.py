@@ -9,7 +9,6 @@ checkpoint dir, so both code paths read the same setting.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -66,11 +65,24 @@ def fresh_path(spark: SparkSession, *parts: str) -> str:
     return f"{base}/{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few helpers that touch local files (tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 
 
-def ensure_local_dir(path: str) -> str:
-    os.makedirs(local_path(path), exist_ok=True)
-    return path
+def plan_size_bytes(df) -> int:
+    """Catalyst's size estimate of a plan (file sizes of the scans, after pruning)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def size_shuffles_for(spark: SparkSession, input_bytes: int,
+                      target_bytes: int = TARGET_PARTITION_BYTES, floor: int = 8, ceiling: int = 200_000) -> int:
+    """Set shuffle partitions so each holds about ``target_bytes`` of input; AQE coalesces below that.
+
+    Also aligns scan splits and AQE's advisory size with the same target. Returns the count.
+    """
+    n = max(floor, min(ceiling, -(-input_bytes // target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    return n

@@ -37,3 +37,17 @@ def test_landed_pages_cover_every_record(spark):
     pages = land_pages(recs)
     assert pages.select(F.sum(F.size("results"))).first()[0] == recs.count()
     assert stop_page(pages).first().stop == pages.agg(F.max("page")).first()[0] + 1
+
+
+def test_shuffle_sizing_from_plan_estimate(spark):
+    from laborlake.session import plan_size_bytes, size_shuffles_for
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        size = plan_size_bytes(tables.table(spark, "/root/testdata/sf0.001", "lineitem"))
+        assert size > 0
+        assert size_shuffles_for(spark, 100 * 1024 ** 4) == 200_000      # 100 TiB: capped
+        assert size_shuffles_for(spark, 10 * 1024 ** 3) == 40            # 10 GiB / 256 MiB
+        assert size_shuffles_for(spark, size) == 8                       # tiny: floor
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
