@@ -28,6 +28,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -244,8 +245,6 @@ def is_leaking(docs: DataFrame, benchmark: DataFrame, **settings: float) -> Colu
 
 
 def _holds(docs: DataFrame, passages: Passages) -> Column:
-    import pandas as pd
-
     @F.pandas_udf("boolean")
     def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
