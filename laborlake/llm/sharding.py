@@ -8,8 +8,8 @@ found by binary search; the cuts of that capacity are n - 1 digests, so a docume
 shard is a comparison with n - 1 literals and no document moves for it.
 
 The driver holds sums of a fixed number of digest buckets, and of a bucket that a
-cut falls into, sums of its parts, level by level (16 bits of the digest at a time) down to
-single groups: each read is one aggregate with at most 65,536 rows, whatever the input.
+cut falls into and its neighbours, sums of their parts, level by level (16 bits of the digest at a time) down to
+single groups: each read is one aggregate with about 65,536 rows at most, whatever the input.
 
 Slots: rows stand in their shard by (bucket, salt, digest, doc_id), numbered by a
 window over each (bucket, salt) plus the count of the rows before it. The salt is a hash of
@@ -40,35 +40,53 @@ class _Places:
     def __init__(self, groups: DataFrame):
         self.groups = groups
         self.nodes: dict[str, tuple[list[int], list[str], list[int]]] = {}
-        self._open("")
+        self._read([""])
         self.total = self.nodes[""][0][-1] if self.nodes[""][0] else 0
 
-    def _open(self, prefix: str) -> tuple[list[int], list[str], list[int]]:
-        """Of a digest prefix: running ends of its children, their longer prefixes, their group counts."""
-        if prefix not in self.nodes:
-            child = F.substring("digest", 1, len(prefix) + LEVEL)
-            under = self.groups.where(F.startswith("digest", F.lit(prefix))) if prefix else self.groups
-            rows = under.groupBy(child.alias("child")).agg(
-                F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n"),
-                F.min("digest").alias("digest")).orderBy("child").collect()
-            ends, end = [], 0
-            for r in rows:
-                end += r["bytes"]
-                ends.append(end)
-            self.nodes[prefix] = (ends, [r["digest"] if r["n"] == 1 else r["child"] for r in rows], [r["n"] for r in rows])
-        return self.nodes[prefix]
+    def _read(self, prefixes: list[str]) -> None:
+        """Of neighbouring digest prefixes: running ends of their children, the children's prefixes, their group counts."""
+        size = len(prefixes[0])
+        under = self.groups.where(F.col("digest").between(prefixes[0], prefixes[-1] + "g")) if size else self.groups
+        rows = under.groupBy(F.substring("digest", 1, size + LEVEL).alias("child")).agg(
+            F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n"), F.min("digest").alias("digest")).collect()
+        for prefix in prefixes:
+            self.nodes[prefix] = ([], [], [])
+        for r in sorted(rows, key=lambda r: r["child"]):
+            ends, children, counts = self.nodes[r["child"][:size]]
+            ends.append((ends[-1] if ends else 0) + r["bytes"])
+            children.append(r["digest"] if r["n"] == 1 else r["child"])
+            counts.append(r["n"])
+
+    def _around(self, node: tuple[list[int], list[str], list[int]], at: int) -> list[str]:
+        """The child at ``at`` and its neighbours, as far as their own children are few enough for one read."""
+        _, children, counts = node
+        low = high = at
+        held = min(counts[at], 16 ** LEVEL)
+        while True:
+            before = held
+            for i in (low - 1, high + 1):
+                if 0 <= i < len(counts) and counts[i] > 1 and held + counts[i] <= 16 ** LEVEL:
+                    held += counts[i]
+                    low, high = min(low, i), max(high, i)
+                elif 0 <= i < len(counts) and counts[i] == 1:
+                    low, high = min(low, i), max(high, i)
+                    held += 1
+            if held == before or held > 16 ** LEVEL:
+                return [children[i] for i in range(low, high + 1) if counts[i] > 1]
 
     def cut(self, limit: int) -> tuple[int, str | None]:
         """The largest group end that is at most ``limit``, and the digest of the first group past it."""
         base, prefix = 0, ""
         while True:
-            ends, children, counts = self._open(prefix)
+            ends, children, counts = self.nodes[prefix]
             i = bisect_right(ends, limit - base)
             if i == len(ends):
                 return base + (ends[-1] if ends else 0), None
             start = base + (ends[i - 1] if i else 0)
             if counts[i] == 1:
                 return start, children[i]
+            if children[i] not in self.nodes:
+                self._read([c for c in self._around(self.nodes[prefix], i) if c not in self.nodes])
             base, prefix = start, children[i]
 
 
@@ -102,7 +120,9 @@ def minimax_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
     rows = staged(own_columns(docs, ["doc_id", "text"]).select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
         F.sha2(text, 256).alias("digest")), "sized")
-    groups = staged(rows.groupBy("digest").agg(F.sum("size").alias("bytes")), "groups")
+    groups = rows.groupBy("digest").agg(F.sum("size").alias("bytes"))
+    # By digest, so that reading the children of a few prefixes opens few row groups.
+    groups = staged(groups.repartitionByRange("digest").sortWithinPartitions("digest"), "groups")
     shard = F.lit(0)
     for digest in cuts(groups, shards):
         shard = shard + (F.col("digest") >= digest).cast("int")
