@@ -49,13 +49,15 @@ class _Places:
         under = self.groups.where(F.col("digest").between(prefixes[0], prefixes[-1] + "g")) if size else self.groups
         rows = under.groupBy(F.substring("digest", 1, size + LEVEL).alias("child")).agg(
             F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n"), F.min("digest").alias("digest")).collect()
-        for prefix in prefixes:
-            self.nodes[prefix] = ([], [], [])
+        found = {prefix: ([], [], []) for prefix in prefixes}
         for r in sorted(rows, key=lambda r: r["child"]):
-            ends, children, counts = self.nodes[r["child"][:size]]
+            if r["child"][:size] not in found:
+                continue  # between two of the prefixes: a single group, or read before
+            ends, children, counts = found[r["child"][:size]]
             ends.append((ends[-1] if ends else 0) + r["bytes"])
             children.append(r["digest"] if r["n"] == 1 else r["child"])
             counts.append(r["n"])
+        self.nodes |= found
 
     def _around(self, node: tuple[list[int], list[str], list[int]], at: int) -> list[str]:
         """The child at ``at`` and its neighbours, as far as their own children are few enough for one read."""
