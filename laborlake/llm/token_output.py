@@ -23,7 +23,6 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import tiktoken
 import zstandard
@@ -180,35 +179,27 @@ def write_shards(docs: DataFrame, ranks: dict[bytes, int], path: str, length: in
     # The text sink writes a string's bytes as they are: the shard, then one line end.
     files.select("shard", F.col("data").cast("string").alias("value")).write.partitionBy("shard").text(path)
 
-    @F.pandas_udf("long")
-    def slot(part: pd.Series, k: pd.Series, at: pd.Series) -> pd.Series:
-        first = part.map(begin.value).to_numpy(np.int64)
-        return pd.Series(slots(first + k.to_numpy(np.int64) + at.to_numpy(np.int64), n, key))
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, k, size, n_tokens, ids in zip(*[batch.column(c) for c in ("part", "k", "n", "n_tokens", "doc_ids")], strict=True):
+                slot = slots(begin.value[part.as_py()] + k.as_py() + np.arange(size.as_py()), n, key)
+                yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), n_tokens.values, ids.values], ["slot", "n_tokens", "doc_ids"])
 
-    each = blocks.select("part", "k", F.posexplode(F.arrays_zip("n_tokens", "doc_ids")).alias("at", "s"))
-    return each.select(slot("part", "k", F.col("at").cast("long")).alias("slot"), F.col("s.n_tokens").alias("n_tokens"),
-                       F.col("s.doc_ids").alias("doc_ids"))
+    return blocks.select("part", "k", "n", "n_tokens", "doc_ids").mapInArrow(listed, "slot long, n_tokens int, doc_ids array<bigint>")
 
 
 def read_records(spark: SparkSession, path: str, length: int = LENGTH, per_shard: int = PER_SHARD, width: int = 2,
                  from_slot: int = 0) -> DataFrame:
     """(slot, shard, byte_offset, record) of the written shards, from a slot on; files before it are not opened."""
     stride = width * length
-    files = (spark.read.format("binaryFile").option("basePath", path).load(path)
-             .where(F.col("shard") >= from_slot // per_shard).select(F.col("shard").cast("int").alias("shard"), "content"))
-
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                skip = max(0, from_slot - shard * per_shard)
-                places = range(skip, len(content) // stride)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard * per_shard + i for i in places], pa.int64()), pa.array([shard] * len(places), pa.int32()),
-                     pa.array([i * stride for i in places], pa.int64()),
-                     pa.array([content[i * stride:(i + 1) * stride] for i in places], pa.binary())],
-                    ["slot", "shard", "byte_offset", "record"])
-
-    return files.mapInArrow(records, "slot long, shard int, byte_offset long, record binary")
+    files = spark.read.format("binaryFile").option("basePath", path).load(path).where(F.col("shard") >= from_slot // per_shard)
+    shard, at = F.col("shard").cast("int"), F.col("place")
+    slot = (F.col("shard").cast("long") * per_shard + at).cast("long")
+    places = F.sequence(F.lit(0), (F.length("content") / stride).cast("int") - 1)
+    return (files.select("shard", "content", F.explode(places).alias("place"))
+            .select(slot.alias("slot"), shard.alias("shard"), (at.cast("long") * stride).alias("byte_offset"),
+                    F.substring("content", at * stride + 1, F.lit(stride)).alias("record"))
+            .where(F.col("slot") >= from_slot))
 
 
 def query(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
