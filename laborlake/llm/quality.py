@@ -122,12 +122,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000, rank: int = 32,
 
     rows = texts.mapInPandas(sparse, "doc_id long, label int, at binary, counts binary").collect()
     rows = sorted({r["doc_id"]: r for r in rows}.values(), key=lambda r: r["doc_id"])
-    counts = np.zeros((len(rows), TERMS), np.float32)
+    weighted = np.zeros((len(rows), TERMS), np.float32)  # filled, weighted and scaled in place: the driver holds one such array
+    seen = np.zeros(TERMS, np.int64)
     for i, r in enumerate(rows):
-        counts[i, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["counts"], np.float32)
-    seen = (counts > 0).sum(0)
+        at = np.frombuffer(r["at"], np.uint16)
+        weighted[i, at] = np.log1p(np.frombuffer(r["counts"], np.float32))
+        seen[at] += 1
     idf = np.where(seen > 0, np.log((1 + len(rows)) / (1 + seen)) + 0.3, 0).astype(np.float32)
-    weighted = _unit(np.log1p(counts) * idf)
+    for row in weighted:
+        row *= idf
+        row /= max(float(np.linalg.norm(row)), 1e-6)
     # Right singular vectors through the sample's Gram matrix (sample x sample).
     values, left = np.linalg.eigh(weighted @ weighted.T) if len(rows) else (np.zeros(0), np.zeros((0, 0)))
     values, left = values[::-1][:rank], left[:, ::-1][:, :rank]
