@@ -99,6 +99,16 @@ class Model:
         return np.clip(out, 0.0, 1.0)
 
 
+def singular_axes(rows: np.ndarray, rank: int, rounds: int = 12) -> np.ndarray:
+    """The leading right singular vectors by subspace iteration, with some vectors to spare, from a fixed start."""
+    spare = min(rank + 16, *rows.shape)
+    span = np.random.default_rng(0).standard_normal((rows.shape[1], spare)).astype(np.float32)
+    for _ in range(rounds):
+        span = np.linalg.qr(rows.T @ (rows @ span))[0]
+    _, _, right = np.linalg.svd(rows @ span, full_matrices=False)
+    return (span @ right.T[:, :rank]).astype(np.float32)
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
 
@@ -132,10 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000, rank: int = 32,
     for row in weighted:
         row *= idf
         row /= max(float(np.linalg.norm(row)), 1e-6)
-    # Right singular vectors through the sample's Gram matrix (sample x sample).
-    values, left = np.linalg.eigh(weighted @ weighted.T) if len(rows) else (np.zeros(0), np.zeros((0, 0)))
-    values, left = values[::-1][:rank], left[:, ::-1][:, :rank]
-    axes = (weighted.T @ (left / np.sqrt(np.maximum(values, 1e-6)))).astype(np.float32)
+    axes = singular_axes(weighted, min(rank, len(rows)))
     return Model(idf, axes, _unit(weighted @ axes), np.array([r["label"] for r in rows], np.int64), neighbours, sharpness)
 
 
