@@ -21,6 +21,7 @@ margins, those of the last round stay. Only ``doc_id``, ``text``, ``lang`` and `
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -130,12 +131,10 @@ def mix(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TA
 
 def keep_sampled(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET) -> DataFrame:
     """The sampled rows of ``docs``, with all their columns."""
-    cells = probabilities(profiled(docs), targets, budget)
-    cells = cells.toDF(*[f"_cell_{c}" for c in cells.columns])
-    same = [own == F.col(f"_cell_{m}") for m, own in zip(MARGINS, [F.coalesce(docs["source"], F.lit(NONE)),
-            F.coalesce(docs["lang"], F.lit(NONE)), topic(docs["text"])], strict=True)]
-    met = docs.join(F.broadcast(cells), same[0] & same[1] & same[2])
-    return met.where(draw(docs) < F.col("_cell_probability")).drop(*cells.columns)
+    cells = probabilities(profiled(docs), targets, budget).select(*MARGINS, "probability")  # at most MAX_CELLS rows
+    mine = cell_columns(docs)
+    same = reduce(Column.__and__, [own == cells[m] for own, m in zip(mine, MARGINS, strict=True)])
+    return docs.join(F.broadcast(cells), same & (draw(docs) < cells["probability"]), "left_semi")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -142,29 +142,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000, rank: int = 32,
     for row in weighted:
         row *= idf
         row /= max(float(np.linalg.norm(row)), 1e-6)
-    axes = singular_axes(weighted, min(rank, len(rows)))
+    axes = singular_axes(weighted, min(rank, len(rows))) if rows else np.zeros((TERMS, 0), np.float32)
     return Model(idf, axes, _unit(weighted @ axes), np.array([r["label"] for r in rows], np.int64), neighbours, sharpness)
 
 
-def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """``docs`` with the score of each row's ``text`` as one more column."""
+def score(text: Column, model: Model) -> Column:
     @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(model.scores(texts.tolist()))
 
-    return docs.withColumn(name, score(docs["text"]))
+    return scores(text)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that are not rejected."""
-    name = "_quality_score"
-    return scored(docs, fit(docs, labels), name).where(F.col(name) >= threshold).drop(name)
+    return docs.where(score(docs["text"], fit(docs, labels)) >= threshold)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = own_columns(read(spark, sf_dir, "documents"), ["doc_id", "text"])
     model = fit(docs, read(spark, sf_dir, "labels"))
-    return scored(docs, model).select(
+    return docs.withColumn("score", score(docs["text"], model)).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

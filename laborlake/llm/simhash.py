@@ -168,8 +168,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2, list_siz
 def keep_first(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
     """``docs`` without the documents that are not the smallest doc_id of their component."""
     found = near_duplicates(docs, width, distance)
-    dropped = found.where("doc_id != component_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(staged(dropped, "dropped"), docs["doc_id"] == F.col("_dropped"), "left_anti")
+    dropped = staged(found.where("doc_id != component_id").select(F.col("doc_id").alias("dropped_id")).distinct(), "dropped")
+    return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

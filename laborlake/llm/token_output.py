@@ -42,7 +42,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 LENGTH = 1024
 PER_SHARD = 8192
 BLOCK = 512  # sequences staged as one row
-GATHER = 16_384  # sequences that a task gathers per shard before it sends them on
+GATHER = 8192  # sequences that a task gathers per shard before it sends them on
 KEY = 0x5EED0F0A7E57
 LEVEL = 9
 

@@ -1,0 +1,54 @@
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from laborlake.llm import quality
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    scored = quality.query(spark, sf)
+    assert scored.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+    rows = scored.join(labels, "doc_id").where("held_out").collect()
+    good = [r for r in rows if r["quality"] == 1]
+    bad = [r for r in rows if r["quality"] == 0]
+    assert sum(r["predicted"] for r in good) / len(good) > 0.98
+    assert sum(1 - r["predicted"] for r in bad) / len(bad) > 0.9
+    scores = np.array([r["score"] for r in rows])
+    assert scores.min() >= 0 and scores.max() <= 1
+
+
+def test_votes_by_hand(documents, spark):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = quality.fit(documents, labels, neighbours=5)
+    text = documents.first()["text"]
+    point = np.log1p(quality.term_counts(text)) * model.idf @ model.axes
+    cosines = model.vectors @ (point / np.linalg.norm(point))
+    near = np.argsort(-cosines)[:5]
+    share = model.labels.mean()
+    votes = np.maximum(cosines[near], 0) ** 4 * np.where(model.labels[near] == 1, 1, share / (1 - share))
+    assert abs(model.scores([text])[0] - (votes * model.labels[near]).sum() / votes.sum()) < 1e-4
+
+
+def test_only_training_labels_count(documents, spark):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    held = quality.held_out(F.col("doc_id"))
+    turned = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    texts = [r["text"] for r in documents.limit(20).collect()]
+    assert (quality.fit(documents, labels).scores(texts) == quality.fit(documents, turned).scores(texts)).all()
+    ids = [r["doc_id"] for r in documents.where(held).collect()]
+    assert ids and all(zlib.crc32(str(i).encode()) % 5 == 0 for i in ids)
+
+
+def test_odd_rows(odd, empty, spark):
+    labels = spark.createDataFrame([(1, 1), (1, None), (6, 0), (6, 0), (9, 7), (None, 1), (99, 1), (7, 1)], "doc_id long, quality int")
+    model = quality.fit(odd, labels)
+    scores = model.scores([None, "", "ab", "One fine day, the text began.", "x" * 300_000])
+    assert ((scores >= 0) & (scores <= 1)).all() and scores[0] == scores[1]
+    none = quality.fit(odd, labels.limit(0))
+    assert none.scores([None, "text"]).tolist() == [0.5, 0.5]
+    kept = quality.keep_good(odd, labels)
+    assert kept.columns == odd.columns and quality.keep_good(empty, labels).count() == 0
+    assert quality.fit(empty, labels).scores(["a text"]).tolist() == [0.5]
