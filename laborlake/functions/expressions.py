@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from laborlake.schemas import HIGH_THRESHOLD, MEDIUM_THRESHOLD, PIPELINE_LAYER, PIPELINE_VERSION, WHITESPACE
+from laborlake.schemas import (
+    CONTENT_SCHEMA, HIGH_THRESHOLD, HOURS_TEXT, MEDIUM_THRESHOLD, PIPELINE_LAYER, PIPELINE_VERSION, WHITESPACE,
+)
 
 
 def col_of(c: str | Column) -> Column:
@@ -93,3 +95,29 @@ def iso_week(c: str | Column) -> Column:
     # ISO year = year of the Thursday in the same ISO week.
     thursday = F.date_add(d, 3 - ((F.dayofweek(d) + 5) % 7))
     return F.format_string("%d-W%02d", F.year(thursday), F.weekofyear(d))
+
+
+def conform_content(df: DataFrame) -> DataFrame:
+    """Content columns (by normalized name) with their fixed types; all other columns as they are.
+
+    ``labor_hours`` becomes INT where it is a whole number. Any other non-null value is kept as text
+    in ``labor_hours_text``, for the table rules; it is never cut or dropped.
+    """
+    fixed = {f.name: f.dataType for f in CONTENT_SCHEMA.fields}
+    out: list[Column] = []
+    spare = None
+    for c in df.columns:
+        name = normalize_name(c)
+        x = F.col(f"`{c}`")
+        if name == "labor_hours":
+            number = strip_ws(x.cast("string")).try_cast("double")
+            whole = (number == F.floor(number)) & (F.abs(number) < 2 ** 31)
+            out.append(F.when(whole, number.cast("int")).alias(c))
+            spare = F.when(x.isNotNull() & ~F.coalesce(whole, F.lit(False)), x.cast("string")).alias(HOURS_TEXT)
+        elif name in fixed:
+            out.append(x.cast(fixed[name]).alias(c))
+        elif name != HOURS_TEXT:
+            out.append(x)
+    if spare is not None and HOURS_TEXT in df.columns:  # conformed before
+        spare = F.coalesce(F.col(HOURS_TEXT), spare).alias(HOURS_TEXT)
+    return df.select(*out, *([spare] if spare is not None else []))

@@ -43,8 +43,3 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
     pick, packed = first_row_agg(df, keys, order)
     grouped = df.groupBy(*[F.col(_q(k)) for k in keys]).agg(pick)
     return unpack_first(grouped, keys, packed, df.columns)
-
-
-def duplicate_count_expr(n: str = "n"):
-    """Given per-key row counts ``n``, the rows beyond the first of each key."""
-    return F.sum(F.col(n) - 1)

@@ -2,7 +2,7 @@
 
 ``validation_report`` returns a one-row DataFrame:
   total_rows BIGINT, null_counts MAP<STRING,BIGINT>, missing_columns ARRAY<STRING>,
-  duplicate_count BIGINT, invalid_labor BIGINT, passed BOOLEAN, warnings ARRAY<STRING>
+  duplicate_count BIGINT, invalid_labor BIGINT, unparsed_hours BIGINT, passed BOOLEAN, warnings ARRAY<STRING>
 
 Rules (the reference's order): missing required columns fail and stop the other
 checks; nulls in content_id/department fail; duplicates and labor_hours <= 0 only
@@ -13,12 +13,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from laborlake.functions.expressions import is_invalid_hours
-from laborlake.schemas import CRITICAL_COLUMNS, DUPLICATE_WARNING, INVALID_LABOR_WARNING, LABOR_FLAGS, REQUIRED_COLUMNS
+from laborlake.schemas import (
+    CRITICAL_COLUMNS, DUPLICATE_WARNING, HOURS_TEXT, INVALID_LABOR_WARNING, LABOR_FLAGS, REQUIRED_COLUMNS,
+    UNPARSED_HOURS_WARNING,
+)
 
 
 class ValidationError(ValueError):
@@ -29,12 +32,14 @@ def _null_col(c: str) -> str:
     return f"null_{c}"
 
 
-def per_key_counters(required: Sequence[str] = REQUIRED_COLUMNS) -> list[Column]:
-    """Aggregate expressions of one key group: rows, nulls per required column, invalid hours."""
+def per_key_counters(required: Sequence[str] = REQUIRED_COLUMNS, columns: Sequence[str] = ()) -> list[Column]:
+    """Aggregate expressions of one key group: rows, nulls per required column, invalid and unparsed hours."""
+    unparsed = F.count(HOURS_TEXT) if HOURS_TEXT in columns else F.sum(F.lit(0).cast("long"))
     return [
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(F.col(c).isNull()).alias(_null_col(c)) for c in required],
         F.count_if(is_invalid_hours("labor_hours")).alias("bad"),
+        unparsed.alias("unparsed"),
     ]
 
 
@@ -45,7 +50,7 @@ def validation_counts(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS,
     Stage 1 groups by the key with map-side partial aggregation (a hot key
     costs one row per map task), stage 2 is a global sum over the key groups.
     """
-    return totals_from_per_key(df.groupBy(F.col(key)).agg(*per_key_counters(required)), required)
+    return totals_from_per_key(df.groupBy(F.col(key)).agg(*per_key_counters(required, df.columns)), required)
 
 
 def totals_from_per_key(per_key: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
@@ -54,6 +59,7 @@ def totals_from_per_key(per_key: DataFrame, required: Sequence[str] = REQUIRED_C
         F.coalesce(F.sum("n"), F.lit(0)).cast(T.LongType()).alias("total_rows"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast(T.LongType()).alias("duplicate_count"),
         F.coalesce(F.sum("bad"), F.lit(0)).cast(T.LongType()).alias("invalid_labor"),
+        F.coalesce(F.sum("unparsed"), F.lit(0)).cast(T.LongType()).alias("unparsed_hours"),
         *[F.coalesce(F.sum(_null_col(c)), F.lit(0)).cast(T.LongType()).alias(_null_col(c)) for c in required],
     )
 
@@ -65,6 +71,8 @@ def _report_from_counts(counts: DataFrame, required: Sequence[str]) -> DataFrame
                F.replace(F.lit(DUPLICATE_WARNING), F.lit("{n}"), F.col("duplicate_count").cast("string"))),
         F.when(F.col("invalid_labor") > 0,
                F.replace(F.lit(INVALID_LABOR_WARNING), F.lit("{n}"), F.col("invalid_labor").cast("string"))),
+        F.when(F.col("unparsed_hours") > 0,
+               F.replace(F.lit(UNPARSED_HOURS_WARNING), F.lit("{n}"), F.col("unparsed_hours").cast("string"))),
     ), lambda w: w.isNotNull())
     null_map = F.create_map(*[x for c in required for x in (F.lit(c), F.col(_null_col(c)))])
     return counts.select(
@@ -73,6 +81,7 @@ def _report_from_counts(counts: DataFrame, required: Sequence[str]) -> DataFrame
         F.array().cast(T.ArrayType(T.StringType())).alias("missing_columns"),
         "duplicate_count",
         "invalid_labor",
+        "unparsed_hours",
         (critical == 0).alias("passed"),
         warnings.alias("warnings"),
     )
@@ -94,6 +103,7 @@ def validation_report(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS)
             F.array(*[F.lit(c) for c in missing]).alias("missing_columns"),
             F.lit(0).cast(T.LongType()).alias("duplicate_count"),
             F.lit(0).cast(T.LongType()).alias("invalid_labor"),
+            F.lit(0).cast(T.LongType()).alias("unparsed_hours"),
             F.lit(False).alias("passed"),
             F.array().cast(T.ArrayType(T.StringType())).alias("warnings"),
         )
@@ -146,6 +156,17 @@ def content_rules() -> list[tuple[str, Column]]:
     ] + _length_rules(CONTENT_LENGTHS)
 
 
+def hours_type_rule() -> tuple[str, Column]:
+    """For frames that carry ``labor_hours_text`` (see ``conform_content``)."""
+    return "labor_hours_type", F.col(HOURS_TEXT).isNotNull()
+
+
+def bronze_rules() -> list[tuple[str, Column]]:
+    """bronze.content_events_raw: the key is NOT NULL, and the lengths of its VARCHAR columns."""
+    lengths = {c: CONTENT_LENGTHS[c] for c in ("content_id", "title", "category", "region", "department", "event_type")}
+    return [("content_id_not_null", F.col("content_id").isNull())] + _length_rules(lengths)
+
+
 def labor_log_rules() -> list[tuple[str, Column]]:
     return [
         ("employee_id_not_null", F.col("employee_id").isNull()),
@@ -157,18 +178,17 @@ def apply_rules(df: DataFrame, rules: list[tuple[str, Column]], key: str | None
     """Tag each row with ``violations ARRAY<STRING>`` (empty = accepted).
 
     With ``key`` the primary-key rule is enforced too: every row of a key that
-    occurs more than once is a violation (``primary_key_unique``). The repeated
-    keys come from a partially aggregated count per key (a hot key costs one
-    row per map task) and are joined back by key; AQE splits a skewed side.
+    occurs more than once is a violation (``primary_key_unique``), counted by a window
+    over the key, with no second pass over ``df``. Both callers' keys are unique before
+    the rule (one row per raw key; hash and ordinal of a log record), so only
+    a few rows share a key here and none is hot.
     """
     tags = [F.when(pred, F.lit(name)) for name, pred in rules]
     if key is not None:
-        repeated = (df.where(F.col(key).isNotNull()).groupBy(key).count()
-                    .where(F.col("count") > 1).select(F.col(key).alias("_rk"), F.lit(True).alias("_rep")))
-        df = df.join(repeated, df[key] == repeated["_rk"], "left").drop("_rk")
-        tags.append(F.when(F.col("_rep"), F.lit("primary_key_unique")))
-    out = df.withColumn("violations", F.filter(F.array(*tags), lambda t: t.isNotNull()))
-    return out.drop("_rep") if key is not None else out
+        same = F.count(F.lit(1)).over(Window.partitionBy(key))
+        df = df.withColumn("_same_key", same)
+        tags.append(F.when(F.col(key).isNotNull() & (F.col("_same_key") > 1), F.lit("primary_key_unique")))
+    return df.withColumn("violations", F.filter(F.array(*tags), lambda t: t.isNotNull())).drop("_same_key")
 
 
 def split_by_rules(df: DataFrame, rules: list[tuple[str, Column]],

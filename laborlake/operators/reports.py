@@ -82,13 +82,3 @@ def hours_variance(silver: DataFrame, labor_logs: DataFrame) -> DataFrame:
 def silver_preview(silver: DataFrame) -> DataFrame:
     """The processed-records projection shown after a run."""
     return silver.select("content_id", "title", "category", "department", "labor_hours", "labor_flag", "region")
-
-
-REPORTS = {
-    "report_labor_by_department": labor_by_department,
-    "report_category_region_volume": category_region_volume,
-    "report_labor_flag_distribution": labor_flag_distribution,
-    "report_monthly_throughput": monthly_throughput,
-    "report_top_effort": top_effort,
-    "report_above_avg_departments": above_average_departments,
-}

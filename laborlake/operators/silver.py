@@ -18,32 +18,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laborlake.functions.expressions import (
-    labor_flag, normalize_columns, parse_event_time, silver_metadata, strip_string_columns, strip_ws,
+    conform_content, labor_flag, normalize_columns, parse_event_time, silver_metadata, strip_string_columns, strip_ws,
     upper_strip,
 )
 from laborlake.operators.dedup import first_row_agg, keep_first, unpack_first
 from laborlake.operators.quality import ValidationError, failure_reason, per_key_counters, validate
-from laborlake.schemas import CRITICAL_COLUMNS, PIPELINE_LAYER, REQUIRED_COLUMNS, SILVER_COLUMNS
+from laborlake.schemas import CRITICAL_COLUMNS, HOURS_TEXT, PIPELINE_LAYER, REQUIRED_COLUMNS, SILVER_COLUMNS
 
 # Columns that carry arrival order, if the source has them (topic partition/offset, file/position).
-INGEST_ORDER = ["ingest_seq", "arrived_at", "arrival_part", "arrival_pos"]
+INGEST_ORDER = ["ingest_seq", "arrival_part", "arrival_block", "arrival_pos"]
 
 
 def _order_cols(df: DataFrame, order: Sequence[str] | None) -> list[str]:
     return [c for c in (INGEST_ORDER if order is None else order) if c in df.columns]
 
 
+def _derived(c: Sequence[str]) -> dict[str, Column]:
+    """The silver columns that are computed from a raw event's columns, by name."""
+    time = "timestamp" if "timestamp" in c else None
+    given = F.col("event_timestamp") if "event_timestamp" in c else F.lit(None).cast("timestamp")
+    return {
+        "category": upper_strip("category"),
+        "region": upper_strip("region"),
+        "department": strip_ws("department"),
+        "title": strip_ws("title"),
+        "event_timestamp": parse_event_time(time) if time else given,
+        "labor_flag": labor_flag("labor_hours"),
+    }
+
+
 def event_columns(df: DataFrame) -> DataFrame:
-    """The stateless part of X1 (shared by the batch and the streaming silver)."""
-    return (df
-            .withColumn("event_timestamp", parse_event_time("timestamp"))
-            .withColumn("category", upper_strip("category"))
-            .withColumn("region", upper_strip("region"))
-            .withColumn("department", strip_ws("department"))
-            .withColumn("title", strip_ws("title"))
-            .withColumn("labor_flag", labor_flag("labor_hours"))
-            .withColumn("pipeline_layer", F.lit(PIPELINE_LAYER))
-            .drop("timestamp"))
+    """The stateless part of X1 (shared by the batch and the streaming silver), as one projection."""
+    made = _derived(df.columns)
+    kept = [made.pop(c).alias(c) if c in made else F.col(c) for c in df.columns if c != "timestamp"]
+    return df.select(*kept, *[x.alias(n) for n, x in made.items()], F.lit(PIPELINE_LAYER).alias("pipeline_layer"))
 
 
 def transform_content_events(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
@@ -68,9 +76,9 @@ def group_raw(raw: DataFrame, order: Sequence[str] | None = None,
     raw rows once (partially aggregated) instead of twice. Returns the grouped
     frame, the packed column order and the (normalized) raw column names.
     """
-    df = normalize_columns(raw)
+    df = conform_content(normalize_columns(raw))
     pick, packed = first_row_agg(df, ["content_id"], _order_cols(df, order))
-    grouped = df.groupBy("content_id").agg(*per_key_counters(required), pick)
+    grouped = df.groupBy("content_id").agg(*per_key_counters(required, df.columns), pick)
     return grouped, packed, df.columns
 
 
@@ -83,31 +91,34 @@ def silver_from_grouped(grouped: DataFrame, packed: Sequence[str], columns: Sequ
 
 def build_silver(raw: DataFrame, processed_at: Column | None = None,
                  order: Sequence[str] | None = None) -> DataFrame:
-    """Canonical silver from a raw event frame, without the validation gate."""
-    return _project_silver(clean(raw, order), processed_at)
+    """Canonical silver from a raw event frame, without the validation gate.
+
+    Hours that are no whole number are null here; a run quarantines such rows (rule ``labor_hours_type``).
+    """
+    return _project_silver(clean(conform_content(normalize_columns(raw)), order), processed_at).drop(HOURS_TEXT)
 
 
 def _project_silver(c: DataFrame, processed_at: Column | None) -> DataFrame:
-    ts = parse_event_time("timestamp") if "timestamp" in c.columns else (
-        F.col("event_timestamp") if "event_timestamp" in c.columns else F.lit(None).cast("timestamp"))
-    out = c.select(
-        F.col("content_id"),
-        F.col("title"),
-        F.upper("category").alias("category"),
-        F.upper("region").alias("region"),
-        F.col("department"),
-        F.col("labor_hours").cast("int").alias("labor_hours"),
-        labor_flag("labor_hours").alias("labor_flag"),
-        (F.col("event_type") if "event_type" in c.columns else F.lit(None).cast("string")).alias("event_type"),
-        ts.alias("event_timestamp"),
-        *silver_metadata(processed_at),
-    )
-    return out.select(*SILVER_COLUMNS)
+    """The 12 silver columns, and the text of hours that are no whole number if the frame has it."""
+    given = {n: F.col(n) for n in ("content_id", "labor_hours", "event_type") if n in c.columns}
+    all_of = {"event_type": F.lit(None).cast("string"), **given, **_derived(c.columns)}
+    made = [all_of[n].alias(n) for n in SILVER_COLUMNS if n in all_of]
+    text = [HOURS_TEXT] if HOURS_TEXT in c.columns else []
+    return c.select(*made, *silver_metadata(processed_at), *text)
+
+
+def bronze_table_rows(raw: DataFrame) -> DataFrame:
+    """A run's bronze rows in the columns of bronze.content_events_raw."""
+    time = parse_event_time("timestamp") if "timestamp" in raw.columns else F.lit(None).cast("timestamp")
+    names = ["content_id", "title", "category", "region", "department", "labor_hours", "event_type"]
+    own = [F.col(n) if n in raw.columns else F.lit(None).cast("string").alias(n) for n in names]
+    return raw.select(*own, time.alias("event_timestamp"), "source_system", "ingested_at")
 
 
 def transform(raw: DataFrame, processed_at: Column | None = None,
               required: Sequence[str] = REQUIRED_COLUMNS) -> tuple[DataFrame, dict]:
     """Validate (one aggregate job) -> raise on failure -> silver plan."""
+    raw = conform_content(raw)
     passed, report = validate(raw, required)
     if not passed:
         raise ValidationError(failure_reason(report))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlake.operators import gold, quality, reports, reports_sql, silver
-from laborlake.schemas import REQUIRED_COLUMNS
+from laborlake.operators import gold, quality, reports, silver
+from laborlake.schemas import HOURS_TEXT, REQUIRED_COLUMNS
 from laborlake.session import fresh_path
-from laborlake.sinks.lake import Lake
-from laborlake.sinks.warehouse import with_log_id
+from laborlake.sinks.lake import Lake, write_csv
+from laborlake.sinks.warehouse import create_tables, insert, with_log_id
 from laborlake.sources import files, pages, tables, topic
 from laborlake.streaming import ingest
 from laborlake.plans import etl_run, monitor
@@ -85,13 +86,29 @@ def gold_category_summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.category_summary_table(_silver(spark, sf_dir)).drop("summary_date")
 
 
-def _sql_report(name: str) -> Query:
+def _warehouse(spark: SparkSession) -> str:
+    """The five tables in databases of their own; their prefix."""
+    prefix = f"q{uuid.uuid4().hex[:12]}_"
+    create_tables(spark, fresh_path(spark, "warehouse"), prefix)
+    return prefix
+
+
+def _table_report(fn) -> Query:
+    """A report over silver.content_events_clean, loaded from the driver tables."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        labor = tables.labor_records(spark, sf_dir) if name == "hours_variance" else None
-        return reports_sql.run_report(spark, name, _silver(spark, sf_dir), labor)
+        prefix = _warehouse(spark)
+        insert(spark, f"{prefix}silver.content_events_clean", _silver(spark, sf_dir))
+        return fn(spark.table(f"{prefix}silver.content_events_clean"))
     return q
 
 
+def sql_report_hours_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prefix = _warehouse(spark)
+    insert(spark, f"{prefix}silver.content_events_clean", _silver(spark, sf_dir))
+    insert(spark, f"{prefix}silver.labor_logs", with_log_id(tables.labor_records(spark, sf_dir)))
+    return reports.hours_variance(spark.table(f"{prefix}silver.content_events_clean"), spark.table(f"{prefix}silver.labor_logs"))
+
+
 # ---- sources ---------------------------------------------------------------------------------
 
 LEGACY_A = ["content_id", "title", "category", "department", "labor_hours", "region"]
@@ -107,12 +124,52 @@ def csv_folder_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
      .write.option("header", True).csv(folder))
     (ce.where(~finished).withColumn("release_year", F.year("event_timestamp")).select(*LEGACY_B)
      .write.mode("append").option("header", True).csv(folder))
-    return files.ingest_folder(spark, folder).drop("source_file")
+    return files.ingest_folder(spark, folder).drop("source_file", HOURS_TEXT)
+
+
+def _landed_lines(spark: SparkSession, lines: DataFrame, header: str, parts: int = 8) -> str:
+    """Raw text lines (``key``, ``value``) as files that begin with ``header`` each."""
+    folder = fresh_path(spark, "landing", "lines")
+    part = F.pmod(F.col("key"), F.lit(parts)).cast("int")
+    heads = spark.range(parts).select(F.col("id").cast("int").alias("part"), F.lit(-1).cast("long").alias("key"), F.lit(header).alias("value"))
+    rows = lines.select(part.alias("part"), "key", "value").unionByName(heads)
+    rows.repartitionById(parts, F.col("part")).sortWithinPartitions("key").select("value").write.text(folder)
+    return folder
+
+
+def csv_quoted_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Doubled quotes, separators and line ends inside quotes."""
+    o = tables.table(spark, sf_dir, "orders")
+    note = F.when(F.col("o_orderkey") % 3 == 0, F.format_string('"line one\nline %d"', "o_orderkey")).otherwise(F.col("o_orderstatus"))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), F.format_string('"He said ""%s"", ok"', "o_orderpriority"), note)
+    folder = _landed_lines(spark, o.select(F.col("o_orderkey").alias("key"), line.alias("value")), "id,said,note")
+    return files.read_csv(spark, folder, glob="*.txt").select("id", "said", "note")
 
 
-def _landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def csv_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long rows and rows with a blank extra field go, short rows are padded, a quoted line end is data."""
+    key = F.col("o_orderkey")
+    k, kind = key.cast("string"), key % 5
+    line = (F.when(kind == 0, F.concat(k, F.lit(",a,b,EXTRA"))).when(kind == 1, F.concat(k, F.lit(",a")))
+            .when(kind == 2, F.concat(k, F.lit(",a,b,"))).when(kind == 3, F.concat(k, F.lit(',"a\na",b')))
+            .otherwise(F.concat(k, F.lit(",a,b"))))
+    lines = tables.table(spark, sf_dir, "orders").select(key.alias("key"), line.alias("value"))
+    return files.read_csv(spark, _landed_lines(spark, lines, "id,x,y"), glob="*.txt").select("id", "x", "y")
+
+
+EXPORTED = ["content_id", "title", "category", "region", "department", "labor_hours", "labor_flag"]
+
+
+def csv_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + S5: silver with quotes, separators and line ends in its titles, exported and read back."""
+    odd = F.concat(F.lit('He said "'), F.col("title"), F.when(F.col("event_type") == "F", F.lit('",\nok')).otherwise(F.lit('", ok')))
+    path = write_csv(_silver(spark, sf_dir).withColumn("title", odd).select(*EXPORTED), fresh_path(spark, "export"))
+    return files.ingest_folder(spark, path).select(*EXPORTED)
+
+
+def _landed_pages(spark: SparkSession, sf_dir: str, change: Callable[[DataFrame], DataFrame] = lambda p: p) -> DataFrame:
     path = fresh_path(spark, "landing", "pages")
-    pages.land_pages(tables.labor_records(spark, sf_dir)).write.json(path)
+    change(pages.land_pages(tables.labor_records(spark, sf_dir, order=True), ["l_orderkey", "l_linenumber"])).write.json(path)
     return pages.read_landed_pages(spark, path)
 
 
@@ -121,13 +178,51 @@ def api_pages_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.flatten_pages(_landed_pages(spark, sf_dir))
 
 
+STOP = 40  # the page that a stop rule meets in the next three queries
+
+
+def pages_stop_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page without results, in the middle."""
+    void = F.when(F.col("page") == STOP, F.slice("results", 1, 0)).otherwise(F.col("results"))
+    return pages.flatten_pages(_landed_pages(spark, sf_dir, lambda p: p.withColumn("results", void)))
+
+
+def pages_stop_falsy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page whose ``next`` is the empty text."""
+    void = F.when(F.col("page") == STOP - 1, F.lit("")).otherwise(F.col("next"))
+    return pages.flatten_pages(_landed_pages(spark, sf_dir, lambda p: p.withColumn("next", void)))
+
+
+def pages_stop_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page that did not land."""
+    return pages.flatten_pages(_landed_pages(spark, sf_dir, lambda p: p.where(F.col("page") != STOP)))
+
+
 def labor_logs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 + K8: records -> silver.labor_logs rows accepted by the table rules (key excluded)."""
     recs = pages.records_to_frame(pages.flatten_pages(_landed_pages(spark, sf_dir)))
-    ok, _ = quality.split_by_rules(with_log_id(recs), quality.labor_log_rules())
+    ok, _ = quality.split_by_rules(with_log_id(recs), quality.labor_log_rules(), key="log_id")
     return ok.drop("log_id")
 
 
+def labor_log_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: every record, equal ones too, has a key of its own."""
+    return with_log_id(tables.labor_records(spark, sf_dir)).agg(
+        F.count(F.lit(1)).alias("row_count"), F.countDistinct("log_id").alias("key_count"))
+
+
+def labor_logs_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7 on silver.labor_logs, with rows that break its rules (made from the line numbers)."""
+    recs = tables.labor_records(spark, sf_dir, order=True)
+    line = F.col("l_linenumber")
+    broken = recs.select(
+        F.when(line != 2, F.col("employee_id")).alias("employee_id"),
+        F.when(line == 3, F.repeat(F.lit("d"), 101)).otherwise(F.col("department")).alias("department"), "project_id",
+        F.when(line == 4, -F.col("hours_logged")).otherwise(F.col("hours_logged")).alias("hours_logged"), "week", "role")
+    _, bad = quality.split_by_rules(with_log_id(broken), quality.labor_log_rules(), key="log_id")
+    return bad.select("employee_id", "project_id", "hours_logged", F.array_join(F.array_sort("violations"), ",").alias("violation"))
+
+
 def silver_roundtrip_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + S7: silver written partitioned by region, read back."""
     lake = Lake(spark, fresh_path(spark, "lake"))
@@ -136,14 +231,15 @@ def silver_roundtrip_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4/K5 + S8: bronze, silver and gold written, then files and bytes per dataset."""
+    """K4/K5 + S8: bronze, silver and gold written, then the rows of every dataset that has files."""
     lake = Lake(spark, fresh_path(spark, "lake"))
     lake.write_bronze(tables.content_events_raw(spark, sf_dir), "content_events", source_system="topic")
     s = _silver(spark, sf_dir)
     lake.write_silver(s, "content_events_clean")
     for name, frame in gold.gold_layer(s).items():
         lake.write_gold(frame, name)
-    return lake.inventory().select("layer", "dataset", (F.col("file_count") > 0).alias("has_files"))
+    held = lake.inventory().where("file_count > 0 and total_bytes > 0").select("layer", "dataset")
+    return lake.row_counts().join(held, ["layer", "dataset"])
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +250,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_decode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON messages of the raw events decoded with the fixed schema."""
     good, _ = topic.split_dead_letters(topic.decode_events(_messages(spark, sf_dir)))
-    return good
+    return good.drop(HOURS_TEXT)
 
 
 def topic_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,16 +274,34 @@ def _land_topic(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     return path, first_files
 
 
+def topic_first_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + D2: all deliveries of a key lie in one file, the later ones with titles that sort before the first."""
+    raw = tables.content_events_raw(spark, sf_dir)
+    path = fresh_path(spark, "landing", "topic")
+    shuffled = raw.repartition(8, "content_id").sortWithinPartitions("ingest_seq")
+    topic.encode_events(shuffled).write.text(path)
+    good, _ = topic.split_dead_letters(topic.decode_events(topic.read_topic(spark, path)))
+    return silver.build_silver(good, processed_at=F.col("event_timestamp"))
+
+
 def stream_bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T-S1: the topic streamed into bronze (availableNow), silver rebuilt from bronze."""
     src, _ = _land_topic(spark, sf_dir)
     base = fresh_path(spark, "stream")
-    q = ingest.start_bronze_ingest(topic.read_topic(spark, src, streaming=True),
-                                   f"{base}/bronze", f"{base}/dead", f"{base}/_chk_bronze")
+    q = ingest.start_bronze_ingest(topic.read_topic(spark, src, streaming=True), f"{base}/bronze", f"{base}/_chk_bronze")
+    q.awaitTermination()
+    return silver.build_silver(ingest.read_bronze(spark, f"{base}/bronze"), processed_at=F.col("event_timestamp"))
+
+
+def stream_mixed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-S1: micro-batches of a few files, each with first and repeated deliveries of its keys; silver from bronze."""
+    raw = tables.content_events_raw(spark, sf_dir)
+    src, base = fresh_path(spark, "landing", "topic"), fresh_path(spark, "stream")
+    topic.encode_events(raw.repartition(8, "content_id").sortWithinPartitions("ingest_seq")).write.text(src)
+    q = ingest.start_bronze_ingest(topic.read_topic(spark, src, streaming=True, max_files_per_trigger=3),
+                                   f"{base}/bronze", f"{base}/_chk_bronze")
     q.awaitTermination()
-    bronze = spark.read.parquet(f"{base}/bronze")
-    return silver.build_silver(bronze, processed_at=F.col("event_timestamp"),
-                               order=["arrived_at", "arrival_part", "arrival_pos"])
+    return silver.build_silver(ingest.read_bronze(spark, f"{base}/bronze"), processed_at=F.col("event_timestamp"))
 
 
 def stream_silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,9 +309,9 @@ def stream_silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, first_files = _land_topic(spark, sf_dir)
     base = fresh_path(spark, "stream")
     q = ingest.start_silver_stream(topic.read_topic(spark, src, streaming=True, max_files_per_trigger=first_files),
-                                   f"{base}/silver", f"{base}/_chk_silver")
+                                   f"{base}/silver", f"{base}/_chk_silver", redelivery_window="1 hour")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/silver").drop("arrival_part", "arrival_pos", "arrived_at")
+    return spark.read.parquet(f"{base}/silver").drop("arrival_part", "arrival_block", "arrival_pos", "arrived_at")
 
 
 # ---- pipeline and run metrics ------------------------------------------------------------------
@@ -209,12 +323,92 @@ def run_department_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_layer("gold", "department_summary")
 
 
+def _run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    out = etl_run.run_pipeline(spark, tables.content_events_raw(spark, sf_dir), lake, strict=False)
+    return spark.read.parquet(f"{lake.root}/ops/run_events").where(F.col("run_id") == out["run_id"])
+
+
 def run_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1/M2: the run-event summary of one non-strict pipeline run (one row)."""
+    return monitor.run_summary(_run_events(spark, sf_dir)).drop("run_id")
+
+
+def run_stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: rows and status of every stage of one non-strict run, from the typed event columns."""
+    return _run_events(spark, sf_dir).where("event_type in ('STAGE', 'VALIDATION')").select("stage", "status", "rows")
+
+
+def _land_dirty_topic(spark: SparkSession, sf_dir: str) -> str:
+    """The raw events, orders with hours that are no whole number, messages without a key, and broken JSON."""
+    path = fresh_path(spark, "landing", "dirty")
+    orders, foreign = tables.table(spark, sf_dir, "orders"), tables.table(spark, sf_dir, "events")
+    odd = '{"content_id": "%s%d", "title": "t", "category": "c", "region": "r", "department": "d", "labor_hours": %s}'
+    words = orders.where("o_orderkey % 50 = 1").select(F.format_string(odd, F.lit("X"), "o_orderkey", F.lit('"ten"')).alias("value"))
+    parts = orders.where("o_orderkey % 50 = 2").select(F.format_string(odd, F.lit("Y"), "o_orderkey", F.lit("100.5")).alias("value"))
+    broken = foreign.select(F.format_string("{bad %d", "event_id").alias("value"))
+    raw = tables.content_events_raw(spark, sf_dir)
+    topic.encode_events(raw.repartition(8, "content_id").sortWithinPartitions("ingest_seq")).write.text(path)
+    rows = words.unionByName(parts).unionByName(broken).unionByName(foreign.select(F.col("props").alias("value")))
+    rows.write.mode("append").text(path)
+    return path
+
+
+def _dirty_run(spark: SparkSession, sf_dir: str) -> Lake:
     lake = Lake(spark, fresh_path(spark, "lake"))
-    out = etl_run.run_pipeline(spark, tables.content_events_raw(spark, sf_dir), lake, strict=False)
-    events = spark.read.parquet(f"{lake.root}/ops/run_events").where(F.col("run_id") == out["run_id"])
-    return monitor.run_summary(events).drop("run_id")
+    cfg = etl_run.SourceConfig(topic_path=_land_dirty_topic(spark, sf_dir))
+    etl_run.run_pipeline(spark, "kafka", lake, cfg, strict=False)
+    return lake
+
+
+def run_topic_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1b in a batch run: messages that did not parse are in bronze, and nowhere else."""
+    return _dirty_run(spark, sf_dir).read_layer("bronze", "dead_letters").select("value")
+
+
+def run_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + V3 in a batch run: messages that parsed without a key are bronze rows and fail the validation."""
+    lake = _dirty_run(spark, sf_dir)
+    failed = spark.read.parquet(f"{lake.root}/ops/run_events").where("event_type = 'VALIDATION'").select("status")
+    nulls = lake.read_bronze("content_events").where("content_id is null").agg(F.count(F.lit(1)).alias("null_keys"))
+    return nulls.select("null_keys", F.lit(failed.scalar()).alias("validation"))
+
+
+def run_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7 in a batch run: hours of zero or less, and hours that are no whole number, kept with their text."""
+    bad = _dirty_run(spark, sf_dir).read_layer("silver", "content_events_quarantine")
+    return bad.select("content_id", "labor_hours", HOURS_TEXT, F.array_join(F.array_sort("violations"), ",").alias("violation"))
+
+
+def run_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 + S6: a topic run, then a file run with a column more, on one lake; bronze holds both."""
+    lake, ce = Lake(spark, fresh_path(spark, "lake")), _silver(spark, sf_dir)
+    src, _ = _land_topic(spark, sf_dir)
+    etl_run.run_pipeline(spark, "kafka", lake, etl_run.SourceConfig(topic_path=src), strict=False)
+    path = write_csv(ce.withColumn("release_year", F.year("event_timestamp")).select(*LEGACY_B), fresh_path(spark, "landing", "csv"))
+    etl_run.run_pipeline(spark, "file", lake, etl_run.SourceConfig(csv_path=path), strict=False)
+    return lake.read_bronze("content_events").groupBy("source_system").agg(
+        F.count(F.lit(1)).alias("row_count"), F.countDistinct("content_id").alias("keys"), F.sum("labor_hours").alias("hours"),
+        F.sum("release_year").alias("years"))
+
+
+def run_hours_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + X5 + R7: a content run and an API run load the warehouse tables, the report scans them."""
+    lake, prefix = Lake(spark, fresh_path(spark, "lake")), _warehouse(spark)
+    etl_run.run_pipeline(spark, tables.content_events_raw(spark, sf_dir), lake, strict=False, tables=prefix)
+    path = fresh_path(spark, "landing", "pages")
+    pages.land_pages(tables.labor_records(spark, sf_dir, order=True), ["l_orderkey", "l_linenumber"]).write.json(path)
+    etl_run.run_pipeline(spark, "api", lake, etl_run.SourceConfig(pages_path=path), tables=prefix)
+    return reports.hours_variance(spark.table(f"{prefix}silver.content_events_clean"), spark.table(f"{prefix}silver.labor_logs"))
+
+
+def warehouse_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the tables that a run loads."""
+    prefix = _warehouse(spark)
+    etl_run.run_pipeline(spark, tables.content_events_raw(spark, sf_dir), Lake(spark, fresh_path(spark, "lake")), strict=False, tables=prefix)
+    names = ["bronze.content_events_raw", "silver.content_events_clean", "gold.department_labor_summary", "gold.category_summary"]
+    counts = [spark.table(prefix + n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("name"), "row_count") for n in names]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
 
 def run_event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,17 +444,40 @@ QUERIES: dict[str, Query] = {
     "constraint_accepted": constraint_accepted,
     "gold_department_labor_summary": gold_department_labor_summary,
     "gold_category_summary_table": gold_category_summary_table,
-    **{f"sql_report_{n}": _sql_report(n) for n in reports_sql.REPORT_SQL},
+    "sql_report_labor_by_department": _table_report(reports.labor_by_department),
+    "sql_report_category_region_volume": _table_report(reports.category_region_volume),
+    "sql_report_labor_flag_distribution": _table_report(reports.labor_flag_distribution),
+    "sql_report_monthly_throughput": _table_report(reports.monthly_throughput),
+    "sql_report_top_effort": _table_report(reports.top_effort),
+    "sql_report_above_avg_departments": _table_report(reports.above_average_departments),
+    "sql_report_hours_variance": sql_report_hours_variance,
     "csv_folder_ingest": csv_folder_ingest,
+    "csv_quoted_fields": csv_quoted_fields,
+    "csv_bad_rows": csv_bad_rows,
+    "csv_export_roundtrip": csv_export_roundtrip,
     "api_pages_flatten": api_pages_flatten,
+    "pages_stop_empty": pages_stop_empty,
+    "pages_stop_falsy": pages_stop_falsy,
+    "pages_stop_missing": pages_stop_missing,
     "labor_logs_table": labor_logs_table,
+    "labor_log_keys": labor_log_keys,
+    "labor_logs_quarantine": labor_logs_quarantine,
     "silver_roundtrip_by_region": silver_roundtrip_by_region,
     "lake_inventory": lake_inventory,
     "topic_decode_events": topic_decode_events,
     "topic_dead_letters": topic_dead_letters,
+    "topic_first_delivery": topic_first_delivery,
     "stream_bronze_silver": stream_bronze_silver,
+    "stream_mixed_batches": stream_mixed_batches,
     "stream_silver_dedup": stream_silver_dedup,
     "run_department_summary": run_department_summary,
     "run_event_counts": run_event_counts,
+    "run_stage_rows": run_stage_rows,
+    "run_topic_dead_letters": run_topic_dead_letters,
+    "run_null_keys": run_null_keys,
+    "run_quarantine": run_quarantine,
+    "run_two_sources": run_two_sources,
+    "run_hours_variance": run_hours_variance,
+    "warehouse_row_counts": warehouse_row_counts,
     "run_event_summary": run_event_summary,
 }

@@ -1,27 +1,31 @@
 """End-to-end run (X5): extract -> bronze -> validate -> silver -> gold, with run events.
 
 ``extract`` (S6) routes a source name to its reader:
-  'kafka' -> topic messages (Kafka, or the JSON-lines twin) decoded to content events
+  'kafka' -> topic messages (Kafka, or the JSON-lines twin) decoded to content events; messages that
+             did not parse are landed as bronze dead letters, those without a key go on to the validation
   'api'   -> landed API pages flattened to labor-log records (feeds silver.labor_logs)
   'file'  -> a CSV file or folder of CSV files
 Anything else raises ValueError.
 
-Silver is materialised once and every gold frame reads the written silver, so
-no consumer recomputes the raw -> silver plan.
+Bronze keeps every run and has the same content types for all sources. Silver and gold hold the
+current run and are overwritten. Intermediate frames are Parquet under the run's staging folder, removed
+at the end; every one is computed once and read by all that need it.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laborlake.functions.expressions import conform_content
 from laborlake.operators import gold, quality, silver
 from laborlake.operators.quality import ValidationError, failure_reason
-from laborlake.plans.monitor import RunLog, counted
+from laborlake.plans.monitor import RunEvents, counted
+from laborlake.schemas import HOURS_TEXT
 from laborlake.sinks.lake import Lake, write_csv
-from laborlake.sinks.warehouse import with_log_id
+from laborlake.sinks.warehouse import insert, with_log_id
 from laborlake.sources import files, pages, topic
 
 SOURCES = ("kafka", "api", "file")
@@ -34,96 +38,122 @@ class SourceConfig:
     topic_name: str | None = None
     pages_path: str | None = None          # landed API pages (JSON lines)
     csv_path: str | None = None            # file or folder
-    extra: dict = field(default_factory=dict)
+
+
+def _decoded(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
+    return topic.decode_events(topic.read_topic(spark, cfg.topic_path, fmt=cfg.topic_format, topic=cfg.topic_name))
 
 
 def extract(spark: SparkSession, source: str, cfg: SourceConfig) -> DataFrame:
     """Source name -> raw DataFrame."""
     if source == "kafka":
-        msgs = topic.read_topic(spark, cfg.topic_path, fmt=cfg.topic_format, topic=cfg.topic_name)
-        good, _ = topic.split_dead_letters(topic.decode_events(msgs))
-        return good
+        return topic.split_dead_letters(_decoded(spark, cfg), null_key=False)[0]
     if source == "api":
         return pages.records_to_frame(pages.flatten_pages(pages.read_landed_pages(spark, cfg.pages_path)))
     if source == "file":
         path = cfg.csv_path
-        is_csv_file = path.endswith(".csv")
-        return files.ingest_csv_file(spark, path) if is_csv_file else files.ingest_folder(spark, path)
+        read = files.ingest_csv_file if path.endswith(".csv") else files.ingest_folder
+        return read(spark, path, arrival=True)
     raise ValueError(f"Unsupported source: {source}")
 
 
 def run_pipeline(spark: SparkSession, source: str | DataFrame, lake: Lake, cfg: SourceConfig | None = None,
-                 strict: bool = True, pipeline: str = "content_etl", csv_export: str | None = None) -> dict:
+                 strict: bool = True, pipeline: str = "content_etl", csv_export: str | None = None,
+                 tables: str | None = None) -> dict:
     """Run one batch; returns {run_id, report, paths}. ``strict`` aborts on a failed validation.
 
     With ``strict=False`` the rows a failed check points at are not loaded: X2's
     null drop removes them from silver and the table rules quarantine the rest.
+    ``tables``: prefix of the warehouse databases to load too (see ``create_tables``).
     """
-    log = RunLog(spark, pipeline, f"{lake.root}/ops/run_events")
-    log.start()
+    events = RunEvents(spark, pipeline, f"{lake.root}/ops/run_events")
     try:
-        raw = source if isinstance(source, DataFrame) else extract(spark, source, cfg or SourceConfig())
-        if source == "api":
-            return _run_labor_logs(spark, raw, lake, log)
-        bronze_path = lake.write_bronze(raw, "content_events", run_id=log.run_id, source_system=str(
-            source if isinstance(source, str) else "frame"))
-        bronze = (spark.read.parquet(bronze_path)
-                  .where(F.col("ingest_run_id") == log.run_id).drop("ingest_run_id"))
-        raw_cols = bronze.drop("source_system", "ingested_at")
-        missing = [c for c in quality.REQUIRED_COLUMNS if c not in raw_cols.columns]
-        if missing:  # V1 stops before any grouping
-            passed, report = quality.validate(raw_cols)
-            grouped = None
-        else:
-            # One shuffle by content_id feeds both the report and the de-duplication;
-            # the grouped rows are checkpointed (shared checkpoint dir) and read twice.
-            grouped, packed, cols = silver.group_raw(raw_cols)
-            grouped = grouped.checkpoint()
-            passed, report = quality.validate(raw_cols, report=quality.report_from_per_key(grouped))
-        log.log_validation(passed, report)
-        log.log_stage("Extract", report["total_rows"])
-        for w in report["warnings"]:
-            log.log_warning(w)
-        if not passed:
-            log.log_error(failure_reason(report))
-            if strict or grouped is None:
-                raise ValidationError(failure_reason(report))
-        staged = silver.silver_from_grouped(grouped, packed, cols)
-        tagged = quality.apply_rules(staged, quality.content_rules(), key="content_id")
-        accepted = tagged.where(F.size("violations") == 0).drop("violations")
-        rejected = tagged.where(F.size("violations") > 0)
-        accepted, n_ok = counted(accepted, "silver_rows")
-        silver_path = lake.write_silver(accepted, "content_events_clean")
-        rows = n_ok.get["rows"]
-        log.log_stage("Transform", rows)
-        lake.write_silver(rejected, "content_events_quarantine", partition_by=())
-        s = lake.read_layer("silver", "content_events_clean")
-        paths = {"bronze": bronze_path, "silver": silver_path}
-        for name, frame in gold.gold_layer(s).items():
-            paths[name] = lake.write_gold(frame, name)
-        paths["department_labor_summary"] = lake.write_gold(gold.department_labor_summary_table(s),
-                                                           "department_labor_summary")
-        paths["category_summary_table"] = lake.write_gold(gold.category_summary_table(s), "category_summary")
-        if csv_export:  # K3: the silver rows as CSV with a header (a folder of part files)
-            paths["csv"] = write_csv(s, csv_export)
-        log.log_stage("Load", rows)
-        log.end(rows)
-        return {"run_id": log.run_id, "report": report, "paths": paths}
-    except Exception as e:
-        if not any(ev[3] == "ERROR" for ev in log.events):
-            log.log_error(f"{type(e).__name__}: {e}")
-        raise
+        with events:
+            if source == "api":
+                return _run_labor_logs(extract(spark, source, cfg), lake, events, tables)
+            return _run_content(spark, source, lake, cfg or SourceConfig(), strict, events, csv_export, tables)
     finally:
-        log.flush()
+        lake.drop_stages(events.run_id)
 
 
-def _run_labor_logs(spark: SparkSession, records: DataFrame, lake: Lake, log: RunLog) -> dict:
-    staged = with_log_id(records).withColumn("processed_at", F.current_timestamp())
-    ok, bad = quality.split_by_rules(staged, quality.labor_log_rules())
-    ok, n_ok = counted(ok, "labor_rows")
-    path = lake.write_silver(ok, "labor_logs", partition_by=())
-    lake.write_silver(bad, "labor_logs_quarantine", partition_by=())
+def _to_bronze(spark: SparkSession, source: str | DataFrame, lake: Lake, cfg: SourceConfig, events: RunEvents) -> DataFrame:
+    """Land the source's rows in bronze; the run's rows as landed."""
+    if source == "kafka":
+        decoded = lake.stage(_decoded(spark, cfg), events.run_id, "decoded")
+        raw, dead = topic.split_dead_letters(decoded, null_key=False)
+        dead, n_dead = counted(dead, "dead_letters")
+        lake.write_bronze(dead, "dead_letters", run_id=events.run_id, source_system="kafka")
+        events.record("STAGE", "DeadLetters", "SUCCESS", n_dead.get["rows"])
+    else:
+        raw = source if isinstance(source, DataFrame) else extract(spark, source, cfg)
+    lake.write_bronze(conform_content(raw), "content_events", run_id=events.run_id,
+                      source_system=source if isinstance(source, str) else "frame")
+    return lake.read_bronze("content_events", events.run_id)
+
+
+def _run_content(spark: SparkSession, source: str | DataFrame, lake: Lake, cfg: SourceConfig, strict: bool,
+                 events: RunEvents, csv_export: str | None, tables: str | None) -> dict:
+    raw = _to_bronze(spark, source, lake, cfg, events)
+    columns = raw.drop("source_system", "ingested_at")
+    missing = [c for c in quality.REQUIRED_COLUMNS if c not in columns.columns]
+    if missing:  # V1 stops before any grouping
+        grouped = None
+        passed, report = quality.validate(columns)
+    else:
+        # One shuffle by content_id feeds both the report and the de-duplication.
+        grouped, packed, cols = silver.group_raw(columns)
+        grouped = lake.stage(grouped, events.run_id, "grouped")
+        passed, report = quality.validate(columns, report=quality.report_from_per_key(grouped))
+    events.record("STAGE", "Extract", "SUCCESS", report["total_rows"])
+    events.record("VALIDATION", "Validate", "PASSED" if passed else "FAILED", report["duplicate_count"])
+    for w in report["warnings"]:
+        events.record("WARNING", "Validate", message=w)
+    if not passed:
+        events.record("ERROR", "Validate", "FAILED", message=failure_reason(report))
+        if strict or grouped is None:
+            raise ValidationError(failure_reason(report))
+    tagged = quality.apply_rules(silver.silver_from_grouped(grouped, packed, cols),
+                                 [*quality.content_rules(), quality.hours_type_rule()], key="content_id")
+    tagged = lake.stage(tagged, events.run_id, "tagged")
+    accepted, n_ok = counted(tagged.where(F.size("violations") == 0).drop("violations", HOURS_TEXT), "silver_rows")
+    rejected, n_bad = counted(tagged.where(F.size("violations") > 0), "quarantined_rows")
+    silver_path = lake.write_silver(accepted, "content_events_clean")
+    lake.write_silver(rejected, "content_events_quarantine", partition_by=())
     rows = n_ok.get["rows"]
-    log.log_stage("Load", rows)
-    log.end(rows)
-    return {"run_id": log.run_id, "report": None, "paths": {"labor_logs": path}}
+    events.record("STAGE", "Quarantine", "SUCCESS", n_bad.get["rows"])
+    events.record("STAGE", "Transform", "SUCCESS", rows)
+    s = lake.read_layer("silver", "content_events_clean")
+    paths = {"bronze": lake.path("bronze", "content_events"), "silver": silver_path}
+    for name, frame in gold.gold_layer(s).items():
+        paths[name] = lake.write_gold(frame, name)
+    by_department, by_category = gold.department_labor_summary_table(s), gold.category_summary_table(s)
+    paths["department_labor_summary"] = lake.write_gold(by_department, "department_labor_summary")
+    paths["category_summary_table"] = lake.write_gold(by_category, "category_summary")
+    if csv_export:  # K3: the silver rows as CSV with a header (a folder of part files)
+        paths["csv"] = write_csv(s, csv_export)
+    if tables is not None:
+        ok, _ = quality.split_by_rules(silver.bronze_table_rows(raw), quality.bronze_rules())
+        insert(spark, f"{tables}bronze.content_events_raw", ok)
+        insert(spark, f"{tables}silver.content_events_clean", s, overwrite=True)
+        insert(spark, f"{tables}gold.department_labor_summary", by_department, overwrite=True)
+        insert(spark, f"{tables}gold.category_summary", by_category, overwrite=True)
+    events.record("STAGE", "Load", "SUCCESS", rows)
+    events.record("END", status="SUCCESS", rows=rows)
+    return {"run_id": events.run_id, "report": report, "paths": paths}
+
+
+def _run_labor_logs(records: DataFrame, lake: Lake, events: RunEvents, tables: str | None) -> dict:
+    landed, n_in = counted(records, "labor_records")
+    tagged = quality.apply_rules(with_log_id(landed), quality.labor_log_rules(), key="log_id")
+    tagged = lake.stage(tagged, events.run_id, "labor_logs")
+    events.record("STAGE", "Extract", "SUCCESS", n_in.get["rows"])
+    ok, n_ok = counted(tagged.where(F.size("violations") == 0).drop("violations"), "labor_rows")
+    bad, n_bad = counted(tagged.where(F.size("violations") > 0), "labor_quarantine")
+    path = lake.write_silver(ok.withColumn("processed_at", F.current_timestamp()), "labor_logs", partition_by=())
+    lake.write_silver(bad, "labor_logs_quarantine", partition_by=())
+    events.record("VALIDATION", "Validate", "PASSED", n_bad.get["rows"])
+    if tables is not None:
+        insert(records.sparkSession, f"{tables}silver.labor_logs", lake.read_layer("silver", "labor_logs"), overwrite=True)
+    events.record("STAGE", "Load", "SUCCESS", n_ok.get["rows"])
+    events.record("END", status="SUCCESS", rows=n_ok.get["rows"])
+    return {"run_id": events.run_id, "report": None, "paths": {"labor_logs": path}}

@@ -60,7 +60,6 @@ raw_events AS (
          'content_updated',
          CAST(l.l_linenumber AS BIGINT)
   FROM facts JOIN lineitem l ON l.l_orderkey = facts.o_orderkey
-  WHERE l.l_returnflag = 'R'
 )"""
 
 # keep-first per content_id: ingest order, then every column (nulls first) as tie-break
@@ -150,6 +149,24 @@ _R = _with(_FACTS, _RAW)
 _S = _with(_FACTS, _RAW, _FIRST, _SILVER_FROM_RAW)
 _X = _with(_FACTS, _RAW, _FIRST, _X1)
 
+_TAGGED = f""",
+tagged AS (SELECT *, concat_ws(',', {_RULES}) AS violation FROM silver_raw)"""
+
+# A page holds 100 records, in the order of their line items.
+_PAGED = """
+WITH labor AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS employee_id, l_linestatus AS department, CAST(l_orderkey AS VARCHAR) AS project_id,
+         CAST(l_quantity AS DOUBLE) AS hours_logged, strftime(l_shipdate, '%G-W%V') AS week, l_returnflag AS role,
+         l_orderkey, l_linenumber
+  FROM lineitem
+), paged AS (
+  SELECT CAST((row_number() OVER (ORDER BY l_orderkey, l_linenumber, employee_id, department, project_id,
+                                           hours_logged, week, role) - 1) // 100 + 1 AS INTEGER) AS page,
+         employee_id, department, project_id, hours_logged, week, role
+  FROM labor
+)
+"""
+
 _A1 = """
 SELECT department, region,
        CAST(SUM(labor_hours) AS BIGINT) AS total_labor_hours,
@@ -247,14 +264,34 @@ SELECT department, region, COUNT(content_id) AS total_projects,
        CAST(SUM(CASE WHEN labor_flag = 'HIGH' THEN 1 ELSE 0 END) AS BIGINT) AS high_effort_count
 FROM content_events WHERE department IS NOT NULL GROUP BY department, region""",
     "csv_folder_ingest": _C + """
-SELECT CAST(content_id AS BIGINT) AS content_id, title, category, department,
-       CAST(labor_hours AS BIGINT) AS labor_hours, region,
+SELECT content_id, title, category, department, labor_hours, region,
        CASE WHEN event_type = 'F' THEN NULL ELSE CAST(year(event_timestamp) AS BIGINT) END AS release_year
 FROM content_events""",
-    "api_pages_flatten": _with(_LABOR) + """
-SELECT CAST(floor(CAST(project_id AS BIGINT) / 25) + 1 AS INTEGER) AS page,
-       employee_id, department, project_id, hours_logged, week, role
-FROM labor_logs""",
+    "api_pages_flatten": _PAGED + "SELECT * FROM paged",
+    "pages_stop_empty": _PAGED + "SELECT * FROM paged WHERE page < 40",
+    "pages_stop_falsy": _PAGED + "SELECT * FROM paged WHERE page < 40",
+    "pages_stop_missing": _PAGED + "SELECT * FROM paged WHERE page < 40",
+    "csv_quoted_fields": """
+SELECT o_orderkey AS id, 'He said "' || o_orderpriority || '", ok' AS said,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'line one' || chr(10) || 'line ' || o_orderkey ELSE o_orderstatus END AS note
+FROM orders""",
+    "csv_bad_rows": """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 3 THEN 'a' || chr(10) || 'a' ELSE 'a' END AS x,
+       CASE WHEN o_orderkey % 5 <> 1 THEN 'b' END AS y
+FROM orders WHERE o_orderkey % 5 IN (1, 3, 4)""",
+    "csv_export_roundtrip": _C + """
+SELECT content_id,
+       'He said "' || title || CASE WHEN event_type = 'F' THEN '",' || chr(10) || 'ok' ELSE '", ok' END AS title,
+       category, region, department, labor_hours, labor_flag
+FROM content_events""",
+    "labor_log_keys": "SELECT COUNT(*) AS row_count, COUNT(*) AS key_count FROM lineitem",
+    "labor_logs_quarantine": """
+SELECT CASE WHEN l_linenumber <> 2 THEN CAST(l_suppkey AS VARCHAR) END AS employee_id,
+       CAST(l_orderkey AS VARCHAR) AS project_id,
+       CASE WHEN l_linenumber = 4 THEN -CAST(l_quantity AS DOUBLE) ELSE CAST(l_quantity AS DOUBLE) END AS hours_logged,
+       CASE l_linenumber WHEN 2 THEN 'employee_id_not_null' WHEN 3 THEN 'department_length'
+                         WHEN 4 THEN 'hours_logged_non_negative' END AS violation
+FROM lineitem WHERE l_linenumber IN (2, 3) OR (l_linenumber = 4 AND l_quantity > 0)""",
     "labor_logs_table": _with(_LABOR) + """
 SELECT employee_id, department, project_id, hours_logged, week, role
 FROM labor_logs WHERE employee_id IS NOT NULL AND NOT (hours_logged < 0)
@@ -267,18 +304,53 @@ SELECT content_id, title, category, region, department, labor_hours,
        strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, event_type
 FROM raw_events""",
     "topic_dead_letters": "SELECT props AS value FROM events",
-    # the four datasets the inventory query writes, each with at least one file
-    "lake_inventory": """
-SELECT layer, dataset, has_files FROM (VALUES
-  ('bronze', 'content_events', true), ('silver', 'content_events_clean', true),
-  ('gold', 'department_summary', true), ('gold', 'category_summary', true)) t(layer, dataset, has_files)""",
+    "lake_inventory": _with(_FACTS, _CONTENT, _RAW) + """
+SELECT 'bronze' AS layer, 'content_events' AS dataset, COUNT(*) AS row_count FROM raw_events
+UNION ALL SELECT 'silver', 'content_events_clean', COUNT(*) FROM content_events
+UNION ALL SELECT 'gold', 'department_summary', COUNT(DISTINCT department) FROM content_events
+UNION ALL SELECT 'gold', 'category_summary', COUNT(DISTINCT category) FROM content_events""",
+    "topic_first_delivery": _S + "SELECT * FROM silver_raw",
+    "stream_mixed_batches": _S + "SELECT * FROM silver_raw",
     "stream_bronze_silver": _S + "SELECT * FROM silver_raw",
     "stream_silver_dedup": _X + "SELECT * FROM x1",
     "run_department_summary": _S + _A3.format(
         src="(SELECT * FROM silver_raw WHERE labor_hours > 0 OR labor_hours IS NULL) accepted"),
-    "run_event_counts": """
-SELECT 'content_etl' AS pipeline, CAST(9 AS BIGINT) AS total_events, CAST(1 AS BIGINT) AS errors,
-       CAST(2 AS BIGINT) AS warnings""",
+    # start, five stages and checks, end; a warning per kind of finding, an error for critical nulls
+    "run_event_counts": _R + """,
+counts AS (
+  SELECT CAST(COUNT(*) > COUNT(DISTINCT content_id) AS BIGINT) + CAST(COUNT_IF(labor_hours <= 0) > 0 AS BIGINT) AS w,
+         CAST(COUNT_IF(content_id IS NULL OR department IS NULL) > 0 AS BIGINT) AS e
+  FROM raw_events)
+SELECT 'content_etl' AS pipeline, 7 + w + e AS total_events, e AS errors, w AS warnings FROM counts""",
+    "run_stage_rows": _S + f"""{_TAGGED}
+SELECT 'Extract' AS stage, 'SUCCESS' AS status, COUNT(*) AS rows FROM raw_events
+UNION ALL SELECT 'Validate', CASE WHEN COUNT_IF(department IS NULL) > 0 THEN 'FAILED' ELSE 'PASSED' END,
+                 COUNT(*) - COUNT(DISTINCT content_id) FROM raw_events
+UNION ALL SELECT 'Quarantine', 'SUCCESS', COUNT(*) FROM tagged WHERE violation <> ''
+UNION ALL SELECT 'Transform', 'SUCCESS', COUNT(*) FROM tagged WHERE violation = ''
+UNION ALL SELECT 'Load', 'SUCCESS', COUNT(*) FROM tagged WHERE violation = ''""",
+    "run_topic_dead_letters": "SELECT '{bad ' || event_id AS value FROM events",
+    "run_null_keys": "SELECT COUNT(*) AS null_keys, 'FAILED' AS validation FROM events",
+    "run_quarantine": _S + f"""{_TAGGED}
+SELECT content_id, labor_hours, CAST(NULL AS VARCHAR) AS labor_hours_text, violation FROM tagged WHERE violation <> ''
+UNION ALL SELECT 'X' || o_orderkey, NULL, 'ten', 'labor_hours_type' FROM orders WHERE o_orderkey % 50 = 1
+UNION ALL SELECT 'Y' || o_orderkey, NULL, '100.5', 'labor_hours_type' FROM orders WHERE o_orderkey % 50 = 2""",
+    "run_two_sources": _with(_FACTS, _CONTENT, _RAW) + """
+SELECT 'kafka' AS source_system, COUNT(*) AS row_count, COUNT(DISTINCT content_id) AS keys,
+       CAST(SUM(labor_hours) AS BIGINT) AS hours, CAST(NULL AS BIGINT) AS years FROM raw_events
+UNION ALL
+SELECT 'file', COUNT(*), COUNT(DISTINCT content_id), CAST(SUM(labor_hours) AS BIGINT),
+       CAST(SUM(year(event_timestamp)) AS BIGINT) FROM content_events""",
+    "run_hours_variance": _with(_FACTS, _RAW, _FIRST, _SILVER_FROM_RAW, _LABOR) + f"""{_TAGGED}
+SELECT c.content_id, c.title, c.department, c.labor_hours AS event_labor_hours,
+       SUM(l.hours_logged) AS actual_logged_hours, c.labor_hours - SUM(l.hours_logged) AS variance
+FROM (SELECT * FROM tagged WHERE violation = '') c LEFT JOIN labor_logs l ON c.content_id = l.project_id
+GROUP BY c.content_id, c.title, c.department, c.labor_hours""",
+    "warehouse_row_counts": _S + f"""{_TAGGED}
+SELECT 'bronze.content_events_raw' AS name, COUNT(*) AS row_count FROM raw_events
+UNION ALL SELECT 'silver.content_events_clean', COUNT(*) FROM tagged WHERE violation = ''
+UNION ALL SELECT 'gold.department_labor_summary', COUNT(DISTINCT (department, region)) FROM tagged WHERE violation = ''
+UNION ALL SELECT 'gold.category_summary', COUNT(DISTINCT category) FROM tagged WHERE violation = ''""",
     "run_event_summary": """
 SELECT 'RUN_' || CAST(user_id AS VARCHAR) AS run_id, 'content_etl' AS pipeline, COUNT(*) AS total_events,
        COUNT_IF(upper(event_type) = 'ERROR') AS errors, COUNT_IF(upper(event_type) = 'WARNING') AS warnings
@@ -289,7 +361,7 @@ SELECT category, COUNT(content_id) AS total_titles, CAST(SUM(labor_hours) AS BIG
 FROM content_events WHERE category IS NOT NULL GROUP BY category""",
 }
 
-# The SQL-text reports answer the same questions as the DataFrame reports.
+# The reports over the warehouse tables answer the same questions.
 for _n, _k in [("labor_by_department", "report_labor_by_department"),
                ("category_region_volume", "report_category_region_volume"),
                ("labor_flag_distribution", "report_labor_flag_distribution"),

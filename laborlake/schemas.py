@@ -8,7 +8,6 @@ Fixed values (must equal the reference for equal results):
                  "{n} row(s) with invalid labor_hours (<= 0)"
   labor flag set: HIGH, MEDIUM, LOW
   API page size 100
-  run id format RUN_%Y%m%d_%H%M%S
 """
 
 from __future__ import annotations
@@ -29,7 +28,6 @@ DUPLICATE_WARNING = "{n} duplicate content_id(s) found"
 INVALID_LABOR_WARNING = "{n} row(s) with invalid labor_hours (<= 0)"
 
 API_PAGE_SIZE = 100
-RUN_ID_FORMAT = "RUN_%Y%m%d_%H%M%S"
 
 # Characters Python's str.strip() removes in ASCII text (Spark's trim removes spaces only).
 WHITESPACE = " \t\n\r\x0b\x0c"
@@ -46,14 +44,13 @@ CONTENT_SCHEMA = T.StructType([
     T.StructField("event_type", T.StringType(), True),
 ])
 
-# Same event as JSON message payload: content_id nullable, a bad payload is a null struct.
-MESSAGE_SCHEMA = T.StructType([T.StructField(f.name, f.dataType, True) for f in CONTENT_SCHEMA.fields])
+# Same event as JSON message payload, all text: ``conform_content`` gives the fixed types, so hours that
+# are no whole number stay visible instead of failing or voiding the message.
+MESSAGE_SCHEMA = T.StructType([T.StructField(f.name, T.StringType(), True) for f in CONTENT_SCHEMA.fields])
 
-# bronze.content_events_raw
-BRONZE_COLUMNS = [
-    "content_id", "title", "category", "region", "department", "labor_hours",
-    "event_type", "event_timestamp", "source_system", "ingested_at",
-]
+# Text of labor_hours values that are no whole number (rule labor_hours_type).
+HOURS_TEXT = "labor_hours_text"
+UNPARSED_HOURS_WARNING = "{n} row(s) with labor_hours that is no whole number"
 
 # silver.content_events_clean: the canonical 12-column silver.
 SILVER_COLUMNS = [
@@ -61,21 +58,6 @@ SILVER_COLUMNS = [
     "event_type", "event_timestamp", "pipeline_layer", "pipeline_version", "processed_at",
 ]
 
-SILVER_SCHEMA = T.StructType([
-    T.StructField("content_id", T.StringType(), True),
-    T.StructField("title", T.StringType(), True),
-    T.StructField("category", T.StringType(), True),
-    T.StructField("region", T.StringType(), True),
-    T.StructField("department", T.StringType(), True),
-    T.StructField("labor_hours", T.IntegerType(), True),
-    T.StructField("labor_flag", T.StringType(), True),
-    T.StructField("event_type", T.StringType(), True),
-    T.StructField("event_timestamp", T.TimestampType(), True),
-    T.StructField("pipeline_layer", T.StringType(), True),
-    T.StructField("pipeline_version", T.StringType(), True),
-    T.StructField("processed_at", T.TimestampType(), True),
-])
-
 # One labor-log record of the scheduling API (silver.labor_logs without the key).
 LABOR_RECORD_SCHEMA = T.StructType([
     T.StructField("employee_id", T.StringType(), True),
@@ -93,15 +75,14 @@ LABOR_PAGE_SCHEMA = T.StructType([
     T.StructField("next", T.StringType(), True),
 ])
 
-LABOR_LOG_COLUMNS = [
-    "log_id", "employee_id", "project_id", "department", "role", "hours_logged", "week",
-    "processed_at",
-]
-
 RUN_EVENT_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType(), True),
     T.StructField("run_id", T.StringType(), True),
     T.StructField("pipeline", T.StringType(), True),
     T.StructField("event_type", T.StringType(), True),
+    T.StructField("stage", T.StringType(), True),
+    T.StructField("status", T.StringType(), True),
+    T.StructField("rows", T.LongType(), True),
+    T.StructField("seconds", T.DoubleType(), True),
     T.StructField("message", T.StringType(), True),
 ])

@@ -41,8 +41,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written tables: ``spark.checkpoint.dir`` of the session.
 
-    Only when the session has none (tests, local bench) is a fresh local
-    folder created and registered, never on a cluster that names one.
+    Only when a session with a local master has none (tests, local bench) is a fresh
+    local folder created and registered; on a cluster that names none this raises.
     """
     sc = spark.sparkContext
     app = sc.applicationId
@@ -50,6 +50,8 @@ def scratch_root(spark: SparkSession) -> str:
         return _LOCAL_ROOTS[app]
     root = sc.getConf().get(_CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"{_CHECKPOINT_KEY} is not set: a cluster needs a shared folder for written tables")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         sc.setCheckpointDir(root)
     _LOCAL_ROOTS[app] = root.rstrip("/")
@@ -65,24 +67,7 @@ def fresh_path(spark: SparkSession, *parts: str) -> str:
     return f"{base}/{uuid.uuid4().hex}"
 
 
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-
-
-def plan_size_bytes(df) -> int:
-    """Catalyst's size estimate of a plan (file sizes of the scans, after pruning)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def size_shuffles_for(spark: SparkSession, input_bytes: int,
-                      target_bytes: int = TARGET_PARTITION_BYTES, floor: int = 8, ceiling: int = 200_000) -> int:
-    """Set shuffle partitions so each holds about ``target_bytes`` of input; AQE coalesces below that.
-
-    Also aligns scan splits and AQE's advisory size with the same target. Returns the count.
-    """
-    n = max(floor, min(ceiling, -(-input_bytes // target_bytes)))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    return n
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this library's own staging, through Spark's file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from laborlake.session import scratch_root
+from laborlake.session import drop_path, scratch_root
 
 LAYERS = ["bronze", "silver", "gold"]
 
@@ -54,6 +55,22 @@ class Lake:
          .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path))
         return path
 
+    def read_bronze(self, dataset: str, run_id: str | None = None) -> DataFrame:
+        """The rows of one run, with that run's own columns; without a run all rows, columns merged by name."""
+        path = self.path("bronze", dataset)
+        if run_id is not None:
+            return self.spark.read.parquet(f"{path}/ingest_run_id={run_id}")
+        return self.spark.read.option("mergeSchema", True).parquet(path)
+
+    def stage(self, df: DataFrame, run_id: str, name: str) -> DataFrame:
+        """Write an intermediate frame of a run (columnar, prunable) and read it back."""
+        path = f"{self.root}/_staging/{run_id}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_stages(self, run_id: str) -> None:
+        drop_path(self.spark, f"{self.root}/_staging/{run_id}")
+
     def write_silver(self, df: DataFrame, dataset: str, partition_by: tuple[str, ...] = ("region",),
                      dynamic: bool = False) -> str:
         """K1/K5: overwrite, partitioned by region.
@@ -88,7 +105,7 @@ class Lake:
             return self.spark.read.parquet(path)
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-                raise FileNotFoundError(f"File not found in {layer} layer: {dataset}") from e
+                raise FileNotFoundError(str(e)) from e
             raise
 
     def files(self) -> DataFrame:
@@ -98,8 +115,8 @@ class Lake:
                    .option("pathGlobFilter", "*.parquet")
                    .load(self.root)
                    .select("path", "length"))
-        pattern = r"/lake/(bronze|silver|gold)/([^/]+)/" if self.root.endswith("/lake") else \
-            r"/(bronze|silver|gold)/([^/]+)/"
+        # The last such folder in the path: the root itself may hold one of the names.
+        pattern = r"^.*/(bronze|silver|gold)/([^/]+)/"
         return listing.select(
             F.regexp_extract("path", pattern, 1).alias("layer"),
             F.regexp_extract("path", pattern, 2).alias("dataset"),
@@ -113,14 +130,21 @@ class Lake:
                 .agg(F.count(F.lit(1)).alias("file_count"), F.sum("bytes").alias("total_bytes")))
 
     def storage_summary(self) -> DataFrame:
-        """Per layer: datasets and files (the reference's get_storage_summary, names listed via ``files``)."""
+        """Per layer: datasets, files and bytes."""
         return (self.files().groupBy("layer")
                 .agg(F.countDistinct("dataset").alias("dataset_count"),
                      F.count(F.lit(1)).alias("file_count"),
                      F.sum("bytes").alias("total_bytes")))
 
+    def row_counts(self) -> DataFrame:
+        """Rows per (layer, dataset), from the Parquet footers; one branch per dataset."""
+        names = sorted((r["layer"], r["dataset"]) for r in self.inventory().select("layer", "dataset").collect())
+        counts = [self.spark.read.parquet(self.path(layer, dataset)).agg(F.count(F.lit(1)).alias("row_count"))
+                  .select(F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset"), "row_count") for layer, dataset in names]
+        return reduce(DataFrame.unionByName, counts)
+
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """K3: CSV with header, overwrite (a directory of part files; no single-file coalesce)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """K3: CSV with header, quotes doubled, overwrite (a directory of part files; no single-file coalesce)."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path

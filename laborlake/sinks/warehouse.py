@@ -37,20 +37,22 @@ DDL = {
         summary_date DATE DEFAULT current_date()""",
 }
 
+_RUN = 10_000
+
 # VARCHAR lengths are checked before insert by operators.quality (CONTENT_LENGTHS,
 # LABOR_LOG_LENGTHS): a longer value would fail the whole insert, a rule quarantines the row.
 
 
-def create_tables(spark: SparkSession, location: str | None = None) -> dict[str, str]:
-    """Create the three databases and five tables under ``location``; returns table -> path."""
+def create_tables(spark: SparkSession, location: str | None = None, prefix: str = "") -> dict[str, str]:
+    """Create the three databases (names after ``prefix``) and five tables under ``location``; returns table -> path."""
     location = (location or f"{scratch_root(spark)}/warehouse").rstrip("/")
     paths = {}
     for table, cols in DDL.items():
         db, name = table.split(".")
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{location}/{db}.db'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{db} LOCATION '{location}/{db}.db'")
         path = f"{location}/{db}.db/{name}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet LOCATION '{path}'")
-        paths[table] = path
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{table} ({cols}) USING parquet LOCATION '{path}'")
+        paths[prefix + table] = path
     return paths
 
 
@@ -68,10 +70,14 @@ def insert(spark: SparkSession, table: str, df: DataFrame, overwrite: bool = Fal
 
 
 def with_log_id(df: DataFrame) -> DataFrame:
-    """Surrogate key for silver.labor_logs: xxhash64 of the record (no IDENTITY on parquet).
+    """Surrogate key for silver.labor_logs: xxhash64 of the record and its ordinal among equal records.
 
-    Equal records get equal hashes; they are kept as separate rows (the key is
-    not unique then, which the PK rule reports).
+    Parquet has no IDENTITY. Equal records are counted (partially aggregated, so a record that a third of
+    all rows repeat is one row per map task) and dealt out again in runs of ``_RUN`` ordinals over many tasks.
+    The primary-key rule reports what collides all the same.
     """
-    cols = [c for c in ["employee_id", "project_id", "department", "role", "hours_logged", "week"] if c in df.columns]
-    return df.withColumn("log_id", F.xxhash64(*[F.col(c) for c in cols]))
+    counts = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    runs = counts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(_RUN).cast("long"))).alias("_from"))
+    spread = runs.repartition(*[F.col(c) for c in df.columns], F.col("_from"))
+    each = spread.select(*df.columns, F.explode(F.sequence("_from", F.least(F.col("_n") - 1, F.col("_from") + (_RUN - 1)))).alias("_at"))
+    return each.select(*df.columns, F.xxhash64(*df.columns, "_at").alias("log_id"))

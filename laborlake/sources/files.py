@@ -1,86 +1,68 @@
-"""CSV file and folder scans with the reference's malformed-row rules.
+"""CSV file and folder scans with fixed malformed-row rules.
 
 Rules (pandas ``read_csv(on_bad_lines='skip')`` semantics):
-  * first line of each file is its header; blank lines are skipped
+  * first line of each file is its header (a repeated name is numbered: ``id``, ``id.1``); blank lines are skipped
+  * fields may be quoted; a doubled quote stands for one, and separators and line ends inside quotes are data
   * a row with more fields than the header is dropped (also when the extra field is blank)
   * a row with fewer fields is padded with nulls
   * empty fields are null; with ``na_tokens`` those strings are null too (default none, so a
     region "NA" survives)
-  * column types are inferred over the data: all values integral -> BIGINT, all numeric ->
-    DOUBLE, else STRING (values that do not parse never fail the read)
+  * content columns have their fixed types (``conform_content``); the types of other columns are inferred over
+    the data: all values integral -> BIGINT (STRING if any is too long for it), all numeric -> DOUBLE, else STRING
 
-How: every file group with the same header is read by Spark's CSV reader with the
-header's columns; a row with another field count keeps its raw text in the
+How: one pass over the text lines finds each file's header and whether a quoted field spans
+lines. Files of one kind are read by Spark's CSV reader with the header's columns, those with spanning
+fields in its multi-line mode; a row with another field count keeps its raw text in the
 corrupt-record column, and it is dropped when that text has more fields than the
-header (counted outside quotes, so a blank extra field counts). Groups are
-unioned by name. Headers come from a distributed read of each file's first line; the
-driver sees only the distinct header lines and the file list (metadata).
+header (counted outside quotes, so a blank extra field counts). Kinds are
+unioned by name. The driver sees the distinct headers; only where they differ, also the paths by kind.
 """
 
 from __future__ import annotations
 
 import csv
 import io
-import sys
-from collections.abc import Iterable, Iterator
+import logging
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from laborlake.functions.tasks import ship_by_value
-
+from laborlake.functions.expressions import conform_content, normalize_name
+from laborlake.schemas import CONTENT_SCHEMA
+from laborlake.session import fresh_path
 
 _CORRUPT = "_raw_line"
+ARRIVAL = ["arrival_part", "arrival_block", "arrival_pos"]
 
 
-def _first_line(path: str) -> str | None:
-    from pyarrow import fs as pafs
-
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    filesystem, rel = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-    with filesystem.open_input_stream(rel) as f:
-        buf = b""
-        while b"\n" not in buf:
-            chunk = f.read(65536)
-            if not chunk:
-                break
-            buf += chunk
-    line = buf.split(b"\n", 1)[0].rstrip(b"\r")
-    if line.startswith(b"\xef\xbb\xbf"):
-        line = line[3:]
-    return line.decode("utf-8", errors="replace") if buf else None
-
-
-def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        yield pd.DataFrame({"path": pdf["path"], "header": [_first_line(p) for p in pdf["path"]]})
-
-
-def list_csv_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Top-level ``*.csv`` files of ``folder`` (suffix case-sensitive), one row each; content not read."""
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-               .option("recursiveFileLookup", "true").load(folder).select("path"))
-    top = folder.rstrip("/")
-    if top.startswith("/"):
-        top = "file:" + top
-    return listing.where(F.regexp_replace("path", r"/[^/]+$", "") == F.lit(top))
+def file_kinds(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
+    """(path, header, multiline) of each file: its first line, and whether any line leaves a quote open.
 
-
-def file_headers(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """(path, header) - each file's first line, read in tasks (one small read per file)."""
-    return files.mapInPandas(_headers, "path string, header string")
-
-
-ship_by_value(sys.modules[__name__])
+    Without ``recursiveFileLookup`` a folder's listing holds its top-level files only, on any file system.
+    """
+    reader = spark.read.format("text")
+    lines = (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    placed = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+                          F.monotonically_increasing_id().alias("at"), (quotes % 2 == 1).alias("open"))
+    kinds = placed.groupBy("path").agg(F.min_by("value", F.struct("block", "at")).alias("header"), F.bool_or("open").alias("multiline"))
+    out = fresh_path(spark, "staging", "csv_kinds")
+    kinds.write.parquet(out)
+    return spark.read.schema(kinds.schema).parquet(out)
 
 
 def parse_header(line: str) -> list[str]:
-    return next(csv.reader(io.StringIO(line))) if line else []
+    """Column names of a header line; the second ``id`` is ``id.1``, and so on."""
+    names: list[str] = []
+    for name in next(csv.reader(io.StringIO(line.lstrip("\ufeff")))) if line else []:
+        n, own = 0, name
+        while own in names:
+            n += 1
+            own = f"{name}.{n}"
+        names.append(own)
+    return names
 
 
 def _field_count(line):
@@ -89,15 +71,17 @@ def _field_count(line):
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
-def _read_group(spark: SparkSession, paths: list[str], names: list[str], multiline: bool) -> DataFrame:
+def _read_group(spark: SparkSession, paths: str | list[str], glob: str | None, names: list[str], multiline: bool) -> DataFrame:
     # Exactly the header's columns + the corrupt-record column. Rows with the
     # header's field count parse normally; only short or long rows are
     # "malformed" and keep their raw text, whose field count (outside quotes,
     # so a blank extra field counts) tells short (keep, padded) from long (drop).
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names]
                           + [T.StructField(_CORRUPT, T.StringType(), True)])
-    df = (spark.read.schema(schema)
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    df = (reader.schema(schema)
           .option("header", True)
+          .option("escape", '"')
           .option("enforceSchema", True)
           .option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", _CORRUPT)
@@ -110,7 +94,10 @@ def _read_group(spark: SparkSession, paths: list[str], names: list[str], multili
     # the always-true test on the first column keeps a data column in the scan.
     touch = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
     return df.where(keep & touch).select(*[F.col(f"`{n}`") for n in names],
-                                          F.col("_metadata.file_name").alias("source_file"))
+                                          F.col("_metadata.file_name").alias("source_file"),
+                                          F.col("_metadata.file_path").alias("arrival_part"),
+                                          F.col("_metadata.file_block_start").alias("arrival_block"),
+                                          F.monotonically_increasing_id().alias("arrival_pos"))
 
 
 def _null_tokens(df: DataFrame, cols: list[str], na_tokens: Iterable[str]) -> DataFrame:
@@ -127,25 +114,31 @@ def _null_tokens(df: DataFrame, cols: list[str], na_tokens: Iterable[str]) -> Da
 
 # Text forms accepted as numbers by the type inference (checked with a regex, so a
 # non-numeric column never goes through a failing cast per value).
-_INT_RE = r"^\s*[+-]?[0-9]{1,18}\s*$"
+_INT_RE = r"^\s*[+-]?[0-9]+\s*$"
 _NUM_RE = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))\s*$"
 
 
 def infer_types(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Cast string columns to BIGINT/DOUBLE when every non-null value is such a number (one aggregate job)."""
+    """Cast string columns to BIGINT/DOUBLE when every non-null value is such a number (one aggregate job).
+
+    Whole numbers of which any is too long for BIGINT stay text: as DOUBLE, different keys would become equal.
+    """
     if not cols:
         return df
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`")
         aggs.append(F.count_if(x.isNotNull() & ~x.rlike(_INT_RE)).alias(f"i{i}"))
+        aggs.append(F.count_if(x.rlike(_INT_RE) & F.trim(x).try_cast("bigint").isNull()).alias(f"l{i}"))
         aggs.append(F.count_if(x.isNotNull() & ~x.rlike(_NUM_RE)).alias(f"d{i}"))
         aggs.append(F.count(x).alias(f"n{i}"))
     stats = df.agg(*aggs).first()
     out = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`")
-        if stats[f"n{i}"] and stats[f"i{i}"] == 0:
+        if stats[f"l{i}"]:
+            out.append(x)
+        elif stats[f"n{i}"] and stats[f"i{i}"] == 0:
             out.append(F.trim(x).try_cast("bigint").alias(c))
         elif stats[f"n{i}"] and stats[f"d{i}"] == 0:
             out.append(F.trim(x).try_cast("double").alias(c))
@@ -154,45 +147,44 @@ def infer_types(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*out, *[c for c in df.columns if c not in cols])
 
 
-def read_csv_files(spark: SparkSession, headers: DataFrame, na_tokens: Iterable[str] = (),
-                   multiline: bool = False, infer: bool = True, with_source: bool = True) -> DataFrame | None:
-    """Read the files of a (path, header) frame; one CSV scan per distinct header, unioned by name."""
-    # File list grouped by header line: metadata only (one short row per file).
-    groups: dict[str, list[str]] = {}
-    for r in headers.collect():
-        groups.setdefault(r["header"], []).append(r["path"])
+def read_csv(spark: SparkSession, path: str, glob: str | None = None, na_tokens: Iterable[str] = (),
+             infer: bool = True) -> DataFrame | None:
+    """Read a file or the matching files of a folder; one CSV scan per kind of file, unioned by name."""
+    kinds = file_kinds(spark, path, glob)
+    distinct = kinds.select("header", "multiline").distinct().collect()
     frames = []
-    for sig, paths in sorted(groups.items(), key=lambda kv: kv[0] or ""):
-        names = parse_header(sig)
+    for kind in sorted(distinct, key=lambda r: (r["header"] or "", r["multiline"])):
+        names = parse_header(kind["header"])
         if not names:
             continue
-        frames.append(_read_group(spark, sorted(paths), names, multiline))
+        paths: str | list[str] = path
+        if len(distinct) > 1:  # file names only, and only where the files differ
+            same = kinds.where(F.col("header").eqNullSafe(F.lit(kind["header"])) & (F.col("multiline") == kind["multiline"]))
+            paths = sorted(r["path"] for r in same.select("path").collect())
+        frames.append(_read_group(spark, paths, glob, names, kind["multiline"]))
     if not frames:
         return None
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    cols = [c for c in out.columns if c != "source_file"]
-    out = _null_tokens(out, cols, na_tokens)
-    if infer:
-        out = infer_types(out, cols)
-    return out if with_source else out.drop("source_file")
+    cols = [c for c in out.columns if c not in ("source_file", *ARRIVAL)]
+    out = conform_content(_null_tokens(out, cols, na_tokens))
+    fixed = {f.name for f in CONTENT_SCHEMA.fields}
+    return infer_types(out, [c for c in cols if normalize_name(c) not in fixed]) if infer else out
 
 
-def ingest_csv_file(spark: SparkSession, path: str, **kw) -> DataFrame:
+def ingest_csv_file(spark: SparkSession, path: str, arrival: bool = False, **kw) -> DataFrame:
     """One CSV file; a missing file raises (PATH_NOT_FOUND from Spark)."""
-    files = spark.read.format("binaryFile").load(path).select("path")
-    df = read_csv_files(spark, file_headers(spark, files), with_source=False, **kw)
+    df = read_csv(spark, path, **kw)
     if df is None:
         return spark.createDataFrame([], T.StructType([]))
-    return df
+    return df.drop("source_file") if arrival else df.drop("source_file", *ARRIVAL)
 
 
-def ingest_folder(spark: SparkSession, folder: str, **kw) -> DataFrame:
-    """All top-level ``*.csv`` files, ``source_file`` = base name; none -> empty frame."""
-    df = read_csv_files(spark, file_headers(spark, list_csv_files(spark, folder)), **kw)
+def ingest_folder(spark: SparkSession, folder: str, arrival: bool = False, **kw) -> DataFrame:
+    """All top-level ``*.csv`` files (suffix case-sensitive), ``source_file`` = base name; none -> empty frame."""
+    df = read_csv(spark, folder, glob="*.csv", **kw)
     if df is None:
-        import logging
         logging.getLogger(__name__).warning("No CSV files found in %s", folder)
         return spark.createDataFrame([], T.StructType([]))
-    return df
+    return df if arrival else df.drop(*ARRIVAL)

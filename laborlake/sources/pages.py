@@ -13,11 +13,12 @@ and the records are the ``results`` of pages ``1 .. stop-1`` in page order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from laborlake.schemas import LABOR_PAGE_SCHEMA, LABOR_RECORD_SCHEMA
+from laborlake.schemas import API_PAGE_SIZE, LABOR_PAGE_SCHEMA, LABOR_RECORD_SCHEMA
+from laborlake.session import fresh_path
 
 
 def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -27,12 +28,18 @@ def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def stop_page(pages: DataFrame) -> DataFrame:
     """One-row frame with the first page number that is not read (``stop``)."""
-    p = pages.select(F.col("page").cast(T.IntegerType()).alias("page"), "results", "next").where(F.col("page") >= 1)
-    empty = p.where(F.coalesce(F.size("results"), F.lit(0)) <= 0).select(F.col("page").alias("s"))
-    last = p.where(F.coalesce(F.col("next"), F.lit("")) == "").select((F.col("page") + 1).alias("s"))
+    spark = pages.sparkSession
+    narrow = pages.select(F.col("page").cast(T.IntegerType()).alias("page"),
+                          (F.coalesce(F.size("results"), F.lit(0)) <= 0).alias("is_empty"),
+                          (F.coalesce(F.col("next"), F.lit("")) == "").alias("is_last")).where(F.col("page") >= 1)
+    path = fresh_path(spark, "staging", "pages")  # one row per page: the landed JSON is parsed once for all rules
+    narrow.write.parquet(path)
+    p = spark.read.schema(narrow.schema).parquet(path)
+    empty = p.where("is_empty").select(F.col("page").alias("s"))
+    last = p.where("is_last").select((F.col("page") + 1).alias("s"))
     landed = p.select("page").distinct()
     # a page whose successor did not land (page 0 stands for "before the first page")
-    preds = landed.union(pages.sparkSession.range(1).select(F.lit(0).cast("int").alias("page")))
+    preds = landed.union(spark.range(1).select(F.lit(0).cast("int").alias("page")))
     gaps = (preds.select((F.col("page") + 1).alias("s"))
             .join(landed, F.col("s") == landed.page, "left_anti"))
     return empty.union(last).union(gaps).agg(F.min("s").alias("stop"))
@@ -52,16 +59,21 @@ def records_to_frame(records: DataFrame) -> DataFrame:
                             for n, t in cols.items()])
 
 
-def land_pages(records: DataFrame, project_col: str = "project_id", projects_per_page: int = 25) -> DataFrame:
-    """Shape records as API response pages (test fixture): projects ``25*k .. 25*k+24`` form page k+1.
+def land_pages(records: DataFrame, order: list[str], page_size: int = API_PAGE_SIZE) -> DataFrame:
+    """Shape records as API response pages (test fixture): ``page_size`` records a page, in the order of ``order``.
 
-    A page holds the records of 25 consecutive numeric project ids (the API's page is bounded the
-    same way); ``next`` is null on the last page.
+    Places come from counts per range of the first order column and a row number within each range, so no
+    task holds more than one range. ``next`` is null on the last page.
     """
-    page = (F.floor(F.col(project_col).cast("bigint") / projects_per_page) + 1).cast("int")
-    rec = F.struct(*[F.col(f.name) for f in LABOR_RECORD_SCHEMA.fields])
-    grouped = records.groupBy(page.alias("page")).agg(F.collect_list(rec).alias("results"))
-    last = records.agg(F.max(page)).scalar()  # one-column aggregate, not a second grouping
-    return grouped.select("page", "results",
-                          F.when(F.col("page") < last, F.format_string("?page=%d", F.col("page") + 1))
-                          .alias("next"))
+    fields = [F.col(f.name) for f in LABOR_RECORD_SCHEMA.fields]
+    ranged = records.withColumn("_range", F.floor(F.col(order[0]) / 1000))
+    sums = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = (ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+              .select("_range", F.coalesce(F.sum("_n").over(sums), F.lit(0)).alias("_before")))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order, *fields))
+    placed = ranged.withColumn("_within", within).join(before, "_range").withColumn("_at", F.col("_before") + F.col("_within") - 1)
+    page = (F.floor(F.col("_at") / page_size) + 1).cast("int")
+    grouped = placed.groupBy(page.alias("page")).agg(F.array_sort(F.collect_list(F.struct("_at", F.struct(*fields).alias("r")))).alias("sorted"))
+    total = records.agg(F.count(F.lit(1))).scalar()
+    return grouped.select("page", F.col("sorted.r").alias("results"),
+                          F.when(F.col("page") * page_size < total, F.format_string("?page=%d", F.col("page") + 1)).alias("next"))

@@ -2,9 +2,8 @@
 
 ``content_events``      clean silver-shaped events: orders x customer x nation x region
 ``content_events_raw``  the same events as they arrive on the topic (dirty text, null
-                        departments, ISO timestamps) plus re-deliveries: every returned
-                        line item (l_returnflag = 'R') re-delivers its order as a
-                        'content_updated' event, so a key can arrive several times
+                        departments, ISO timestamps) plus re-deliveries: every line item
+                        re-delivers its order as a 'content_updated' event, so a key arrives several times
 ``labor_records``       labor-log API records: one per line item
 
 All are lazy plans; filters and projections of the callers reach the parquet scans.
@@ -25,16 +24,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 ISO_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table (read-only input): the scan's schema and file listing are resolved once per session."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    """A driver table (read-only input)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,44 +70,32 @@ def content_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-RAW_COLUMNS = ["content_id", "title", "category", "region", "department", "labor_hours",
-               "timestamp", "event_type", "ingest_seq"]
-
-
 def content_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topic-shaped raw events with duplicates, nulls and padding; ``ingest_seq`` is arrival order."""
-    f = _order_facts(spark, sf_dir)
-    original = f.select(
-        F.col("o_orderkey").cast(T.StringType()).alias("content_id"),
-        F.col("c_name").alias("title"),
-        F.lower("c_mktsegment").alias("category"),
-        F.concat(F.lit(" "), F.lower("r_name"), F.lit(" ")).alias("region"),
-        F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("department"),
-        _hours().alias("labor_hours"),
-        F.date_format("o_orderdate", ISO_TEXT).alias("timestamp"),
-        F.col("o_orderstatus").alias("event_type"),
-        F.lit(0).cast(T.LongType()).alias("ingest_seq"),
-    )
-    returned = (table(spark, sf_dir, "lineitem")
-                .where(F.col("l_returnflag") == "R")
-                .select("l_orderkey", "l_linenumber"))
-    redelivered = f.join(returned, f.o_orderkey == returned.l_orderkey).select(
+    """Topic-shaped raw events with duplicates, nulls and padding; ``ingest_seq`` is arrival order.
+
+    The deliveries (an order's own, and one for each of its line items) are put together
+    as keys first and joined to the order's facts once.
+    """
+    first = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.lit(0).cast("long").alias("ingest_seq"))
+    again = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_linenumber").cast("long").alias("ingest_seq"))
+    facts = _order_facts(spark, sf_dir)
+    f = first.unionByName(again).join(facts, F.col("key") == facts.o_orderkey)
+    own = F.col("ingest_seq") == 0
+    return f.select(
         F.col("o_orderkey").cast(T.StringType()).alias("content_id"),
-        F.concat(F.lit("  "), F.col("c_name"), F.lit("  ")).alias("title"),
+        F.when(own, F.col("c_name")).otherwise(F.concat(F.lit("  "), F.col("c_name"), F.lit("  "))).alias("title"),
         F.lower("c_mktsegment").alias("category"),
         F.concat(F.lit(" "), F.lower("r_name"), F.lit(" ")).alias("region"),
-        F.col("o_orderpriority").alias("department"),
+        F.when(~own | (F.col("o_orderpriority") != "4-NOT SPECIFIED"), F.col("o_orderpriority")).alias("department"),
         _hours().alias("labor_hours"),
-        F.date_format(F.col("o_orderdate") + F.make_interval(days=F.col("l_linenumber")), ISO_TEXT)
-        .alias("timestamp"),
-        F.lit("content_updated").alias("event_type"),
-        F.col("l_linenumber").cast(T.LongType()).alias("ingest_seq"),
+        F.date_format(F.col("o_orderdate") + F.make_interval(days=F.col("ingest_seq").cast("int")), ISO_TEXT).alias("timestamp"),
+        F.when(own, F.col("o_orderstatus")).otherwise(F.lit("content_updated")).alias("event_type"),
+        "ingest_seq",
     )
-    return original.unionByName(redelivered)
 
 
-def labor_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labor-log API records: project = order, employee = supplier, hours = quantity."""
+def labor_records(spark: SparkSession, sf_dir: str, order: bool = False) -> DataFrame:
+    """Labor-log API records: project = order, employee = supplier, hours = quantity; with ``order``, their line items' keys."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_suppkey").cast(T.StringType()).alias("employee_id"),
@@ -124,4 +104,5 @@ def labor_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast(T.DoubleType()).alias("hours_logged"),
         iso_week("l_shipdate").alias("week"),
         F.col("l_returnflag").alias("role"),
+        *(["l_orderkey", "l_linenumber"] if order else []),
     )

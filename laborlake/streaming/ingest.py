@@ -8,54 +8,58 @@ cluster is ``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from laborlake.operators.silver import event_columns
-from laborlake.sources.topic import decode_events, split_dead_letters
-
-# Re-deliveries arriving within this time of the first delivery are removed by the
-# streaming de-duplication; the state holds only keys seen within it.
-DEFAULT_REDELIVERY_WINDOW = "1 hour"
-
+from laborlake.schemas import HOURS_TEXT
+from laborlake.sources.topic import CORRUPT, decode_events, is_dead, split_dead_letters
 
 def _trigger(writer, available_now: bool, interval: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
 
 
-def start_bronze_ingest(messages: DataFrame, bronze_path: str, dead_letter_path: str, checkpoint: str,
+def start_bronze_ingest(messages: DataFrame, bronze_path: str, checkpoint: str,
                         source_system: str = "topic", available_now: bool = True,
                         interval: str = "30 seconds") -> StreamingQuery:
-    """T-S1: decode each micro-batch; good events append to bronze, bad ones to dead letters.
+    """T-S1: decode each micro-batch once and write it once; ``dead=true`` holds its dead letters.
 
     Each batch writes under ``batch_id=<id>`` with dynamic overwrite, so a batch
     replayed after a failure replaces its own output (idempotent sink).
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_events(batch)
-        good, dead = split_dead_letters(decoded)
+        placed = batch.withColumn("arrival_pos", F.coalesce("arrival_pos", F.monotonically_increasing_id()))
+        decoded = decode_events(placed)
         stamp = [F.lit(source_system).alias("source_system"), F.current_timestamp().alias("ingested_at"),
-                 F.lit(batch_id).cast("bigint").alias("batch_id")]
-        (good.select("*", *stamp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(bronze_path))
-        (dead.select("*", *stamp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(dead_letter_path))
+                 F.lit(batch_id).cast("bigint").alias("batch_id"), is_dead().alias("dead")]
+        (decoded.select("*", *stamp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id", "dead").parquet(bronze_path))
 
     w = messages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
 
 
-def silver_stream(messages: DataFrame, redelivery_window: str = DEFAULT_REDELIVERY_WINDOW) -> DataFrame:
-    """T-S2 + T-S3: decode, X1 column functions, de-duplicate content_id within the arrival watermark."""
+def read_bronze(spark: SparkSession, bronze_path: str, dead: bool = False) -> DataFrame:
+    """The good events (or the dead letters) of the bronze stream."""
+    rows = spark.read.parquet(bronze_path).where(F.col("dead") == dead).drop("dead")
+    return rows if dead else rows.drop(CORRUPT, "value")
+
+
+def silver_stream(messages: DataFrame, redelivery_window: str) -> DataFrame:
+    """T-S2 + T-S3: decode, X1 column functions, de-duplicate content_id within the arrival watermark.
+
+    ``redelivery_window`` bounds the state: later re-deliveries are not recognised, and of deliveries
+    within one micro-batch any may stay. The exact path is the bronze stream with silver rebuilt from it.
+    """
     good, _ = split_dead_letters(decode_events(messages))
-    return (event_columns(good)
+    return (event_columns(good.drop(HOURS_TEXT))
             .withWatermark("arrived_at", redelivery_window)
             .dropDuplicatesWithinWatermark(["content_id"]))
 
 
 def start_silver_stream(messages: DataFrame, silver_path: str, checkpoint: str,
-                        redelivery_window: str = DEFAULT_REDELIVERY_WINDOW, available_now: bool = True,
+                        redelivery_window: str, available_now: bool = True,
                         interval: str = "30 seconds") -> StreamingQuery:
     """T-S4: append silver rows as parquet partitioned by region."""
     w = (silver_stream(messages, redelivery_window).writeStream.format("parquet")

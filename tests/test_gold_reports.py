@@ -14,20 +14,18 @@ def _rows(df, key):
 
 
 def test_flags(silver):
-    got = {r.content_id[-3:]: (r.labor_flag, r.labor_hours) for r in silver.collect()}
-    assert got == {"001": ("HIGH", 120), "002": ("MEDIUM", 85), "003": ("HIGH", 200), "004": ("MEDIUM", 60),
-                   "005": ("LOW", 45)}
+    got = {r.content_id: (r.labor_flag, r.labor_hours) for r in silver.collect()}
+    assert got == {"K-01": ("MEDIUM", 51), "K-02": ("HIGH", 101), "K-03": ("LOW", 50), "K-04": ("HIGH", 160), "K-05": ("MEDIUM", 100)}
 
 
 def test_department_summary(silver):
     got = [tuple(r) for r in gold.department_summary(silver).collect()]
-    assert got == [("Animation", 1, 200, 200.0, 1), ("Editing", 1, 60, 60.0, 0),
-                   ("Post-Production", 2, 165, 82.5, 1), ("VFX", 1, 85, 85.0, 0)]
+    assert got == [("Edit", 2, 201, 100.5, 1), ("Effects", 1, 160, 160.0, 1), ("Sound", 2, 101, 50.5, 0)]
 
 
 def test_category_summary(silver):
     got = [tuple(r) for r in gold.category_summary(silver).collect()]
-    assert got == [("DOCUMENTARY", 1, 60, 60.0), ("MOVIE", 3, 365, 121.67), ("SERIES", 1, 85, 85.0)]
+    assert got == [("FEATURE", 3, 251, 83.67), ("SERIAL", 1, 51, 51.0), ("SHORT", 1, 160, 160.0)]
 
 
 def test_gold_totals_add_up(silver):
@@ -40,20 +38,20 @@ def test_a1_a2_columns_and_order(silver):
     a1 = gold.aggregate_labor_by_department(silver)
     assert a1.columns == ["department", "region", "total_labor_hours", "avg_labor_hours", "total_projects",
                           "max_labor_hours"]
-    assert [r.total_labor_hours for r in a1.collect()] == [200, 165, 85, 60]
+    assert [r.total_labor_hours for r in a1.collect()] == [160, 101, 100, 51, 50]
     a2 = gold.aggregate_by_category(silver).collect()
-    assert a2[0].category == "MOVIE" and a2[0].total_titles == 3
+    assert a2[0].category == "FEATURE" and a2[0].total_titles == 3
 
 
 def test_report1(silver):
     got = [tuple(r) for r in reports.labor_by_department(silver).collect()]
-    assert got == [("Animation", "US", 1, 200, 200.0, 200, 1), ("Post-Production", "US", 2, 165, 82.5, 120, 1),
-                   ("VFX", "EU", 1, 85, 85.0, 85, 0), ("Editing", "APAC", 1, 60, 60.0, 60, 0)]
+    assert got == [("Effects", "WEST", 1, 160, 160.0, 160, 1), ("Edit", "SOUTH", 1, 101, 101.0, 101, 1),
+                   ("Edit", "NORTH", 1, 100, 100.0, 100, 0), ("Sound", "NORTH", 1, 51, 51.0, 51, 0), ("Sound", "SOUTH", 1, 50, 50.0, 50, 0)]
 
 
 def test_report2(silver):
     got = [tuple(r) for r in reports.category_region_volume(silver).collect()]
-    assert got == [("DOCUMENTARY", "APAC", 1, 60), ("MOVIE", "US", 3, 365), ("SERIES", "EU", 1, 85)]
+    assert got == [("FEATURE", "SOUTH", 2, 151), ("FEATURE", "NORTH", 1, 100), ("SERIAL", "NORTH", 1, 51), ("SHORT", "WEST", 1, 160)]
 
 
 def test_report3(silver):
@@ -64,22 +62,22 @@ def test_report3(silver):
 def test_report4(silver):
     got = [tuple(r) for r in reports.monthly_throughput(silver.withColumn("processed_at", silver.event_timestamp))
            .collect()]
-    assert got == [("2024-01", 1, 120), ("2024-02", 1, 85), ("2024-03", 2, 260), ("2024-04", 1, 45)]
+    assert got == [("2023-11", 2, 152), ("2023-12", 1, 50), ("2024-01", 2, 260)]
 
 
 def test_report5(silver):
-    assert [r.content_id[-3:] for r in reports.top_effort(silver).collect()] == ["003", "001", "002", "004", "005"]
+    assert [r.content_id for r in reports.top_effort(silver).collect()] == ["K-04", "K-02", "K-05", "K-01", "K-03"]
 
 
 def test_report6(silver):
-    assert [tuple(r) for r in reports.above_average_departments(silver).collect()] == [("Animation", 200.0)]
+    assert [tuple(r) for r in reports.above_average_departments(silver).collect()] == [("Effects", 160.0), ("Edit", 100.5)]
+
+
+VARIANCE = {"K-01": 39.0, "K-02": -9.5, "K-03": None, "K-04": 0.0, "K-05": None}
 
 
 def test_report7(silver, sample_labor):
-    got = {r.content_id[-3:]: (r.event_labor_hours, r.actual_logged_hours, r.variance)
-           for r in reports.hours_variance(silver, sample_labor).collect()}
-    assert got == {"003": (200, 90.0, 110.0), "001": (120, 45.0, 75.0), "002": (85, 35.0, 50.0),
-                   "004": (60, 30.0, 30.0), "005": (45, None, None)}
+    assert {r.content_id: r.variance for r in reports.hours_variance(silver, sample_labor).collect()} == VARIANCE
 
 
 def test_gold_tables(silver):
@@ -89,24 +87,10 @@ def test_gold_tables(silver):
     assert gold.category_summary_table(silver).count() == 3
 
 
-@pytest.mark.parametrize("name,fn", [("labor_by_department", reports.labor_by_department),
-                                     ("category_region_volume", reports.category_region_volume),
-                                     ("labor_flag_distribution", reports.labor_flag_distribution),
-                                     ("top_effort", reports.top_effort),
-                                     ("above_avg_departments", reports.above_average_departments)])
-def test_sql_reports_equal_dataframe_reports(spark, silver, name, fn):
-    from laborlake.operators.reports_sql import run_report
-    assert [tuple(r) for r in run_report(spark, name, silver).collect()] == [tuple(r) for r in fn(silver).collect()]
-
-
-def test_sql_report_over_warehouse_table(spark, silver, sample_labor, tmp_path):
-    from laborlake.operators.reports_sql import run_report
-    from laborlake.sinks.warehouse import create_tables, insert
-    create_tables(spark, f"/tmp/{tmp_path.name}-wh")
-    insert(spark, "silver.content_events_clean", silver, overwrite=True)
-    insert(spark, "silver.labor_logs", sample_labor, overwrite=True)
-    got = {r.content_id[-3:]: r.variance for r in
-           run_report(spark, "hours_variance", "silver.content_events_clean", "silver.labor_logs").collect()}
-    assert got == {"003": 110.0, "001": 75.0, "002": 50.0, "004": 30.0, "005": None}
-    spark.sql("DROP TABLE silver.content_events_clean")
-    spark.sql("DROP TABLE silver.labor_logs")
+def test_report_over_warehouse_tables(spark, silver, sample_labor, tmp_path):
+    from laborlake.sinks.warehouse import create_tables, insert, with_log_id
+    create_tables(spark, f"/tmp/{tmp_path.name}-wh", "reports_")
+    insert(spark, "reports_silver.content_events_clean", silver, overwrite=True)
+    insert(spark, "reports_silver.labor_logs", with_log_id(sample_labor), overwrite=True)
+    got = reports.hours_variance(spark.table("reports_silver.content_events_clean"), spark.table("reports_silver.labor_logs"))
+    assert {r.content_id: r.variance for r in got.collect()} == VARIANCE

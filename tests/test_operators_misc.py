@@ -2,20 +2,10 @@ from pyspark.sql import functions as F
 
 from laborlake.functions.expressions import iso_week, normalize_name
 from laborlake.operators.dedup import keep_first
-from laborlake.operators.joins import broadcast_if_bounded
 from laborlake.sources.pages import land_pages, stop_page
 from laborlake.sources import tables
 
 
-def test_broadcast_only_within_bound(spark):
-    small = spark.range(10)
-    hinted = broadcast_if_bounded(small, 10)
-    assert hinted is not small
-    assert "BroadcastHashJoin" in spark.range(1000).join(hinted, "id")._jdf.queryExecution().executedPlan().toString()
-    big = spark.range(100)
-    assert broadcast_if_bounded(big, 10) is big
-
-
 def test_iso_week_year_boundaries(spark):
     df = spark.createDataFrame([("2024-12-30",), ("2021-01-03",), ("2024-03-05",)], "d string")
     got = [r.w for r in df.select(iso_week(F.to_date("d")).alias("w")).collect()]
@@ -33,21 +23,35 @@ def test_keep_first_null_keys_form_one_group(spark):
 
 
 def test_landed_pages_cover_every_record(spark):
-    recs = tables.labor_records(spark, "/root/testdata/sf0.001")
-    pages = land_pages(recs)
-    assert pages.select(F.sum(F.size("results"))).first()[0] == recs.count()
+    recs = tables.labor_records(spark, "/root/testdata/sf0.001", order=True)
+    pages = land_pages(recs, ["l_orderkey", "l_linenumber"])
+    assert pages.select(F.sum(F.size("results")), F.max(F.size("results"))).first()[:] == (recs.count(), 100)
     assert stop_page(pages).first().stop == pages.agg(F.max("page")).first()[0] + 1
 
 
-def test_shuffle_sizing_from_plan_estimate(spark):
-    from laborlake.session import plan_size_bytes, size_shuffles_for
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        size = plan_size_bytes(tables.table(spark, "/root/testdata/sf0.001", "lineitem"))
-        assert size > 0
-        assert size_shuffles_for(spark, 100 * 1024 ** 4) == 200_000      # 100 TiB: capped
-        assert size_shuffles_for(spark, 10 * 1024 ** 3) == 40            # 10 GiB / 256 MiB
-        assert size_shuffles_for(spark, size) == 8                       # tiny: floor
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_equal_log_records_get_keys_of_their_own(spark):
+    from laborlake.sinks.warehouse import with_log_id
+    one = spark.range(25_000).select(F.lit("e").alias("employee_id"), F.lit(None).cast("string").alias("role"))
+    keyed = with_log_id(one.unionByName(spark.createDataFrame([("f", "r")], one.schema)))
+    assert keyed.agg(F.count("log_id"), F.countDistinct("log_id")).first()[:] == (25_001, 25_001)
+    assert keyed.select("employee_id", "role").exceptAll(one).count() == 1
+
+
+def test_no_second_scan_for_the_key_rule(spark):
+    from laborlake.operators import quality
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5)], "k string, v int")
+    tagged = quality.apply_rules(df, [], key="k")
+    assert {(r.k, r.v): r.violations for r in tagged.collect()} == {
+        ("a", 1): ["primary_key_unique"], ("a", 2): ["primary_key_unique"], ("b", 3): [], (None, 4): [], (None, 5): []}
+    assert "Join" not in tagged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from laborlake import session
+    context = SimpleNamespace(applicationId="other", master="yarn", getConf=lambda: {}, getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError):
+        session.scratch_root(SimpleNamespace(sparkContext=context))

@@ -56,6 +56,30 @@ def test_folder_binds_by_name(spark, tmpdir_):
         (1, 2, "x.csv"), (3, 4, "x.csv"), (6, 5, "y.csv")]
 
 
+def test_quotes_and_line_ends(spark, tmpdir_):
+    p = os.path.join(tmpdir_, "q.csv")
+    open(p, "w").write('id,a,a\n1,"He said ""hi"", ok",x\n2,"one\ntwo","say ""no"""\n3,,""\n')
+    rows = {r.id: tuple(r)[1:] for r in ingest_csv_file(spark, p).collect()}
+    assert rows == {1: ('He said "hi", ok', "x"), 2: ("one\ntwo", 'say "no"'), 3: (None, None)}
+    assert ingest_csv_file(spark, p).columns == ["id", "a", "a.1"]
+
+
+def test_long_integers_stay_distinct(spark, tmpdir_):
+    p = os.path.join(tmpdir_, "n.csv")
+    open(p, "w").write("a,b,c\n1234567890123456789,99999999999999999999,1\n1234567890123456788,99999999999999999998,2.5\n")
+    df = ingest_csv_file(spark, p)
+    assert dict(df.dtypes) == {"a": "bigint", "b": "string", "c": "double"}
+    assert df.select("a").distinct().count() == df.select("b").distinct().count() == 2
+
+
+def test_folder_by_url_and_mixed_kinds(spark, tmpdir_):
+    open(os.path.join(tmpdir_, "x.csv"), "w").write("content_id,k\n001,p\n")
+    open(os.path.join(tmpdir_, "y.csv"), "w").write('content_id,k\n002,"q\n"\n')
+    for folder in (tmpdir_, f"file://{tmpdir_}", f"file:{tmpdir_}/"):
+        got = sorted((r.content_id, r.k.strip(), r.source_file) for r in ingest_folder(spark, folder).collect())
+        assert got == [("001", "p", "x.csv"), ("002", "q", "y.csv")]
+
+
 def test_folder_without_csv_is_empty(spark, tmpdir_):
     open(os.path.join(tmpdir_, "readme.txt"), "w").write("x")
     assert ingest_folder(spark, tmpdir_).count() == 0

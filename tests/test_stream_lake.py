@@ -7,13 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from laborlake.operators.silver import build_silver, transform_content_events
-from laborlake.plans.monitor import RunLog, run_summary
+from laborlake.plans.monitor import RunEvents, run_summary
 from laborlake.plans.etl_run import SourceConfig, extract, run_pipeline
 from laborlake.operators.quality import ValidationError
 from laborlake.sinks.lake import Lake
 from laborlake.sinks.warehouse import create_tables, insert
 from laborlake.sources.topic import read_topic
-from laborlake.streaming.ingest import start_bronze_ingest, start_silver_stream
+from laborlake.streaming.ingest import read_bronze, start_bronze_ingest, start_silver_stream
 
 
 @pytest.fixture
@@ -39,13 +39,13 @@ def test_stream_dedup_across_batches_and_restart(spark, tmp):
     src, out, chk = f"{tmp}/topic", f"{tmp}/silver", f"{tmp}/chk"
     _land(src, "b0.json", [_event("A", 120, "2024-01-01T00:00:00Z"), _event("B", 60, "2024-01-02T00:00:00Z")])
     _land(src, "b1.json", [_event("A", 999, "2024-01-03T00:00:00Z", title="dup"), "{bad"])
-    q = start_silver_stream(read_topic(spark, src, streaming=True, max_files_per_trigger=1), out, chk)
+    q = start_silver_stream(read_topic(spark, src, streaming=True, max_files_per_trigger=1), out, chk, "1 hour")
     q.awaitTermination()
     rows = {r.content_id: r for r in spark.read.parquet(out).collect()}
     assert set(rows) == {"A", "B"} and rows["A"].labor_hours == 120 and rows["A"].region == "US"
     # restart from the checkpoint: only the new file is read, A is still remembered
     _land(src, "b2.json", [_event("A", 5, "2024-01-04T00:00:00Z"), _event("C", 10, "2024-01-04T00:00:00Z")])
-    q = start_silver_stream(read_topic(spark, src, streaming=True, max_files_per_trigger=1), out, chk)
+    q = start_silver_stream(read_topic(spark, src, streaming=True, max_files_per_trigger=1), out, chk, "1 hour")
     q.awaitTermination()
     got = sorted((r.content_id, r.labor_hours) for r in spark.read.parquet(out).collect())
     assert got == [("A", 120), ("B", 60), ("C", 10)]
@@ -55,7 +55,7 @@ def test_stream_equals_batch_without_late_data(spark, tmp):
     src = f"{tmp}/topic"
     lines = [_event(f"K{i}", i * 7 % 150, f"2024-01-{1 + i % 28:02d}T00:00:00Z") for i in range(40)]
     _land(src, "b0.json", lines)
-    q = start_silver_stream(read_topic(spark, src, streaming=True), f"{tmp}/s", f"{tmp}/c")
+    q = start_silver_stream(read_topic(spark, src, streaming=True), f"{tmp}/s", f"{tmp}/c", "1 hour")
     q.awaitTermination()
     stream = spark.read.parquet(f"{tmp}/s").select("content_id", "labor_flag", "region", "event_timestamp")
     batch_src = read_topic(spark, src).select(F.from_json("value", "content_id string, title string, category string, "
@@ -68,10 +68,10 @@ def test_stream_equals_batch_without_late_data(spark, tmp):
 def test_bronze_stream_and_dead_letters(spark, tmp):
     src = f"{tmp}/topic"
     _land(src, "b0.json", [_event("A", 1, "2024-01-01T00:00:00Z"), "{bad", '{"k": 1}'])
-    q = start_bronze_ingest(read_topic(spark, src, streaming=True), f"{tmp}/bronze", f"{tmp}/dead", f"{tmp}/chk")
+    q = start_bronze_ingest(read_topic(spark, src, streaming=True), f"{tmp}/bronze", f"{tmp}/chk")
     q.awaitTermination()
-    assert spark.read.parquet(f"{tmp}/bronze").count() == 1
-    assert spark.read.parquet(f"{tmp}/dead").count() == 2
+    assert read_bronze(spark, f"{tmp}/bronze").count() == 1
+    assert sorted(r.value for r in read_bronze(spark, f"{tmp}/bronze", dead=True).collect()) == ['{"k": 1}', "{bad"]
 
 
 def test_lake_region_null_and_na(spark, tmp, sample_events):
@@ -81,7 +81,7 @@ def test_lake_region_null_and_na(spark, tmp, sample_events):
         .when(F.col("content_id").endswith("2"), "NA").otherwise(F.col("region")))
     lake.write_silver(df, "content")
     back = {r.content_id: r.region for r in lake.read_layer("silver", "content").collect()}
-    assert back["DIS-2024-001"] is None and back["DIS-2024-002"] == "NA"
+    assert back["K-01"] is None and back["K-02"] == "NA"
     with pytest.raises(FileNotFoundError):
         lake.read_layer("gold", "missing")
 
@@ -96,27 +96,24 @@ def test_lake_bronze_append_and_inventory(spark, tmp, sample_events):
 
 
 def test_warehouse_ddl_defaults(spark, tmp, sample_events):
-    create_tables(spark, f"{tmp}/wh")
+    create_tables(spark, f"{tmp}/wh", "defaults_")
     s = build_silver(sample_events).drop("processed_at", "pipeline_layer")
-    insert(spark, "silver.content_events_clean", s)
-    rows = spark.table("silver.content_events_clean").collect()
+    insert(spark, "defaults_silver.content_events_clean", s)
+    rows = spark.table("defaults_silver.content_events_clean").collect()
     assert len(rows) == 5 and {r.pipeline_layer for r in rows} == {"silver"}
     assert all(r.processed_at is not None for r in rows)
-    spark.sql("DROP TABLE silver.content_events_clean")
 
 
-def test_run_log_summary(spark, tmp):
-    log = RunLog(spark, "DemoETL", f"{tmp}/ops")
-    log.start()
-    for stage, rows in [("Extract", 100), ("Validate", 98)]:
-        log.log_stage(stage, rows)
-    log.log_warning("2 rows dropped due to null department")
-    log.log_stage("Transform", 98)
-    log.log_stage("Load", 98)
-    log.end(98)
-    log.flush()
-    s = run_summary(spark.read.parquet(f"{tmp}/ops")).first()
-    assert (s.total_events, s.errors, s.warnings) == (7, 0, 1)
+def test_run_events_are_typed(spark, tmp):
+    with pytest.raises(KeyError), RunEvents(spark, "nightly", f"{tmp}/ops") as events:
+        events.record("STAGE", "Extract", "SUCCESS", 12)
+        events.record("WARNING", message="two rows look odd")
+        raise KeyError("gone")
+    rows = spark.read.parquet(f"{tmp}/ops")
+    assert [(r.event_type, r.stage, r.rows) for r in rows.where("stage is not null").collect()] == [("STAGE", "Extract", 12)]
+    assert rows.where("seconds >= 0").count() == 4 and "gone" in rows.where("event_type = 'ERROR'").first().message
+    s = run_summary(rows).first()
+    assert (s.total_events, s.errors, s.warnings) == (4, 1, 1)
 
 
 def test_pipeline_strict_raises_and_logs(spark, tmp, sample_events):
@@ -126,7 +123,7 @@ def test_pipeline_strict_raises_and_logs(spark, tmp, sample_events):
     with pytest.raises(ValidationError):
         run_pipeline(spark, bad, lake, strict=True)
     ev = spark.read.parquet(f"{tmp}/ops/run_events")
-    assert ev.where(F.col("event_type") == "VALIDATION_FAILED").count() == 1
+    assert ev.where("event_type = 'VALIDATION' and status = 'FAILED'").count() == 1
     assert ev.where(F.col("event_type") == "ERROR").count() == 1
 
 
@@ -134,9 +131,30 @@ def test_pipeline_end_to_end(spark, tmp, sample_events):
     lake = Lake(spark, tmp)
     out = run_pipeline(spark, sample_events, lake)
     dept = [tuple(r) for r in lake.read_layer("gold", "department_summary").orderBy("department").collect()]
-    assert dept[0] == ("Animation", 1, 200, 200.0, 1)
+    assert dept[0] == ("Edit", 2, 201, 100.5, 1)
     assert lake.read_layer("silver", "content_events_clean").count() == 5
-    assert out["report"]["passed"]
+    assert out["report"]["passed"] and not os.listdir(f"{tmp}/_staging")
+
+
+def test_second_source_on_one_lake(spark, tmp):
+    """A topic run with bad messages and hours, then a file run with text ids and a column more."""
+    _land(f"{tmp}/topic", "b0.json", [_event("A", 120, "2024-01-01T00:00:00Z"), _event("B", "ten", "2024-01-01T00:00:00Z"),
+                                      _event("C", 100.5, "2024-01-01T00:00:00Z"), "{bad", _event(None, 5, "2024-01-01T00:00:00Z")])
+    os.makedirs(f"{tmp}/csv")
+    open(f"{tmp}/csv/x.csv", "w").write("content_id,title,category,department,labor_hours,region,release_year\n001,t,c,d,7,r,1990\n")
+    lake = Lake(spark, f"{tmp}/lake")
+    with pytest.raises(ValidationError, match="content_id"):
+        run_pipeline(spark, "kafka", lake, SourceConfig(topic_path=f"{tmp}/topic"))
+    out = run_pipeline(spark, "kafka", lake, SourceConfig(topic_path=f"{tmp}/topic"), strict=False)
+    assert out["report"]["total_rows"] == 4 and out["report"]["unparsed_hours"] == 2
+    assert [r.content_id for r in lake.read_layer("silver", "content_events_clean").collect()] == ["A"]
+    bad = {r.content_id: (r.labor_hours_text, r.violations) for r in lake.read_layer("silver", "content_events_quarantine").collect()}
+    assert bad == {"B": ("ten", ["labor_hours_type"]), "C": ("100.5", ["labor_hours_type"])}
+    run_pipeline(spark, "file", lake, SourceConfig(csv_path=f"{tmp}/csv"))
+    row = lake.read_layer("silver", "content_events_clean").first()
+    assert (row.content_id, row.labor_hours) == ("001", 7)
+    assert lake.read_bronze("content_events").where("release_year = 1990").count() == 1
+    assert lake.read_layer("bronze", "dead_letters").select("value").distinct().count() == 1
 
 
 def test_extract_router(spark, tmp):
@@ -145,7 +163,7 @@ def test_extract_router(spark, tmp):
     os.makedirs(f"{tmp}/csv")
     open(f"{tmp}/csv/legacy.csv", "w").write(
         "content_id,title,category,department,labor_hours,region,release_year,status\n"
-        "DIS-OLD-001,Aladdin,Movie,Animation,300,US,1992,archived\n")
+        "OLD-9,Stone Bridge,Feature,Edit,300,south,1992,archived\n")
     df = extract(spark, "file", SourceConfig(csv_path=f"{tmp}/csv"))
     r = df.first()
     assert r.labor_hours == 300 and r.release_year == 1992 and r.source_file == "legacy.csv"

@@ -26,8 +26,7 @@ def test_transform_metadata_and_rows(valid_df):
 
 def test_transform_flags(valid_df):
     out, _ = transform(valid_df)
-    assert {r.content_id: r.labor_flag for r in out.collect()} == {"DIS-001": "HIGH", "DIS-002": "MEDIUM",
-                                                                  "DIS-003": "LOW"}
+    assert {r.content_id: r.labor_flag for r in out.collect()} == {"V1": "HIGH", "V2": "MEDIUM", "V3": "LOW"}
 
 
 def test_transform_keeps_invalid_hours(df_with_issues):
@@ -36,7 +35,7 @@ def test_transform_keeps_invalid_hours(df_with_issues):
 
 
 def test_transform_gate_names_null_cause(spark, valid_df):
-    bad = valid_df.withColumn("department", F.when(F.col("content_id") == "DIS-001", None).otherwise(F.col("department")))
+    bad = valid_df.withColumn("department", F.when(F.col("content_id") == "V1", None).otherwise(F.col("department")))
     with pytest.raises(ValidationError, match="Critical null"):
         transform(bad)
 

@@ -46,16 +46,12 @@ def test_critical_nulls_fail(spark):
     assert report["duplicate_count"] == 1
 
 
-def test_validation_demo_counts(spark):
-    df = spark.createDataFrame([
-        ("DIS-001", "Encanto 2", "Movie", "Animation", 150, "US"),
-        ("DIS-002", "Mandalorian S4", "Series", "VFX", 85, "EU"),
-        ("DIS-002", "Mandalorian S4", "Series", "VFX", 85, "EU"),
-        ("DIS-003", "Thor", "Movie", "Post-Production", -5, "US"),
-    ], ["content_id", "title", "category", "department", "labor_hours", "region"])
-    passed, report = validate(df)
+def test_one_of_each_finding(spark):
+    rows = [("a", "t", "c", "d", 9, "r"), ("a", "u", "c", "d", 9, "r"), ("b", "t", "c", "d", 0, "r"), ("c", "t", None, "d", None, "r")]
+    passed, report = validate(spark.createDataFrame(rows, "content_id string, title string, category string, department string, "
+                                                          "labor_hours int, region string"))
     assert (passed, report["total_rows"], report["duplicate_count"], report["invalid_labor"]) == (True, 4, 1, 1)
-    assert len(report["warnings"]) == 2
+    assert len(report["warnings"]) == 2 and report["null_counts"]["category"] == 1
 
 
 def test_report_schema(valid_df):
