@@ -109,11 +109,16 @@ def conform_content(df: DataFrame) -> DataFrame:
     for c in df.columns:
         name = normalize_name(c)
         x = F.col(f"`{c}`")
-        if name == "labor_hours":
-            number = strip_ws(x.cast("string")).try_cast("double")
+        if name == "labor_hours" and df.schema[c].dataType == fixed[name]:
+            out.append(x)
+            spare = F.lit(None).cast("string").alias(HOURS_TEXT)
+        elif name == "labor_hours":
+            text = strip_ws(x.cast("string"))
+            plain, number = text.try_cast("int"), text.try_cast("double")  # the second only for what is no plain integer
             whole = (number == F.floor(number)) & (F.abs(number) < 2 ** 31)
-            out.append(F.when(whole, number.cast("int")).alias(c))
-            spare = F.when(x.isNotNull() & ~F.coalesce(whole, F.lit(False)), x.cast("string")).alias(HOURS_TEXT)
+            hours = F.when(plain.isNotNull(), plain).when(whole, number.cast("int"))
+            out.append(hours.alias(c))
+            spare = F.when(x.isNotNull() & plain.isNull() & ~F.coalesce(whole, F.lit(False)), x.cast("string")).alias(HOURS_TEXT)
         elif name in fixed:
             out.append(x.cast(fixed[name]).alias(c))
         elif name != HOURS_TEXT:
