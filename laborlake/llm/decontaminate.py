@@ -43,6 +43,7 @@ BUDGET = 0.05  # edits per passage character
 MIN_CHARS = 30
 PIECE_CHARS = 512
 BLOCK_CHARS = 1_000_000
+HITS = 2_000_000  # shared q-grams that are counted at once; a text with more is taken in overlapping stretches
 FILTER_BITS = 23  # size of the table that most foreign q-grams fail first
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -127,9 +128,35 @@ class Passages:
             return []
         low = np.searchsorted(self.hashes, grams[at], "left")
         n = np.searchsorted(self.hashes, grams[at], "right") - low
+        span = max(len(c) for c in self.codes) + 2 * int(self.step.max())  # text that one band can touch
+        stops = [None] if n.sum() <= HITS else [*range(4 * span, len(grams), 4 * span), None]
+        found: list[tuple[int, int, int, int]] = []
+        whole: dict[int, tuple[int, int]] = {}  # of a passage, the last match without edits that is reported
+        start = None
+        for stop in stops:
+            near = np.ones(len(at), bool) if start is None else at >= start
+            near &= True if stop is None else at < stop + span
+            for p, first in self._bands(at[near], low[near], n[near], start, stop):
+                if p in whole and whole[p][0] <= first and first + 2 * int(self.step[p]) - 1 < whole[p][1]:
+                    continue  # whatever this band holds begins within that match, and would give way to it
+                hit = align(self.codes[p], codes, first, first + 2 * int(self.step[p]) - 1, int(self.edits[p]))
+                if hit:
+                    edits, begin, end = hit
+                    found.append((p, int(places[begin]), int(places[end - 1]) + 1, edits))
+                    if not edits and (p not in whole or begin >= whole[p][1]):
+                        whole[p] = (begin, end)
+            start = stop
+        best: list[tuple[int, int, int, int]] = []
+        for p, start, end, edits in sorted(found, key=lambda r: (r[0], r[3], r[1], r[2])):
+            if not any(o[0] == p and o[1] < end and start < o[2] for o in best):
+                best.append((p, start, end, edits))
+        return sorted((self.items[p], start, end, edits) for p, start, end, edits in best)
+
+    def _bands(self, at: np.ndarray, low: np.ndarray, n: np.ndarray, start: int | None, stop: int | None) -> Iterator[tuple[int, int]]:
+        """(passage, first diagonal) of the bands from ``start`` to ``stop`` that reach the lemma's bound."""
         total = int(n.sum())
         if not total:
-            return []
+            return
         entry = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(total)
         owner, place = self.owner[entry], self.place[entry]
         diagonal = np.repeat(at, n) - place
@@ -140,19 +167,10 @@ class Passages:
         longest = int(self.place.max()) + 1
         shared = np.unique(np.concatenate([group, group - 1]) * longest + np.tile(place, 2)) // longest
         groups, counts = np.unique(shared, return_counts=True)
-        found = []
         for g in groups[counts >= self.least[groups // bands]]:
-            p, b = int(g) // bands, int(g) % bands + lowest
-            first = b * int(self.step[p])
-            hit = align(self.codes[p], codes, first, first + 2 * int(self.step[p]) - 1, int(self.edits[p]))
-            if hit:
-                edits, start, end = hit
-                found.append((p, int(places[start]), int(places[end - 1]) + 1, edits))
-        best: list[tuple[int, int, int, int]] = []
-        for p, start, end, edits in sorted(found, key=lambda r: (r[0], r[3], r[1], r[2])):
-            if not any(o[0] == p and o[1] < end and start < o[2] for o in best):
-                best.append((p, start, end, edits))
-        return sorted((self.items[p], start, end, edits) for p, start, end, edits in best)
+            p, first = int(g) // bands, (int(g) % bands + lowest) * int(self.step[int(g) // bands])
+            if (start is None or first >= start) and (stop is None or first < stop):
+                yield p, first
 
 
 def align(passage: np.ndarray, text: np.ndarray, first: int, last: int, budget: int) -> tuple[int, int, int] | None:
