@@ -6,8 +6,9 @@ weight is held below what the token budget would take from it in full. Every doc
 with the cell's calibrated probability, budgeted tokens over tokens at hand, against a keyed hash of its doc_id,
 so the sample is the same on every run and for every partitioning.
 
-The table of cells is one aggregate with a row per combination; it goes to the driver, and back as a broadcast,
-only while it has at most ``max_cells`` rows (a larger one is refused by an error, never cut).
+The table of cells is one aggregate with a row per combination. Up to ``max_cells`` rows it is raked on the driver and
+broadcast to the documents; a larger one is raked on Spark, every round an aggregate and a join per margin, and reaches
+the documents through a shuffle join, but for the hot cells. Both ways give the same probabilities.
 
 Targets: per margin, a table of shares, or a power: shares in proportion to the tokens at hand to that
 power (1 keeps them, 0 makes them equal). Categories that a given table leaves out get no weight.
@@ -27,13 +28,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlake.llm.common import own_columns, read
+from laborlake.llm.common import attach, own_columns, read, staged
 
 MARGINS = ("source", "lang", "topic")
 #: Target shares of the registered query: powers of the tokens at hand.
 TARGETS: dict[str, float | dict[str, float]] = {"source": 0.5, "lang": 0.7, "topic": 0.9}
 BUDGET = 0.8  # share of all tokens to sample
 MAX_CELLS = 200_000
+ROUNDS = 500
 SEED = 20_240_607
 NONE = "\x00none"
 
@@ -80,7 +82,7 @@ def shares(keys: list[str], held: np.ndarray, target: float | Mapping[str, float
 
 
 def rake(cells: list[tuple[str, ...]], held: np.ndarray, targets: Mapping[str, float | Mapping[str, float]], budget: float,
-         rounds: int = 500, tolerance: float = 1e-9) -> np.ndarray:
+         rounds: int = ROUNDS, tolerance: float = 1e-9) -> np.ndarray:
     """The cells' shares of the sampled tokens: raked to every margin, none over what the cell holds."""
     total = float(held.sum())
     if not total:
@@ -105,36 +107,94 @@ def rake(cells: list[tuple[str, ...]], held: np.ndarray, targets: Mapping[str, f
     return weight
 
 
-def probabilities(rows: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET,
-                  max_cells: int = MAX_CELLS) -> DataFrame:
-    """(source, lang, topic, weight, probability): one row per cell of ``rows`` (from ``profiled``)."""
+def rake_table(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]], budget: float, rounds: int = ROUNDS,
+               tolerance: float = 1e-9) -> DataFrame:
+    """``cells`` with a column ``weight``, as ``rake`` gives it, for tables of any size: each margin is one aggregate and one join."""
+    spark = cells.sparkSession
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    if not total:
+        return cells.withColumn("weight", F.lit(0.0))
+    goals = {}
+    for name in MARGINS:
+        table = cells.groupBy(name).agg(F.sum("tokens").cast("double").alias("held"), F.count(F.lit(1)).alias("cells"))
+        target = targets[name]
+        if isinstance(target, Mapping):
+            given = spark.createDataFrame([(k, float(v)) for k, v in target.items()], f"{name} string, goal double")
+            table = table.join(given, name, "left").withColumn("goal", F.coalesce("goal", F.lit(0.0)))
+        else:
+            table = table.withColumn("goal", F.when(F.col("held") > 0, F.pow("held", F.lit(float(target)))).otherwise(0.0))
+        table = staged(table, f"goal_{name}")
+        whole = table.agg(F.sum("goal")).first()[0]
+        goals[name] = table.select(name, "cells", (F.col("goal") / whole if whole else F.lit(0.0)).alias("goal"))
+    state = staged(cells.withColumn("weight", F.col("tokens") / F.lit(float(total))), "weights")
+    for _ in range(rounds):
+        raked = state.withColumn("before", F.col("weight"))
+        for name in MARGINS:
+            now = raked.groupBy(name).agg(F.sum("weight").alias("now"))
+            factor = staged(goals[name].join(now, name).select(
+                name, "cells", F.when(F.col("now") > 0, F.col("goal") / F.col("now")).otherwise(0.0).alias("factor")), "factors")
+            raked = staged(attach(raked, factor, name, "cells").withColumn("weight", F.col("weight") * F.col("factor"))
+                           .drop("factor", "cells"), "weights")
+        capped = raked.withColumn("weight", F.least("weight", F.col("tokens") / F.lit(budget * total)))
+        change = capped.agg(F.max(F.abs(F.col("weight") - F.col("before")))).first()[0]
+        state = capped.drop("before")
+        if change < tolerance:
+            break
+    return state
+
+
+def calibrated(rows: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET,
+               max_cells: int = MAX_CELLS, rounds: int = ROUNDS) -> tuple[DataFrame, bool]:
+    """One row per cell of ``rows`` (from ``profiled``): source, lang, topic, n, weight, probability; and whether they are few."""
     spark = rows.sparkSession
-    found = rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")).limit(max_cells + 1).collect()
+    table = rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n"))
+    found = table.limit(max_cells + 1).collect()
     if len(found) > max_cells:
-        raise ValueError(f"more than {max_cells} combinations of source, language and topic")
+        state = rake_table(staged(table, "cells"), targets, budget, rounds)
+        held = state.agg(F.sum("tokens")).first()[0]
+        take = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") * F.lit(budget * held) / F.col("tokens")))
+        return staged(state.select(*MARGINS, "n", "weight", take.otherwise(budget).alias("probability")), "calibrated"), False
     found.sort(key=lambda r: tuple(r[m] for m in MARGINS))
     held = np.array([r["tokens"] for r in found], float)
-    weight = rake([tuple(r[m] for m in MARGINS) for r in found], held, targets, budget)
+    weight = rake([tuple(r[m] for m in MARGINS) for r in found], held, targets, budget, rounds)
     take = np.minimum(1.0, np.divide(weight * budget * held.sum(), held, out=np.full(len(held), budget), where=held > 0))
-    out = [(*[r[m] for m in MARGINS], float(w), float(p)) for r, w, p in zip(found, weight, take, strict=True)]
-    return spark.createDataFrame(out, "source string, lang string, topic string, weight double, probability double")
+    out = [(*[r[m] for m in MARGINS], r["n"], float(w), float(p)) for r, w, p in zip(found, weight, take, strict=True)]
+    return spark.createDataFrame(out, "source string, lang string, topic string, n long, weight double, probability double"), True
 
 
-def mix(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET) -> DataFrame:
+def mix(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET,
+        max_cells: int = MAX_CELLS, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, source, lang, topic, tokens, weight, probability, selected) for every row of ``docs``."""
     rows = profiled(docs)
-    cells = F.broadcast(probabilities(rows, targets, budget))  # at most MAX_CELLS rows
-    return rows.join(cells, list(MARGINS), "left").select(
+    cells, few = calibrated(rows, targets, budget, max_cells, rounds)
+    if few:
+        joined = rows.join(F.broadcast(cells), list(MARGINS), "left")
+    else:
+        cell = F.struct(*MARGINS).alias("cell")
+        joined = attach(rows.withColumn("cell", cell), cells.select(cell, "n", "weight", "probability"), "cell", "n")
+    return joined.select(
         "doc_id", *[F.nullif(F.col(m), F.lit(NONE)).alias(m) for m in MARGINS], "tokens", "weight", "probability",
         (F.col("draw") < F.col("probability")).alias("selected"))
 
 
-def keep_sampled(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET) -> DataFrame:
+def keep_sampled(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET,
+                 max_cells: int = MAX_CELLS, rounds: int = ROUNDS) -> DataFrame:
     """The sampled rows of ``docs``, with all their columns."""
-    cells = probabilities(profiled(docs), targets, budget).select(*MARGINS, "probability")  # at most MAX_CELLS rows
+    cells, few = calibrated(profiled(docs), targets, budget, max_cells, rounds)
     mine = cell_columns(docs)
-    same = reduce(Column.__and__, [own == cells[m] for own, m in zip(mine, MARGINS, strict=True)])
-    return docs.join(F.broadcast(cells), same & (draw(docs) < cells["probability"]), "left_semi")
+
+    def same(table: DataFrame) -> Column:
+        return reduce(Column.__and__, [own == table[m] for own, m in zip(mine, MARGINS, strict=True)])
+
+    def sampled(rows: DataFrame, table: DataFrame) -> DataFrame:
+        return rows.join(table, same(table) & (draw(docs) < table["probability"]), "left_semi")
+
+    if few:
+        return sampled(docs, F.broadcast(cells))
+    # At most 1,000 cells hold over 1/1000 of all rows each; their documents are not shuffled.
+    limit = max(1, cells.agg(F.sum("n")).first()[0] // 1000)
+    hot, cold = F.broadcast(cells.where(F.col("n") > limit)), cells.where(F.col("n") <= limit)
+    return sampled(docs, hot).unionAll(sampled(docs.join(hot, same(hot), "left_anti"), cold))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -248,5 +248,19 @@ def test_mix_odd_rows(odd, empty):
     assert mixing.mix(empty).count() == 0 and mixing.keep_sampled(empty).count() == 0
     given_shares = {"source": {"a": 1.0}, "lang": 1.0, "topic": 1.0}
     assert all(r["source"] == "a" or not r["tokens"] for r in mixing.mix(odd, given_shares).where("selected").collect())
-    with pytest.raises(ValueError):
-        mixing.probabilities(mixing.profiled(odd), max_cells=2)
+
+
+@pytest.mark.parametrize("table", ["odd", "documents"])
+def test_raking_on_spark_equals_raking_on_the_driver(table, request):
+    docs = request.getfixturevalue(table)
+    targets = {"source": 0.5, "lang": {"en": 0.6, "de": 0.4}, "topic": 0.9}
+
+    def rows(**limit):
+        return sorted((str(r["doc_id"]), str(r["source"]), str(r["lang"]), r["topic"], r["selected"], round(r["probability"], 6))
+                      for r in mixing.mix(docs, targets, rounds=2, **limit).collect())
+
+    few = rows()
+    assert rows(max_cells=2) == few
+    kept = mixing.keep_sampled(docs, targets, max_cells=2, rounds=2)
+    assert kept.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == [r[0] for r in few if r[4]]
