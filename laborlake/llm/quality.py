@@ -11,7 +11,8 @@ Votes of the two labels are balanced by their shares of the sample.
 
 Defined cases: a null text counts as empty; a document without any similarity to the sample (an empty
 text among them) gets the sample's share of label 1; with no labelled document every score is 0.5.
-Labels other than 0 and 1 are ignored, repeated labels of a document are averaged (half counts as 1).
+Labels other than 0 and 1 are ignored, repeated labels of a document are averaged (half counts as 1);
+of rows that repeat a labelled doc_id, the smallest text is learnt from.
 The score depends on the text alone. Only ``doc_id`` and ``text`` are read.
 """
 
@@ -120,7 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000, rank: int = 32,
               .where(~held_out(F.col("doc_id"))).groupBy("doc_id")
               .agg((F.avg("quality") >= 0.5).cast("int").alias("label")))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = own_columns(docs, ["doc_id", "text"]).join(F.broadcast(chosen), "doc_id")
+    texts = (own_columns(docs, ["doc_id", "text"]).join(F.broadcast(chosen), "doc_id")
+             .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
 
     def sparse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -131,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000, rank: int = 32,
                                 "counts": [c[a].tobytes() for c, a in zip(counts, at, strict=True)]})
 
     rows = texts.mapInPandas(sparse, "doc_id long, label int, at binary, counts binary").collect()
-    rows = sorted({r["doc_id"]: r for r in rows}.values(), key=lambda r: r["doc_id"])
+    rows.sort(key=lambda r: r["doc_id"])
     weighted = np.zeros((len(rows), TERMS), np.float32)  # filled, weighted and scaled in place: the driver holds one such array
     seen = np.zeros(TERMS, np.int64)
     for i, r in enumerate(rows):

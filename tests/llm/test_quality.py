@@ -52,3 +52,12 @@ def test_odd_rows(odd, empty, spark):
     kept = quality.keep_good(odd, labels)
     assert kept.columns == odd.columns and quality.keep_good(empty, labels).count() == 0
     assert quality.fit(empty, labels).scores(["a text"]).tolist() == [0.5]
+
+
+def test_repeated_ids_are_learnt_once(documents, spark):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    texts = [r["text"] for r in documents.limit(20).collect()]
+    later = documents.withColumn("text", F.concat(F.col("text"), F.lit(" and more")))
+    model = quality.fit(documents.unionByName(later).unionByName(documents), labels)
+    assert len(model.labels) == len(quality.fit(documents, labels).labels)
+    assert (model.scores(texts) == quality.fit(documents, labels).scores(texts)).all()
