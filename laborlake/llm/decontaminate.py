@@ -15,7 +15,7 @@ benchmark of any size is covered by as many passes as it has blocks.
 Defined cases: a null text counts as empty and matches nothing; passages under ``min_chars``
 normalised characters are too short to tell and are left out; those over ``piece_chars`` are cut into
 pieces of that length, each sought by itself (a last piece under ``min_chars`` joins the one before); passages with equal
-normalised text share their matches; a benchmark without passages matches nothing. Of overlapping
+normalised text share their matches; one without an item_id matches under a null one; a benchmark without passages matches nothing. Of overlapping
 matches of one passage the one with the least edits, then the first, is reported. Places are code points of the original
 text. Only ``doc_id``, ``text`` and ``item_id`` are read.
 """
@@ -98,7 +98,7 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
 class Passages:
     """A block of passages with its sorted q-gram index."""
 
-    items: list[int]
+    items: list[int | None]
     codes: list[np.ndarray]
     q: int
     budget: float
@@ -117,7 +117,7 @@ class Passages:
         self.least = np.maximum(1, sizes + 1 - (self.edits + 1) * self.q)
         self.step = self.edits + 1
 
-    def matches(self, text: str | None) -> list[tuple[int, int, int, int]]:
+    def matches(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """(item, start, end, edits) of the passages found in one text."""
         if not text or not len(self.hashes):
             return []
@@ -150,7 +150,8 @@ class Passages:
         for p, start, end, edits in sorted(found, key=lambda r: (r[0], r[3], r[1], r[2])):
             if not any(o[0] == p and o[1] < end and start < o[2] for o in best):
                 best.append((p, start, end, edits))
-        return sorted((self.items[p], start, end, edits) for p, start, end, edits in best)
+        hits = [(self.items[p], start, end, edits) for p, start, end, edits in best]
+        return sorted(hits, key=lambda h: (h[0] is None, h[0] or 0, *h[1:]))
 
     def _bands(self, at: np.ndarray, low: np.ndarray, n: np.ndarray, start: int | None, stop: int | None) -> Iterator[tuple[int, int]]:
         """(passage, first diagonal) of the bands from ``start`` to ``stop`` that reach the lemma's bound."""
@@ -214,7 +215,7 @@ def passage_blocks(benchmark: DataFrame, q: int = Q, budget: float = BUDGET, min
     """The benchmark's passages in blocks of at most ``block_chars`` characters (or one passage)."""
     rows = own_columns(benchmark, ["item_id", "text"]).where("text is not null").select(
         F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id", "text")
-    items: list[int] = []
+    items: list[int | None] = []
     codes: list[np.ndarray] = []
     size = 0
     for row in rows.toLocalIterator():

@@ -153,6 +153,13 @@ def test_leak_odd_rows(spark, odd, empty):
     assert decontaminate.keep_clean(odd, benchmark).columns == odd.columns
 
 
+def test_passage_without_an_id():
+    codes = [decontaminate.normalise(t)[0] for t in ("a passage that has no number of its own", "another passage, and this one has a number")]
+    passages = decontaminate.Passages([None, 3], codes, decontaminate.Q, decontaminate.BUDGET)
+    found = passages.matches("First: another passage, and this one has a number. Then a passage that has no number of its own!")
+    assert [(i, e) for i, _, _, e in found] == [(3, 0), (None, 0)]
+
+
 @pytest.mark.parametrize("n", [1, 2, 5, 16, 17, 1000, 4097])
 def test_slots_are_a_permutation(n):
     got = token_output.slots(np.arange(n), n)
