@@ -23,6 +23,7 @@ text. Only ``doc_id``, ``text`` and ``item_id`` are read.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -119,18 +120,33 @@ class Passages:
 
     def matches(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """(item, start, end, edits) of the passages found in one text."""
+        chosen: dict[int, list[tuple[int, int, int]]] = {}  # per passage, in text order; none overlaps another
+        for p, edits, start, end in sorted((p, edits, start, end) for p, start, end, edits in self._verified(text)):
+            mine = chosen.setdefault(p, [])
+            i = bisect_left(mine, (start,))
+            if not (i and mine[i - 1][1] > start or i < len(mine) and mine[i][0] < end):
+                mine.insert(i, (start, end, edits))
+        hits = [(self.items[p], *hit) for p, mine in chosen.items() for hit in mine]
+        return sorted(hits, key=lambda h: (h[0] is None, h[0] or 0, *h[1:]))
+
+    def occur_in(self, text: str | None) -> bool:
+        """Whether any passage is found; the first one settles it."""
+        return next(self._verified(text), None) is not None
+
+    def _verified(self, text: str | None) -> Iterator[tuple[int, int, int, int]]:
+        """(passage, start, end, edits) of every band that holds its passage; bands may overlap."""
         if not text or not len(self.hashes):
-            return []
+            return
         codes, places = normalise(text)
         grams = gram_hashes(codes, self.q)
         at = np.flatnonzero(self.filter[(grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
         if not len(at):
-            return []
+            return
         low = np.searchsorted(self.hashes, grams[at], "left")
         n = np.searchsorted(self.hashes, grams[at], "right") - low
+        plain = codes.tobytes()
         span = max(len(c) for c in self.codes) + 2 * int(self.step.max())  # text that one band can touch
         stops = [None] if n.sum() <= HITS else [*range(4 * span, len(grams), 4 * span), None]
-        found: list[tuple[int, int, int, int]] = []
         whole: dict[int, tuple[int, int]] = {}  # of a passage, the last match without edits that is reported
         start = None
         for stop in stops:
@@ -139,19 +155,16 @@ class Passages:
             for p, first in self._bands(at[near], low[near], n[near], start, stop):
                 if p in whole and whole[p][0] <= first and first + 2 * int(self.step[p]) - 1 < whole[p][1]:
                     continue  # whatever this band holds begins within that match, and would give way to it
-                hit = align(self.codes[p], codes, first, first + 2 * int(self.step[p]) - 1, int(self.edits[p]))
+                last = first + 2 * int(self.step[p]) - 1
+                begin = unchanged(self.codes[p], plain, first, last)
+                hit = (0, begin, begin + len(self.codes[p])) if begin is not None else align(
+                    self.codes[p], codes, first, last, int(self.edits[p]))
                 if hit:
                     edits, begin, end = hit
-                    found.append((p, int(places[begin]), int(places[end - 1]) + 1, edits))
+                    yield p, int(places[begin]), int(places[end - 1]) + 1, edits
                     if not edits and (p not in whole or begin >= whole[p][1]):
                         whole[p] = (begin, end)
             start = stop
-        best: list[tuple[int, int, int, int]] = []
-        for p, start, end, edits in sorted(found, key=lambda r: (r[0], r[3], r[1], r[2])):
-            if not any(o[0] == p and o[1] < end and start < o[2] for o in best):
-                best.append((p, start, end, edits))
-        hits = [(self.items[p], start, end, edits) for p, start, end, edits in best]
-        return sorted(hits, key=lambda h: (h[0] is None, h[0] or 0, *h[1:]))
 
     def _bands(self, at: np.ndarray, low: np.ndarray, n: np.ndarray, start: int | None, stop: int | None) -> Iterator[tuple[int, int]]:
         """(passage, first diagonal) of the bands from ``start`` to ``stop`` that reach the lemma's bound."""
@@ -174,6 +187,16 @@ class Passages:
                 yield p, first
 
 
+def unchanged(passage: np.ndarray, plain: bytes, first: int, last: int) -> int | None:
+    """The first diagonal of ``first`` to ``last`` on which the passage stands without edits; ``plain``: the text's code points."""
+    sought, width = passage.tobytes(), passage.itemsize
+    low, high = max(0, first) * width, (last + len(passage)) * width
+    at = plain.find(sought, low, max(low, high))
+    while at % width and at >= 0:
+        at = plain.find(sought, at + 1, high)
+    return at // width if at >= 0 else None
+
+
 def align(passage: np.ndarray, text: np.ndarray, first: int, last: int, budget: int) -> tuple[int, int, int] | None:
     """Least edits of the whole passage against a region of ``text`` on diagonals ``first`` to ``last``: (edits, start, end)."""
     m, width = len(passage), last - first + 1
@@ -267,7 +290,7 @@ def _holds(docs: DataFrame, passages: Passages) -> Column:
     @F.pandas_udf("boolean")
     def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([bool(passages.matches(t)) for t in texts], dtype=bool)
+            yield pd.Series([passages.occur_in(t) for t in texts], dtype=bool)
 
     return holds(docs["text"])
 
