@@ -1,8 +1,10 @@
 """Main text of web pages by composite text density.
 
 The DOM is built without the parts that are never the article: by element (menus,
-page headers and footers, sidebars, forms, scripts, styles), by role, and by the words
-of class and id (adverts, notices, reader comments, and so on). For every
+page headers and footers, sidebars, forms, scripts, styles), by role, and by class names
+and ids made of furniture words (adverts, notices, reader comments, and so on). If no ``article``, ``main`` or ``h1``
+is left outside of these, one that holds such an element or most of the page's unlinked text is opened, and the furniture
+within it is judged in its stead. For every
 remaining node the density is characters per tag, adjusted for links::
 
     density = C / T * log(C / LC' * T / LT', base ln(C * LC / C' + LCb * C / Cb + e))
@@ -57,6 +59,20 @@ MARKS = frozenset(
     "modal overlay newsletter subscribe subscription signup login signin share sharing social related recommended "
     "recommendations widget widgets pagination pager search searchbox toc tags tagcloud hidden skip".split())
 ARTICLE_WORDS = frozenset("article content entry post story".split())
+#: Words that say where or of what a marked part is: "site-footer", "comments-area"; not "has-sidebar".
+PLACES = frozenset(
+    "site page main global top bottom left right primary secondary inner outer article entry post story area bar block body box "
+    "button buttons col column container group inline item items link links list panel row section slot text unit wrap wrapper".split())
+#: Marks that a section of an article may have for its name.
+SECTION_WORDS = frozenset("discussion notice notices alert alerts disclaimer copyright promotion search social sharing "
+                          "navigation subscription consent tags".split())
+#: Parts that are opened only with most of the page's text: by element, and by words, as their entries may be articles.
+ASIDES = frozenset(("nav", "aside", "footer", "header", "dialog", "menu"))
+THREADS = frozenset("comment comments commentlist disqus replies reply respond related recommended recommendations "
+                    "promo promos promoted sponsored ad ads".split())
+#: What is never opened, besides hidden elements.
+CLOSED = FURNITURE - ASIDES - {"form"}
+LANDMARKS = {"article": 2, "main": 2, "h1": 1}
 #: Elements whose start closes an open paragraph, and what an element of a kind closes in its own list.
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
                      "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul li dt dd".split())
@@ -66,7 +82,8 @@ SCOPES = frozenset(("table", "ul", "ol", "dl", "select", "article", "section", "
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "total", "best", "chosen")
+    __slots__ = ("tag", "attrs", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "total", "best", "chosen",
+                 "text", "rank")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
@@ -75,6 +92,7 @@ class Node:
         self.density = self.total = 0.0
         self.best: Node = self
         self.chosen = False
+        self.text = self.rank = 0
 
     def children(self) -> list[Node]:
         return [x for x in self.items if isinstance(x, Node)]
@@ -128,6 +146,17 @@ class _Tree(HTMLParser):
             self.link_chars += n * (self.open_links > 0)
 
 
+def _is_hidden(node: Node) -> bool:
+    return "hidden" in node.attrs or (node.attrs.get("aria-hidden") or "").lower() == "true" or bool(
+        re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", node.attrs.get("style") or ""))
+
+
+def _names(node: Node) -> list[set[str]]:
+    """The words of each class name and of the id."""
+    named = f"{node.attrs.get('class') or ''} {node.attrs.get('id') or ''}"
+    return [set(re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower())) for name in named.split()]
+
+
 def _is_furniture(node: Node) -> bool:
     if node.tag in FURNITURE:
         return True
@@ -140,16 +169,15 @@ def _is_furniture(node: Node) -> bool:
         return inside is None
     if node.tag in HEADINGS:
         return False
-    if (node.attrs.get("role") or "").lower() in ROLES or "hidden" in node.attrs or (
-            (node.attrs.get("aria-hidden") or "").lower() == "true"):
-        return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", node.attrs.get("style") or ""):
+    if (node.attrs.get("role") or "").lower() in ROLES or _is_hidden(node):
         return True
-    named = f"{node.attrs.get('class') or ''} {node.attrs.get('id') or ''}"
-    words = set(re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", named).lower()))
-    if inside is not None or words & ARTICLE_WORDS:
-        words.discard("header")  # the article's own, with its title
-    return not words.isdisjoint(MARKS)
+    names = _names(node)
+    own: set[str] = set()
+    if inside is not None or any(words & ARTICLE_WORDS for words in names):
+        own.add("header")  # the article's own, with its title
+    if inside is not None and node.tag == "section":
+        own |= SECTION_WORDS
+    return any(words & MARKS - own and words <= MARKS | PLACES for words in names)
 
 
 def _walk(root: Node) -> list[Node]:
@@ -163,12 +191,44 @@ def _walk(root: Node) -> list[Node]:
 
 
 def _prune(root: Node) -> None:
-    stack = [root]
-    while stack:
-        node = stack.pop()
-        if len(node.items) > 0:
-            node.items = [x for x in node.items if isinstance(x, str) or not _is_furniture(x)]
-            stack.extend(node.children())
+    """Remove the furniture, but for elements that hold the article: those are opened and pruned inside."""
+    for node in reversed(_walk(root)):
+        node.text, node.rank = 0, LANDMARKS.get(node.tag, 0)
+        if node.tag in CLOSED or _is_hidden(node):
+            node.rank = 0
+            continue
+        for x in node.items:
+            node.text += len("".join(x.split())) if isinstance(x, str) else x.text
+            node.rank = max(node.rank, 0 if isinstance(x, str) else x.rank)
+        if node.tag == "a":
+            node.text = 0
+    outside, removed, opened = 0, [], [root]
+    while opened:
+        stack = opened
+        while stack:
+            for x in stack.pop().children():
+                if _is_furniture(x):
+                    removed.append(x)
+                else:
+                    outside = max(outside, LANDMARKS.get(x.tag, 0))
+                    stack.append(x)
+        opened = [x for x in removed if _holds_article(x, outside, 2 * x.text > root.text)]
+        kept = set(map(id, opened))
+        removed = [x for x in removed if id(x) not in kept]
+    gone = set(map(id, removed))
+    for parent in {id(x.parent): x.parent for x in removed}.values():
+        parent.items = [x for x in parent.items if isinstance(x, str) or id(x) not in gone]
+
+
+def _holds_article(node: Node, outside: int, most: bool) -> bool:
+    """Whether a part taken for furniture holds the article; ``outside`` is the best landmark left without it, ``most`` of the text is in it."""
+    if outside == 2 or node.tag in CLOSED or _is_hidden(node):
+        return False
+    if node.tag in ASIDES:
+        return most and node.rank == 2
+    if any(words & THREADS for words in _names(node)):
+        return most and not outside
+    return most and node.rank == 2 if outside else most or node.rank > 0
 
 
 def _measure(order: list[Node], body_share: float) -> None:

@@ -38,6 +38,26 @@ def test_pages_by_hand(source, text):
     assert html_text.main_text(source) == text
 
 
+LONG_P = "<p>The first paragraph of the story, long enough to be one.</p>"
+LONG_T = "The first paragraph of the story, long enough to be one."
+
+
+@pytest.mark.parametrize(("source", "text"), [
+    (f'<body><div class="content has-sidebar"><article>{LONG_P}</article></div><div class="sidebar"><p>More</p></div></body>', LONG_T),
+    (f'<body><div id="sidebar"><nav><a href=x>Home</a></nav><article>{LONG_P}</article><div class="ad">Buy</div></div></body>', LONG_T),
+    (f'<body><form action=x><input><div class="menu"><a href=x>Home</a></div><div><h1>Title</h1>{LONG_P}</div>'
+     '<div class="site-footer">Imprint</div></form></body>', f"Title\n{LONG_T}"),
+    (f'<body><div class="widget">{LONG_P}</div><div class="ad">Buy</div></body>', LONG_T),
+    (f'<article><h1>Title</h1>{LONG_P}<section id="discussion"><h2>Discussion</h2><p>What it means.</p></section>'
+     '<div class="comments-area"><p>Nice!</p></div></article>', f"Title\n{LONG_T}\nDiscussion\nWhat it means."),
+    (f'<body><h1>Title</h1>{LONG_P}<div class="comments"><article>{"<p>A reader says so much more.</p>" * 9}</article></div></body>',
+     f"Title\n{LONG_T}"),
+    (f'<body><div class="post">{LONG_P}</div><div class="related"><article><p>Read this</p></article></div></body>', LONG_T),
+])
+def test_article_within_furniture(source, text):
+    assert html_text.main_text(source) == text
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 3000 + "deep text" + "</div>" * 3000) == "deep text"
     assert len(html_text.main_text("<article>" + "<p>word word</p>" * 20_000 + "</article>")) == 20_000 * 10 - 1
