@@ -2,7 +2,9 @@
 
 Token weights of the cells (source, language, topic) are raked in turn to the target shares of
 each of the three margins until all hold. A cell cannot give more tokens than it has, so its
-weight is held below what the token budget would take from it in full. Every document of a cell is then sampled
+weight is held below what the token budget would take from it in full. The budget is the most that is sampled: where the
+cells cannot give it at the target shares, the largest budget that meets all margins is taken instead, found to 1/256 of the
+way between the budget that no cell limits and the one asked for. Every document of a cell is then sampled
 with the cell's calibrated probability, budgeted tokens over tokens at hand, against a keyed hash of its doc_id,
 so the sample is the same on every run and for every partitioning.
 
@@ -15,13 +17,14 @@ power (1 keeps them, 0 makes them equal). Categories that a given table leaves o
 
 Defined cases: a null source or language is a category of its own, a null or empty text has topic ``empty`` and
 0 tokens; in cells without tokens, documents are sampled like the whole (with the budget's share). Rows that repeat a doc_id are drawn
-alike; a null doc_id draws by its text. An empty table gives no rows. If no weights meet all
-margins, those of the last round stay. Only ``doc_id``, ``text``, ``lang`` and ``source`` are read.
+alike; a null doc_id draws by its text. An empty table gives no rows. If the targets contradict one another, so that no
+budget meets all margins, the weights of the last round at the whole budget stay. Each row tells the ``budget`` taken and the
+``margin_error``, the largest distance of a category's expected share from its target. Only ``doc_id``, ``text``, ``lang`` and ``source`` are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
@@ -33,9 +36,10 @@ from laborlake.llm.common import attach, own_columns, read, staged
 MARGINS = ("source", "lang", "topic")
 #: Target shares of the registered query: powers of the tokens at hand.
 TARGETS: dict[str, float | dict[str, float]] = {"source": 0.5, "lang": 0.7, "topic": 0.9}
-BUDGET = 0.8  # share of all tokens to sample
+BUDGET = 0.8  # share of all tokens to sample, at most
 MAX_CELLS = 200_000
 ROUNDS = 500
+MET = 1e-6  # a margin holds if every category is this near to its share
 SEED = 20_240_607
 NONE = "\x00none"
 
@@ -84,18 +88,34 @@ def shares(keys: list[str], held: np.ndarray, target: float | Mapping[str, float
 def rake(cells: list[tuple[str, ...]], held: np.ndarray, targets: Mapping[str, float | Mapping[str, float]], budget: float,
          rounds: int = ROUNDS, tolerance: float = 1e-9) -> np.ndarray:
     """The cells' shares of the sampled tokens: raked to every margin, none over what the cell holds."""
-    total = float(held.sum())
-    if not total:
-        return np.zeros(len(held))
-    most = held / (budget * total)
-    weight = held / total
+    return _rake(margins_of(cells, held, targets), held, budget, rounds, tolerance)
+
+
+def margins_of(cells: list[tuple[str, ...]], held: np.ndarray,
+               targets: Mapping[str, float | Mapping[str, float]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per margin, the cells' categories by number and the target share of each."""
     margins = []
     for i, name in enumerate(MARGINS):
         keys = [c[i] for c in cells]
         goal = shares(keys, held, targets[name])
-        names = sorted(goal)
-        code = np.array([names.index(k) for k in keys])
-        margins.append((code, np.array([goal[n] for n in names])))
+        at = {n: j for j, n in enumerate(sorted(goal))}
+        margins.append((np.array([at[k] for k in keys], np.int64), np.array([goal[n] for n in at])))
+    return margins
+
+
+def margin_error(margins: list[tuple[np.ndarray, np.ndarray]], weight: np.ndarray) -> float:
+    """The largest distance of a category's weight from its target share."""
+    return max((float(np.abs(np.bincount(code, weight, len(goal)) - goal).max(initial=0.0)) for code, goal in margins), default=0.0)
+
+
+def _rake(margins: list[tuple[np.ndarray, np.ndarray]], held: np.ndarray, budget: float | None, rounds: int,
+          tolerance: float = 1e-9) -> np.ndarray:
+    """``rake`` to the given margins; without a budget no cell is limited."""
+    total = float(held.sum())
+    if not total:
+        return np.zeros(len(held))
+    most = np.full(len(held), np.inf) if budget is None else held / (budget * total)
+    weight = held / total
     for _ in range(rounds):
         before = weight
         for code, goal in margins:
@@ -107,13 +127,41 @@ def rake(cells: list[tuple[str, ...]], held: np.ndarray, targets: Mapping[str, f
     return weight
 
 
+def largest_budget(attempt: Callable[[Sequence[float | None]], list[tuple[float, float, object]]], budget: float,
+                   cuts: Sequence[int]) -> tuple[float, float, object]:
+    """(budget, margin error, weights) of the largest budget up to ``budget`` that meets all margins.
+
+    ``attempt`` rakes at several budgets (None: no cell is limited) and gives for each the margin error, the largest budget
+    that its weights leave within the cells, and the weights. Each of ``cuts`` tries that many parts of the open range.
+    """
+    whole, free = attempt([budget, None])
+    if whole[0] <= MET or free[0] > MET:
+        return budget, whole[0], whole[2]
+    low, high = min(free[1], budget), budget
+    best = low, free[0], free[2]
+    for parts in cuts:
+        grid = [low + (high - low) * j / parts for j in range(1, parts)]
+        for at, (error, _, weights) in zip(grid, attempt(grid), strict=True):
+            if error > MET:
+                high = at
+                break
+            low, best = at, (at, error, weights)
+    return best
+
+
 def rake_table(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]], budget: float, rounds: int = ROUNDS,
                tolerance: float = 1e-9) -> DataFrame:
     """``cells`` with a column ``weight``, as ``rake`` gives it, for tables of any size: each margin is one aggregate and one join."""
-    spark = cells.sparkSession
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     if not total:
         return cells.withColumn("weight", F.lit(0.0))
+    state = _rake_table(cells, _goals(cells, targets), float(total), [budget], rounds, tolerance)
+    return state.withColumnRenamed("weight_0", "weight")
+
+
+def _goals(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]]) -> dict[str, DataFrame]:
+    """Per margin, (category, cells, goal): how many cells it has and its target share."""
+    spark = cells.sparkSession
     goals = {}
     for name in MARGINS:
         table = cells.groupBy(name).agg(F.sum("tokens").cast("double").alias("held"), F.count(F.lit(1)).alias("cells"))
@@ -126,55 +174,106 @@ def rake_table(cells: DataFrame, targets: Mapping[str, float | Mapping[str, floa
         table = staged(table, f"goal_{name}")
         whole = table.agg(F.sum("goal")).first()[0]
         goals[name] = table.select(name, "cells", (F.col("goal") / whole if whole else F.lit(0.0)).alias("goal"))
-    state = staged(cells.withColumn("weight", F.col("tokens") / F.lit(float(total))), "weights")
+    return goals
+
+
+def _rake_table(cells: DataFrame, goals: Mapping[str, DataFrame], total: float, budgets: Sequence[float | None], rounds: int,
+                tolerance: float = 1e-9) -> DataFrame:
+    """``cells`` with a column ``weight_i`` for the i-th budget; all are raked in the same rounds."""
+    columns = [f"weight_{i}" for i in range(len(budgets))]
+    state = staged(cells.select("*", *[(F.col("tokens") / F.lit(total)).alias(c) for c in columns]), "weights")
     for _ in range(rounds):
-        raked = state.withColumn("before", F.col("weight"))
+        raked = state.select("*", *[F.col(c).alias(f"before_{c}") for c in columns])
         for name in MARGINS:
-            now = raked.groupBy(name).agg(F.sum("weight").alias("now"))
-            factor = staged(goals[name].join(now, name).select(
-                name, "cells", F.when(F.col("now") > 0, F.col("goal") / F.col("now")).otherwise(0.0).alias("factor")), "factors")
-            raked = staged(attach(raked, factor, name, "cells").withColumn("weight", F.col("weight") * F.col("factor"))
-                           .drop("factor", "cells"), "weights")
-        capped = raked.withColumn("weight", F.least("weight", F.col("tokens") / F.lit(budget * total)))
-        change = capped.agg(F.max(F.abs(F.col("weight") - F.col("before")))).first()[0]
-        state = capped.drop("before")
+            now = raked.groupBy(name).agg(*[F.sum(c).alias(f"now_{c}") for c in columns])
+            factor = staged(goals[name].join(now, name).select(name, "cells", *[
+                F.when(F.col(f"now_{c}") > 0, F.col("goal") / F.col(f"now_{c}")).otherwise(0.0).alias(f"factor_{c}") for c in columns]),
+                "factors")
+            raked = staged(attach(raked, factor, name, "cells").withColumns({c: F.col(c) * F.col(f"factor_{c}") for c in columns})
+                           .drop("cells", *[f"factor_{c}" for c in columns]), "weights")
+        capped = raked.withColumns({c: F.least(c, F.col("tokens") / F.lit(b * total))
+                                    for c, b in zip(columns, budgets, strict=True) if b is not None})
+        change = capped.agg(F.max(F.greatest(F.lit(0.0), *[F.abs(F.col(c) - F.col(f"before_{c}")) for c in columns]))).first()[0]
+        state = capped.drop(*[f"before_{c}" for c in columns])
         if change < tolerance:
             break
     return state
 
 
+def _attempts(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]], total: float,
+              rounds: int) -> Callable[[Sequence[float | None]], list[tuple[float, float, object]]]:
+    """``attempt`` of ``largest_budget`` on Spark; weights are a table with a column ``weight``."""
+    goals = _goals(cells, targets)
+
+    def attempt(budgets: Sequence[float | None]) -> list[tuple[float, float, object]]:
+        state = _rake_table(cells, goals, total, budgets, rounds)
+        columns = [f"weight_{i}" for i in range(len(budgets))]
+        errors = [0.0] * len(budgets)
+        for name in MARGINS:
+            off = (state.groupBy(name).agg(*[F.sum(c).alias(c) for c in columns]).join(goals[name], name)
+                   .agg(*[F.max(F.abs(F.col(c) - F.col("goal"))) for c in columns]).first())
+            errors = [max(e, x) for e, x in zip(errors, off, strict=True)]
+        fits = state.agg(*[F.min(F.when(F.col(c) > 0, F.col("tokens") / (F.col(c) * total))) for c in columns]).first()
+        return [(e, f or 0.0, state.select(*MARGINS, "tokens", "n", F.col(c).alias("weight")))
+                for e, f, c in zip(errors, fits, columns, strict=True)]
+
+    return attempt
+
+
 def calibrated(rows: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET,
                max_cells: int = MAX_CELLS, rounds: int = ROUNDS) -> tuple[DataFrame, bool]:
-    """One row per cell of ``rows`` (from ``profiled``): source, lang, topic, n, weight, probability; and whether they are few."""
+    """One row per cell of ``rows`` (from ``profiled``), and whether they are few.
+
+    source, lang, topic, n, weight (the cell's share of the tokens of ``budget``), probability, budget (taken), margin_error.
+    """
     spark = rows.sparkSession
     table = rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n"))
     found = table.limit(max_cells + 1).collect()
     if len(found) > max_cells:
-        state = rake_table(staged(table, "cells"), targets, budget, rounds)
-        held = state.agg(F.sum("tokens")).first()[0]
-        take = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") * F.lit(budget * held) / F.col("tokens")))
-        return staged(state.select(*MARGINS, "n", "weight", take.otherwise(budget).alias("probability")), "calibrated"), False
+        cells = staged(table, "cells")
+        total = float(cells.agg(F.sum("tokens")).first()[0])
+        if total:
+            taken, error, state = largest_budget(_attempts(cells, targets, total, rounds), budget, (16, 16))
+        else:
+            taken, error, state = budget, 0.0, cells.withColumn("weight", F.lit(0.0))
+        take = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") * F.lit(taken * total) / F.col("tokens")))
+        return staged(state.select(*MARGINS, "n", (F.col("weight") * F.lit(taken / budget)).alias("weight"),
+                                   take.otherwise(taken).alias("probability"), F.lit(taken).alias("budget"),
+                                   F.lit(error).alias("margin_error")), "calibrated"), False
     found.sort(key=lambda r: tuple(r[m] for m in MARGINS))
     held = np.array([r["tokens"] for r in found], float)
-    weight = rake([tuple(r[m] for m in MARGINS) for r in found], held, targets, budget, rounds)
-    take = np.minimum(1.0, np.divide(weight * budget * held.sum(), held, out=np.full(len(held), budget), where=held > 0))
-    out = [(*[r[m] for m in MARGINS], r["n"], float(w), float(p)) for r, w, p in zip(found, weight, take, strict=True)]
-    return spark.createDataFrame(out, "source string, lang string, topic string, n long, weight double, probability double"), True
+    total = float(held.sum())
+    margins = margins_of([tuple(r[m] for m in MARGINS) for r in found], held, targets)
+
+    def attempt(budgets: Sequence[float | None]) -> list[tuple[float, float, object]]:
+        out = []
+        for b in budgets:
+            weight = _rake(margins, held, b, rounds)
+            fits = np.divide(held, weight * total, out=np.full(len(held), np.inf), where=weight > 0).min(initial=np.inf)
+            out.append((margin_error(margins, weight), float(fits), weight))
+        return out
+
+    taken, error, weight = largest_budget(attempt, budget, (2,) * 8) if total else (budget, 0.0, np.zeros(len(held)))
+    take = np.minimum(1.0, np.divide(weight * taken * total, held, out=np.full(len(held), taken), where=held > 0))
+    out = [(*[r[m] for m in MARGINS], r["n"], float(w) * taken / budget, float(p), taken, error)
+           for r, w, p in zip(found, weight, take, strict=True)]
+    return spark.createDataFrame(out, "source string, lang string, topic string, n long, weight double, probability double, "
+                                 "budget double, margin_error double"), True
 
 
 def mix(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET,
         max_cells: int = MAX_CELLS, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, source, lang, topic, tokens, weight, probability, selected) for every row of ``docs``."""
+    """(doc_id, source, lang, topic, tokens, weight, probability, selected, budget, margin_error) for every row of ``docs``."""
     rows = profiled(docs)
     cells, few = calibrated(rows, targets, budget, max_cells, rounds)
     if few:
         joined = rows.join(F.broadcast(cells), list(MARGINS), "left")
     else:
         cell = F.struct(*MARGINS).alias("cell")
-        joined = attach(rows.withColumn("cell", cell), cells.select(cell, "n", "weight", "probability"), "cell", "n")
+        joined = attach(rows.withColumn("cell", cell), cells.select(cell, "n", "weight", "probability", "budget", "margin_error"), "cell", "n")
     return joined.select(
         "doc_id", *[F.nullif(F.col(m), F.lit(NONE)).alias(m) for m in MARGINS], "tokens", "weight", "probability",
-        (F.col("draw") < F.col("probability")).alias("selected"))
+        (F.col("draw") < F.col("probability")).alias("selected"), "budget", "margin_error")
 
 
 def keep_sampled(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET,

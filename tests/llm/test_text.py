@@ -8,6 +8,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from laborlake.llm import decontaminate, html_text, mixing, token_counts, token_output
 
@@ -291,3 +292,49 @@ def test_raking_on_spark_equals_raking_on_the_driver(table, request):
     kept = mixing.keep_sampled(docs, targets, max_cells=2, rounds=2)
     assert kept.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == [r[0] for r in few if r[4]]
+
+
+def _off_target(rows):
+    """The largest distance of a category's share of the expected tokens from the registered target."""
+    held, taken = {}, {}
+    for r in rows:
+        for m, p in mixing.TARGETS.items():
+            held.setdefault(m, {}).setdefault(r[m], 0)
+            held[m][r[m]] += r["tokens"]
+            taken[m, r[m]] = taken.get((m, r[m]), 0) + r["tokens"] * r["probability"]
+    whole = sum(r["tokens"] * r["probability"] for r in rows)
+    return max(abs(taken[m, k] / whole - v ** mixing.TARGETS[m] / sum(x ** mixing.TARGETS[m] for x in by.values()))
+               for m, by in held.items() for k, v in by.items())
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_registered_mix_meets_its_targets(documents, hot):
+    docs = documents.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "hot").otherwise(F.col("source"))) if hot else documents
+    rows = mixing.mix(docs).collect()
+    assert _off_target(rows) < 1e-5 and max(r["margin_error"] for r in rows) <= mixing.MET
+    (budget,) = {r["budget"] for r in rows}
+    total = sum(r["tokens"] for r in rows)
+    assert abs(sum(r["tokens"] * r["probability"] for r in rows) / total - budget) < 1e-5
+    # No larger one does: a hundredth more leaves a margin open.
+    cells = {}
+    for r in rows:
+        cells[r["source"], r["lang"], r["topic"]] = cells.get((r["source"], r["lang"], r["topic"]), 0) + r["tokens"]
+    held = np.array(list(cells.values()), float)
+    more = mixing.rake(list(cells), held, mixing.TARGETS, budget + 0.01, rounds=3000)
+    assert budget < mixing.BUDGET and mixing.margin_error(mixing.margins_of(list(cells), held, mixing.TARGETS), more) > mixing.MET
+
+
+def test_raking_several_budgets_on_spark_equals_the_driver(spark):
+    """A hot source of few documents in German: the whole budget is out of reach, on Spark as on the driver."""
+    sizes = {("hot", "en", "p"): 60, ("hot", "de", "p"): 6, ("b", "en", "p"): 20, ("b", "de", "p"): 14}
+    table = spark.createDataFrame([(*c, n, 1) for c, n in sizes.items()], "source string, lang string, topic string, tokens long, n long")
+    held = np.array(list(sizes.values()), float)
+    margins = mixing.margins_of(list(sizes), held, mixing.TARGETS)
+    budgets, rounds = [mixing.BUDGET, 0.5], 3
+    found = mixing._attempts(table.coalesce(1), mixing.TARGETS, float(held.sum()), rounds)(budgets)
+    assert found[0][0] > 0.02 and found[1][0] < 0.001  # in three rounds
+    for (error, _, state), budget in zip(found, budgets, strict=True):
+        weight = mixing.rake(list(sizes), held, mixing.TARGETS, budget, rounds)
+        assert abs(error - mixing.margin_error(margins, weight)) < 1e-9
+        got = {(r["source"], r["lang"], r["topic"]): r["weight"] for r in state.collect()}
+        assert np.allclose([got[c] for c in sizes], weight, atol=1e-9)
