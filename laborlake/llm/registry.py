@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from laborlake.llm import (
+    conversation_repair,
     decontaminate,
     exact_dedup,
     html_text,
     mixing,
     quality,
+    quality_rules,
     sharding,
     simhash,
+    token_alignment,
     token_counts,
     token_output,
     url_filter,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_token_counts": token_counts.query,
     "op9_benchmark_decontamination": decontaminate.query,
     "op10_token_output": token_output.query,
+    "op11_conversation_repair": conversation_repair.query,
+    "op12_token_alignment": token_alignment.query,
+    "op13_quality_rules": quality_rules.query,
 }
 ORACLE_SQL = {
     "op5_url_filters": url_filter.ORACLE,

@@ -38,7 +38,7 @@ def test_run_equals_the_stages_by_hand(spark, documents):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 14))
     assert [name for name, _ in P.STAGES] == ["quality_classifier", "simhash_near_dedup", "benchmark_decontamination", "mixing", "token_output"]
 
 
