@@ -56,9 +56,9 @@ class Words:
 
 
 def words_of(text: str) -> Words:
-    distinct: dict[str, int] = {}
     found = _WORD.findall(text)
-    ids = np.fromiter((distinct.setdefault(w, len(distinct)) for w in found), np.int64, len(found))
+    distinct = {w: i for i, w in enumerate(dict.fromkeys(found))}
+    ids = np.fromiter(map(distinct.__getitem__, found), np.int64, len(found))
     return Words(ids, distinct, sum(map(len, found)))
 
 
