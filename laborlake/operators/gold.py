@@ -70,6 +70,39 @@ def department_total(df: DataFrame, drop_null_keys: bool = True) -> DataFrame:
             .agg(F.sum("labor_hours").alias("total_labor_hours")))
 
 
+# ---- one pass for all gold frames -------------------------------------------------------------
+
+def group_state(df: DataFrame) -> DataFrame:
+    """Counts, sums and maxima per (department, region, category): all gold frames follow from it, and states add up.
+
+    One scan and one partial aggregate; the rows are the groups, however large the silver table is.
+    """
+    return df.groupBy("department", "region", "category").agg(
+        F.count("content_id").alias("ids"), F.count("labor_hours").alias("hours_known"), F.sum("labor_hours").alias("hours"),
+        F.max("labor_hours").alias("most_hours"), _high().alias("high"))
+
+
+def _from_state(state: DataFrame, keys: list[str], names: dict[str, str], rounded: bool = False) -> DataFrame:
+    """Aggregates of a coarser group; ``names``: ids, hours, mean, most or high -> column. Rows with a null first key go."""
+    mean = F.try_divide(F.sum("hours"), F.sum("hours_known"))
+    of = {"ids": F.sum("ids"), "hours": F.sum("hours"), "mean": F.round(mean, 2) if rounded else mean, "most": F.max("most_hours"), "high": F.sum("high")}
+    return state.where(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(*[of[k].alias(n) for k, n in names.items()])
+
+
+def gold_frames(state: DataFrame) -> dict[str, DataFrame]:
+    """The frames of ``gold_layer`` and the two warehouse tables, from ``group_state``."""
+    total = {"ids": "total_projects", "hours": "total_labor_hours", "mean": "avg_labor_hours"}
+    return {
+        "department_summary": _from_state(state, ["department"], {"ids": "total_projects", "hours": "total_hours", "mean": "avg_hours",
+                                                                  "high": "high_effort"}, True).orderBy("department"),
+        "category_summary": _from_state(state, ["category"], {"ids": "total_titles", "hours": "total_hours", "mean": "avg_hours"},
+                                        True).orderBy("category"),
+        "department_labor_summary": _from_state(state, ["department", "region"], {**total, "high": "high_effort_count"})
+        .withColumn("summary_date", F.current_date()),
+        "category_summary_table": _from_state(state, ["category"], {**total, "ids": "total_titles"}).withColumn("summary_date", F.current_date()),
+    }
+
+
 def gold_layer(df: DataFrame) -> dict[str, DataFrame]:
     """The two pandas-path gold frames."""
     return {"department_summary": department_summary(df), "category_summary": category_summary(df)}

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from laborlake.functions.expressions import is_invalid_hours
 from laborlake.schemas import (
-    CRITICAL_COLUMNS, DUPLICATE_WARNING, HOURS_TEXT, INVALID_LABOR_WARNING, LABOR_FLAGS, REQUIRED_COLUMNS,
+    BAD_ENCODING, CRITICAL_COLUMNS, DUPLICATE_WARNING, HOURS_TEXT, INVALID_LABOR_WARNING, LABOR_FLAGS, REQUIRED_COLUMNS,
     UNPARSED_HOURS_WARNING,
 )
 
@@ -161,6 +161,11 @@ def hours_type_rule() -> tuple[str, Column]:
     return "labor_hours_type", F.col(HOURS_TEXT).isNotNull()
 
 
+def utf8_rule() -> tuple[str, Column]:
+    """For frames that carry ``bad_encoding`` (rows of files)."""
+    return "utf8_text", F.col(BAD_ENCODING)
+
+
 def bronze_rules() -> list[tuple[str, Column]]:
     """bronze.content_events_raw: the key is NOT NULL, and the lengths of its VARCHAR columns."""
     lengths = {c: CONTENT_LENGTHS[c] for c in ("content_id", "title", "category", "region", "department", "event_type")}

@@ -23,7 +23,9 @@ from laborlake.functions.expressions import (
 )
 from laborlake.operators.dedup import first_row_agg, keep_first, unpack_first
 from laborlake.operators.quality import ValidationError, failure_reason, per_key_counters, validate
-from laborlake.schemas import CRITICAL_COLUMNS, HOURS_TEXT, PIPELINE_LAYER, REQUIRED_COLUMNS, SILVER_COLUMNS
+from laborlake.schemas import (
+    BAD_ENCODING, CRITICAL_COLUMNS, PIPELINE_LAYER, REQUIRED_COLUMNS, RULE_COLUMNS, SILVER_COLUMNS,
+)
 
 # Columns that carry arrival order, if the source has them (topic partition/offset, file/position).
 INGEST_ORDER = ["ingest_seq", "arrival_part", "arrival_block", "arrival_pos"]
@@ -93,18 +95,23 @@ def build_silver(raw: DataFrame, processed_at: Column | None = None,
                  order: Sequence[str] | None = None) -> DataFrame:
     """Canonical silver from a raw event frame, without the validation gate.
 
-    Hours that are no whole number are null here; a run quarantines such rows (rule ``labor_hours_type``).
+    Hours that are no whole number are null here; a run quarantines such rows (rule ``labor_hours_type``), and those
+    whose bytes were no UTF-8 (rule ``utf8_text``).
     """
-    return _project_silver(clean(conform_content(normalize_columns(raw)), order), processed_at).drop(HOURS_TEXT)
+    return _project_silver(clean(conform_content(normalize_columns(raw)), order), processed_at).drop(*RULE_COLUMNS)
 
 
 def _project_silver(c: DataFrame, processed_at: Column | None) -> DataFrame:
-    """The 12 silver columns, and the text of hours that are no whole number if the frame has it."""
+    """The 12 silver columns, and those of the columns that only rules look at which the frame has."""
     given = {n: F.col(n) for n in ("content_id", "labor_hours", "event_type") if n in c.columns}
     all_of = {"event_type": F.lit(None).cast("string"), **given, **_derived(c.columns)}
     made = [all_of[n].alias(n) for n in SILVER_COLUMNS if n in all_of]
-    text = [HOURS_TEXT] if HOURS_TEXT in c.columns else []
-    return c.select(*made, *silver_metadata(processed_at), *text)
+    return c.select(*made, *silver_metadata(processed_at), *[n for n in RULE_COLUMNS if n in c.columns])
+
+
+def broken_rows(raw: DataFrame) -> DataFrame:
+    """Rows marked ``bad_encoding`` in the silver columns. They are kept out of the de-duplication: replaced bytes may make keys equal."""
+    return _project_silver(strip_string_columns(normalize_columns(raw).where(BAD_ENCODING)), None)
 
 
 def bronze_table_rows(raw: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from laborlake.functions.expressions import conform_content
 from laborlake.operators import gold, quality, silver
 from laborlake.operators.quality import ValidationError, failure_reason
 from laborlake.plans.monitor import RunEvents, counted
-from laborlake.schemas import HOURS_TEXT
+from laborlake.schemas import BAD_ENCODING, RULE_COLUMNS
 from laborlake.sinks.lake import Lake, write_csv
 from laborlake.sinks.warehouse import insert, with_log_id
 from laborlake.sources import files, pages, topic
@@ -53,7 +53,7 @@ def extract(spark: SparkSession, source: str, cfg: SourceConfig) -> DataFrame:
     if source == "file":
         path = cfg.csv_path
         read = files.ingest_csv_file if path.endswith(".csv") else files.ingest_folder
-        return read(spark, path, arrival=True)
+        return read(spark, path, arrival=True, flags=True)
     raise ValueError(f"Unsupported source: {source}")
 
 
@@ -94,8 +94,11 @@ def _to_bronze(spark: SparkSession, source: str | DataFrame, lake: Lake, cfg: So
 def _run_content(spark: SparkSession, source: str | DataFrame, lake: Lake, cfg: SourceConfig, strict: bool,
                  events: RunEvents, csv_export: str | None, tables: str | None) -> dict:
     raw = _to_bronze(spark, source, lake, cfg, events)
-    columns = raw.drop("source_system", "ingested_at")
-    missing = [c for c in quality.REQUIRED_COLUMNS if c not in columns.columns]
+    columns, broken = raw.drop("source_system", "ingested_at"), None
+    if BAD_ENCODING in columns.columns:
+        broken = silver.broken_rows(columns)
+        columns = columns.where(~F.col(BAD_ENCODING))
+    missing = [c for c in quality.REQUIRED_COLUMNS if c not in columns.columns]  # raw names: V1 comes before X2 renames
     if missing:  # V1 stops before any grouping
         grouped = None
         passed, report = quality.validate(columns)
@@ -114,8 +117,10 @@ def _run_content(spark: SparkSession, source: str | DataFrame, lake: Lake, cfg:
             raise ValidationError(failure_reason(report))
     tagged = quality.apply_rules(silver.silver_from_grouped(grouped, packed, cols),
                                  [*quality.content_rules(), quality.hours_type_rule()], key="content_id")
+    if broken is not None:
+        tagged = tagged.unionByName(quality.apply_rules(broken, [quality.utf8_rule()]), allowMissingColumns=True)
     tagged = lake.stage(tagged, events.run_id, "tagged")
-    accepted, n_ok = counted(tagged.where(F.size("violations") == 0).drop("violations", HOURS_TEXT), "silver_rows")
+    accepted, n_ok = counted(tagged.where(F.size("violations") == 0).drop("violations", *RULE_COLUMNS), "silver_rows")
     rejected, n_bad = counted(tagged.where(F.size("violations") > 0), "quarantined_rows")
     silver_path = lake.write_silver(accepted, "content_events_clean")
     lake.write_silver(rejected, "content_events_quarantine", partition_by=())
@@ -124,19 +129,18 @@ def _run_content(spark: SparkSession, source: str | DataFrame, lake: Lake, cfg:
     events.record("STAGE", "Transform", "SUCCESS", rows)
     s = lake.read_layer("silver", "content_events_clean")
     paths = {"bronze": lake.path("bronze", "content_events"), "silver": silver_path}
-    for name, frame in gold.gold_layer(s).items():
+    # Silver is scanned once; the gold frames are aggregates of the few rows of its group state.
+    state = lake.stage(gold.group_state(s), events.run_id, "group_state")
+    for name, frame in gold.gold_frames(state).items():
         paths[name] = lake.write_gold(frame, name)
-    by_department, by_category = gold.department_labor_summary_table(s), gold.category_summary_table(s)
-    paths["department_labor_summary"] = lake.write_gold(by_department, "department_labor_summary")
-    paths["category_summary_table"] = lake.write_gold(by_category, "category_summary")
     if csv_export:  # K3: the silver rows as CSV with a header (a folder of part files)
         paths["csv"] = write_csv(s, csv_export)
     if tables is not None:
         ok, _ = quality.split_by_rules(silver.bronze_table_rows(raw), quality.bronze_rules())
         insert(spark, f"{tables}bronze.content_events_raw", ok)
         insert(spark, f"{tables}silver.content_events_clean", s, overwrite=True)
-        insert(spark, f"{tables}gold.department_labor_summary", by_department, overwrite=True)
-        insert(spark, f"{tables}gold.category_summary", by_category, overwrite=True)
+        insert(spark, f"{tables}gold.department_labor_summary", lake.read_layer("gold", "department_labor_summary"), overwrite=True)
+        insert(spark, f"{tables}gold.category_summary", lake.read_layer("gold", "category_summary_table"), overwrite=True)
     events.record("STAGE", "Load", "SUCCESS", rows)
     events.record("END", status="SUCCESS", rows=rows)
     return {"run_id": events.run_id, "report": report, "paths": paths}

@@ -52,6 +52,11 @@ MESSAGE_SCHEMA = T.StructType([T.StructField(f.name, T.StringType(), True) for f
 HOURS_TEXT = "labor_hours_text"
 UNPARSED_HOURS_WARNING = "{n} row(s) with labor_hours that is no whole number"
 
+# Mark of file rows whose bytes are no UTF-8 (rule utf8_text).
+BAD_ENCODING = "bad_encoding"
+# Columns that only the table rules look at.
+RULE_COLUMNS = [HOURS_TEXT, BAD_ENCODING]
+
 # silver.content_events_clean: the canonical 12-column silver.
 SILVER_COLUMNS = [
     "content_id", "title", "category", "region", "department", "labor_hours", "labor_flag",

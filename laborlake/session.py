@@ -67,7 +67,40 @@ def fresh_path(spark: SparkSession, *parts: str) -> str:
     return f"{base}/{uuid.uuid4().hex}"
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Remove a folder of this library's own staging, through Spark's file system."""
+def _target(spark: SparkSession, path: str):
+    """A path and its file system, through Spark's Hadoop configuration."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this library's own, through Spark's file system."""
+    target, fs = _target(spark, path)
+    fs.delete(target, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    target, fs = _target(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, fs = _target(spark, path)
+    return fs.exists(target)
+
+
+def create_marker(spark: SparkSession, path: str) -> None:
+    """An empty file; it is there or not, nothing in between."""
+    target, fs = _target(spark, path)
+    fs.create(target, False).close()
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Drop what was written under the scratch root, and databases whose tables lie there. Frames read from there are void then."""
+    root = scratch_root(spark)
+    for db in [d.name for d in spark.catalog.listDatabases() if (d.locationUri or "").replace("file:///", "file:/").removeprefix("file:").startswith(
+            root.replace("file:///", "file:/").removeprefix("file:"))]:
+        spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
+    for name in list_names(spark, root):
+        drop_path(spark, f"{root}/{name}")

@@ -2,7 +2,9 @@
 
 ``root`` defaults to ``<spark.checkpoint.dir>/lake`` (the cluster's shared
 folder). Bronze is append-only and partitioned by run id (a re-run never
-overwrites an earlier run); silver and gold are overwritten per dataset.
+overwrites an earlier run). Silver and gold are published as versions: a write fills a folder of its own, and one marker
+file in it commits it. Readers resolve the newest committed version once, so a write that fails midway leaves
+the old answer, and a plan that has begun to read one keeps it through the next publication.
 """
 
 from __future__ import annotations
@@ -15,13 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from laborlake.session import drop_path, scratch_root
+from laborlake.session import create_marker, drop_path, list_names, path_exists, scratch_root
 
 LAYERS = ["bronze", "silver", "gold"]
 
 # Bound on rows per output file, so one hot partition value still yields many moderate files.
 MAX_RECORDS_PER_FILE = 5_000_000
 
+# A committed version holds this file (a name that Spark's listings leave out); so many committed versions stay.
+COMMITTED = "_COMMITTED"
+VERSIONS_KEPT = 2
+
 
 def new_run_id(now: _dt.datetime | None = None) -> str:
     """``RUN_%Y%m%d_%H%M%S`` plus a short unique suffix (same-second runs stay apart)."""
@@ -71,36 +77,61 @@ class Lake:
     def drop_stages(self, run_id: str) -> None:
         drop_path(self.spark, f"{self.root}/_staging/{run_id}")
 
+    def versions(self, layer: str, dataset: str) -> list[str]:
+        """Committed versions, oldest first."""
+        path = self.path(layer, dataset)
+        return [n for n in list_names(self.spark, path) if n.startswith("v") and path_exists(self.spark, f"{path}/{n}/{COMMITTED}")]
+
+    def current(self, layer: str, dataset: str) -> str | None:
+        """Folder of the newest committed version; None if nothing was published."""
+        held = self.versions(layer, dataset)
+        return f"{self.path(layer, dataset)}/{held[-1]}" if held else None
+
+    def _publish(self, df: DataFrame, layer: str, dataset: str, partition_by: tuple[str, ...] = ()) -> str:
+        path = self.path(layer, dataset)
+        names = [n for n in list_names(self.spark, path) if n.startswith("v")]
+        number = int(names[-1][1:13]) + 1 if names else 1
+        out = f"{path}/v{number:012d}_{uuid.uuid4().hex[:6]}"
+        w = df.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(out)
+        create_marker(self.spark, f"{out}/{COMMITTED}")
+        kept = self.versions(layer, dataset)[-VERSIONS_KEPT:]
+        for name in names:  # older ones, and what failed writes left before this one began
+            if name not in kept:
+                drop_path(self.spark, f"{path}/{name}")
+        return out
+
     def write_silver(self, df: DataFrame, dataset: str, partition_by: tuple[str, ...] = ("region",),
                      dynamic: bool = False) -> str:
-        """K1/K5: overwrite, partitioned by region.
+        """K1/K5: publish a new version, partitioned by region; its folder.
 
         No ``repartition(region)``: with a handful of regions that would leave a
         handful of writer tasks for the whole table. Each task writes at most one
         file per region it holds (the writer sorts by the partition column), and
         ``maxRecordsPerFile`` bounds file size. ``dynamic`` replaces only the
-        regions present in ``df``.
+        partitions present in ``df``: the others are carried over from the version before.
         """
-        path = self.path("silver", dataset)
-        w = df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        if dynamic:
-            w = w.option("partitionOverwriteMode", "dynamic")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        return path
+        if dynamic and partition_by and self.current("silver", dataset) is not None:
+            old = self.read_layer("silver", dataset)
+            new = df.select(*[F.col(c).alias(f"_{c}") for c in partition_by]).distinct()
+            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by])
+            df = df.unionByName(old.join(new, same, "left_anti"), allowMissingColumns=True)
+        return self._publish(df, "silver", dataset, partition_by)
 
     def write_gold(self, df: DataFrame, dataset: str) -> str:
-        """K2/K5: overwrite, unpartitioned (gold frames are small aggregates)."""
-        path = self.path("gold", dataset)
-        df.write.mode("overwrite").parquet(path)
-        return path
+        """K2/K5: publish a new version, unpartitioned (gold frames are small aggregates); its folder."""
+        return self._publish(df, "gold", dataset)
 
     # ---- reads -----------------------------------------------------------------------------
 
     def read_layer(self, layer: str, dataset: str) -> DataFrame:
-        """Read a dataset; a missing one raises FileNotFoundError."""
+        """Read a dataset (silver and gold: its current version); a missing one raises FileNotFoundError."""
         path = self.path(layer, dataset)
+        if layer != "bronze":
+            current = self.current(layer, dataset)
+            if current is None:
+                raise FileNotFoundError(path)
+            return self.spark.read.parquet(current)
         try:
             return self.spark.read.parquet(path)
         except AnalysisException as e:
@@ -109,15 +140,18 @@ class Lake:
             raise
 
     def files(self) -> DataFrame:
-        """One row per data file: layer, dataset, file_path, bytes (content is never read)."""
+        """One row per data file of bronze and of the current versions: layer, dataset, file_path, bytes (content is never read)."""
         listing = (self.spark.read.format("binaryFile")
                    .option("recursiveFileLookup", "true")
                    .option("pathGlobFilter", "*.parquet")
                    .load(self.root)
                    .select("path", "length"))
         # The last such folder in the path: the root itself may hold one of the names.
-        pattern = r"^.*/(bronze|silver|gold)/([^/]+)/"
-        return listing.select(
+        pattern = r"^.*/(bronze|silver|gold)/([^/]+)/(v[0-9]{12}_[0-9a-f]{6}/)?"
+        current = [self.current(layer, name) for layer in LAYERS[1:] for name in list_names(self.spark, f"{self.root}/{layer}")]
+        version = F.rtrim(F.regexp_extract("path", pattern, 3), F.lit("/"))
+        held = (version == "") | version.isin([path.rsplit("/", 1)[1] for path in current if path])
+        return listing.where(held).select(
             F.regexp_extract("path", pattern, 1).alias("layer"),
             F.regexp_extract("path", pattern, 2).alias("dataset"),
             F.col("path").alias("file_path"),
@@ -139,7 +173,7 @@ class Lake:
     def row_counts(self) -> DataFrame:
         """Rows per (layer, dataset), from the Parquet footers; one branch per dataset."""
         names = sorted((r["layer"], r["dataset"]) for r in self.inventory().select("layer", "dataset").collect())
-        counts = [self.spark.read.parquet(self.path(layer, dataset)).agg(F.count(F.lit(1)).alias("row_count"))
+        counts = [self.read_layer(layer, dataset).agg(F.count(F.lit(1)).alias("row_count"))
                   .select(F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset"), "row_count") for layer, dataset in names]
         return reduce(DataFrame.unionByName, counts)
 

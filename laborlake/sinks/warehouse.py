@@ -3,17 +3,18 @@
 The DDL keeps the reference's columns, types and defaults. Parquet tables have
 no PRIMARY KEY / CHECK / IDENTITY and accept nulls in NOT NULL columns, so the
 rules live in ``operators.quality`` (accepted vs quarantined rows) and the
-labor-log key is a hash of the record (``log_id``).
+labor-log key is numbered before the insert (``with_log_id``). An overwrite fills a folder of its own and commits it by
+the table's location, so a failing one leaves the old rows.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from laborlake.session import scratch_root
+from laborlake.session import drop_path, list_names, scratch_root
 
 DDL = {
     "bronze.content_events_raw": """
@@ -37,7 +38,8 @@ DDL = {
         summary_date DATE DEFAULT current_date()""",
 }
 
-_RUN = 10_000
+_RUN = 10_000  # equal records numbered as one row; more are dealt out
+_BUCKET = 1_000_000  # distinct records numbered by one task
 
 # VARCHAR lengths are checked before insert by operators.quality (CONTENT_LENGTHS,
 # LABOR_LOG_LENGTHS): a longer value would fail the whole insert, a rule quarantines the row.
@@ -57,27 +59,68 @@ def create_tables(spark: SparkSession, location: str | None = None, prefix: str
 
 
 def insert(spark: SparkSession, table: str, df: DataFrame, overwrite: bool = False) -> None:
-    """INSERT by column name; columns the frame lacks take their DEFAULT."""
-    view = f"_ins_{uuid.uuid4().hex}"
+    """INSERT by column name; columns the frame lacks take their DEFAULT.
+
+    ``overwrite`` inserts into a new folder under the same columns and then moves the table's location there: one
+    catalog change commits. The folder before it stays for plans that read it, older ones go.
+    """
     cols = [c for c in df.columns if c in spark.table(table).columns]
+    if not overwrite:
+        return _insert_into(spark, table, df, cols)
+    db, name = table.rsplit(".", 1)
+    layer = next(t for t in DDL if table.endswith(t))
+    old = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+    base = old.rsplit("/", 1)[0] + "/" + name
+    tag = uuid.uuid4().hex[:12]
+    new, filled = f"{base}__{tag}", f"{db}.{name}__{tag}"
+    spark.sql(f"CREATE TABLE {filled} ({DDL[layer]}) USING parquet LOCATION '{new}'")
+    try:
+        _insert_into(spark, filled, df, cols)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+        spark.catalog.refreshTable(table)
+    finally:
+        spark.sql(f"DROP TABLE {filled}")  # its files are the table's now, or those of a failed write
+    folder = base.rsplit("/", 1)[0]
+    for other in list_names(spark, folder):
+        if other.startswith(f"{name}__") and f"{folder}/{other}".split(":", 1)[-1] not in (old.split(":", 1)[-1], new.split(":", 1)[-1]):
+            drop_path(spark, f"{folder}/{other}")
+    return None
+
+
+def _insert_into(spark: SparkSession, table: str, df: DataFrame, cols: list[str]) -> None:
+    view = f"_ins_{uuid.uuid4().hex}"
     df.select(*cols).createOrReplaceTempView(view)
     try:
-        verb = "INSERT OVERWRITE" if overwrite else "INSERT INTO"
         col_list = ", ".join(f"`{c}`" for c in cols)
-        spark.sql(f"{verb} {table} ({col_list}) SELECT {col_list} FROM {view}")
+        spark.sql(f"INSERT INTO {table} ({col_list}) SELECT {col_list} FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
 
 
 def with_log_id(df: DataFrame) -> DataFrame:
-    """Surrogate key for silver.labor_logs: xxhash64 of the record and its ordinal among equal records.
+    """Identity key of silver.labor_logs: dense numbers 1 to n, in two passes and without a task that sees all rows.
 
-    Parquet has no IDENTITY. Equal records are counted (partially aggregated, so a record that a third of
-    all rows repeat is one row per map task) and dealt out again in runs of ``_RUN`` ordinals over many tasks.
-    The primary-key rule reports what collides all the same.
+    Equal records are counted first (partially aggregated, so a record that a third of all rows repeat is one row per
+    map task). The distinct records are dealt by hash into buckets of about ``_BUCKET``; the rows per bucket are
+    summed up in one small window, and a window within each bucket gives a record its first number. A record with over
+    ``_RUN`` copies is dealt out again in runs of that many numbers. Which of two records comes first is not defined,
+    but the same rows always get the same numbers.
     """
-    counts = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    runs = counts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(_RUN).cast("long"))).alias("_from"))
-    spread = runs.repartition(*[F.col(c) for c in df.columns], F.col("_from"))
-    each = spread.select(*df.columns, F.explode(F.sequence("_from", F.least(F.col("_n") - 1, F.col("_from") + (_RUN - 1)))).alias("_at"))
-    return each.select(*df.columns, F.xxhash64(*df.columns, "_at").alias("log_id"))
+    names = df.columns
+    given = df.toDF(*[f"c{i}" for i in range(len(names))])
+    keys = [F.col(c) for c in given.columns]
+    counts = given.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    buckets = max(1, -(-counts.count() // _BUCKET))
+    dealt = counts.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    first = (dealt.groupBy("bucket").agg(F.sum("n").alias("rows"))
+             .select("bucket", (F.sum("rows").over(Window.orderBy("bucket")) - F.col("rows")).alias("before")))
+    within = F.sum("n").over(Window.partitionBy("bucket").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    placed = dealt.withColumn("within", within).join(first, "bucket").withColumn("base", F.col("before") + F.col("within"))
+
+    def numbered(rows: DataFrame, start: Column, end: Column) -> DataFrame:
+        return rows.select(*keys, F.explode(F.sequence(F.col("base") + start + 1, F.col("base") + end)).alias("log_id"))
+
+    few = numbered(placed.where(F.col("n") <= _RUN), F.lit(0), F.col("n"))
+    many = placed.where(F.col("n") > _RUN).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(_RUN).cast("long"))).alias("at"))
+    dealt_out = numbered(many.repartition("base", "at"), F.col("at"), F.least(F.col("n"), F.col("at") + _RUN))
+    return few.unionByName(dealt_out).toDF(*names, "log_id")

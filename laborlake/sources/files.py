@@ -1,21 +1,23 @@
 """CSV file and folder scans with fixed malformed-row rules.
 
 Rules (pandas ``read_csv(on_bad_lines='skip')`` semantics):
-  * first line of each file is its header (a repeated name is numbered: ``id``, ``id.1``); blank lines are skipped
-  * fields may be quoted; a doubled quote stands for one, and separators and line ends inside quotes are data
+  * the first line of each file that is not blank is its header (a repeated name is numbered: ``id``, ``id.1``); blank lines are skipped
+  * fields may be quoted; a doubled quote stands for one, and separators and line ends inside quotes are data (as ``\\n``)
   * a row with more fields than the header is dropped (also when the extra field is blank)
   * a row with fewer fields is padded with nulls
   * empty fields are null; with ``na_tokens`` those strings are null too (default none, so a
     region "NA" survives)
+  * a row with bytes that are no UTF-8 keeps its text with replacement signs and is marked (``bad_encoding``), so that keys which
+    became equal by that are not taken for one; a run quarantines it
   * content columns have their fixed types (``conform_content``); the types of other columns are inferred over
     the data: all values integral -> BIGINT (STRING if any is too long for it), all numeric -> DOUBLE, else STRING
 
-How: one pass over the text lines finds each file's header and whether a quoted field spans
-lines. Files of one kind are read by Spark's CSV reader with the header's columns, those with spanning
-fields in its multi-line mode; a row with another field count keeps its raw text in the
-corrupt-record column, and it is dropped when that text has more fields than the
-header (counted outside quotes, so a blank extra field counts). Kinds are
-unioned by name. The driver sees the distinct headers; only where they differ, also the paths by kind.
+How: one pass over the text lines finds each file's header, whether a quoted field spans lines, and whether bytes are broken. Plain
+files are read by Spark's CSV reader with the header's columns. Files with spanning fields or broken bytes
+have their lines staged and put together as records (``quoted``), which ``from_csv`` parses under the same options, so one large
+file is read by many tasks in any case. A row with another field count keeps its raw text in the corrupt-record column, and
+it is dropped when that text has more fields than the header (counted outside quotes, so a blank extra field
+counts). Kinds are unioned by name. The driver sees the distinct headers; only where files differ, also the paths by kind.
 """
 
 from __future__ import annotations
@@ -24,31 +26,33 @@ import csv
 import io
 import logging
 from collections.abc import Iterable
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from laborlake.functions.expressions import conform_content, normalize_name
-from laborlake.schemas import CONTENT_SCHEMA
+from laborlake.schemas import BAD_ENCODING, CONTENT_SCHEMA
 from laborlake.session import fresh_path
+from laborlake.sources.quoted import is_blank, open_after, quoted_records, staged_lines, text_lines
 
 _CORRUPT = "_raw_line"
 ARRIVAL = ["arrival_part", "arrival_block", "arrival_pos"]
 
 
 def file_kinds(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
-    """(path, header, multiline) of each file: its first line, and whether any line leaves a quote open.
+    """(path, header, plain) of each file: its first line that is not blank (null: none), and whether the CSV reader can take it.
 
-    Without ``recursiveFileLookup`` a folder's listing holds its top-level files only, on any file system.
+    ``header_open``: the header itself spans lines.
     """
-    reader = spark.read.format("text")
-    lines = (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    placed = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-                          F.monotonically_increasing_id().alias("at"), (quotes % 2 == 1).alias("open"))
-    kinds = placed.groupBy("path").agg(F.min_by("value", F.struct("block", "at")).alias("header"), F.bool_or("open").alias("multiline"))
+    lines = text_lines(spark, path, glob)
+    state = open_after(F.col("value"), False) == 1
+    placed = lines.select("value", "path", F.struct("block", "at").alias("place"), state.alias("open"), is_blank(F.col("value")).alias("blank"))
+    first = F.min_by(F.when(~F.col("blank"), F.struct("value", "open")), F.when(~F.col("blank"), F.col("place")))
+    kinds = placed.groupBy("path").agg(first.alias("first"), (~F.bool_or(F.col("open") | ~F.is_valid_utf8("value"))).alias("plain"))
     out = fresh_path(spark, "staging", "csv_kinds")
+    kinds = kinds.select("path", F.make_valid_utf8(F.col("first.value")).alias("header"), F.col("first.open").alias("header_open"), "plain")
     kinds.write.parquet(out)
     return spark.read.schema(kinds.schema).parquet(out)
 
@@ -71,33 +75,48 @@ def _field_count(line):
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
-def _read_group(spark: SparkSession, paths: str | list[str], glob: str | None, names: list[str], multiline: bool) -> DataFrame:
-    # Exactly the header's columns + the corrupt-record column. Rows with the
-    # header's field count parse normally; only short or long rows are
-    # "malformed" and keep their raw text, whose field count (outside quotes,
-    # so a blank extra field counts) tells short (keep, padded) from long (drop).
-    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names]
-                          + [T.StructField(_CORRUPT, T.StringType(), True)])
+def _options(names: list[str]) -> tuple[T.StructType, dict[str, str]]:
+    """Exactly the header's columns and the corrupt-record column.
+
+    Rows with the header's field count parse normally; only short or long rows are "malformed" and keep their raw text.
+    """
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType(), True) for i in range(len(names))] + [T.StructField(_CORRUPT, T.StringType(), True)])
+    return schema, {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+
+
+def _kept(names: list[str]) -> Column:
+    """Rows with the header's fields or fewer."""
+    return F.col(_CORRUPT).isNull() | (_field_count(F.col(_CORRUPT)) <= len(names))
+
+
+def _fields(names: list[str]) -> list[Column]:
+    return [F.col(f"c{i}").alias(n) for i, n in enumerate(names)]
+
+
+def _read_plain(spark: SparkSession, paths: str | list[str], glob: str | None, names: list[str]) -> DataFrame:
+    """Files that Spark's CSV reader splits at line ends."""
+    schema, options = _options(names)
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    df = (reader.schema(schema)
-          .option("header", True)
-          .option("escape", '"')
-          .option("enforceSchema", True)
-          .option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", _CORRUPT)
-          .option("multiLine", multiline)
-          .option("columnPruning", False)
-          .option("encoding", "UTF-8")
-          .csv(paths))
-    keep = F.col(_CORRUPT).isNull() | (_field_count(F.col(_CORRUPT)) <= len(names))
+    df = reader.schema(schema).options(**options).option("header", True).option("enforceSchema", True).option("columnPruning", False).csv(paths)
     # Spark rejects scans that read only the corrupt-record column (e.g. under count());
     # the always-true test on the first column keeps a data column in the scan.
-    touch = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
-    return df.where(keep & touch).select(*[F.col(f"`{n}`") for n in names],
-                                          F.col("_metadata.file_name").alias("source_file"),
-                                          F.col("_metadata.file_path").alias("arrival_part"),
-                                          F.col("_metadata.file_block_start").alias("arrival_block"),
-                                          F.monotonically_increasing_id().alias("arrival_pos"))
+    touch = F.length(F.coalesce(F.col("c0"), F.lit(""))) >= 0
+    return df.where(_kept(names) & touch).select(
+        *_fields(names), F.col("_metadata.file_name").alias("source_file"), F.lit(False).alias(BAD_ENCODING),
+        F.col("_metadata.file_path").alias("arrival_part"), F.col("_metadata.file_block_start").alias("arrival_block"),
+        F.monotonically_increasing_id().alias("arrival_pos"))
+
+
+def _read_records(records: DataFrame, names: list[str]) -> DataFrame:
+    """Records of files with spanning fields or broken bytes."""
+    schema, options = _options(names)
+    ddl = ", ".join(f"{f.name} STRING" for f in schema.fields)
+    text = F.make_valid_utf8("value")
+    parsed = records.where(~F.col("is_header")).select("path", "block", "at", (~F.is_valid_utf8("value")).alias(BAD_ENCODING),
+                                                       F.inline(F.array(F.from_csv(text, ddl, options))))
+    name = F.url_decode(F.replace(F.element_at(F.split("path", "/"), -1), F.lit("+"), F.lit("%2B")))
+    return parsed.where(_kept(names)).select(*_fields(names), name.alias("source_file"), BAD_ENCODING, F.col("path").alias("arrival_part"),
+                                             F.col("block").alias("arrival_block"), F.col("at").alias("arrival_pos"))
 
 
 def _null_tokens(df: DataFrame, cols: list[str], na_tokens: Iterable[str]) -> DataFrame:
@@ -147,44 +166,69 @@ def infer_types(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*out, *[c for c in df.columns if c not in cols])
 
 
+def _groups(spark: SparkSession, path: str, glob: str | None) -> list[DataFrame]:
+    """One frame per kind of file: a header, read plainly or as records."""
+    kinds = file_kinds(spark, path, glob).where("header is not null")
+    distinct = kinds.select("header", "plain", "header_open").distinct().collect()
+    whole = len(distinct) == 1 and kinds.count() == file_count(spark, path, glob)
+
+    def paths(rows: DataFrame) -> str | list[str]:  # file names only, and only where the files differ
+        return path if whole else sorted(unquote(r["path"]) for r in rows.select("path").collect())
+
+    frames = []
+    for header in sorted({r["header"] for r in distinct if r["plain"]}):
+        names = parse_header(header)
+        frames.append(_read_plain(spark, paths(kinds.where(F.col("plain") & (F.col("header") == header))), glob, names))
+    odd = [r for r in distinct if not r["plain"]]
+    if odd:
+        lines = staged_lines(text_lines(spark, paths(kinds.where(~F.col("plain"))), glob))
+        records = quoted_records(lines)
+        own = kinds.select("path", "header").where(~F.col("plain"))
+        if any(r["header_open"] for r in odd):  # the kinds hold its first line only
+            own = records.where("is_header").select("path", F.make_valid_utf8("value").alias("header"))
+        headers = sorted(r["header"] for r in own.select("header").distinct().collect())
+        for header in headers:
+            some = [r["path"] for r in own.where(F.col("header") == header).select("path").collect()] if len(headers) > 1 else None
+            frames.append(_read_records(records if some is None else quoted_records(lines.where(F.col("path").isin(some))), parse_header(header)))
+    return frames
+
+
+def file_count(spark: SparkSession, path: str, glob: str | None) -> int:
+    reader = spark.read.format("text")
+    return len((reader.option("pathGlobFilter", glob) if glob else reader).load(path).inputFiles())
+
+
 def read_csv(spark: SparkSession, path: str, glob: str | None = None, na_tokens: Iterable[str] = (),
              infer: bool = True) -> DataFrame | None:
     """Read a file or the matching files of a folder; one CSV scan per kind of file, unioned by name."""
-    kinds = file_kinds(spark, path, glob)
-    distinct = kinds.select("header", "multiline").distinct().collect()
-    frames = []
-    for kind in sorted(distinct, key=lambda r: (r["header"] or "", r["multiline"])):
-        names = parse_header(kind["header"])
-        if not names:
-            continue
-        paths: str | list[str] = path
-        if len(distinct) > 1:  # file names only, and only where the files differ
-            same = kinds.where(F.col("header").eqNullSafe(F.lit(kind["header"])) & (F.col("multiline") == kind["multiline"]))
-            paths = sorted(r["path"] for r in same.select("path").collect())
-        frames.append(_read_group(spark, paths, glob, names, kind["multiline"]))
+    frames = _groups(spark, path, glob)
     if not frames:
         return None
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    cols = [c for c in out.columns if c not in ("source_file", *ARRIVAL)]
+    cols = [c for c in out.columns if c not in ("source_file", BAD_ENCODING, *ARRIVAL)]
     out = conform_content(_null_tokens(out, cols, na_tokens))
     fixed = {f.name for f in CONTENT_SCHEMA.fields}
     return infer_types(out, [c for c in cols if normalize_name(c) not in fixed]) if infer else out
 
 
-def ingest_csv_file(spark: SparkSession, path: str, arrival: bool = False, **kw) -> DataFrame:
-    """One CSV file; a missing file raises (PATH_NOT_FOUND from Spark)."""
+def _shown(df: DataFrame, arrival: bool, flags: bool) -> DataFrame:
+    return df.drop(*([] if arrival else ARRIVAL), *([] if flags else [BAD_ENCODING]))
+
+
+def ingest_csv_file(spark: SparkSession, path: str, arrival: bool = False, flags: bool = False, **kw) -> DataFrame:
+    """One CSV file; a missing file raises (PATH_NOT_FOUND from Spark). ``flags`` adds ``bad_encoding``."""
     df = read_csv(spark, path, **kw)
     if df is None:
         return spark.createDataFrame([], T.StructType([]))
-    return df.drop("source_file") if arrival else df.drop("source_file", *ARRIVAL)
+    return _shown(df.drop("source_file"), arrival, flags)
 
 
-def ingest_folder(spark: SparkSession, folder: str, arrival: bool = False, **kw) -> DataFrame:
+def ingest_folder(spark: SparkSession, folder: str, arrival: bool = False, flags: bool = False, **kw) -> DataFrame:
     """All top-level ``*.csv`` files (suffix case-sensitive), ``source_file`` = base name; none -> empty frame."""
     df = read_csv(spark, folder, glob="*.csv", **kw)
     if df is None:
         logging.getLogger(__name__).warning("No CSV files found in %s", folder)
         return spark.createDataFrame([], T.StructType([]))
-    return df if arrival else df.drop(*ARRIVAL)
+    return _shown(df, arrival, flags)
