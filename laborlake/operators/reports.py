@@ -1,12 +1,12 @@
 """The seven warehouse reports over silver.content_events_clean.
 
-DataFrame forms of the report SQL; ``REPORT_SQL`` holds the same reports as
-Spark SQL text over the ``silver`` database tables for the SQL path.
+DataFrame forms of the reports, and in ``REPORT_SQL`` the same as Spark SQL text over the ``silver`` tables of a warehouse
+(``report_from_sql``); both give the same plans.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from laborlake.functions.expressions import month_of
@@ -82,3 +82,42 @@ def hours_variance(silver: DataFrame, labor_logs: DataFrame) -> DataFrame:
 def silver_preview(silver: DataFrame) -> DataFrame:
     """The processed-records projection shown after a run."""
     return silver.select("content_id", "title", "category", "department", "labor_hours", "labor_flag", "region")
+
+
+REPORT_SQL = {
+    "labor_by_department": """
+SELECT department, region, count(content_id) AS total_projects, sum(labor_hours) AS total_labor_hours,
+       round(avg(labor_hours), 2) AS avg_labor_hours, max(labor_hours) AS max_labor_hours,
+       count_if(labor_flag = 'HIGH') AS high_effort_projects
+FROM {content}
+GROUP BY ALL ORDER BY total_labor_hours DESC""",
+    "category_region_volume": """
+SELECT category, region, count(content_id) AS total_titles, sum(labor_hours) AS total_labor_hours
+FROM {content}
+GROUP BY ALL ORDER BY category, total_titles DESC""",
+    "labor_flag_distribution": """
+WITH flags AS (SELECT labor_flag, count(*) AS count FROM {content} GROUP BY ALL)
+SELECT labor_flag, count, round(100D * count / sum(count) OVER (), 2) AS percentage
+FROM flags ORDER BY count DESC""",
+    "monthly_throughput": """
+SELECT date_format(processed_at, 'yyyy-MM') AS month, count(content_id) AS records_processed, sum(labor_hours) AS total_hours
+FROM {content}
+GROUP BY ALL ORDER BY month""",
+    "top_effort": """
+SELECT content_id, title, department, labor_hours, labor_flag, region
+FROM {content} ORDER BY labor_hours DESC, content_id LIMIT 5""",
+    "above_avg_departments": """
+WITH means AS (SELECT department, avg(labor_hours) AS mean FROM {content} GROUP BY ALL)
+SELECT department, round(mean, 2) AS avg_hours
+FROM means WHERE mean > (SELECT avg(labor_hours) FROM {content}) ORDER BY avg_hours DESC""",
+    "hours_variance": """
+WITH logged AS (SELECT project_id, sum(hours_logged) AS actual_logged_hours FROM {labor_logs} GROUP BY ALL)
+SELECT c.content_id, c.title, c.department, c.labor_hours AS event_labor_hours, l.actual_logged_hours,
+       c.labor_hours - l.actual_logged_hours AS variance
+FROM {content} c LEFT JOIN logged l ON c.content_id = l.project_id ORDER BY variance DESC""",
+}
+
+
+def report_from_sql(spark: SparkSession, name: str, prefix: str = "") -> DataFrame:
+    """A report's SQL text over the tables of the warehouse whose databases begin with ``prefix``."""
+    return spark.sql(REPORT_SQL[name].format(content=f"{prefix}silver.content_events_clean", labor_logs=f"{prefix}silver.labor_logs"))

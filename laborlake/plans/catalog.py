@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborlake.operators import gold, quality, reports, silver
-from laborlake.schemas import HOURS_TEXT, REQUIRED_COLUMNS
+from laborlake.schemas import API_PAGE_SIZE, HOURS_TEXT, REQUIRED_COLUMNS
 from laborlake.session import fresh_path
 from laborlake.sinks.lake import Lake, write_csv
 from laborlake.sinks.warehouse import create_tables, insert, with_log_id
@@ -86,27 +86,39 @@ def gold_category_summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.category_summary_table(_silver(spark, sf_dir)).drop("summary_date")
 
 
-def _warehouse(spark: SparkSession) -> str:
-    """The five tables in databases of their own; their prefix."""
+def _warehouse(spark: SparkSession, *names: str) -> str:
+    """The named tables (all five) in databases of their own; their prefix."""
     prefix = f"q{uuid.uuid4().hex[:12]}_"
-    create_tables(spark, fresh_path(spark, "warehouse"), prefix)
+    create_tables(spark, fresh_path(spark, "warehouse"), prefix, names or None)
     return prefix
 
 
-def _table_report(fn) -> Query:
-    """A report over silver.content_events_clean, loaded from the driver tables."""
+def _table_report(name: str) -> Query:
+    """The SQL text of a report over the warehouse tables, loaded from the driver tables."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        prefix = _warehouse(spark)
+        needs_logs = "{labor_logs}" in reports.REPORT_SQL[name]
+        prefix = _warehouse(spark, "silver.content_events_clean", *["silver.labor_logs"] * needs_logs)
         insert(spark, f"{prefix}silver.content_events_clean", _silver(spark, sf_dir))
-        return fn(spark.table(f"{prefix}silver.content_events_clean"))
+        if needs_logs:
+            insert(spark, f"{prefix}silver.labor_logs", with_log_id(tables.labor_records(spark, sf_dir)))
+        return reports.report_from_sql(spark, name, prefix)
     return q
 
 
-def sql_report_hours_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prefix = _warehouse(spark)
-    insert(spark, f"{prefix}silver.content_events_clean", _silver(spark, sf_dir))
-    insert(spark, f"{prefix}silver.labor_logs", with_log_id(tables.labor_records(spark, sf_dir)))
-    return reports.hours_variance(spark.table(f"{prefix}silver.content_events_clean"), spark.table(f"{prefix}silver.labor_logs"))
+def warehouse_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that an insert leaves out have their defaults when read back."""
+    names = ["silver.content_events_clean", "gold.department_labor_summary", "gold.category_summary"]
+    prefix = _warehouse(spark, *names)
+    ce = _silver(spark, sf_dir)
+    frames = [ce.drop("pipeline_layer", "processed_at"), gold.department_labor_summary_table(ce).drop("summary_date"),
+              gold.category_summary_table(ce).drop("summary_date")]
+    for name, frame in zip(names, frames, strict=True):
+        insert(spark, prefix + name, frame)
+    given = [(F.col("pipeline_layer") == "silver") & (F.abs(F.unix_timestamp("processed_at") - F.unix_timestamp()) < 86400)]
+    given += [F.abs(F.datediff("summary_date", F.current_date())) <= 1] * 2
+    counts = [spark.table(prefix + n).agg(F.count(F.lit(1)).alias("row_count"), F.count_if(g).alias("with_defaults"))
+              .select(F.lit(n).alias("name"), "row_count", "with_defaults") for n, g in zip(names, given, strict=True)]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 # ---- sources ---------------------------------------------------------------------------------
@@ -157,6 +169,37 @@ def csv_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, _landed_lines(spark, lines, "id,x,y"), glob="*.txt").select("id", "x", "y")
 
 
+def csv_blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that begin with blank lines, and blank lines between the rows."""
+    o = tables.table(spark, sf_dir, "orders")
+    gap = F.when(F.col("o_orderkey") % 3 == 0, F.lit("\n \n")).otherwise(F.lit(""))
+    line = F.concat(F.col("o_orderkey").cast("string"), F.lit(","), F.col("o_orderpriority"), gap)
+    folder = _landed_lines(spark, o.select(F.col("o_orderkey").alias("key"), line.alias("value")), "\n\t\nid,priority")
+    return files.read_csv(spark, folder, glob="*.txt").select("id", "priority")
+
+
+def csv_bad_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys whose bytes are no UTF-8 are marked; two of them that differ in such a byte only look the same."""
+    o = tables.table(spark, sf_dir, "orders")
+    # The text sink writes a string's bytes as they are.
+    tail = F.when(F.col("o_orderkey") % 4 == 0, F.lit(bytes([0xFF]))).when(F.col("o_orderkey") % 4 == 1, F.lit(bytes([0xC3, 0x28]))).otherwise(
+        F.lit("é".encode()))
+    key = F.concat(F.encode(F.concat(F.lit("k"), F.floor(F.col("o_orderkey") / 4).cast("string")), "UTF-8"), tail)
+    line = F.concat(key, F.encode(F.concat(F.lit(","), F.col("o_orderkey").cast("string")), "UTF-8")).cast("string")
+    folder = _landed_lines(spark, o.select(F.col("o_orderkey").alias("key"), line.alias("value")), "key,id")
+    return files.read_csv(spark, folder, glob="*.txt").select("key", "id", "bad_encoding")
+
+
+def csv_large_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Large files (one per 150,000 orders) whose quoted fields hold line ends, each read by as many tasks as it has blocks."""
+    o = tables.table(spark, sf_dir, "orders")
+    note = F.concat(F.lit('"'), F.repeat(F.concat(F.col("o_orderpriority"), F.lit(', ""so""\n')), 12), F.col("o_orderstatus"), F.lit('"'))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), note, F.lit('5" pipe'))
+    files_of = max(1, o.count() // 150_000)
+    folder = _landed_lines(spark, o.select(F.col("o_orderkey").alias("key"), line.alias("value")), "id,note,size", files_of)
+    return files.read_csv(spark, folder, glob="*.txt").select("id", "note", "size")
+
+
 EXPORTED = ["content_id", "title", "category", "region", "department", "labor_hours", "labor_flag"]
 
 
@@ -178,24 +221,26 @@ def api_pages_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.flatten_pages(_landed_pages(spark, sf_dir))
 
 
-STOP = 40  # the page that a stop rule meets in the next three queries
+def _middle(spark: SparkSession, sf_dir: str) -> int:
+    """A page in the middle of the landed ones, for the stop rules to meet."""
+    return max(2, tables.table(spark, sf_dir, "lineitem").count() // (2 * API_PAGE_SIZE))
 
 
 def pages_stop_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page without results, in the middle."""
-    void = F.when(F.col("page") == STOP, F.slice("results", 1, 0)).otherwise(F.col("results"))
+    void = F.when(F.col("page") == _middle(spark, sf_dir), F.slice("results", 1, 0)).otherwise(F.col("results"))
     return pages.flatten_pages(_landed_pages(spark, sf_dir, lambda p: p.withColumn("results", void)))
 
 
 def pages_stop_falsy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page whose ``next`` is the empty text."""
-    void = F.when(F.col("page") == STOP - 1, F.lit("")).otherwise(F.col("next"))
+    void = F.when(F.col("page") == _middle(spark, sf_dir) - 1, F.lit("")).otherwise(F.col("next"))
     return pages.flatten_pages(_landed_pages(spark, sf_dir, lambda p: p.withColumn("next", void)))
 
 
 def pages_stop_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page that did not land."""
-    return pages.flatten_pages(_landed_pages(spark, sf_dir, lambda p: p.where(F.col("page") != STOP)))
+    return pages.flatten_pages(_landed_pages(spark, sf_dir, lambda p: p.where(F.col("page") != _middle(spark, sf_dir))))
 
 
 def labor_logs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,9 +251,13 @@ def labor_logs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labor_log_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K8: every record, equal ones too, has a key of its own."""
-    return with_log_id(tables.labor_records(spark, sf_dir)).agg(
-        F.count(F.lit(1)).alias("row_count"), F.countDistinct("log_id").alias("key_count"))
+    """K8: every record has a key of its own, equal ones too, and the keys are 1 to n; a third of the records are one record."""
+    recs = tables.labor_records(spark, sf_dir)
+    again = recs.where(F.col("role") == "R").select(*[F.lit("hot").cast(f.dataType).alias(f.name) if f.name == "employee_id" else
+                                                      F.lit(None).cast(f.dataType).alias(f.name) for f in recs.schema.fields])
+    return with_log_id(recs.where(F.col("role") != "R").unionByName(again)).agg(
+        F.count(F.lit(1)).alias("row_count"), F.countDistinct("log_id").alias("key_count"), F.min("log_id").alias("first_key"),
+        F.max("log_id").alias("last_key"))
 
 
 def labor_logs_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,6 +363,25 @@ def stream_silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/silver").drop("arrival_part", "arrival_block", "arrival_pos", "arrived_at")
 
 
+def stream_exact_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-S3: deliveries of a key in several micro-batches, the newest files first, so later batches correct earlier answers."""
+    src, first_files = _land_topic(spark, sf_dir)
+    base = fresh_path(spark, "stream")
+    q = ingest.start_exact_silver(topic.read_topic(spark, src, streaming=True, max_files_per_trigger=first_files, latest_first=True),
+                                  f"{base}/silver", f"{base}/_chk")
+    q.awaitTermination()
+    return ingest.read_exact_silver(spark, f"{base}/silver")
+
+
+def stream_run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 on a stream: rows and dead letters, recorded per micro-batch, over the whole topic."""
+    src, base = _land_dirty_topic(spark, sf_dir), fresh_path(spark, "stream")
+    q = ingest.start_bronze_ingest(topic.read_topic(spark, src, streaming=True, max_files_per_trigger=6), f"{base}/bronze", f"{base}/_chk",
+                                   events_path=f"{base}/run_events", run_id="RUN_STREAM")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/run_events").groupBy("stage", "status").agg(F.sum("rows").alias("rows"))
+
+
 # ---- pipeline and run metrics ------------------------------------------------------------------
 
 def run_department_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,6 +407,19 @@ def run_stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_events(spark, sf_dir).where("event_type in ('STAGE', 'VALIDATION')").select("stage", "status", "rows")
 
 
+def run_strict_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V8 and V1 in strict runs: critical nulls, and renamed headers, end the run with their reason; nothing is published."""
+    lake, raw = Lake(spark, fresh_path(spark, "lake")), tables.content_events_raw(spark, sf_dir)
+    for frame in (raw, raw.withColumnRenamed("content_id", "Content ID").withColumnRenamed("department", "Department")):
+        try:
+            etl_run.run_pipeline(spark, frame, lake, strict=True)
+        except quality.ValidationError:
+            continue
+        raise AssertionError("the gate let the run pass")
+    found = spark.read.parquet(f"{lake.root}/ops/run_events").where("event_type = 'ERROR'")
+    return found.select("event_type", "stage", "status", "message", F.lit(len(lake.versions("silver", "content_events_clean"))).alias("published"))
+
+
 def _land_dirty_topic(spark: SparkSession, sf_dir: str) -> str:
     """The raw events, orders with hours that are no whole number, messages without a key, and broken JSON."""
     path = fresh_path(spark, "landing", "dirty")
@@ -444,16 +525,20 @@ QUERIES: dict[str, Query] = {
     "constraint_accepted": constraint_accepted,
     "gold_department_labor_summary": gold_department_labor_summary,
     "gold_category_summary_table": gold_category_summary_table,
-    "sql_report_labor_by_department": _table_report(reports.labor_by_department),
-    "sql_report_category_region_volume": _table_report(reports.category_region_volume),
-    "sql_report_labor_flag_distribution": _table_report(reports.labor_flag_distribution),
-    "sql_report_monthly_throughput": _table_report(reports.monthly_throughput),
-    "sql_report_top_effort": _table_report(reports.top_effort),
-    "sql_report_above_avg_departments": _table_report(reports.above_average_departments),
-    "sql_report_hours_variance": sql_report_hours_variance,
+    "sql_report_labor_by_department": _table_report("labor_by_department"),
+    "sql_report_category_region_volume": _table_report("category_region_volume"),
+    "sql_report_labor_flag_distribution": _table_report("labor_flag_distribution"),
+    "sql_report_monthly_throughput": _table_report("monthly_throughput"),
+    "sql_report_top_effort": _table_report("top_effort"),
+    "sql_report_above_avg_departments": _table_report("above_avg_departments"),
+    "sql_report_hours_variance": _table_report("hours_variance"),
+    "warehouse_defaults": warehouse_defaults,
     "csv_folder_ingest": csv_folder_ingest,
     "csv_quoted_fields": csv_quoted_fields,
     "csv_bad_rows": csv_bad_rows,
+    "csv_blank_lines": csv_blank_lines,
+    "csv_bad_bytes": csv_bad_bytes,
+    "csv_large_files": csv_large_files,
     "csv_export_roundtrip": csv_export_roundtrip,
     "api_pages_flatten": api_pages_flatten,
     "pages_stop_empty": pages_stop_empty,
@@ -470,9 +555,12 @@ QUERIES: dict[str, Query] = {
     "stream_bronze_silver": stream_bronze_silver,
     "stream_mixed_batches": stream_mixed_batches,
     "stream_silver_dedup": stream_silver_dedup,
+    "stream_exact_first": stream_exact_first,
+    "stream_run_events": stream_run_events,
     "run_department_summary": run_department_summary,
     "run_event_counts": run_event_counts,
     "run_stage_rows": run_stage_rows,
+    "run_strict_gate": run_strict_gate,
     "run_topic_dead_letters": run_topic_dead_letters,
     "run_null_keys": run_null_keys,
     "run_quarantine": run_quarantine,

@@ -56,6 +56,13 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def batch_events(spark: SparkSession, run_id: str, pipeline: str, batch_id: int, rows: int, dead: int) -> DataFrame:
+    """M1 for streams: the events of one micro-batch, with its id; two rows, whatever the batch holds."""
+    now = dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
+    found = [(now, run_id, pipeline, "STAGE", stage, "SUCCESS", n, None, None) for stage, n in (("Extract", rows), ("DeadLetters", dead))]
+    return spark.createDataFrame(found, RUN_EVENT_SCHEMA).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+
+
 def run_summary(events: DataFrame) -> DataFrame:
     """Per run: total events, ERROR events, WARNING events (exact type names only).
 

@@ -268,9 +268,9 @@ SELECT content_id, title, category, department, labor_hours, region,
        CASE WHEN event_type = 'F' THEN NULL ELSE CAST(year(event_timestamp) AS BIGINT) END AS release_year
 FROM content_events""",
     "api_pages_flatten": _PAGED + "SELECT * FROM paged",
-    "pages_stop_empty": _PAGED + "SELECT * FROM paged WHERE page < 40",
-    "pages_stop_falsy": _PAGED + "SELECT * FROM paged WHERE page < 40",
-    "pages_stop_missing": _PAGED + "SELECT * FROM paged WHERE page < 40",
+    "pages_stop_empty": _PAGED + "SELECT * FROM paged WHERE page < greatest(2, (SELECT count(*) FROM lineitem) // 200)",
+    "pages_stop_falsy": _PAGED + "SELECT * FROM paged WHERE page < greatest(2, (SELECT count(*) FROM lineitem) // 200)",
+    "pages_stop_missing": _PAGED + "SELECT * FROM paged WHERE page < greatest(2, (SELECT count(*) FROM lineitem) // 200)",
     "csv_quoted_fields": """
 SELECT o_orderkey AS id, 'He said "' || o_orderpriority || '", ok' AS said,
        CASE WHEN o_orderkey % 3 = 0 THEN 'line one' || chr(10) || 'line ' || o_orderkey ELSE o_orderstatus END AS note
@@ -284,7 +284,33 @@ SELECT content_id,
        'He said "' || title || CASE WHEN event_type = 'F' THEN '",' || chr(10) || 'ok' ELSE '", ok' END AS title,
        category, region, department, labor_hours, labor_flag
 FROM content_events""",
-    "labor_log_keys": "SELECT COUNT(*) AS row_count, COUNT(*) AS key_count FROM lineitem",
+    "labor_log_keys": "SELECT COUNT(*) AS row_count, COUNT(*) AS key_count, CAST(1 AS BIGINT) AS first_key, COUNT(*) AS last_key FROM lineitem",
+    "csv_blank_lines": "SELECT o_orderkey AS id, o_orderpriority AS priority FROM orders",
+    # A byte that begins nothing becomes one replacement sign; so does the lead byte before an ASCII one.
+    "csv_bad_bytes": """
+SELECT 'k' || (o_orderkey // 4) || CASE o_orderkey % 4 WHEN 0 THEN chr(65533) WHEN 1 THEN chr(65533) || '(' ELSE chr(233) END AS key,
+       o_orderkey AS id, o_orderkey % 4 < 2 AS bad_encoding
+FROM orders""",
+    "csv_large_files": """
+SELECT o_orderkey AS id, repeat(o_orderpriority || ', "so"' || chr(10), 12) || o_orderstatus AS note, '5" pipe' AS size
+FROM orders""",
+    "warehouse_defaults": _C + """
+SELECT 'silver.content_events_clean' AS name, COUNT(*) AS row_count, COUNT(*) AS with_defaults FROM content_events
+UNION ALL SELECT 'gold.department_labor_summary', COUNT(DISTINCT (department, region)), COUNT(DISTINCT (department, region)) FROM content_events
+UNION ALL SELECT 'gold.category_summary', COUNT(DISTINCT category), COUNT(DISTINCT category) FROM content_events""",
+    "stream_exact_first": _X + "SELECT * FROM x1",
+    # Raw events, odd hours, broken JSON and messages without a key; the last two are dead letters of a stream.
+    "stream_run_events": _R + """
+SELECT 'Extract' AS stage, 'SUCCESS' AS status,
+       CAST((SELECT COUNT(*) FROM raw_events) + (SELECT COUNT(*) FROM orders WHERE o_orderkey % 50 IN (1, 2))
+            + 2 * (SELECT COUNT(*) FROM events) AS BIGINT) AS rows
+UNION ALL SELECT 'DeadLetters', 'SUCCESS', CAST(2 * (SELECT COUNT(*) FROM events) AS BIGINT)""",
+    "run_strict_gate": _R + """
+SELECT 'ERROR' AS event_type, 'Validate' AS stage, 'FAILED' AS status, CAST(0 AS INTEGER) AS published,
+       'Validation failed. Critical null values: {''content_id'': 0, ''department'': ' || COUNT_IF(department IS NULL) || '}' AS message
+FROM raw_events
+UNION ALL
+SELECT 'ERROR', 'Validate', 'FAILED', 0, 'Validation failed. Missing columns: [''content_id'', ''department'']'""",
     "labor_logs_quarantine": """
 SELECT CASE WHEN l_linenumber <> 2 THEN CAST(l_suppkey AS VARCHAR) END AS employee_id,
        CAST(l_orderkey AS VARCHAR) AS project_id,

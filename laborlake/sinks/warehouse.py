@@ -10,6 +10,7 @@ the table's location, so a failing one leaves the old rows.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,11 +46,13 @@ _BUCKET = 1_000_000  # distinct records numbered by one task
 # LABOR_LOG_LENGTHS): a longer value would fail the whole insert, a rule quarantines the row.
 
 
-def create_tables(spark: SparkSession, location: str | None = None, prefix: str = "") -> dict[str, str]:
-    """Create the three databases (names after ``prefix``) and five tables under ``location``; returns table -> path."""
+def create_tables(spark: SparkSession, location: str | None = None, prefix: str = "", only: Sequence[str] | None = None) -> dict[str, str]:
+    """Create the databases (names after ``prefix``) and the tables (all five) under ``location``; returns table -> path."""
     location = (location or f"{scratch_root(spark)}/warehouse").rstrip("/")
     paths = {}
     for table, cols in DDL.items():
+        if only is not None and table not in only:
+            continue
         db, name = table.split(".")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{db} LOCATION '{location}/{db}.db'")
         path = f"{location}/{db}.db/{name}"

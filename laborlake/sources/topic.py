@@ -23,13 +23,14 @@ _DECODE_SCHEMA = T.StructType(MESSAGE_SCHEMA.fields + [T.StructField(CORRUPT, T.
 
 
 def read_topic(spark: SparkSession, source: str, fmt: str = "text", topic: str | None = None,
-               streaming: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
+               streaming: bool = False, max_files_per_trigger: int | None = None,
+               latest_first: bool = False) -> DataFrame:
     """Raw messages: ``value`` STRING, ``arrived_at`` TIMESTAMP, and their arrival order:
     ``arrival_part`` STRING, ``arrival_block`` BIGINT, ``arrival_pos`` BIGINT.
 
     Kafka: partition and offset (producer clocks are not ordered, so the time takes no part). File twin:
     file time and path, block, and the row's place in the block; a stream has no such place, its
-    micro-batches get one where they are written.
+    micro-batches get one where they are written. ``latest_first``: a stream takes the newest files first.
     """
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
@@ -46,6 +47,8 @@ def read_topic(spark: SparkSession, source: str, fmt: str = "text", topic: str |
     r = reader.format("text")
     if streaming and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if streaming and latest_first:
+        r = r.option("latestFirst", True)
     df = r.load(source)
     # File twin: a file is a partition of the topic; the file time is the arrival time.
     at = F.col("_metadata.file_modification_time")

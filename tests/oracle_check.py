@@ -47,6 +47,7 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv[1:] if not a.startswith("/")]
     spark = build_session()
+    spark.sparkContext.setLogLevel("OFF")
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"

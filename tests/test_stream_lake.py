@@ -167,3 +167,45 @@ def test_extract_router(spark, tmp):
     df = extract(spark, "file", SourceConfig(csv_path=f"{tmp}/csv"))
     r = df.first()
     assert r.labor_hours == 300 and r.release_year == 1992 and r.source_file == "legacy.csv"
+
+
+def test_exact_silver_corrects_earlier_answers(spark, tmp):
+    """Newest files first: every batch but the last gives answers that a later one corrects; compaction changes nothing."""
+    from laborlake.streaming.ingest import compact_exact_silver, read_exact_silver, start_exact_silver
+
+    src, out = f"{tmp}/topic", f"{tmp}/silver"
+    for i in range(4):
+        _land(src, f"b{i}.json", [_event(f"K{k}", 10 * i + k, "2024-01-01T00:00:00Z") for k in range(i, 6)] + [_event("K5", 99, "2024-01-01T00:00:00Z")])
+
+    def run():
+        start_exact_silver(read_topic(spark, src, streaming=True, max_files_per_trigger=1, latest_first=True), out, f"{tmp}/chk").awaitTermination()
+        return sorted((r.content_id, r.labor_hours) for r in read_exact_silver(spark, out).collect())
+
+    want = [(f"K{k}", k) for k in range(6)]
+    assert run() == want
+    assert len(os.listdir(f"{out}/batches")) >= 4
+    compact_exact_silver(spark, out)
+    assert sum(n.startswith("batch_id=") for n in os.listdir(f"{out}/batches")) == 1
+    assert sorted((r.content_id, r.labor_hours) for r in read_exact_silver(spark, out).collect()) == want
+    _land(src, "b9.json", [_event("K0", 7, "2024-01-01T00:00:00Z"), _event("NEW", 1, "2024-01-01T00:00:00Z")])
+    assert run() == sorted([*want, ("NEW", 1)])
+    compact_exact_silver(spark, out)
+    assert sorted((r.content_id, r.labor_hours) for r in read_exact_silver(spark, out).collect()) == sorted([*want, ("NEW", 1)])
+
+
+def test_stream_ends_when_the_topic_is_silent(spark, tmp):
+    """A landing during the run is read; after the idle time the stream stops by itself. Its run events are per batch."""
+    from laborlake.streaming.ingest import stop_when_idle
+
+    src = f"{tmp}/topic"
+    _land(src, "b0.json", [_event("A", 1, "2024-01-01T00:00:00Z"), "{bad"])
+    q = start_bronze_ingest(read_topic(spark, src, streaming=True), f"{tmp}/bronze", f"{tmp}/chk", available_now=False, interval="200 milliseconds",
+                            events_path=f"{tmp}/events", run_id="R")
+    began = time.monotonic()
+    while q.lastProgress is None and time.monotonic() - began < 60:
+        time.sleep(0.2)
+    _land(src, "b1.json", [_event("B", 1, "2024-01-01T00:00:00Z")])
+    stop_when_idle(q, idle_seconds=4)
+    assert not q.isActive and read_bronze(spark, f"{tmp}/bronze").count() == 2
+    rows = {(r.batch_id, r.stage): r.rows for r in spark.read.parquet(f"{tmp}/events").collect()}
+    assert {k: v for k, v in rows.items() if v} == {(0, "Extract"): 2, (0, "DeadLetters"): 1, (1, "Extract"): 1}
