@@ -34,6 +34,16 @@ def own_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return renamed.select(*[F.col(f"c{i}").alias(n) for n, i in at.items()])
 
 
+def unambiguous(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """All columns in their order, the first match of each of ``names`` under that name and the others under names of their own.
+
+    For operators that return their input's rows: work on this and give the names back by ``toDF(*df.columns)``.
+    """
+    lower = [c.lower() for c in df.columns]
+    found = {lower.index(n.lower()): n for n in names}
+    return df.toDF(*[found.get(i, f"_own_{i}") for i in range(len(lower))])
+
+
 def attach(rows: DataFrame, table: DataFrame, key: str, count: str, parts: int = 1000) -> DataFrame:
     """``rows`` left-joined to ``table`` on ``key``; ``table`` has one row per key with ``count``, the rows it has in ``rows``.
 

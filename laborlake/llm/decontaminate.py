@@ -9,15 +9,18 @@ per band of diagonals; bands are twice as wide as their step, which exceeds k, s
 k + 1 diagonals lies within one of them. Bands that reach the bound are verified by an edit-distance
 alignment of the whole passage within the band.
 
-Documents are never moved: passages go to them in blocks of at most ``block_chars`` characters, and a
-benchmark of any size is covered by as many passes as it has blocks.
+Short passages are sought too: from q characters on the same way, where those whose budget is no edit must begin and end at words;
+under q characters, where there is no q-gram, as whole words in sequence. So short a passage is found in many
+documents, therefore it makes a document leak (``keep_clean``) only if it is that document's whole normalised text.
 
-Defined cases: a null text counts as empty and matches nothing; passages under ``min_chars``
-normalised characters are too short to tell and are left out; those over ``piece_chars`` are cut into
-pieces of that length, each sought by itself (a last piece under ``min_chars`` joins the one before); passages with equal
-normalised text share their matches; one without an item_id matches under a null one; a benchmark without passages matches nothing. Of overlapping
+Documents are never moved: passages go to them in blocks of at most ``block_chars`` characters. The driver holds one block at a
+time: of a benchmark with several, each block's matches are written before the next block is read.
+
+Defined cases: a null text counts as empty and matches nothing; a passage without letters or digits matches nothing;
+those over ``piece_chars`` are cut into pieces of that length, each sought by itself (a last piece under ``min_chars`` joins
+the one before); passages with equal normalised text share their matches; one without an item_id matches under a null one; a benchmark without passages matches nothing. Of overlapping
 matches of one passage the one with the least edits, then the first, is reported. Places are code points of the original
-text. Only ``doc_id``, ``text`` and ``item_id`` are read.
+text. Only ``doc_id``, ``text`` and ``item_id`` are read; a clashing column beside them does no harm.
 """
 
 from __future__ import annotations
@@ -35,13 +38,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborlake.functions.tasks import ship_by_value
-from laborlake.llm.common import own_columns, read
+from laborlake.llm.common import own_columns, read, staged, unambiguous
 
 ship_by_value(sys.modules[__name__])
 
 Q = 10
 BUDGET = 0.05  # edits per passage character
-MIN_CHARS = 30
+MIN_CHARS = 30  # a last piece of a long passage has at least so many characters
 PIECE_CHARS = 512
 BLOCK_CHARS = 1_000_000
 HITS = 2_000_000  # shared q-grams that are counted at once; a text with more is taken in overlapping stretches
@@ -105,6 +108,13 @@ class Passages:
     budget: float
 
     def __post_init__(self) -> None:
+        short = [i for i, c in enumerate(self.codes) if len(c) < self.q]
+        self.words: dict[str, list[int | None]] = {}  # passages without a q-gram, by their text
+        for i in short:
+            self.words.setdefault(_text(self.codes[i]), []).append(self.items[i])
+        self.most_words = max((w.count(" ") + 1 for w in self.words), default=0)
+        self.items = [x for x, c in zip(self.items, self.codes, strict=True) if len(c) >= self.q]
+        self.codes = [c for c in self.codes if len(c) >= self.q]
         grams = [gram_hashes(c, self.q) for c in self.codes]
         hashes = np.concatenate([np.zeros(0, np.uint64), *grams])
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
@@ -127,17 +137,44 @@ class Passages:
             if not (i and mine[i - 1][1] > start or i < len(mine) and mine[i][0] < end):
                 mine.insert(i, (start, end, edits))
         hits = [(self.items[p], *hit) for p, mine in chosen.items() for hit in mine]
+        hits += self._word_matches(text)
         return sorted(hits, key=lambda h: (h[0] is None, h[0] or 0, *h[1:]))
 
     def occur_in(self, text: str | None) -> bool:
         """Whether any passage is found; the first one settles it."""
+        if self.words and text and _text(normalise(text)[0]) in self.words:
+            return True
         return next(self._verified(text), None) is not None
 
+    def _word_matches(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
+        """(item, start, end, 0) of the passages under q characters, as whole words; none of a passage's matches overlap."""
+        if not self.words or not text:
+            return []
+        codes, places = normalise(text)
+        words = _text(codes).split(" ") if len(codes) else []
+        starts = np.cumsum([0, *[len(w) + 1 for w in words]])
+        hits, free = [], dict.fromkeys(self.words, 0)
+        for i in range(len(words)):
+            for n in range(1, min(self.most_words, len(words) - i) + 1):
+                run = " ".join(words[i:i + n])
+                if len(run) >= self.q:
+                    break
+                if run in free and free[run] <= i:
+                    free[run] = i + n
+                    begin, end = int(places[starts[i]]), int(places[starts[i + n] - 2]) + 1
+                    hits += [(item, begin, end, 0) for item in self.words[run]]
+        return hits
+
     def _verified(self, text: str | None) -> Iterator[tuple[int, int, int, int]]:
         """(passage, start, end, edits) of every band that holds its passage; bands may overlap."""
         if not text or not len(self.hashes):
             return
         codes, places = normalise(text)
+        padded = np.concatenate([[32], codes, [32]])  # place i of the text is i + 1 here
+
+        def at_words(begin: int, end: int) -> bool:
+            return padded[begin] == 32 and padded[end + 1] == 32
+
         grams = gram_hashes(codes, self.q)
         at = np.flatnonzero(self.filter[(grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
         if not len(at):
@@ -156,9 +193,13 @@ class Passages:
                 if p in whole and whole[p][0] <= first and first + 2 * int(self.step[p]) - 1 < whole[p][1]:
                     continue  # whatever this band holds begins within that match, and would give way to it
                 last = first + 2 * int(self.step[p]) - 1
+                size = len(self.codes[p])
+                if size < 2 * self.q and not self.edits[p]:  # short: at words, and any of the band's places may be one
+                    begins = [b for b in every_unchanged(self.codes[p], plain, first, last) if at_words(b, b + size)]
+                    yield from ((p, int(places[b]), int(places[b + size - 1]) + 1, 0) for b in begins)
+                    continue
                 begin = unchanged(self.codes[p], plain, first, last)
-                hit = (0, begin, begin + len(self.codes[p])) if begin is not None else align(
-                    self.codes[p], codes, first, last, int(self.edits[p]))
+                hit = (0, begin, begin + size) if begin is not None else align(self.codes[p], codes, first, last, int(self.edits[p]))
                 if hit:
                     edits, begin, end = hit
                     yield p, int(places[begin]), int(places[end - 1]) + 1, edits
@@ -197,6 +238,17 @@ def unchanged(passage: np.ndarray, plain: bytes, first: int, last: int) -> int |
     return at // width if at >= 0 else None
 
 
+def every_unchanged(passage: np.ndarray, plain: bytes, first: int, last: int) -> Iterator[int]:
+    """All diagonals of ``first`` to ``last`` on which the passage stands without edits."""
+    while (found := unchanged(passage, plain, first, last)) is not None:
+        yield found
+        first = found + 1
+
+
+def _text(codes: np.ndarray) -> str:
+    return codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def align(passage: np.ndarray, text: np.ndarray, first: int, last: int, budget: int) -> tuple[int, int, int] | None:
     """Least edits of the whole passage against a region of ``text`` on diagonals ``first`` to ``last``: (edits, start, end)."""
     m, width = len(passage), last - first + 1
@@ -243,7 +295,7 @@ def passage_blocks(benchmark: DataFrame, q: int = Q, budget: float = BUDGET, min
     size = 0
     for row in rows.toLocalIterator():
         text, _ = normalise(row["text"])
-        if len(text) < max(min_chars, q):
+        if not len(text):
             continue
         if items and size + len(text) > block_chars:
             yield Passages(items, codes, q, budget)
@@ -274,30 +326,39 @@ def leaks(docs: DataFrame, benchmark: DataFrame, **settings: float) -> DataFrame
 
         return rows.mapInArrow(search, schema)
 
-    passes = [sought(block) for block in passage_blocks(benchmark, **settings)]
-    return reduce(DataFrame.unionByName, passes) if passes else spark.createDataFrame([], schema)
-
-
-def is_leaking(docs: DataFrame, benchmark: DataFrame, **settings: float) -> Column:
-    """Whether a row's ``text`` holds any benchmark passage."""
-    condition = F.lit(False)
-    for block in passage_blocks(benchmark, **settings):
-        condition = condition | _holds(docs, block)
-    return condition
+    blocks = passage_blocks(benchmark, **settings)
+    block, after = next(blocks, None), next(blocks, None)
+    if block is None:
+        return spark.createDataFrame([], schema)
+    if after is None:
+        return sought(block)
+    written = []
+    while block is not None:
+        written.append(staged(sought(block), "leaks"))
+        block, after = after, next(blocks, None)
+    return reduce(DataFrame.unionByName, written)
 
 
-def _holds(docs: DataFrame, passages: Passages) -> Column:
+def _holds(text: Column, passages: Passages) -> Column:
     @F.pandas_udf("boolean")
     def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([passages.occur_in(t) for t in texts], dtype=bool)
 
-    return holds(docs["text"])
+    return holds(text)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **settings: float) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark passage."""
-    return docs.where(~is_leaking(docs, benchmark, **settings))
+    rows = unambiguous(docs, ["text"])
+    blocks = passage_blocks(benchmark, **settings)
+    block, after = next(blocks, None), next(blocks, None)
+    while block is not None:
+        rows = rows.where(~_holds(rows["text"], block))
+        block, after = after, next(blocks, None)
+        if block is not None:
+            rows = staged(rows, "clean")
+    return rows.toDF(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

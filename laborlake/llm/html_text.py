@@ -14,7 +14,9 @@ whole page with its furniture; a primed or missing count is at least 1). The sum
 subtree with the largest sum; the smallest density on the path from the body to it is
 the threshold, and every node at or above it yields the largest-sum subtree below it.
 A subtree inside an ``article`` or ``main`` stands for that whole element, and headings directly
-before a chosen subtree belong to it.
+before a chosen subtree belong to it. Outside of these, chosen subtrees are parts of one text: on the way from each up to
+their common container (of a single one: its parent) the siblings belong to it as well, however short, unless
+most of their text is linked. Short blocks outside of article elements that read as a notice (rights, cookies) are removed first.
 
 Text: character references decoded, white space inside a block turned into one space and trimmed, blocks
 joined in page order by one newline; nothing else is dropped.
@@ -44,10 +46,11 @@ ship_by_value(sys.modules[__name__])
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter "
-                   "progress q ruby rb rp rt s samp small span strike strong sub sup time td th tt u var wbr".split())
+                   "progress q ruby rb rp rt s samp small span strike strong sub sup time td th tt u var wbr "
+                   "math mi mo mn ms mtext mrow mfrac msup msub msubsup msqrt mroot mover munder munderover mstyle mspace".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 FURNITURE = frozenset("head title nav aside footer form script style noscript template iframe object embed applet canvas "
-                      "svg math button select option textarea input label datalist dialog menu audio video map".split())
+                      "svg button select option textarea input label datalist dialog audio video map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
                   "toolbar form tooltip note status".split())
 #: Words of class and id attributes that mark page furniture.
@@ -56,6 +59,7 @@ MARKS = frozenset(
     "promoted sponsor sponsored sponsors nav navbar navigation menu menus breadcrumb breadcrumbs crumbs sidebar "
     "sidebars aside header masthead topbar toolbar footer bottombar colophon copyright comment comments commentlist "
     "disqus discussion replies reply respond cookie cookies consent gdpr notice notices alert alerts disclaimer popup "
+    "thread threads remark remarks reader readers feedback responses cookiebar cookiebanner cookienotice commentbox "
     "modal overlay newsletter subscribe subscription signup login signin share sharing social related recommended "
     "recommendations widget widgets pagination pager search searchbox toc tags tagcloud hidden skip".split())
 ARTICLE_WORDS = frozenset("article content entry post story".split())
@@ -66,9 +70,12 @@ PLACES = frozenset(
 #: Marks that a section of an article may have for its name.
 SECTION_WORDS = frozenset("discussion notice notices alert alerts disclaimer copyright promotion search social sharing "
                           "navigation subscription consent tags".split())
+#: What makes a short block outside the article a notice, whatever its names.
+NOTICE = re.compile(r"©|\(c\) \d{4}|all rights reserved|\b(we|site) uses? cookies\b|\baccept (all )?cookies\b", re.I)
+NOTICE_CHARS = 300
 #: Parts that are opened only with most of the page's text: by element, and by words, as their entries may be articles.
 ASIDES = frozenset(("nav", "aside", "footer", "header", "dialog", "menu"))
-THREADS = frozenset("comment comments commentlist disqus replies reply respond related recommended recommendations "
+THREADS = frozenset("thread threads remark remarks comment comments commentlist disqus replies reply respond related recommended recommendations "
                     "promo promos promoted sponsored ad ads".split())
 #: What is never opened, besides hidden elements.
 CLOSED = FURNITURE - ASIDES - {"form"}
@@ -167,6 +174,8 @@ def _is_furniture(node: Node) -> bool:
         inside = inside.parent
     if node.tag == "header":
         return inside is None
+    if node.tag == "menu" and inside is None:
+        return True
     if node.tag in HEADINGS:
         return False
     if (node.attrs.get("role") or "").lower() in ROLES or _is_hidden(node):
@@ -287,6 +296,54 @@ def _choose(order: list[Node], body: Node) -> list[Node]:
     return lifted
 
 
+def _path(node: Node, top: Node) -> list[Node]:
+    """From ``node`` up to ``top``."""
+    path = [node]
+    while path[-1] is not top and path[-1].parent is not None:
+        path.append(path[-1].parent)
+    return path
+
+
+def _said(node: Node) -> str:
+    return " ".join("".join(x for n in _walk(node) for x in n.items if isinstance(x, str)).split())
+
+
+def _drop_notices(body: Node) -> bool:
+    """Remove short blocks outside ``article`` and ``main`` that read as a notice and are the lesser part of the page; whether there were any."""
+    gone, stack = [], [body]
+    while stack:
+        for x in stack.pop().children():
+            if x.tag in ("article", "main") or x.tag in INLINE or not x.chars:
+                continue
+            if x.chars < NOTICE_CHARS and 2 * x.chars < body.chars and NOTICE.search(_said(x)):
+                gone.append(x)
+            else:
+                stack.append(x)
+    for x in gone:
+        x.parent.items = [y for y in x.parent.items if y is not x]
+    return bool(gone)
+
+
+def _add_siblings(chosen: list[Node], body: Node) -> None:
+    """Mark what stands beside the chosen subtrees, up to their common container."""
+    free = [n for n in chosen if n is not body and n.tag not in ("article", "main")]
+    if not free or len(free) < len(chosen):
+        return
+    paths = [_path(n, body)[::-1] for n in free]
+    common = 0
+    while all(len(p) > common + 1 and p[common] is paths[0][common] for p in paths):
+        common += 1
+    # A container that is itself chosen is whole already; of a single one the parent is the container.
+    container = paths[0][common - 1] if all(p[common - 1] is paths[0][common - 1] for p in paths) else body
+    inner = [container]
+    for path in paths:
+        inner.extend(path[path.index(container) + 1:-1])
+    for node in {id(n): n for n in inner}.values():
+        for x in node.children():
+            if x.chars and not any(n.chosen for n in _walk(x)) and 2 * x.link_chars <= x.chars:
+                _mark(x)
+
+
 def _mark(root: Node) -> None:
     for node in _walk(root):
         node.chosen = True
@@ -355,8 +412,13 @@ def main_text(html: str | None) -> str:
     _measure(order, tree.link_chars / max(1, tree.chars))
     if not body.chars:
         return ""
-    for node in _choose(order, body):
+    if _drop_notices(body):
+        order = _walk(body)
+        _measure(order, tree.link_chars / max(1, tree.chars))
+    chosen = _choose(order, body)
+    for node in chosen:
         _mark(node)
+    _add_siblings(chosen, body)
     _add_headings(order)
     return "\n".join(_blocks(body))
 

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlake.llm.common import attach, own_columns, read, staged
+from laborlake.llm.common import attach, own_columns, read, staged, unambiguous
 
 MARGINS = ("source", "lang", "topic")
 #: Target shares of the registered query: powers of the tokens at hand.
@@ -279,6 +279,7 @@ def mix(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TA
 def keep_sampled(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET,
                  max_cells: int = MAX_CELLS, rounds: int = ROUNDS) -> DataFrame:
     """The sampled rows of ``docs``, with all their columns."""
+    given, docs = docs.columns, unambiguous(docs, ["doc_id", "text", "lang", "source"])
     cells, few = calibrated(profiled(docs), targets, budget, max_cells, rounds)
     mine = cell_columns(docs)
 
@@ -289,11 +290,11 @@ def keep_sampled(docs: DataFrame, targets: Mapping[str, float | Mapping[str, flo
         return rows.join(table, same(table) & (draw(docs) < table["probability"]), "left_semi")
 
     if few:
-        return sampled(docs, F.broadcast(cells))
+        return sampled(docs, F.broadcast(cells)).toDF(*given)
     # At most 1,000 cells hold over 1/1000 of all rows each; their documents are not shuffled.
     limit = max(1, cells.agg(F.sum("n")).first()[0] // 1000)
     hot, cold = F.broadcast(cells.where(F.col("n") > limit)), cells.where(F.col("n") <= limit)
-    return sampled(docs, hot).unionAll(sampled(docs.join(hot, same(hot), "left_anti"), cold))
+    return sampled(docs, hot).unionAll(sampled(docs.join(hot, same(hot), "left_anti"), cold)).toDF(*given)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

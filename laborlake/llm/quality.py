@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborlake.functions.tasks import ship_by_value
-from laborlake.llm.common import own_columns, read
+from laborlake.llm.common import own_columns, read, unambiguous
 
 ship_by_value(sys.modules[__name__])
 
@@ -159,7 +159,8 @@ def score(text: Column, model: Model) -> Column:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that are not rejected."""
-    return docs.where(score(docs["text"], fit(docs, labels)) >= threshold)
+    rows = unambiguous(docs, ["text"])
+    return rows.where(score(rows["text"], fit(docs, labels)) >= threshold).toDF(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

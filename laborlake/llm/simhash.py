@@ -4,9 +4,9 @@ A fingerprint has eight positional bytes. Two fingerprints that differ in at mos
 bits share at least 8 - d of them (the guaranteed minimum). Posting lists of one byte
 would hold 1/256 of all documents, so the index posts blocks of positions: the eight
 positions fall into d + 2 blocks, at least two blocks are shared whole, and each pair of blocks
-is one posting key. Pairs from one list tally their shared positional bytes, those that reach
-the minimum stay, and the bit distance verifies them. Equal fingerprints are one entry, so copies
-make no pairs.
+is one posting key. The shared positional bytes of a pair from one list are counted from its xor; the minimum follows
+from the bit distance that verifies the pair, so the count alone drops nothing that the distance would keep. Equal
+fingerprints are one entry, so copies make no pairs.
 
 A list of over ``LIST`` fingerprints emits no pairs: each of its fingerprints posts
 the words within half the distance instead (65 for d = 2). Two fingerprints lie
@@ -18,8 +18,9 @@ Connected components come from alternating large-star and small-star steps over
 the links; every step is a written table, and a hot centre is met by ``attach``.
 
 Defined cases: a null text counts as empty; a text of 1 or 2 words is one shingle; one without
-words has fingerprint zero and links like any other. Rows that repeat a doc_id get one row each with the same
-component. An empty table gives no rows. Columns other than ``doc_id`` and ``text`` are not read.
+words has fingerprint zero and links like any other. Rows without a doc_id link like any other; the smallest doc_id that is
+not null names a component, a component of such rows alone has a null name. Rows that repeat a doc_id get one row
+each, with the component of their own text. An empty table gives no rows. Columns other than ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborlake.functions.tasks import ship_by_value
-from laborlake.llm.common import attach, own_columns, read, staged
+from laborlake.llm.common import attach, own_columns, read, staged, unambiguous
 
 ship_by_value(sys.modules[__name__])
 
@@ -152,24 +153,46 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2, list_siz
     if not 0 <= distance <= 3:
         raise ValueError("distance: 0 to 3 bits")
     rows = staged(own_columns(docs, ["doc_id", "text"]).select("doc_id", fingerprint(F.col("text"), width).alias("fp")), "fingerprints")
+    return attach(rows, component_table(rows, distance, list_size), "fp", "n").select("doc_id", "fp", "component_id")
+
+
+def component_table(rows: DataFrame, distance: int, list_size: int = LIST) -> DataFrame:
+    """(fp, n, component, component_id) of the distinct fingerprints in ``rows`` (doc_id, fp): rows, smallest fingerprint and doc_id reachable."""
     prints = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "distinct")
-    found = staged(links(prints, distance, list_size), "links")
-    # Nodes are the fingerprints' smallest documents, so that the smallest node names the component.
-    named = prints.select("fp", "first_id")
-    edges = (found.join(named.select(F.col("fp").alias("a"), F.col("first_id").alias("id_a")), "a")
-             .join(named.select(F.col("fp").alias("b"), F.col("first_id").alias("id_b")), "b")
-             .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
-    group = components(edges)
-    table = staged(prints.join(group, prints.first_id == group.node, "left").select(
-        "fp", "n", F.coalesce("component", "first_id").alias("component_id")), "components")
-    return attach(rows, table, "fp", "n").select("doc_id", "fp", "component_id")
+    # Nodes are fingerprints, as those of rows without an id have no other name.
+    group = components(links(prints, distance, list_size))
+    named = staged(prints.join(group, prints.fp == group.node, "left").select(
+        "fp", "first_id", "n", F.coalesce("component", "fp").alias("component")), "nodes")
+    ids = staged(named.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("prints")), "names")
+    return staged(attach(named, ids, "component", "prints").select("fp", "n", "component", "component_id"), "components")
 
 
 def keep_first(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
-    """``docs`` without the documents that are not the smallest doc_id of their component."""
-    found = near_duplicates(docs, width, distance)
-    dropped = staged(found.where("doc_id != component_id").select(F.col("doc_id").alias("dropped_id")).distinct(), "dropped")
-    return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
+    """One row of ``docs`` per component: the smallest doc_id (rows without one come last), then the smallest hash of the text and of the row.
+
+    Of rows that are equal in every column one stays.
+    """
+    named = unambiguous(docs, ["doc_id", "text"])
+    # A map has no hash, its JSON text has.
+    whole = F.xxhash64(*[F.to_json(F.struct(c)) if "map<" in kind else F.col(c) for c, kind in named.dtypes])
+    rows = staged(named.select("doc_id", fingerprint(F.col("text"), width).alias("fp"), F.xxhash64("text").alias("text_hash"), whole.alias("row_hash")),
+                  "fingerprints")
+    placed = attach(rows, component_table(rows, distance), "fp", "n")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "row_hash")
+    per_row = placed.groupBy("component", order.alias("row")).agg(F.count(F.lit(1)).alias("n"))
+    first = per_row.groupBy("component").agg(F.min(F.struct("row", "n")).alias("first"))
+    kept = staged(first.select(F.col("first.row.doc_id").alias("kept_id"), F.col("first.row.row_hash").alias("kept_hash"),
+                               F.col("first.n").alias("equal_rows")), "kept")
+
+    def of(table: DataFrame) -> DataFrame:
+        return named.join(table, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (whole == F.col("kept_hash")), "left_semi")
+
+    several = kept.where("equal_rows > 1")
+    if several.isEmpty():
+        return of(kept).toDF(*docs.columns)
+    # Rows that are equal in every column, of whatever type: any one of them.
+    one = of(several).groupBy("doc_id", whole.alias("row_hash")).agg(F.any_value(F.struct(*named.columns)).alias("row"))
+    return of(kept.where("equal_rows = 1")).unionAll(one.select("row.*")).toDF(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,6 +59,87 @@ def test_article_within_furniture(source, text):
     assert html_text.main_text(source) == text
 
 
+def _divs(*texts, name="sec"):
+    return "".join(f'<div class="{name}">{"".join(f"<p>{t}</p>" for t in group)}</div>' for group in texts)
+
+
+FOUR = [f"Paragraph {w} of the first section, long enough to be text." for w in ("one", "two", "three", "four")]
+SHORT = "Only one short line."
+
+
+@pytest.mark.parametrize(("source", "text"), [
+    (f"<body>{_divs(FOUR, [SHORT], FOUR[:2])}</body>", "\n".join([*FOUR, SHORT, *FOUR[:2]])),
+    (f"<body>{_divs(FOUR, ['Ok.'])}</body>", "\n".join([*FOUR, "Ok."])),
+    (f"<body><h1>Title</h1>{_divs(FOUR * 3, ['The end.'])}</body>", "\n".join(["Title", *FOUR * 3, "The end."])),
+    (f"<article>{LONG_P}<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be so.</p></article>", f"{LONG_T}\nLet x=1 be so."),
+    (f"<article>{LONG_P}<menu><li>first</li><li>second</li></menu></article>", f"{LONG_T}\nfirst\nsecond"),
+    (f'<body>{_divs(FOUR)}<div class="cookiebar"><p>We bake.</p></div></body>', "\n".join(FOUR)),
+    (f'<body>{_divs(FOUR)}<ol class="thread"><li>Ann: nice</li><li>Bob: no</li></ol></body>', "\n".join(FOUR)),
+    (f'<body>{_divs(FOUR)}<div id="reader-remarks"><p>So true, what a fine story.</p></div></body>', "\n".join(FOUR)),
+    (f'<body><menu><li><a href=x>Home</a></li></menu>{_divs(FOUR)}<div><a href=x>Next story</a> <a href=y>More</a></div>'
+     "<div>© 2020 The Paper. All rights reserved.</div></body>", "\n".join(FOUR)),
+])
+def test_short_sections_and_unnamed_furniture(source, text):
+    assert html_text.main_text(source) == text
+
+
+def _densities_by_hand(node, body):
+    """Density of a tree of (tag, items) by its definition, counted anew for each node; ``body``: (chars, link chars) of the page."""
+    import math
+
+    def size(t):
+        return len("".join(t.split()))
+
+    def count(n, linked):
+        tag, items = n
+        own = [0, 0, 0, 0]
+        for x in items:
+            if isinstance(x, str):
+                own[0] += size(x)
+                own[2] += size(x) * linked
+            else:
+                below = count(x, linked or x[0] == "a")
+                own = [a + b for a, b in zip(own, below)]
+                own[1] += 1
+                own[3] += linked or x[0] == "a"
+        return own
+
+    chars, tags, link_chars, link_tags = count(node, node[0] == "a")
+    if not chars:
+        return 0.0
+    base = math.log(chars * link_chars / max(1, chars - link_chars) + body[1] * chars / max(1, body[0]) + math.e)
+    ratio = max(1.0, chars / max(1, link_chars) * max(1, tags) / max(1, link_tags))
+    return chars / max(1, tags) * (math.log(ratio) / math.log(base) if base > 1 + 1e-9 else 1.0)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.recursive(st.sampled_from(["one two", "three", "a longer run of text", ""]),
+                    lambda kids: st.tuples(st.sampled_from(["div", "p2", "a", "em"]), st.lists(kids, max_size=4)), max_leaves=20))
+def test_densities_by_definition(tree):
+    def built(n, parent):
+        if isinstance(n, str):
+            return n
+        node = html_text.Node(n[0], {}, parent)
+        node.items = [built(x, node) for x in n[1]]
+        return node
+
+    def pairs(n, node):
+        yield n, node
+        for x, y in zip([x for x in n[1] if not isinstance(x, str)], node.children()):
+            yield from pairs(x, y)
+
+    def no_nested_links(n, linked=False):
+        return isinstance(n, str) or not (linked and n[0] == "a") and all(no_nested_links(x, linked or n[0] == "a") for x in n[1])
+
+    tree = ("body", [tree])
+    if not no_nested_links(tree):
+        return
+    root = built(tree, None)
+    html_text._measure(html_text._walk(root), 0.25)
+    for n, node in pairs(tree, root):
+        assert abs(node.density - _densities_by_hand(n, (4, 1))) < 1e-9
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 3000 + "deep text" + "</div>" * 3000) == "deep text"
     assert len(html_text.main_text("<article>" + "<p>word word</p>" * 20_000 + "</article>")) == 20_000 * 10 - 1
