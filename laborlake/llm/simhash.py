@@ -180,19 +180,21 @@ def keep_first(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
     placed = attach(rows, component_table(rows, distance), "fp", "n")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "row_hash")
     per_row = placed.groupBy("component", order.alias("row")).agg(F.count(F.lit(1)).alias("n"))
-    first = per_row.groupBy("component").agg(F.min(F.struct("row", "n")).alias("first"))
-    kept = staged(first.select(F.col("first.row.doc_id").alias("kept_id"), F.col("first.row.row_hash").alias("kept_hash"),
-                               F.col("first.n").alias("equal_rows")), "kept")
+    per_row = staged(per_row, "rows")
+    sizes = staged(per_row.groupBy("component").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("rows")), "firsts")
+    judged = attach(per_row, sizes, "component", "rows")
+    names = [F.col("row.doc_id").alias("id"), F.col("row.row_hash").alias("hash")]
+    dropped = staged(judged.where(F.col("row") != F.col("first")).select(*names), "dropped")
+    several = staged(judged.where((F.col("row") == F.col("first")) & (F.col("n") > 1)).select(*names), "several")
 
-    def of(table: DataFrame) -> DataFrame:
-        return named.join(table, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (whole == F.col("kept_hash")), "left_semi")
+    def join(table: DataFrame, how: str) -> DataFrame:
+        return named.join(table, F.col("doc_id").eqNullSafe(F.col("id")) & (whole == F.col("hash")), how)
 
-    several = kept.where("equal_rows > 1")
     if several.isEmpty():
-        return of(kept).toDF(*docs.columns)
+        return join(dropped, "left_anti").toDF(*docs.columns)
     # Rows that are equal in every column, of whatever type: any one of them.
-    one = of(several).groupBy("doc_id", whole.alias("row_hash")).agg(F.any_value(F.struct(*named.columns)).alias("row"))
-    return of(kept.where("equal_rows = 1")).unionAll(one.select("row.*")).toDF(*docs.columns)
+    one = join(several, "left_semi").groupBy("doc_id", whole.alias("row_hash")).agg(F.any_value(F.struct(*named.columns)).alias("row"))
+    return join(dropped.unionAll(several), "left_anti").unionAll(one.select("row.*")).toDF(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
