@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from laborlake.functions.expressions import labor_flag
 from laborlake.schemas import CRITICAL_COLUMNS
 
 
@@ -82,6 +83,30 @@ def group_state(df: DataFrame) -> DataFrame:
         F.max("labor_hours").alias("most_hours"), _high().alias("high"))
 
 
+GROUP = ["department", "region", "category"]
+
+
+def support(df: DataFrame, sign: int = 1) -> DataFrame:
+    """Rows per (department, region, category, labor_hours), counted ``sign`` each.
+
+    Supports add up and can be taken back, a maximum among them: the largest hours that some row still has.
+    """
+    return df.groupBy(*GROUP, "labor_hours").agg((F.count("content_id") * sign).alias("n"))
+
+
+def merge_support(parts: DataFrame) -> DataFrame:
+    """The sum of supports; what no row holds any more goes."""
+    return parts.groupBy(*GROUP, "labor_hours").agg(F.sum("n").alias("n")).where(F.col("n") != 0)
+
+
+def state_from_support(held: DataFrame) -> DataFrame:
+    """``group_state`` from a merged support."""
+    known = F.when(F.col("labor_hours").isNotNull(), F.col("n"))
+    return held.groupBy(*GROUP).agg(
+        F.sum("n").alias("ids"), F.coalesce(F.sum(known), F.lit(0)).alias("hours_known"), F.sum(F.col("labor_hours") * F.col("n")).alias("hours"),
+        F.max("labor_hours").alias("most_hours"), F.sum(F.when(labor_flag("labor_hours") == "HIGH", F.col("n")).otherwise(0)).alias("high"))
+
+
 def _from_state(state: DataFrame, keys: list[str], names: dict[str, str], rounded: bool = False) -> DataFrame:
     """Aggregates of a coarser group; ``names``: ids, hours, mean, most or high -> column. Rows with a null first key go."""
     mean = F.try_divide(F.sum("hours"), F.sum("hours_known"))
@@ -103,6 +128,12 @@ def gold_frames(state: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def labor_by_department_from_state(state: DataFrame) -> DataFrame:
+    """A1 for the departments that are known, from ``group_state``."""
+    return _from_state(state, ["department", "region"], {"hours": "total_labor_hours", "mean": "avg_labor_hours", "ids": "total_projects",
+                                                         "most": "max_labor_hours"})
+
+
 def gold_layer(df: DataFrame) -> dict[str, DataFrame]:
     """The two pandas-path gold frames."""
     return {"department_summary": department_summary(df), "category_summary": category_summary(df)}

@@ -92,6 +92,12 @@ def report_from_per_key(per_key: DataFrame, required: Sequence[str] = REQUIRED_C
     return _report_from_counts(totals_from_per_key(per_key, required), required)
 
 
+def report_from_totals(totals: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
+    """The validation report from rows of counters that add up, one a batch (``totals_from_per_key``, duplicates over all batches)."""
+    names = ["total_rows", "duplicate_count", "invalid_labor", "unparsed_hours", *[_null_col(c) for c in required]]
+    return _report_from_counts(totals.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast(T.LongType()).alias(c) for c in names]), required)
+
+
 def validation_report(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
     """The one-row validation report (V1-V6)."""
     missing = [c for c in required if c not in df.columns]

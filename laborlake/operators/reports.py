@@ -69,8 +69,16 @@ def hours_variance(silver: DataFrame, labor_logs: DataFrame) -> DataFrame:
     project), then joined; the join reuses the aggregate's hash partitioning.
     Equal to join-then-group while content_id is unique in silver (its PK).
     """
-    logged = (labor_logs.groupBy(F.col("project_id"))
-              .agg(F.sum("hours_logged").alias("actual_logged_hours")))
+    return hours_variance_from_sums(silver, hours_by_project(labor_logs))
+
+
+def hours_by_project(labor_logs: DataFrame) -> DataFrame:
+    """Logged hours, one row per project (partial aggregation: a project that holds a third of all logs is a row per map task)."""
+    return labor_logs.groupBy("project_id").agg(F.sum("hours_logged").alias("actual_logged_hours"))
+
+
+def hours_variance_from_sums(silver: DataFrame, logged: DataFrame) -> DataFrame:
+    """R7 from hours that are summed per project already; over tables bucketed alike the join needs no shuffle."""
     j = silver.join(logged, silver.content_id == logged.project_id, "left")
     return (j.select("content_id", "title", "department",
                      F.col("labor_hours").alias("event_labor_hours"),

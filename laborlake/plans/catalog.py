@@ -12,10 +12,11 @@ from laborlake.operators import gold, quality, reports, silver
 from laborlake.schemas import API_PAGE_SIZE, HOURS_TEXT, REQUIRED_COLUMNS
 from laborlake.session import fresh_path
 from laborlake.sinks.lake import Lake, write_csv
-from laborlake.sinks.warehouse import create_tables, insert, with_log_id
+from laborlake.sinks.warehouse import bucket_for_variance, create_tables, insert, with_log_id
 from laborlake.sources import files, pages, tables, topic
 from laborlake.streaming import ingest
 from laborlake.plans import etl_run, monitor
+from laborlake.plans.increments import Increments
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,7 +35,10 @@ def report_hours_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validation_report_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = tables.content_events_raw(spark, sf_dir)
-    rep = quality.validation_report(raw)
+    return _report_counts(quality.validation_report(raw))
+
+
+def _report_counts(rep: DataFrame) -> DataFrame:
     counts = [F.col("null_counts")[c].alias(f"null_{c}") for c in REQUIRED_COLUMNS]
     return rep.select("total_rows", "duplicate_count", "invalid_labor", *counts, "passed",
                       F.size("warnings").alias("warning_count"))
@@ -121,6 +125,32 @@ def warehouse_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+def variance_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R7 over tables bucketed alike: no shuffle under the join."""
+    content, logged = bucket_for_variance(_silver(spark, sf_dir), tables.labor_records(spark, sf_dir),
+                                          fresh_path(spark, "warehouse"), f"q{uuid.uuid4().hex[:12]}_")
+    return reports.hours_variance_from_sums(content.hint("merge"), logged)
+
+
+def _increments(spark: SparkSession, sf_dir: str) -> Increments:
+    """The raw events in three batches, a key's deliveries in any of them and in any order."""
+    held = Increments(spark, fresh_path(spark, "increments"), ["ingest_seq"])
+    raw = tables.content_events_raw(spark, sf_dir)
+    for b in range(3):
+        held.add(raw.where(F.pmod(F.xxhash64("content_id", "ingest_seq"), F.lit(3)) == b), b)
+    return held
+
+
+def increments_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, maxima included, after three batches."""
+    return gold.labor_by_department_from_state(gold.state_from_support(_increments(spark, sf_dir).support()))
+
+
+def increments_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2-V6 over three batches, from their counters."""
+    return _report_counts(_increments(spark, sf_dir).report())
+
+
 # ---- sources ---------------------------------------------------------------------------------
 
 LEGACY_A = ["content_id", "title", "category", "department", "labor_hours", "region"]
@@ -532,6 +562,9 @@ QUERIES: dict[str, Query] = {
     "sql_report_top_effort": _table_report("top_effort"),
     "sql_report_above_avg_departments": _table_report("above_avg_departments"),
     "sql_report_hours_variance": _table_report("hours_variance"),
+    "variance_bucketed": variance_bucketed,
+    "increments_gold": increments_gold,
+    "increments_report": increments_report,
     "warehouse_defaults": warehouse_defaults,
     "csv_folder_ingest": csv_folder_ingest,
     "csv_quoted_fields": csv_quoted_fields,

@@ -305,6 +305,8 @@ SELECT 'Extract' AS stage, 'SUCCESS' AS status,
        CAST((SELECT COUNT(*) FROM raw_events) + (SELECT COUNT(*) FROM orders WHERE o_orderkey % 50 IN (1, 2))
             + 2 * (SELECT COUNT(*) FROM events) AS BIGINT) AS rows
 UNION ALL SELECT 'DeadLetters', 'SUCCESS', CAST(2 * (SELECT COUNT(*) FROM events) AS BIGINT)""",
+    "increments_gold": _S + _A1.format(
+        src="(SELECT * FROM silver_raw WHERE labor_hours > 0 OR labor_hours IS NULL) accepted"),
     "run_strict_gate": _R + """
 SELECT 'ERROR' AS event_type, 'Validate' AS stage, 'FAILED' AS status, CAST(0 AS INTEGER) AS published,
        'Validation failed. Critical null values: {''content_id'': 0, ''department'': ' || COUNT_IF(department IS NULL) || '}' AS message
@@ -396,3 +398,6 @@ for _n, _k in [("labor_by_department", "report_labor_by_department"),
                ("above_avg_departments", "report_above_avg_departments"),
                ("hours_variance", "report_hours_variance")]:
     ORACLE_SQL[f"sql_report_{_n}"] = ORACLE_SQL[_k]
+
+ORACLE_SQL["variance_bucketed"] = ORACLE_SQL["report_hours_variance"]
+ORACLE_SQL["increments_report"] = ORACLE_SQL["validation_report_counts"]

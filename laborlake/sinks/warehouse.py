@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from laborlake.operators.reports import hours_by_project
 from laborlake.session import drop_path, list_names, scratch_root
 
 DDL = {
@@ -127,3 +128,32 @@ def with_log_id(df: DataFrame) -> DataFrame:
     many = placed.where(F.col("n") > _RUN).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(_RUN).cast("long"))).alias("at"))
     dealt_out = numbered(many.repartition("base", "at"), F.col("at"), F.least(F.col("n"), F.col("at") + _RUN))
     return few.unionByName(dealt_out).toDF(*names, "log_id")
+
+
+# ---- tables bucketed alike (J1, R7) ------------------------------------------------------------
+
+def buckets_for(rows: int, rows_per_bucket: int = _BUCKET) -> int:
+    """A power of two, so that tables sized by different row counts still line up."""
+    return 1 << max(0, (max(1, -(-rows // rows_per_bucket)) - 1).bit_length())
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
+    """``df`` as a new table at ``path``, one sorted file per bucket of ``key``. The key must be (nearly) unique: a bucket is one task's."""
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
+def bucket_for_variance(silver: DataFrame, labor_logs: DataFrame, location: str, prefix: str = "",
+                        rows_per_bucket: int = _BUCKET) -> tuple[DataFrame, DataFrame]:
+    """Silver by content_id and the logged hours by project_id, bucketed alike: R7 over them joins without a shuffle.
+
+    The logs themselves are not bucketed by project: one that holds a third of them would be one task's bucket. They are summed
+    per project first, on the map side, so the bucketed table has a row per project.
+    """
+    spark = silver.sparkSession
+    buckets = buckets_for(silver.count(), rows_per_bucket)
+    location = location.rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}silver LOCATION '{location}/silver.db'")
+    tables = [(silver, "content_events_by_id", "content_id"), (hours_by_project(labor_logs), "hours_by_project", "project_id")]
+    made = [write_bucketed(df, f"{prefix}silver.{name}", key, buckets, f"{location}/silver.db/{name}") for df, name, key in tables]
+    return made[0], made[1]
