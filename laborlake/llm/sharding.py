@@ -13,7 +13,8 @@ single groups: each read is one aggregate with about 65,536 rows at most, whatev
 
 Slots: rows stand in their shard by (bucket, salt, digest, doc_id), numbered by a
 window over each (bucket, salt) plus the count of the rows before it. The salt is a hash of
-doc_id, so a text that a third of all rows share is numbered by many tasks.
+doc_id, and a bucket has one salt per ``ROWS_PER_TASK`` rows that it holds, so a text that a third of all rows share
+is numbered by as many tasks as it needs, at any size.
 
 Defined cases: size = UTF-8 bytes of the text plus 1; a null text has no bytes and counts as the empty
 text; equal texts, whatever their doc_ids, share a shard; a group larger than all others together makes
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from laborlake.llm.common import own_columns, read, staged
 
 LEVEL = 4  # hex digits of the digest that one level of sums resolves
-BUCKET_DIGITS, SALTS = 3, 16
+BUCKET_DIGITS = 3
+ROWS_PER_TASK = 1_000_000  # rows of a digest bucket that one salt stands for
 
 
 class _Places:
@@ -122,15 +124,17 @@ def minimax_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
     rows = staged(own_columns(docs, ["doc_id", "text"]).select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
         F.sha2(text, 256).alias("digest")), "sized")
-    groups = rows.groupBy("digest").agg(F.sum("size").alias("bytes"))
+    groups = rows.groupBy("digest").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     # By digest, so that reading the children of a few prefixes opens few row groups.
     groups = staged(groups.repartitionByRange("digest").sortWithinPartitions("digest"), "groups")
     shard = F.lit(0)
     for digest in cuts(groups, shards):
         shard = shard + (F.col("digest") >= digest).cast("int")
-    rows = rows.select(
-        "*", shard.alias("shard"), F.substring("digest", 1, BUCKET_DIGITS).alias("bucket"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+    bucket = F.substring("digest", 1, BUCKET_DIGITS).alias("bucket")
+    # At most 16 ** BUCKET_DIGITS rows, whatever the input.
+    salts = F.broadcast(groups.groupBy(bucket).agg(F.ceil(F.sum("rows") / F.lit(ROWS_PER_TASK)).alias("salts")))
+    rows = (rows.select("*", shard.alias("shard"), bucket).join(salts, "bucket")
+            .withColumn("salt", F.pmod(F.xxhash64("doc_id"), "salts")))
     part = ["shard", "bucket", "salt"]
     before = Window.partitionBy("shard").orderBy("bucket", "salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (rows.groupBy(*part).agg(F.count(F.lit(1)).alias("n"))
