@@ -47,6 +47,32 @@ def test_index_persists_between_batches(spark):
     spark.sql("DROP TABLE index_of_two_batches")
 
 
+def test_index_moves_into_more_buckets(spark):
+    """Of one row a bucket, the index outgrows its buckets; the verdicts are those of all batches, and nothing is left behind."""
+    path = fresh_path(spark, "test_index")
+    index = exact_dedup.DigestIndex(spark, "index_that_grows", path, rows_per_bucket=1)
+    kinds = "doc_id long, text string"
+    sizes, kept = [], set()
+    for b, ids in enumerate([range(2), range(1, 30), range(20, 60)]):
+        found = index.add(spark.createDataFrame([(100 * b + i, f"t {i}") for i in ids], kinds), b).where("kept").collect()
+        kept |= {r["text_sha256"] for r in found}
+        sizes.append(index._tables()[-1][0])
+    assert len(kept) == index.rows().count() == 60 and sizes == [2, 32, 32] and len(index._tables()) == 1
+    assert index.rows().where("keep_id = 1").first()["batch"] == 0 and index.rows().where("keep_id = 101").count() == 0
+    index.drop()
+    assert index.rows() is None
+
+
+def test_one_row_of_a_group_stays_where_a_doc_id_repeats(spark):
+    docs = spark.createDataFrame([(5, "a b"), (5, "ab"), (None, "x"), (None, " x"), (7, "p  q"), (7, "p q "), (7, "p q ")], "doc_id long, text string")
+    found = exact_dedup.exact_dedup(docs).collect()
+    kept = defaultdict(int)
+    for r in found:
+        kept[r["text_sha256"]] += r["kept"]
+    assert len(found) == 7 and sorted(kept.values())[:2] == [1, 1] and max(kept.values()) <= 2  # equal rows share a verdict
+    assert not [n for n in spark.catalog.listTables() if n.name.startswith("digest_index_")]
+
+
 def test_attach_splits_hot_keys(spark):
     rows = spark.range(300).select(F.when(F.col("id") < 100, 0).otherwise(F.col("id")).alias("k"), "id")
     table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
@@ -92,6 +118,16 @@ def test_sharding(documents, texts, odd, empty, shards):
     assert sharding.minimax_shards(empty, shards).count() == 0
 
 
+def test_sharding_salts_follow_the_rows(spark, monkeypatch):
+    """A text that half of all rows share is numbered in many runs, and the slots have no gap."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("text"))
+    monkeypatch.setattr(sharding, "ROWS_PER_TASK", 7)
+    slots = defaultdict(list)
+    for r in sharding.minimax_shards(docs, 3).collect():
+        slots[r["shard"]].append(r["slot"])
+    assert sum(map(len, slots.values())) == 400 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_sharding_reads_levels_below(spark, monkeypatch):
     """With one digit a level, many reads are needed and the cuts stay the same."""
     groups = spark.range(500).select(F.sha2(F.col("id").cast("string"), 256).alias("digest"), (F.col("id") % 37 + 1).alias("bytes"))
