@@ -99,7 +99,7 @@ class DigestIndex:
                       .select("text_sha256", F.col("best.doc_id").alias("best_id"), (-F.col("best.n")).alias("best_chars"),
                               F.col("best.original").alias("best_original"), "group_size"))
         index, mine = self.rows(), F.col("kept_in").isNull()
-        none = self.spark.createDataFrame([], "text_sha256 string, keep_id bigint, batch bigint")
+        none = self.spark.range(0).select(F.lit("").alias("text_sha256"), F.col("id").alias("keep_id"), F.col("id").alias("batch"))
         held = (none if index is None else index).select("text_sha256", F.col("keep_id").alias("held_id"), F.col("batch").alias("kept_in"))
         per_digest = per_digest.join(held.hint("merge"), "text_sha256", "left")
         found = staged(per_digest.select("text_sha256", "best_id", "best_chars", "best_original", "group_size", mine.alias("new"),
