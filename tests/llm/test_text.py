@@ -419,3 +419,31 @@ def test_raking_several_budgets_on_spark_equals_the_driver(spark):
         assert abs(error - mixing.margin_error(margins, weight)) < 1e-9
         got = {(r["source"], r["lang"], r["topic"]): r["weight"] for r in state.collect()}
         assert np.allclose([got[c] for c in sizes], weight, atol=1e-9)
+
+
+def test_output_does_not_depend_on_the_split(spark, documents, odd, tmp_path):
+    ranks = token_output.load_ranks(token_output.VOCABULARY)
+    docs = documents.select("doc_id", "text").union(odd.select("doc_id", "text"))
+    docs = docs.union(docs.where("doc_id < 40"))
+    seen = []
+    for parts in (1, 2, 7):
+        path = str(tmp_path / f"split_{parts}")
+        listed = token_output.write_shards(docs.repartition(parts), ranks, path, length=64, per_shard=100)
+        seen.append((sorted(map(tuple, listed.collect())), sorted(map(tuple, token_output.read_records(spark, path, 64, 100).collect()))))
+    assert seen[0] == seen[1] == seen[2]
+    tokens = sum(r[1] for r in seen[0][0])
+    assert len(seen[0][0]) == len(seen[0][1]) == -(-tokens // 64)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("token_blocks")]
+
+
+def test_stretches_are_cut_at_sequence_ends():
+    start, size = np.array([0, 3, 10, 11]), np.array([3, 7, 1, 30])
+    of, sequence, at, tokens, offset = token_output._pieces(start, size, 8)
+    got = [[(int(s) * 8 + int(a) + i, int(o) + i) for s, a, t, o in zip(sequence[of == d], at[of == d], tokens[of == d], offset[of == d], strict=True)
+            for i in range(t)] for d in range(4)]
+    assert got == [[(s + i, i) for i in range(n)] for s, n in zip(start, size, strict=True)]
+    assert (at + tokens <= 8).all()
+
+
+def test_shards_grow_with_the_output():
+    assert [token_output.shard_size(n) for n in (0, 10_000, 1 << 24, 1 << 26, 1 << 28, 1 << 40)] == [8192, 8192, 8192, 16384, 65536, 65536]
