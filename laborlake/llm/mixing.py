@@ -6,7 +6,9 @@ weight is held below what the token budget would take from it in full. The budge
 cells cannot give it at the target shares, the largest budget that meets all margins is taken instead, found to 1/256 of the
 way between the budget that no cell limits and the one asked for. Every document of a cell is then sampled
 with the cell's calibrated probability, budgeted tokens over tokens at hand, against a keyed hash of its doc_id,
-so the sample is the same on every run and for every partitioning.
+so the sample is the same on every run and for every partitioning. Tokens are those of a public byte-level vocabulary, the one
+that the token output writes; texts are encoded once, into a staged table of narrow profiles that both the cells and the
+documents' rows come from.
 
 The table of cells is one aggregate with a row per combination. Up to ``max_cells`` rows it is raked on the driver and
 broadcast to the documents; a larger one is raked on Spark, every round an aggregate and a join per margin, and reaches
@@ -16,7 +18,7 @@ Targets: per margin, a table of shares, or a power: shares in proportion to the
 power (1 keeps them, 0 makes them equal). Categories that a given table leaves out get no weight.
 
 Defined cases: a null source or language is a category of its own, a null or empty text has topic ``empty`` and
-0 tokens; in cells without tokens, documents are sampled like the whole (with the budget's share). Rows that repeat a doc_id are drawn
+0 tokens, one of white space alone has that topic too; in cells without tokens, documents are sampled like the whole (with the budget's share). Rows that repeat a doc_id are drawn
 alike; a null doc_id draws by its text. An empty table gives no rows. If the targets contradict one another, so that no
 budget meets all margins, the weights of the last round at the whole budget stay. Each row tells the ``budget`` taken and the
 ``margin_error``, the largest distance of a category's expected share from its target. Only ``doc_id``, ``text``, ``lang`` and ``source`` are read.
@@ -24,14 +26,21 @@ budget meets all margins, the weights of the last round at the whole budget stay
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import sys
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
+import pandas as pd
+import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laborlake.functions.tasks import ship_by_value
 from laborlake.llm.common import attach, own_columns, read, staged, unambiguous
+from laborlake.llm.token_output import PATTERN, VOCABULARY, load_ranks
+
+ship_by_value(sys.modules[__name__])
 
 MARGINS = ("source", "lang", "topic")
 #: Target shares of the registered query: powers of the tokens at hand.
@@ -52,14 +61,24 @@ def topic(text: Column) -> Column:
             .when(t.rlike(r"@[A-Za-z0-9-]+\.[a-z]|\+\d \(\d"), "contact").otherwise("prose"))
 
 
-def tokens(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+def tokens(spark: SparkSession, text: Column, vocabulary: str) -> Column:
+    """How many tokens of the vocabulary a text has; special-token strings are ordinary text."""
+    shared, pattern = spark.sparkContext.broadcast(load_ranks(vocabulary)), PATTERN
+
+    @F.pandas_udf("long")
+    def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        coder = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})
+        for texts in batches:
+            yield pd.Series([len(coder.encode_ordinary(t)) if t else 0 for t in texts], dtype="int64")
+
+    return counted(text)
 
 
-def profiled(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, lang, topic, tokens, draw); ``draw`` is uniform in [0, 1)."""
+def profiled(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(doc_id, source, lang, topic, tokens, draw), staged; ``draw`` is uniform in [0, 1)."""
     rows = own_columns(docs, ["doc_id", "text", "lang", "source"])
-    return rows.select("doc_id", *cell_columns(rows), tokens(rows["text"]).alias("tokens"), draw(rows).alias("draw"))
+    counts = tokens(docs.sparkSession, rows["text"], vocabulary)
+    return staged(rows.select("doc_id", *cell_columns(rows), counts.alias("tokens"), draw(rows).alias("draw")), "profiles")
 
 
 def cell_columns(rows: DataFrame) -> list[Column]:
@@ -262,9 +281,9 @@ def calibrated(rows: DataFrame, targets: Mapping[str, float | Mapping[str, float
 
 
 def mix(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET,
-        max_cells: int = MAX_CELLS, rounds: int = ROUNDS) -> DataFrame:
+        max_cells: int = MAX_CELLS, rounds: int = ROUNDS, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, source, lang, topic, tokens, weight, probability, selected, budget, margin_error) for every row of ``docs``."""
-    rows = profiled(docs)
+    rows = profiled(docs, vocabulary)
     cells, few = calibrated(rows, targets, budget, max_cells, rounds)
     if few:
         joined = rows.join(F.broadcast(cells), list(MARGINS), "left")
@@ -277,10 +296,10 @@ def mix(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TA
 
 
 def keep_sampled(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET,
-                 max_cells: int = MAX_CELLS, rounds: int = ROUNDS) -> DataFrame:
+                 max_cells: int = MAX_CELLS, rounds: int = ROUNDS, vocabulary: str = VOCABULARY) -> DataFrame:
     """The sampled rows of ``docs``, with all their columns."""
     given, docs = docs.columns, unambiguous(docs, ["doc_id", "text", "lang", "source"])
-    cells, few = calibrated(profiled(docs), targets, budget, max_cells, rounds)
+    cells, few = calibrated(profiled(docs, vocabulary), targets, budget, max_cells, rounds)
     mine = cell_columns(docs)
 
     def same(table: DataFrame) -> Column:

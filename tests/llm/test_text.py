@@ -334,8 +334,9 @@ def test_raking_meets_all_margins():
 def test_mix_of_the_table(documents, texts):
     rows = mixing.mix(documents).collect()
     assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    coder = tiktoken.Encoding("own", pat_str=token_output.PATTERN, mergeable_ranks=token_output.load_ranks(token_output.VOCABULARY), special_tokens={})
     for r in rows:
-        assert r["tokens"] == len(re.findall(r"[^\x20\x09-\x0d]+", texts[r["doc_id"]]))
+        assert r["tokens"] == len(coder.encode_ordinary(texts[r["doc_id"]]))
         assert 0 <= r["probability"] <= 1
     held = {}
     for r in rows:
@@ -353,6 +354,7 @@ def test_mix_odd_rows(odd, empty):
     rows = mixing.mix(odd).collect()
     assert len(rows) == 11 and all(r["probability"] is not None for r in rows)
     assert {r["topic"] for r in rows if r["doc_id"] in (3, 4, 5)} == {"empty"}
+    assert {r["doc_id"]: r["tokens"] > 0 for r in rows if r["doc_id"] in (3, 4, 5, 6, 9)} == {3: False, 4: False, 5: True, 6: True, 9: True}
     assert mixing.keep_sampled(odd).columns == odd.columns
     assert mixing.mix(empty).count() == 0 and mixing.keep_sampled(empty).count() == 0
     given_shares = {"source": {"a": 1.0}, "lang": 1.0, "topic": 1.0}
