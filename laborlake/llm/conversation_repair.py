@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlake.functions.tasks import ship_by_value
 from laborlake.llm.common import own_columns, read
+from laborlake.llm.tasks import ship_by_value
 
 ship_by_value(sys.modules[__name__])
 

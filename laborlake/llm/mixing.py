@@ -36,8 +36,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlake.functions.tasks import ship_by_value
 from laborlake.llm.common import attach, own_columns, read, staged, unambiguous
+from laborlake.llm.tasks import ship_by_value
 from laborlake.llm.token_output import PATTERN, VOCABULARY, load_ranks
 
 ship_by_value(sys.modules[__name__])

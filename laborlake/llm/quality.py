@@ -27,8 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlake.functions.tasks import ship_by_value
 from laborlake.llm.common import own_columns, read, unambiguous
+from laborlake.llm.tasks import ship_by_value
 
 ship_by_value(sys.modules[__name__])
 

@@ -29,8 +29,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from laborlake.functions.tasks import ship_by_value
 from laborlake.llm.common import own_columns, read, staged
+from laborlake.llm.tasks import ship_by_value
 
 ship_by_value(sys.modules[__name__])
 
