@@ -4,13 +4,14 @@ Spark's text source cuts a file at line ends, so a block may begin inside a quot
 is a function of the state it begins in (outside or inside a quoted field): unchanged, swapped, or set. A quote opens
 a field only at the field's start, and a doubled one inside stands for a quote, so a stray quote within a field changes nothing.
 
-1. Per block, the functions of its lines with quotes are composed (a fold over packed numbers, no text).
-2. A running window over the small table of blocks gives the state in which each block begins, and the block where a
+1. Blocks are cut into parts of at most ``2 ** _PART_BITS`` lines, so no list or task holds a block, however many lines it has.
+   Per part, the functions of its lines with quotes are composed (a fold over packed numbers, no text).
+2. A running window over the small table of parts gives the state in which each part begins, and the part where a
    record that reaches into it was opened.
-3. Within a block a running window gives the state of every line. A line that begins and ends outside is a record; the
+3. Within a part a running window gives the state of every line. A line that begins and ends outside is a record; the
    lines of all other records meet in one aggregate, whose groups are single records.
 
-The lines are shuffled once, by block.
+The lines are shuffled once, by part.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ from laborlake.session import fresh_path
 # Quote states within a line: at the start of a field that is its first, outside, inside a quoted field, after a quote inside one.
 _FIRST, _OUTSIDE, _INSIDE, _QUOTED = range(4)
 
+_PART_BITS = 13  # places of a block that make one part
+_PART = ["path", "block", "part"]
+
 
 def text_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """(value, path, block, at) of every line; ``at`` orders the lines within a block.
@@ -70,7 +74,7 @@ def _before(order: Column | str, *keys: str):
     return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _state_before(df: DataFrame, begin: Column, order: str, *keys: str) -> DataFrame:
+def _state_before(df: DataFrame, begin: Column, order: Column | str, *keys: str) -> DataFrame:
     """Adds ``start``: the state before each row, from ``begin`` and the functions (f0, f1) of the rows before it."""
     swap = ((F.col("f0") == 1) & (F.col("f1") == 0)).cast("long")
     upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
@@ -81,10 +85,14 @@ def _state_before(df: DataFrame, begin: Column, order: str, *keys: str) -> DataF
     return df.withColumn("start", ((F.coalesce(F.col("_set.f0"), begin) + swaps) % 2).cast("int")).drop("_swaps", "_set")
 
 
-def block_states(lines: DataFrame) -> DataFrame:
-    """Per (path, block): the state it begins and ends in, where a record that reaches into it was opened, non-blank lines before it."""
+def _in_parts(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("part", F.shiftright("at", _PART_BITS))
+
+
+def part_states(lines: DataFrame) -> DataFrame:
+    """Per (path, block, part): the state it begins and ends in, where a record that reaches into it was opened, non-blank lines before it."""
     packed = F.when(F.contains(F.col("value"), F.lit('"')), F.col("at") * 4 + F.col("f0") * 2 + F.col("f1"))
-    per_block = lines.groupBy("path", "block").agg(
+    per_part = lines.groupBy(*_PART).agg(
         F.array_sort(F.collect_list(packed)).alias("quoted"), F.max("at").alias("last"), F.count_if(~is_blank(F.col("value"))).alias("full"))
 
     def step(acc: Column, line: Column) -> Column:
@@ -93,35 +101,38 @@ def block_states(lines: DataFrame) -> DataFrame:
         frees = (after[1] == 0) & (F.shiftright(line, 2) < F.col("last"))
         return F.struct(after[0].alias("f0"), after[1].alias("f1"), (acc["begins"] | frees).alias("begins"))
 
-    # ``begins``: whether a record begins in a block that itself begins inside a quoted field.
+    # ``begins``: whether a record begins in a part that itself begins inside a quoted field.
     start = F.struct(F.lit(0).alias("f0"), F.lit(1).alias("f1"), F.lit(False).alias("begins"))
-    folded = per_block.withColumn("fold", F.aggregate("quoted", start, step)).select("path", "block", "full", "fold.*")
-    # One row per block; a file's blocks are in one group.
-    known = _state_before(folded, F.lit(0), "block", "path")
+    folded = per_part.withColumn("fold", F.aggregate("quoted", start, step)).select(*_PART, "full", "fold.*")
+    # One row per part; a file's parts are in one group.
+    place = F.struct("block", "part")
+    known = _state_before(folded, F.lit(0), place, "path")
     has = (F.col("start") == 0) | F.col("begins")
     return known.select(
-        "path", "block", F.col("start").alias("block_start"),
-        F.when(F.col("start") == 0, F.col("f0")).otherwise(F.col("f1")).alias("block_end"),
-        F.last(F.when(has, F.col("block")), ignorenulls=True).over(_before("block", "path")).alias("opened"),
-        F.coalesce(F.sum("full").over(_before("block", "path")), F.lit(0)).alias("full_before"))
+        *_PART, F.col("start").alias("part_start"),
+        F.when(F.col("start") == 0, F.col("f0")).otherwise(F.col("f1")).alias("part_end"),
+        F.last(F.when(has, place), ignorenulls=True).over(_before(place, "path")).alias("opened"),
+        F.coalesce(F.sum("full").over(_before(place, "path")), F.lit(0)).alias("full_before"))
 
 
 def quoted_records(lines: DataFrame) -> DataFrame:
     """(path, block, at, value, is_header) of every record that is not blank; ``lines`` as ``staged_lines`` gives them."""
-    placed = lines.join(block_states(lines), ["path", "block"])
-    placed = _state_before(placed, F.col("block_start"), "at", "path", "block")
+    lines = _in_parts(lines)
+    placed = lines.join(part_states(lines), _PART)
+    placed = _state_before(placed, F.col("part_start"), "at", *_PART)
     begins, full = F.col("start") == 0, ~is_blank(F.col("value"))
-    upto = Window.partitionBy("path", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*_PART).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     placed = (placed.withColumn("nth", F.sum(begins.cast("long")).over(upto))
               .withColumn("full_upto", F.col("full_before") + F.sum(full.cast("long")).over(upto))
-              .withColumn("in_block", F.sum(begins.cast("long")).over(Window.partitionBy("path", "block"))))
+              .withColumn("in_part", F.sum(begins.cast("long")).over(Window.partitionBy(*_PART))))
     header = full & (F.col("full_upto") == 1)
     alone = begins & (F.col("f0") == 0)
     single = placed.where(alone & full).select("path", "block", "at", "value", header.alias("is_header"))
-    # The last record of a block that ends inside a quoted field goes on in the next blocks.
-    own = (F.when(F.col("nth") == 0, F.struct(F.col("opened").alias("block"), F.lit(-1).cast("long").alias("nth")))
-           .when((F.col("nth") == F.col("in_block")) & (F.col("block_end") == 1), F.struct("block", F.lit(-1).cast("long").alias("nth")))
-           .otherwise(F.struct("block", "nth")))
+    # The last record of a part that ends inside a quoted field goes on in the next parts.
+    here, goes_on = F.struct("block", "part"), F.lit(-1).cast("long").alias("nth")
+    own = (F.when(F.col("nth") == 0, F.struct(F.col("opened").alias("place"), goes_on))
+           .when((F.col("nth") == F.col("in_part")) & (F.col("part_end") == 1), F.struct(here.alias("place"), goes_on))
+           .otherwise(F.struct(here.alias("place"), "nth")))
     parts = placed.where(~alone).select("path", own.alias("record"), F.struct("block", "at", "value").alias("line"), header.alias("is_header"))
     joined = parts.groupBy("path", "record").agg(F.array_sort(F.collect_list("line")).alias("lines"), F.bool_or("is_header").alias("is_header"))
     spanning = joined.select("path", F.col("lines")[0]["block"].alias("block"), F.col("lines")[0]["at"].alias("at"),

@@ -6,6 +6,7 @@ import pytest
 
 from laborlake.plans.etl_run import SourceConfig, run_pipeline
 from laborlake.sinks.lake import Lake
+from laborlake.sources import quoted
 from laborlake.sources.files import ingest_csv_file, ingest_folder
 from laborlake.sources.quoted import quoted_records, staged_lines, text_lines
 
@@ -74,6 +75,22 @@ def test_records_of_odd_files_cut_anywhere(spark, tmp, small_blocks, seed):
         assert [h for _, _, _, h in own] == [i == 0 for i in range(len(want))]
 
 
+@pytest.mark.parametrize("bits", [2, 5])
+def test_a_block_of_many_lines_is_folded_in_parts(spark, tmp, monkeypatch, bits):
+    monkeypatch.setattr(quoted, "_PART_BITS", bits)
+    notes = {i: '"' + "line, \"\"so\"\"\n" * (i % 23) + f'{i}"' for i in range(300)}
+    text = "id,note\n" + "".join(f"{i},{note}\n" for i, note in notes.items())
+    with open(f"{tmp}/one.csv", "w") as f:
+        f.write(text)
+    lines = staged_lines(text_lines(spark, f"{tmp}/one.csv"))
+    states = quoted.part_states(quoted._in_parts(lines))
+    assert lines.select("block").distinct().count() == 1
+    assert states.count() >= len(text.splitlines()) / 2 ** bits  # no list holds more lines than a part has
+    rows = sorted((r["at"], r["value"], r["is_header"]) for r in quoted_records(lines).collect())
+    assert [v for _, v, _ in rows] == _records(text)
+    assert [h for _, _, h in rows] == [True] + [False] * 300
+
+
 def test_one_large_file_is_read_by_many_tasks(spark, tmp, small_blocks):
     with open(f"{tmp}/big.csv", "w") as f:
         f.write("id,note\n" + "".join(f'{i},"line one\nline, ""{i}"""\n' for i in range(3000)))
