@@ -6,7 +6,7 @@
                         re-delivers its order as a 'content_updated' event, so a key arrives several times
 ``labor_records``       labor-log API records: one per line item
 
-All are lazy plans; filters and projections of the callers reach the parquet scans.
+All are lazy plans (``content_events_raw`` looks up row counts in the footers first); filters and projections of the callers reach the parquet scans.
 """
 
 from __future__ import annotations
@@ -23,6 +23,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 ISO_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
+# Raw events of one partition, and the fewest partitions.
+ROWS_PER_PART, LEAST_PARTS = 125_000, 8
+
 
 # Schemas of the tables that the adapters read, so that a plan starts without a job that reads footers.
 SCHEMAS = {
@@ -85,20 +88,31 @@ def content_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def delivery_parts(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions (files) for the raw events, so that each holds about ``ROWS_PER_PART`` of them; from the tables' footers."""
+    rows = table(spark, sf_dir, "orders").count() + table(spark, sf_dir, "lineitem").count()
+    return max(LEAST_PARTS, -(-rows // ROWS_PER_PART))
+
+
 def content_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic-shaped raw events with duplicates, nulls and padding; ``ingest_seq`` is arrival order.
 
     The deliveries (an order's own, and one for each of its line items) are put together
-    as keys first and joined to the order's facts once.
+    as keys first and joined to the order's facts once. They are joined by the text of the key, which is the ``content_id``: what groups
+    by it afterwards finds the rows placed and sorted, and no task sorts the wide rows again. All rows of a key are in one partition, and
+    the partitions grow with the tables: sized by the narrow keys alone, as AQE would, a task's share of the wide rows grows.
     """
-    first = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.lit(0).cast("long").alias("ingest_seq"))
-    again = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_linenumber").cast("long").alias("ingest_seq"))
-    facts = _order_facts(spark, sf_dir)
+    key = F.col("o_orderkey").cast(T.StringType()).alias("content_id")
+    first = table(spark, sf_dir, "orders").select(key, F.lit(0).cast("long").alias("ingest_seq"))
+    again = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast(T.StringType()).alias("content_id"), F.col("l_linenumber").cast("long").alias("ingest_seq"))
+    deliveries, facts = first.unionByName(again), _order_facts(spark, sf_dir).withColumn("content_id", key)
+    parts = delivery_parts(spark, sf_dir)
     # Both sides grow with the data, so neither is broadcast, whatever their estimates.
-    f = first.unionByName(again).join(facts.hint("merge"), F.col("key") == facts.o_orderkey)
+    f = deliveries.repartition(parts, "content_id").join(facts.repartition(parts, "content_id").hint("merge"), "content_id")
     own = F.col("ingest_seq") == 0
     return f.select(
-        F.col("o_orderkey").cast(T.StringType()).alias("content_id"),
+        "content_id",
         F.when(own, F.col("c_name")).otherwise(F.concat(F.lit("  "), F.col("c_name"), F.lit("  "))).alias("title"),
         F.lower("c_mktsegment").alias("category"),
         F.concat(F.lit(" "), F.lower("r_name"), F.lit(" ")).alias("region"),
