@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -96,6 +98,26 @@ def create_marker(spark: SparkSession, path: str) -> None:
     fs.create(target, False).close()
 
 
+_SPLIT_KEY, _SPLIT = "spark.sql.files.maxPartitionBytes", 16 << 20
+
+
+@contextmanager
+def small_splits(spark: SparkSession) -> Iterator[None]:
+    """Jobs begun here read files in splits of 16 MB at most, so that a task that sorts or groups its split's rows holds few of them.
+
+    Columnar files may unfold to thirty times their size. The session's own setting returns at the end; a smaller one holds.
+    """
+    own = spark.conf.get(_SPLIT_KEY)
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(own) <= _SPLIT:
+        yield
+        return
+    spark.conf.set(_SPLIT_KEY, str(_SPLIT))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SPLIT_KEY, own)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Drop what was written under the scratch root, and databases whose tables lie there. Frames read from there are void then."""
     root = scratch_root(spark)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from laborlake.session import create_marker, drop_path, list_names, path_exists, scratch_root
+from laborlake.session import create_marker, drop_path, list_names, path_exists, scratch_root, small_splits
 
 LAYERS = ["bronze", "silver", "gold"]
 
@@ -71,7 +71,8 @@ class Lake:
     def stage(self, df: DataFrame, run_id: str, name: str) -> DataFrame:
         """Write an intermediate frame of a run (columnar, prunable) and read it back."""
         path = f"{self.root}/_staging/{run_id}/{name}"
-        df.write.parquet(path)
+        with small_splits(self.spark):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop_stages(self, run_id: str) -> None:
