@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from laborlake.operators.reports import hours_by_project
-from laborlake.session import drop_path, list_names, scratch_root
+from laborlake.session import drop_path, fresh_path, list_names, scratch_root, small_splits
 
 DDL = {
     "bronze.content_events_raw": """
@@ -41,7 +41,8 @@ DDL = {
 }
 
 _RUN = 10_000  # equal records numbered as one row; more are dealt out
-_BUCKET = 1_000_000  # distinct records numbered by one task
+_BUCKET = 250_000  # distinct records numbered as one group
+_TABLE_BUCKET = 1_000_000  # rows of a bucket of the tables bucketed alike
 
 # VARCHAR lengths are checked before insert by operators.quality (CONTENT_LENGTHS,
 # LABOR_LOG_LENGTHS): a longer value would fail the whole insert, a rule quarantines the row.
@@ -105,21 +106,25 @@ def with_log_id(df: DataFrame) -> DataFrame:
     """Identity key of silver.labor_logs: dense numbers 1 to n, in two passes and without a task that sees all rows.
 
     Equal records are counted first (partially aggregated, so a record that a third of all rows repeat is one row per
-    map task). The distinct records are dealt by hash into buckets of about ``_BUCKET``; the rows per bucket are
+    map task) and the counts written, so the source is read once. The distinct records are dealt by hash into buckets of about
+    ``_BUCKET``, one partition each but for collisions; the rows per bucket are
     summed up in one small window, and a window within each bucket gives a record its first number. A record with over
     ``_RUN`` copies is dealt out again in runs of that many numbers. Which of two records comes first is not defined,
     but the same rows always get the same numbers.
     """
-    names = df.columns
+    spark, names = df.sparkSession, df.columns
     given = df.toDF(*[f"c{i}" for i in range(len(names))])
     keys = [F.col(c) for c in given.columns]
-    counts = given.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts, path = given.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), fresh_path(spark, "staging", "log_ids")
+    with small_splits(spark):
+        counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
     buckets = max(1, -(-counts.count() // _BUCKET))
     dealt = counts.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
     first = (dealt.groupBy("bucket").agg(F.sum("n").alias("rows"))
              .select("bucket", (F.sum("rows").over(Window.orderBy("bucket")) - F.col("rows")).alias("before")))
     within = F.sum("n").over(Window.partitionBy("bucket").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    placed = dealt.withColumn("within", within).join(first, "bucket").withColumn("base", F.col("before") + F.col("within"))
+    placed = dealt.repartition(buckets, "bucket").withColumn("within", within).join(first, "bucket").withColumn("base", F.col("before") + F.col("within"))
 
     def numbered(rows: DataFrame, start: Column, end: Column) -> DataFrame:
         return rows.select(*keys, F.explode(F.sequence(F.col("base") + start + 1, F.col("base") + end)).alias("log_id"))
@@ -132,7 +137,7 @@ def with_log_id(df: DataFrame) -> DataFrame:
 
 # ---- tables bucketed alike (J1, R7) ------------------------------------------------------------
 
-def buckets_for(rows: int, rows_per_bucket: int = _BUCKET) -> int:
+def buckets_for(rows: int, rows_per_bucket: int = _TABLE_BUCKET) -> int:
     """A power of two, so that tables sized by different row counts still line up."""
     return 1 << max(0, (max(1, -(-rows // rows_per_bucket)) - 1).bit_length())
 
@@ -144,7 +149,7 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str)
 
 
 def bucket_for_variance(silver: DataFrame, labor_logs: DataFrame, location: str, prefix: str = "",
-                        rows_per_bucket: int = _BUCKET) -> tuple[DataFrame, DataFrame]:
+                        rows_per_bucket: int = _TABLE_BUCKET) -> tuple[DataFrame, DataFrame]:
     """Silver by content_id and the logged hours by project_id, bucketed alike: R7 over them joins without a shuffle.
 
     The logs themselves are not bucketed by project: one that holds a third of them would be one task's bucket. They are summed
