@@ -339,6 +339,19 @@ def topic_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dead.select("value")
 
 
+def _land(messages: DataFrame, path: str) -> str:
+    """Write messages as text files of bounded size: compressed, as topics are kept, and so each read by one task."""
+    (messages.write.mode("append").option("compression", "lz4").option("maxRecordsPerFile", tables.ROWS_PER_PART).text(path))
+    return path
+
+
+def _land_by_key(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Land the raw events, all deliveries of a key in one file, in arrival order."""
+    raw = tables.content_events_raw(spark, sf_dir).sortWithinPartitions("ingest_seq")
+    topic.encode_events(raw).write.mode("append").option("compression", "lz4").text(path)
+    return path
+
+
 def _land_topic(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     """Land the topic twin: first deliveries, then (a later write) the re-deliveries.
 
@@ -347,18 +360,20 @@ def _land_topic(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     """
     path = fresh_path(spark, "landing", "topic")
     raw = tables.content_events_raw(spark, sf_dir)
-    topic.encode_events(raw.where(F.col("ingest_seq") == 0)).write.text(path)
+    _land(topic.encode_events(raw.where(F.col("ingest_seq") == 0)), path)
     first_files = len(spark.read.text(path).inputFiles())
-    topic.encode_events(raw.where(F.col("ingest_seq") > 0)).write.mode("append").text(path)
+    _land(topic.encode_events(raw.where(F.col("ingest_seq") > 0)), path)
     return path, first_files
 
 
+def _share_of_files(spark: SparkSession, path: str, share: float) -> int:
+    """Files of a micro-batch, so that the number of batches does not grow with the topic."""
+    return max(1, round(len(spark.read.text(path).inputFiles()) * share))
+
+
 def topic_first_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + D2: all deliveries of a key lie in one file, the later ones with titles that sort before the first."""
-    raw = tables.content_events_raw(spark, sf_dir)
-    path = fresh_path(spark, "landing", "topic")
-    shuffled = raw.repartition(8, "content_id").sortWithinPartitions("ingest_seq")
-    topic.encode_events(shuffled).write.text(path)
+    path = _land_by_key(spark, sf_dir, fresh_path(spark, "landing", "topic"))
     good, _ = topic.split_dead_letters(topic.decode_events(topic.read_topic(spark, path)))
     return silver.build_silver(good, processed_at=F.col("event_timestamp"))
 
@@ -373,11 +388,9 @@ def stream_bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_mixed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T-S1: micro-batches of a few files, each with first and repeated deliveries of its keys; silver from bronze."""
-    raw = tables.content_events_raw(spark, sf_dir)
-    src, base = fresh_path(spark, "landing", "topic"), fresh_path(spark, "stream")
-    topic.encode_events(raw.repartition(8, "content_id").sortWithinPartitions("ingest_seq")).write.text(src)
-    q = ingest.start_bronze_ingest(topic.read_topic(spark, src, streaming=True, max_files_per_trigger=3),
+    """T-S1: three micro-batches of files, each with first and repeated deliveries of its keys; silver from bronze."""
+    src, base = _land_by_key(spark, sf_dir, fresh_path(spark, "landing", "topic")), fresh_path(spark, "stream")
+    q = ingest.start_bronze_ingest(topic.read_topic(spark, src, streaming=True, max_files_per_trigger=_share_of_files(spark, src, 3 / 8)),
                                    f"{base}/bronze", f"{base}/_chk_bronze")
     q.awaitTermination()
     return silver.build_silver(ingest.read_bronze(spark, f"{base}/bronze"), processed_at=F.col("event_timestamp"))
@@ -406,7 +419,7 @@ def stream_exact_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 on a stream: rows and dead letters, recorded per micro-batch, over the whole topic."""
     src, base = _land_dirty_topic(spark, sf_dir), fresh_path(spark, "stream")
-    q = ingest.start_bronze_ingest(topic.read_topic(spark, src, streaming=True, max_files_per_trigger=6), f"{base}/bronze", f"{base}/_chk",
+    q = ingest.start_bronze_ingest(topic.read_topic(spark, src, streaming=True, max_files_per_trigger=max(6, _share_of_files(spark, src, 1 / 4))), f"{base}/bronze", f"{base}/_chk",
                                    events_path=f"{base}/run_events", run_id="RUN_STREAM")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/run_events").groupBy("stage", "status").agg(F.sum("rows").alias("rows"))
@@ -458,11 +471,9 @@ def _land_dirty_topic(spark: SparkSession, sf_dir: str) -> str:
     words = orders.where("o_orderkey % 50 = 1").select(F.format_string(odd, F.lit("X"), "o_orderkey", F.lit('"ten"')).alias("value"))
     parts = orders.where("o_orderkey % 50 = 2").select(F.format_string(odd, F.lit("Y"), "o_orderkey", F.lit("100.5")).alias("value"))
     broken = foreign.select(F.format_string("{bad %d", "event_id").alias("value"))
-    raw = tables.content_events_raw(spark, sf_dir)
-    topic.encode_events(raw.repartition(8, "content_id").sortWithinPartitions("ingest_seq")).write.text(path)
+    _land_by_key(spark, sf_dir, path)
     rows = words.unionByName(parts).unionByName(broken).unionByName(foreign.select(F.col("props").alias("value")))
-    rows.write.mode("append").text(path)
-    return path
+    return _land(rows, path)
 
 
 def _dirty_run(spark: SparkSession, sf_dir: str) -> Lake:
@@ -498,9 +509,10 @@ def run_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     etl_run.run_pipeline(spark, "kafka", lake, etl_run.SourceConfig(topic_path=src), strict=False)
     path = write_csv(ce.withColumn("release_year", F.year("event_timestamp")).select(*LEGACY_B), fresh_path(spark, "landing", "csv"))
     etl_run.run_pipeline(spark, "file", lake, etl_run.SourceConfig(csv_path=path), strict=False)
-    return lake.read_bronze("content_events").groupBy("source_system").agg(
+    held = lake.read_bronze("content_events").groupBy("source_system").agg(
         F.count(F.lit(1)).alias("row_count"), F.countDistinct("content_id").alias("keys"), F.sum("labor_hours").alias("hours"),
         F.sum("release_year").alias("years"))
+    return lake.stage(held, "summary", "sources")
 
 
 def run_hours_variance(spark: SparkSession, sf_dir: str) -> DataFrame:

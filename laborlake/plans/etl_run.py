@@ -79,7 +79,9 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, lake: Lake, cfg:
 def _to_bronze(spark: SparkSession, source: str | DataFrame, lake: Lake, cfg: SourceConfig, events: RunEvents) -> DataFrame:
     """Land the source's rows in bronze; the run's rows as landed."""
     if source == "kafka":
-        decoded = lake.stage(_decoded(spark, cfg), events.run_id, "decoded")
+        text = F.when(topic.is_dead(null_key=False), F.col("value")).alias("value")  # only dead letters keep it
+        decoded = _decoded(spark, cfg)
+        decoded = lake.stage(decoded.withColumn("value", text), events.run_id, "decoded")
         raw, dead = topic.split_dead_letters(decoded, null_key=False)
         dead, n_dead = counted(dead, "dead_letters")
         lake.write_bronze(dead, "dead_letters", run_id=events.run_id, source_system="kafka")
