@@ -41,18 +41,23 @@ _CORRUPT = "_raw_line"
 ARRIVAL = ["arrival_part", "arrival_block", "arrival_pos"]
 
 
+def kinds_of(lines: DataFrame) -> DataFrame:
+    """(path, header, header_open, plain) of each file of ``text_lines``; see ``file_kinds``."""
+    state = open_after(F.col("value"), False) == 1
+    placed = lines.select("value", "path", F.struct("block", "at").alias("place"), state.alias("open"), is_blank(F.col("value")).alias("blank"))
+    first = F.min_by(F.when(~F.col("blank"), F.struct("value", "open")), F.when(~F.col("blank"), F.col("place")))
+    # As a set, the marks make this an aggregate by hash; with texts in its buffers alone it would sort all lines by path first.
+    odd = F.collect_set(F.when(F.col("open") | ~F.is_valid_utf8("value"), F.lit(True)))
+    kinds = placed.groupBy("path").agg(first.alias("first"), (F.size(odd) == 0).alias("plain"))
+    return kinds.select("path", F.make_valid_utf8(F.col("first.value")).alias("header"), F.col("first.open").alias("header_open"), "plain")
+
+
 def file_kinds(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
     """(path, header, plain) of each file: its first line that is not blank (null: none), and whether the CSV reader can take it.
 
     ``header_open``: the header itself spans lines.
     """
-    lines = text_lines(spark, path, glob)
-    state = open_after(F.col("value"), False) == 1
-    placed = lines.select("value", "path", F.struct("block", "at").alias("place"), state.alias("open"), is_blank(F.col("value")).alias("blank"))
-    first = F.min_by(F.when(~F.col("blank"), F.struct("value", "open")), F.when(~F.col("blank"), F.col("place")))
-    kinds = placed.groupBy("path").agg(first.alias("first"), (~F.bool_or(F.col("open") | ~F.is_valid_utf8("value"))).alias("plain"))
-    out = fresh_path(spark, "staging", "csv_kinds")
-    kinds = kinds.select("path", F.make_valid_utf8(F.col("first.value")).alias("header"), F.col("first.open").alias("header_open"), "plain")
+    kinds, out = kinds_of(text_lines(spark, path, glob)), fresh_path(spark, "staging", "csv_kinds")
     kinds.write.parquet(out)
     return spark.read.schema(kinds.schema).parquet(out)
 
