@@ -94,7 +94,9 @@ def iso_week(c: str | Column) -> Column:
     d = F.to_date(col_of(c))
     # ISO year = year of the Thursday in the same ISO week.
     thursday = F.date_add(d, 3 - ((F.dayofweek(d) + 5) % 7))
-    return F.format_string("%d-W%02d", F.year(thursday), F.weekofyear(d))
+    # As format_string("%d-W%02d", year, week), also of null, without a formatter per row.
+    year, week = F.year(thursday).cast("string"), F.lpad(F.weekofyear(d).cast("string"), 2, "0")
+    return F.concat(F.coalesce(year, F.lit("null")), F.lit("-W"), F.coalesce(week, F.lit("null")))
 
 
 def conform_content(df: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ warn (rows are kept).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -185,21 +187,33 @@ def labor_log_rules() -> list[tuple[str, Column]]:
     ] + _length_rules(LABOR_LOG_LENGTHS)
 
 
-def apply_rules(df: DataFrame, rules: list[tuple[str, Column]], key: str | None = None) -> DataFrame:
+def apply_rules(df: DataFrame, rules: list[tuple[str, Column]], key: str | None = None, repeated: DataFrame | None = None) -> DataFrame:
     """Tag each row with ``violations ARRAY<STRING>`` (empty = accepted).
 
     With ``key`` the primary-key rule is enforced too: every row of a key that
     occurs more than once is a violation (``primary_key_unique``), counted by a window
     over the key, with no second pass over ``df``. Both callers' keys are unique before
     the rule (one row per raw key; hash and ordinal of a log record), so only
-    a few rows share a key here and none is hot.
+    a few rows share a key here and none is hot. Where ``df`` lies in files, ``repeated``
+    (``repeated_keys``, staged) takes the window's place: then no row but those keys is shuffled.
     """
     tags = [F.when(pred, F.lit(name)) for name, pred in rules]
     if key is not None:
-        same = F.count(F.lit(1)).over(Window.partitionBy(key))
-        df = df.withColumn("_same_key", same)
+        if repeated is None:
+            df = df.withColumn("_same_key", F.count(F.lit(1)).over(Window.partitionBy(key)))
+        else:
+            twice = repeated.select(F.col(key).alias("_twice"), F.lit(2).alias("_same_key"))
+            df = df.join(twice, F.col(key) == F.col("_twice"), "left")
         tags.append(F.when(F.col(key).isNotNull() & (F.col("_same_key") > 1), F.lit("primary_key_unique")))
-    return df.withColumn("violations", F.filter(F.array(*tags), lambda t: t.isNotNull())).drop("_same_key")
+    found = F.filter(F.array(*tags), lambda t: t.isNotNull())
+    if tags:  # the lambda is slow, and few rows break a rule
+        found = F.when(reduce(or_, [t.isNotNull() for t in tags]), found).otherwise(F.array().cast(T.ArrayType(T.StringType())))
+    return df.withColumn("violations", found).drop("_same_key", "_twice")
+
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """The keys that more than one row has."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
 
 
 def split_by_rules(df: DataFrame, rules: list[tuple[str, Column]],

@@ -240,10 +240,18 @@ def csv_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.ingest_folder(spark, path).select(*EXPORTED)
 
 
+PAGES_PER_FILE = 2_500
+
+
+def _write_pages(landed: DataFrame, path: str) -> str:
+    """Write pages as JSON lines: compressed, as responses come, in files of bounded size, as each is read by one task."""
+    landed.write.option("compression", "gzip").option("maxRecordsPerFile", PAGES_PER_FILE).json(path)
+    return path
+
+
 def _landed_pages(spark: SparkSession, sf_dir: str, change: Callable[[DataFrame], DataFrame] = lambda p: p) -> DataFrame:
-    path = fresh_path(spark, "landing", "pages")
-    change(pages.land_pages(tables.labor_records(spark, sf_dir, order=True), ["l_orderkey", "l_linenumber"])).write.json(path)
-    return pages.read_landed_pages(spark, path)
+    landed = pages.land_pages(tables.labor_records(spark, sf_dir, order=True), ["l_orderkey", "l_linenumber"])
+    return pages.read_landed_pages(spark, _write_pages(change(landed), fresh_path(spark, "landing", "pages")))
 
 
 def api_pages_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -519,8 +527,8 @@ def run_hours_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 + X5 + R7: a content run and an API run load the warehouse tables, the report scans them."""
     lake, prefix = Lake(spark, fresh_path(spark, "lake")), _warehouse(spark)
     etl_run.run_pipeline(spark, tables.content_events_raw(spark, sf_dir), lake, strict=False, tables=prefix)
-    path = fresh_path(spark, "landing", "pages")
-    pages.land_pages(tables.labor_records(spark, sf_dir, order=True), ["l_orderkey", "l_linenumber"]).write.json(path)
+    landed = pages.land_pages(tables.labor_records(spark, sf_dir, order=True), ["l_orderkey", "l_linenumber"])
+    path = _write_pages(landed, fresh_path(spark, "landing", "pages"))
     etl_run.run_pipeline(spark, "api", lake, etl_run.SourceConfig(pages_path=path), tables=prefix)
     return reports.hours_variance(spark.table(f"{prefix}silver.content_events_clean"), spark.table(f"{prefix}silver.labor_logs"))
 

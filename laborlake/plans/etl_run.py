@@ -117,8 +117,9 @@ def _run_content(spark: SparkSession, source: str | DataFrame, lake: Lake, cfg:
         events.record("ERROR", "Validate", "FAILED", message=failure_reason(report))
         if strict or grouped is None:
             raise ValidationError(failure_reason(report))
-    tagged = quality.apply_rules(silver.silver_from_grouped(grouped, packed, cols),
-                                 [*quality.content_rules(), quality.hours_type_rule()], key="content_id")
+    first = silver.silver_from_grouped(grouped, packed, cols)
+    repeated = lake.stage(quality.repeated_keys(first, "content_id"), events.run_id, "repeated_keys")
+    tagged = quality.apply_rules(first, [*quality.content_rules(), quality.hours_type_rule()], key="content_id", repeated=repeated)
     if broken is not None:
         tagged = tagged.unionByName(quality.apply_rules(broken, [quality.utf8_rule()]), allowMissingColumns=True)
     tagged = lake.stage(tagged, events.run_id, "tagged")
@@ -150,8 +151,9 @@ def _run_content(spark: SparkSession, source: str | DataFrame, lake: Lake, cfg:
 
 def _run_labor_logs(records: DataFrame, lake: Lake, events: RunEvents, tables: str | None) -> dict:
     landed, n_in = counted(records, "labor_records")
-    tagged = quality.apply_rules(with_log_id(landed), quality.labor_log_rules(), key="log_id")
-    tagged = lake.stage(tagged, events.run_id, "labor_logs")
+    keyed = with_log_id(landed)  # in files by now, so it may be read again
+    repeated = lake.stage(quality.repeated_keys(keyed, "log_id"), events.run_id, "repeated_keys")
+    tagged = quality.apply_rules(keyed, quality.labor_log_rules(), key="log_id", repeated=repeated)
     events.record("STAGE", "Extract", "SUCCESS", n_in.get["rows"])
     ok, n_ok = counted(tagged.where(F.size("violations") == 0).drop("violations"), "labor_rows")
     bad, n_bad = counted(tagged.where(F.size("violations") > 0), "labor_quarantine")

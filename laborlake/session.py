@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -99,23 +99,34 @@ def create_marker(spark: SparkSession, path: str) -> None:
 
 
 _SPLIT_KEY, _SPLIT = "spark.sql.files.maxPartitionBytes", 16 << 20
+_PART_KEY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 @contextmanager
-def small_splits(spark: SparkSession) -> Iterator[None]:
-    """Jobs begun here read files in splits of 16 MB at most, so that a task that sorts or groups its split's rows holds few of them.
-
-    Columnar files may unfold to thirty times their size. The session's own setting returns at the end; a smaller one holds.
-    """
-    own = spark.conf.get(_SPLIT_KEY)
-    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(own) <= _SPLIT:
+def _at_most(spark: SparkSession, key: str, size: int) -> Iterator[None]:
+    """A setting in bytes is ``size`` at most for the jobs begun here. The session's own returns at the end; a smaller one holds."""
+    own = spark.conf.get(key)
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(own) <= size:
         yield
         return
-    spark.conf.set(_SPLIT_KEY, str(_SPLIT))
+    spark.conf.set(key, str(size))
     try:
         yield
     finally:
-        spark.conf.set(_SPLIT_KEY, own)
+        spark.conf.set(key, own)
+
+
+def small_splits(spark: SparkSession) -> AbstractContextManager[None]:
+    """Jobs begun here read files in splits of 16 MB at most, so that a task that sorts or groups its split's rows holds few of them.
+
+    Columnar files may unfold to thirty times their size.
+    """
+    return _at_most(spark, _SPLIT_KEY, _SPLIT)
+
+
+def small_parts(spark: SparkSession, size: int) -> AbstractContextManager[None]:
+    """Jobs begun here take up to ``size`` shuffled bytes a task together, where AQE would merge partitions to larger ones."""
+    return _at_most(spark, _PART_KEY, size)
 
 
 def clear_scratch(spark: SparkSession) -> None:

@@ -23,6 +23,7 @@ LAYERS = ["bronze", "silver", "gold"]
 
 # Bound on rows per output file, so one hot partition value still yields many moderate files.
 MAX_RECORDS_PER_FILE = 5_000_000
+COMPRESSION = "zstd"  # a fifth to a half smaller than Spark's default, for the same time
 
 # A committed version holds this file (a name that Spark's listings leave out); so many committed versions stay.
 COMMITTED = "_COMMITTED"
@@ -58,7 +59,7 @@ class Lake:
                .withColumn("ingest_run_id", F.lit(run_id)))
         path = self.path("bronze", dataset)
         (out.write.mode("append").partitionBy("ingest_run_id")
-         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path))
+         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", COMPRESSION).parquet(path))
         return path
 
     def read_bronze(self, dataset: str, run_id: str | None = None) -> DataFrame:
@@ -72,7 +73,7 @@ class Lake:
         """Write an intermediate frame of a run (columnar, prunable) and read it back."""
         path = f"{self.root}/_staging/{run_id}/{name}"
         with small_splits(self.spark):
-            df.write.parquet(path)
+            df.write.option("compression", COMPRESSION).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop_stages(self, run_id: str) -> None:
@@ -93,7 +94,7 @@ class Lake:
         names = [n for n in list_names(self.spark, path) if n.startswith("v")]
         number = int(names[-1][1:13]) + 1 if names else 1
         out = f"{path}/v{number:012d}_{uuid.uuid4().hex[:6]}"
-        w = df.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        w = df.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", COMPRESSION)
         (w.partitionBy(*partition_by) if partition_by else w).parquet(out)
         create_marker(self.spark, f"{out}/{COMMITTED}")
         kept = self.versions(layer, dataset)[-VERSIONS_KEPT:]

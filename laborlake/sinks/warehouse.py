@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from laborlake.operators.reports import hours_by_project
-from laborlake.session import drop_path, fresh_path, list_names, scratch_root, small_splits
+from laborlake.session import drop_path, fresh_path, list_names, scratch_root, small_parts, small_splits
 
 DDL = {
     "bronze.content_events_raw": """
@@ -40,8 +40,9 @@ DDL = {
         summary_date DATE DEFAULT current_date()""",
 }
 
+_OPTIONS = "OPTIONS (compression 'zstd')"
 _RUN = 10_000  # equal records numbered as one row; more are dealt out
-_BUCKET = 250_000  # distinct records numbered as one group
+_BUCKET, _SHUFFLED = 250_000, 64  # distinct records sorted by one task, as far as the shuffle has partitions; about so many bytes each
 _TABLE_BUCKET = 1_000_000  # rows of a bucket of the tables bucketed alike
 
 # VARCHAR lengths are checked before insert by operators.quality (CONTENT_LENGTHS,
@@ -58,7 +59,7 @@ def create_tables(spark: SparkSession, location: str | None = None, prefix: str
         db, name = table.split(".")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{db} LOCATION '{location}/{db}.db'")
         path = f"{location}/{db}.db/{name}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{table} ({cols}) USING parquet LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{table} ({cols}) USING parquet {_OPTIONS} LOCATION '{path}'")
         paths[prefix + table] = path
     return paths
 
@@ -78,7 +79,7 @@ def insert(spark: SparkSession, table: str, df: DataFrame, overwrite: bool = Fal
     base = old.rsplit("/", 1)[0] + "/" + name
     tag = uuid.uuid4().hex[:12]
     new, filled = f"{base}__{tag}", f"{db}.{name}__{tag}"
-    spark.sql(f"CREATE TABLE {filled} ({DDL[layer]}) USING parquet LOCATION '{new}'")
+    spark.sql(f"CREATE TABLE {filled} ({DDL[layer]}) USING parquet {_OPTIONS} LOCATION '{new}'")
     try:
         _insert_into(spark, filled, df, cols)
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
@@ -103,36 +104,41 @@ def _insert_into(spark: SparkSession, table: str, df: DataFrame, cols: list[str]
 
 
 def with_log_id(df: DataFrame) -> DataFrame:
-    """Identity key of silver.labor_logs: dense numbers 1 to n, in two passes and without a task that sees all rows.
+    """Identity key of silver.labor_logs: dense numbers 1 to n, with one shuffle and without a task that sees all rows.
 
     Equal records are counted first (partially aggregated, so a record that a third of all rows repeat is one row per
-    map task) and the counts written, so the source is read once. The distinct records are dealt by hash into buckets of about
-    ``_BUCKET``, one partition each but for collisions; the rows per bucket are
-    summed up in one small window, and a window within each bucket gives a record its first number. A record with over
-    ``_RUN`` copies is dealt out again in runs of that many numbers. Which of two records comes first is not defined,
+    map task). The task that counts a record also sorts its records by hash group, gives each copy a place of its own and writes
+    them, so the source is read once. The rows per group are summed up in one small window, and a place becomes a
+    number by what was written before its group. A record with over ``_RUN`` copies has a place for the first; the
+    others come after all places and are dealt out in runs of that many numbers. Which of two records comes first is not defined,
     but the same rows always get the same numbers.
     """
     spark, names = df.sparkSession, df.columns
     given = df.toDF(*[f"c{i}" for i in range(len(names))])
     keys = [F.col(c) for c in given.columns]
-    counts, path = given.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), fresh_path(spark, "staging", "log_ids")
-    with small_splits(spark):
-        counts.write.parquet(path)
-    counts = spark.read.schema(counts.schema).parquet(path)
-    buckets = max(1, -(-counts.count() // _BUCKET))
-    dealt = counts.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-    first = (dealt.groupBy("bucket").agg(F.sum("n").alias("rows"))
-             .select("bucket", (F.sum("rows").over(Window.orderBy("bucket")) - F.col("rows")).alias("before")))
-    within = F.sum("n").over(Window.partitionBy("bucket").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    placed = dealt.repartition(buckets, "bucket").withColumn("within", within).join(first, "bucket").withColumn("base", F.col("before") + F.col("within"))
-
-    def numbered(rows: DataFrame, start: Column, end: Column) -> DataFrame:
-        return rows.select(*keys, F.explode(F.sequence(F.col("base") + start + 1, F.col("base") + end)).alias("log_id"))
-
-    few = numbered(placed.where(F.col("n") <= _RUN), F.lit(0), F.col("n"))
-    many = placed.where(F.col("n") > _RUN).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(_RUN).cast("long"))).alias("at"))
-    dealt_out = numbered(many.repartition("base", "at"), F.col("at"), F.least(F.col("n"), F.col("at") + _RUN))
-    return few.unionByName(dealt_out).toDF(*names, "log_id")
+    few, one = F.col("n") <= _RUN, F.lit(1).cast("long")
+    # The shuffle deals by the same hash, so a group is one task's, whatever partitions are merged.
+    group = F.pmod(F.hash(*keys), F.lit(int(spark.conf.get("spark.sql.shuffle.partitions")))).alias("group")
+    counts = given.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select("*", group).sortWithinPartitions("group", *keys)
+    copies = counts.select(*keys, "group", F.when(few, 0).otherwise(F.col("n") - 1).alias("more"),
+                           F.explode(F.sequence(one, F.when(few, F.col("n")).otherwise(one))).alias("nth"))
+    placed, path = copies.select(*keys, "group", "more", F.monotonically_increasing_id().alias("at")), fresh_path(spark, "staging", "log_ids")
+    with small_splits(spark), small_parts(spark, _BUCKET * _SHUFFLED):
+        placed.write.option("compression", "zstd").parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path).withColumn("task", F.shiftright("at", 33))
+    # A row per group: as many as the shuffle has partitions. (A source dealt by some of its columns is not shuffled: then per task and group.)
+    order, everything = Window.orderBy("group", "task"), Window.partitionBy()
+    sums = placed.groupBy("group", "task").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("rows"), F.sum("more").alias("rest"))
+    sums = sums.select("group", "task", (F.sum("rows").over(order) - F.col("rows") - F.col("first") + 1).alias("shift"),
+                       (F.sum("rows").over(everything) + F.sum("rest").over(order) - F.col("rest")).alias("before"))
+    placed = placed.join(F.broadcast(sums), ["group", "task"])
+    firsts = placed.select(*keys, (F.col("at") + F.col("shift")).alias("log_id"))
+    earlier = F.sum("more").over(Window.partitionBy("group", "task").orderBy("at")) - F.col("more")
+    runs = placed.where("more > 0").withColumn("base", F.col("before") + earlier).select(
+        *keys, "base", "more", F.explode(F.sequence(F.lit(0).cast("long"), F.col("more") - 1, F.lit(_RUN).cast("long"))).alias("run"))
+    start, end = F.col("base") + F.col("run") + 1, F.col("base") + F.least(F.col("more"), F.col("run") + _RUN)
+    dealt_out = runs.repartition("base", "run").select(*keys, F.explode(F.sequence(start, end)).alias("log_id"))
+    return firsts.unionByName(dealt_out).toDF(*names, "log_id")
 
 
 # ---- tables bucketed alike (J1, R7) ------------------------------------------------------------

@@ -85,7 +85,7 @@ def land_pages(records: DataFrame, order: list[str], page_size: int = API_PAGE_S
     within = F.row_number().over(Window.partitionBy("_range").orderBy(*order, *fields))
     placed = ranged.withColumn("_within", within).join(before, "_range").withColumn("_at", F.col("_before") + F.col("_within") - 1)
     page = (F.floor(F.col("_at") / page_size) + 1).cast("int")
-    grouped = placed.groupBy(page.alias("page")).agg(F.array_sort(F.collect_list(F.struct("_at", F.struct(*fields).alias("r")))).alias("sorted"))
+    grouped = placed.groupBy(page.alias("page")).agg(F.sort_array(F.collect_list(F.struct("_at", F.struct(*fields).alias("r")))).alias("sorted"))
     total = records.agg(F.count(F.lit(1))).scalar()
     return grouped.select("page", F.col("sorted.r").alias("results"),
                           F.when(F.col("page") * page_size < total, F.format_string("?page=%d", F.col("page") + 1)).alias("next"))
